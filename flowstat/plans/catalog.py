@@ -173,3 +173,280 @@ FROM v JOIN f USING (window_end, hv)""")
 def uv_running(spark, sf_dir):
     """Per view event, distinct bitmap positions so far in its hour."""
     return distinct.running_distinct(_views(spark, sf_dir), "ts", "seq", "user_id", "1 hour", hashed=True)
+
+
+# ================================================================ hot pages
+from ..functions import ASSET_PATTERN, is_asset  # noqa: E402
+from ..operators import capping, joins, late, patterns  # noqa: E402
+
+M1 = duration_us("1 minute")
+M10 = duration_us("10 minutes")
+_GETS = (f"SELECT p.url, e.event_id, epoch_us(e.ts) AS t FROM events e JOIN pages p ON {_ITEM} = p.page_id "
+         f"WHERE e.event_type = 'view' AND NOT regexp_matches(p.url, '{ASSET_PATTERN}')")
+_HOT_PAGES_SQL = _sliding_sql(_GETS, "url", M10, M1)
+
+
+def _hot_page_counts(spark, sf_dir):
+    acc = T.page_views(spark, sf_dir)
+    gets = acc.where((F.col("method") == "GET") & ~is_asset("url"))
+    return windows.sliding_count(gets, "ts", "url", "10 minutes", "1 minute")
+
+
+@register("hot_pages_sliding", _HOT_PAGES_SQL)
+def hot_pages_sliding(spark, sf_dir):
+    """GETs per url (assets dropped), 10 min sliding by 1 min."""
+    return _hot_page_counts(spark, sf_dir)
+
+
+@register("hot_pages_topn", f"""
+SELECT window_end, CAST(row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, url) AS INTEGER) AS rn, url, cnt
+FROM ({_HOT_PAGES_SQL}) c QUALIFY rn <= 5""")
+def hot_pages_topn(spark, sf_dir):
+    """Top 5 urls per window end (latest count per url wins)."""
+    return topn.top_n(_hot_page_counts(spark, sf_dir), "window_end", "url", "cnt", 5) \
+        .select("window_end", "rn", "url", "cnt")
+
+
+# ================================================================ late rows
+_ARRIVAL_SQL = "epoch_us(ts) + ((event_id * 7919) % 1500) * 1000000"
+
+
+def _arrivals(spark, sf_dir):
+    """Events with a derived arrival time: ts + (event_id * 7919 mod 1500) s,
+    a deterministic disorder of up to 25 minutes."""
+    ev = T.table(spark, sf_dir, "events").select(F.col("event_id").alias("seq"), "ts")
+    delay = F.pmod(F.col("seq") * F.lit(7919), F.lit(1500))
+    return ev.withColumn("arrival", F.timestamp_add("SECOND", delay, F.col("ts")))
+
+
+@register("late_rows", f"""
+WITH a AS (SELECT event_id, ts, epoch_us(ts) AS t, {_ARRIVAL_SQL} AS arr FROM events),
+w AS (SELECT *, max(t) OVER (ORDER BY arr, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 1000000 AS wm FROM a)
+SELECT event_id AS seq, ts, make_timestamp(wm) AS watermark FROM w
+WHERE (t // 5000000) * 5000000 + 600000000 - 1000 + 60000000 <= wm""")
+def late_rows(spark, sf_dir):
+    """Rows too late for every 10 min / 5 s window even with 1 min of
+    allowed lateness (watermark = max earlier event time - 1 s)."""
+    _, late_df = late.split_late(_arrivals(spark, sf_dir), "ts", "arrival", "seq", "1 second",
+                                 "10 minutes", "5 seconds", "1 minute")
+    return late_df.select("seq", "ts", "watermark")
+
+
+# ================================================================ marketing / ads
+_MARKET = (f"SELECT user_id, event_type AS behavior, "
+           f"['app store', 'wechat', 'weibo', 'tieba'][({_ITEM} % 4) + 1] AS channel, epoch_us(ts) AS t FROM events")
+_MARKET_TOTAL_SQL = _sliding_sql(f"SELECT * FROM ({_MARKET}) m WHERE behavior = 'error'", "", H, M5)
+
+
+def _market_total(spark, sf_dir):
+    mk = T.market_behavior(spark, sf_dir).where(F.col("behavior") == T.FAIL)
+    return windows.sliding_count(mk, "ts", None, "1 hour", "5 minutes")
+
+
+@register("marketing_total", _MARKET_TOTAL_SQL)
+def marketing_total(spark, sf_dir):
+    """One global sliding count of uninstalls (as the job is
+    written; the behaviour kept is a parameter)."""
+    return _market_total(spark, sf_dir)
+
+
+@register("marketing_total_text", f"""
+SELECT window_end, strftime(window_end, '%Y-%m-%d %H:%M:%S') || '.0,' || cnt AS line FROM ({_MARKET_TOTAL_SQL}) c""")
+def marketing_total_text(spark, sf_dir):
+    """``windowEnd,count`` as one text line per window."""
+    c = _market_total(spark, sf_dir)
+    return c.select("window_end", F.concat_ws(",", F.date_format("window_end", "yyyy-MM-dd HH:mm:ss.S"),
+                                              F.col("cnt").cast("string")).alias("line"))
+
+
+@register("marketing_by_channel", _sliding_sql(_MARKET, "channel, behavior", H, M5))
+def marketing_by_channel(spark, sf_dir):
+    """Counts per (channel, behaviour).  As written the job's
+    filter compares the channel with a behaviour name and keeps every row;
+    ``as_written=False`` in :func:`marketing_counts` drops uninstalls."""
+    return marketing_counts(T.market_behavior(spark, sf_dir), as_written=True)
+
+
+def marketing_counts(df, as_written: bool = True, uninstall: str = T.FAIL, size="1 hour", slide="5 minutes"):
+    if not as_written:
+        df = df.where(F.col("behavior") != uninstall)
+    return windows.sliding_count(df, "ts", ["channel", "behavior"], size, slide)
+
+
+_ADS = (f"SELECT n.n_name AS province, epoch_us(e.ts) AS t FROM events e JOIN customer c ON e.user_id = c.c_custkey "
+        f"JOIN nation n ON c.c_nationkey = n.n_nationkey")
+
+
+@register("ad_clicks_by_province", _sliding_sql(_ADS, "province", H, M5))
+def ad_clicks_by_province(spark, sf_dir):
+    """Ad clicks per province, 1 h sliding by 5 min."""
+    return windows.sliding_count(T.ad_clicks(spark, sf_dir), "ts", "province", "1 hour", "5 minutes")
+
+
+_CAPPED = ("SELECT event_id AS seq, user_id, event_type AS ad_id, strftime(ts, '%Y-%m-%d') AS day, ts, "
+           "row_number() OVER (PARTITION BY user_id, event_type, CAST(ts AS DATE) ORDER BY event_id) AS n FROM events")
+
+
+def _cap(spark, sf_dir):
+    ev = T.table(spark, sf_dir, "events").select(F.col("event_id").alias("seq"), "user_id",
+                                                 F.col("event_type").alias("ad_id"), "ts")
+    return capping.cap_and_flag(ev, ["user_id", "ad_id"], "ts", "seq", limit=3, zone="UTC")
+
+
+@register("ad_clicks_filtered", f"SELECT seq, user_id, ad_id, day, ts FROM ({_CAPPED}) c WHERE n <= 3")
+def ad_clicks_filtered(spark, sf_dir):
+    """Clicks passing a cap of 3 per (user, ad, day)."""
+    return _cap(spark, sf_dir)[0].select("seq", "user_id", "ad_id", F.col("day").cast("string").alias("day"), "ts")
+
+
+@register("ad_click_blacklist", f"SELECT user_id, ad_id, day, seq, 'abnormal click' AS warning FROM ({_CAPPED}) c WHERE n = 4")
+def ad_click_blacklist(spark, sf_dir):
+    """One blacklist warning per (user, ad, day) at click 4."""
+    return _cap(spark, sf_dir)[1].withColumn("day", F.col("day").cast("string"))
+
+
+# ================================================================ login failures
+H2 = duration_us("2 hours")
+
+
+def _logins(spark, sf_dir):
+    return T.table(spark, sf_dir, "events").select("user_id", "ts", F.col("event_id").alias("seq"), "event_type")
+
+
+@register("login_fail_consecutive", f"""
+WITH e AS (SELECT user_id, ts, event_id, event_type = 'error' AS f, lag(event_type = 'error') OVER w AS pf, lag(ts) OVER w AS pts
+           FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id))
+SELECT user_id, pts AS first_fail, ts AS last_fail, event_id AS seq, 'login fail' AS warning FROM e
+WHERE f AND pf AND epoch_us(ts) - epoch_us(pts) <= {H2}""")
+def login_fail_consecutive(spark, sf_dir):
+    """A failure right after a failure (arrival order) within 2 h."""
+    return patterns.consecutive(_logins(spark, sf_dir), "user_id", F.col("event_type") == T.FAIL,
+                                "ts", "seq", "2 hours", inclusive=True)
+
+
+@register("login_fail_sequence", f"""
+WITH e AS (SELECT user_id, ts, event_id, event_type = 'error' AS a, lead(event_type = 'error') OVER w AS nb,
+                  lead(ts) OVER w AS nts, lead(event_id) OVER w AS nseq
+           FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+SELECT user_id, ts AS first_fail, nts AS last_fail, nseq AS seq, 'login fail' AS warning FROM e
+WHERE a AND nb AND epoch_us(nts) - epoch_us(ts) < {H2}""")
+def login_fail_sequence(spark, sf_dir):
+    """begin(fail).next(fail).within(2 h) in event-time order."""
+    fail = F.col("event_type") == T.FAIL
+    return patterns.match_next(_logins(spark, sf_dir), "user_id", fail, fail, "ts", "seq", "2 hours")
+
+
+@register("login_fail_burst", f"""
+WITH RECURSIVE p AS (SELECT user_id, ts, event_id, event_type = 'error' AS f,
+                            lag(event_type = 'error') OVER w AS pf, lag(ts) OVER w AS pts
+                     FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+fl AS (SELECT user_id, epoch_us(ts) AS t, sum(CASE WHEN pf IS NULL OR NOT pf OR epoch_us(ts) - epoch_us(pts) > {H2} THEN 1 ELSE 0 END)
+              OVER (PARTITION BY user_id ORDER BY ts, event_id) AS run FROM p WHERE f),
+anchors AS (SELECT user_id, run, min(t) AS a FROM fl GROUP BY ALL
+            UNION ALL
+            SELECT an.user_id, an.run, (SELECT min(fl.t) FROM fl WHERE fl.user_id = an.user_id AND fl.run = an.run AND fl.t > an.a + {H2})
+            FROM anchors an WHERE an.a IS NOT NULL)
+SELECT user_id, make_timestamp(a) AS first_fail, make_timestamp(max(t)) AS last_fail, count(*) AS n_fails, 'login fail' AS warning
+FROM anchors JOIN fl USING (user_id, run) WHERE a IS NOT NULL AND t BETWEEN a AND a + {H2}
+GROUP BY user_id, run, a HAVING count(*) >= 2""")
+def login_fail_burst(spark, sf_dir):
+    """>= 2 failures within 2 h of the first, no success between."""
+    fail = F.col("event_type") == T.FAIL
+    return patterns.burst(_logins(spark, sf_dir), "user_id", fail, ~fail, "ts", "seq", "2 hours")
+
+
+# ================================================================ orders
+D1 = duration_us("1 day")
+_ORDER_NEXT = f"""
+WITH b AS (SELECT user_id, event_id AS seq, ts, epoch_us(ts) AS t, event_type = 'click' AS a, event_type = 'purchase' AS p
+           FROM events WHERE event_type IN ('click', 'purchase')),
+n AS (SELECT *, min(CASE WHEN p THEN {{'t': t, 's': seq}} END) OVER (PARTITION BY user_id ORDER BY t, seq
+                 ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS nx FROM b)"""
+
+
+def _orders(spark, sf_dir):
+    ev = _logins(spark, sf_dir)
+    return patterns.followed_by(ev, "user_id", F.col("event_type") == T.CREATE, F.col("event_type") == T.PAY,
+                                "ts", "seq", "1 day")
+
+
+@register("order_pay_paid", _ORDER_NEXT + f"""
+SELECT user_id, seq, ts, nx.s AS pay_seq, make_timestamp(nx.t) AS pay_ts FROM n WHERE a AND nx IS NOT NULL AND nx.t - t < {D1}""")
+def order_pay_paid(spark, sf_dir):
+    """C4 main output: create followed by its first pay within 1 day."""
+    return _orders(spark, sf_dir)[0].select("user_id", "seq", "ts", F.col("then_seq").alias("pay_seq"),
+                                            F.col("then_ts").alias("pay_ts"))
+
+
+@register("order_pay_timeout", _ORDER_NEXT + f"""
+SELECT user_id, seq, ts FROM n WHERE a AND (nx IS NULL OR nx.t - t >= {D1})""")
+def order_pay_timeout(spark, sf_dir):
+    """C4 side output: creates with no pay within 1 day."""
+    return _orders(spark, sf_dir)[1]
+
+
+@register("order_status", f"""
+WITH b AS (SELECT user_id, epoch_us(ts) AS t, event_type FROM events),
+f AS (SELECT user_id, min(t) FILTER (WHERE event_type = 'click') AS ct, min(t) FILTER (WHERE event_type = 'purchase') AS pt0
+      FROM b GROUP BY user_id),
+a AS (SELECT f.user_id, min(b.t) AS p1 FROM f JOIN b ON b.user_id = f.user_id AND b.event_type = 'purchase' AND b.t >= f.ct
+      GROUP BY f.user_id)
+SELECT user_id, CASE WHEN p1 IS NOT NULL AND p1 < ct + {D1} THEN 'payed' ELSE 'timeout' END AS status
+FROM f LEFT JOIN a USING (user_id) WHERE ct IS NOT NULL
+UNION ALL
+SELECT user_id, 'pay_without_create' AS status FROM f WHERE pt0 IS NOT NULL AND (ct IS NULL OR pt0 < ct)""")
+def order_status(spark, sf_dir):
+    """Per order payed / timeout / pay_without_create."""
+    return patterns.pair_status(_logins(spark, sf_dir), "user_id", F.col("event_type") == T.CREATE,
+                                F.col("event_type") == T.PAY, "ts", "1 day")
+
+
+# ================================================================ payment reconciliation
+def _tx_sides(spark, sf_dir):
+    ev = T.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
+    pays = ev.where(F.col("event_type") == T.CREATE).select("user_id", F.col("event_id").alias("pay_id"),
+                                                          F.col("ts").alias("pay_ts"))
+    receipts = ev.where(F.col("event_type") == T.PAY).select("user_id", F.col("event_id").alias("receipt_id"),
+                                                           F.col("ts").alias("receipt_ts"))
+    return pays, receipts
+
+
+_TX_P = "(SELECT user_id, event_id AS pay_id, ts AS pay_ts FROM events WHERE event_type = 'click')"
+_TX_R = "(SELECT user_id, event_id AS receipt_id, ts AS receipt_ts FROM events WHERE event_type = 'purchase')"
+_TX_ON = "p.user_id = r.user_id AND r.receipt_ts BETWEEN p.pay_ts - INTERVAL 1 HOUR AND p.pay_ts + INTERVAL 2 HOUR"
+
+
+@register("tx_match_interval", f"""
+SELECT p.user_id, pay_id, pay_ts, receipt_id, receipt_ts FROM {_TX_P} p JOIN {_TX_R} r ON {_TX_ON}""")
+def tx_match_interval(spark, sf_dir):
+    """Interval join, receipt in [pay - 1 h, pay + 2 h]."""
+    p, r = _tx_sides(spark, sf_dir)
+    return joins.interval_join(p, r, "user_id", "pay_ts", "receipt_ts", "-1 hour", "2 hours")
+
+
+@register("tx_match_full", f"""
+SELECT coalesce(p.user_id, r.user_id) AS user_id, pay_id, pay_ts, receipt_id, receipt_ts
+FROM {_TX_P} p FULL JOIN {_TX_R} r ON {_TX_ON}""")
+def tx_match_full(spark, sf_dir):
+    """Two-sided match with waits = full outer interval join."""
+    p, r = _tx_sides(spark, sf_dir)
+    return joins.full_outer_interval(p, r, "user_id", "pay_ts", "receipt_ts", "pay_id", "receipt_id",
+                                     "-1 hour", "2 hours")
+
+
+@register("tx_pay_unmatched", f"""
+SELECT user_id, pay_id, pay_ts FROM {_TX_P} p WHERE NOT EXISTS (SELECT 1 FROM {_TX_R} r WHERE {_TX_ON})""")
+def tx_pay_unmatched(spark, sf_dir):
+    """J2 side output: pays with no receipt in time."""
+    p, r = _tx_sides(spark, sf_dir)
+    return joins.interval_match(p, r, "user_id", "pay_ts", "receipt_ts", "pay_id", "receipt_id",
+                                "-1 hour", "2 hours")[1]
+
+
+@register("tx_receipt_unmatched", f"""
+SELECT user_id, receipt_id, receipt_ts FROM {_TX_R} r WHERE NOT EXISTS (SELECT 1 FROM {_TX_P} p WHERE {_TX_ON})""")
+def tx_receipt_unmatched(spark, sf_dir):
+    """J2 side output: receipts with no pay in time."""
+    p, r = _tx_sides(spark, sf_dir)
+    return joins.interval_match(p, r, "user_id", "pay_ts", "receipt_ts", "pay_id", "receipt_id",
+                                "-1 hour", "2 hours")[2]
