@@ -8,6 +8,7 @@ split over many tasks.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -140,22 +141,50 @@ def burst(df: DataFrame, key: str, is_fail, is_reset, ts: str, seq: str, within=
     runs = running_total(fails, part=[key], order=["_t", seq], value="_start", out="_run",
                          chunk_col="_t", chunk=duration_us(chunk))
 
-    def scan(pdf: pd.DataFrame) -> pd.DataFrame:
-        t = pdf.sort_values(["_t", seq])["_t"].to_numpy()
-        out, i, n = [], 0, len(t)
-        while i < n:
-            a, j = t[i], i
-            while j + 1 < n and t[j + 1] <= a + wus:
-                j += 1
-            if j - i + 1 >= min_count:
-                out.append((int(a), int(t[j]), j - i + 1))
-            i = j + 1
-        return pd.DataFrame(out, columns=["first_fail_us", "last_fail_us", "n_fails"])
-
     schema = T.StructType([T.StructField(key, df.schema[key].dataType)]
                           + [T.StructField(c, T.LongType()) for c in ("first_fail_us", "last_fail_us", "n_fails")])
-    res = runs.select(key, "_run", "_t", seq).groupBy(key, "_run").applyInPandas(
-        lambda k, pdf: scan(pdf).assign(**{key: k[0]})[schema.fieldNames()], schema=schema)
+    # secondary sort: runs are hashed over all tasks, each task streams its
+    # runs in (key, run, time) order through a constant-memory scan
+    ordered = (runs.select(key, "_run", "_t", seq)
+                   .repartition(key, "_run")
+                   .sortWithinPartitions(key, "_run", "_t", seq))
+    res = ordered.mapInPandas(_burst_scanner(key, wus, min_count, schema.fieldNames()), schema=schema)
     return res.select(key, from_micros("first_fail_us", dtype).alias("first_fail"),
                       from_micros("last_fail_us", dtype).alias("last_fail"), "n_fails",
                       F.lit(msg).alias("warning"))
+
+
+def _burst_scanner(key: str, wus: int, min_count: int, names: list[str]):
+    """Greedy anchor scan over batches sorted by (key, run, time).  Complete
+    runs are scanned with ``searchsorted`` (a loop over anchors, not rows);
+    the last run of a batch is carried into the next batch."""
+
+    def emit(pdf: pd.DataFrame) -> pd.DataFrame:
+        if pdf.empty:
+            return pd.DataFrame({n: pd.Series(dtype="int64") for n in names})
+        k, r, t = pdf[key].to_numpy(), pdf["_run"].to_numpy(), pdf["_t"].to_numpy()
+        brk = np.flatnonzero((k[1:] != k[:-1]) | (r[1:] != r[:-1])) + 1
+        out_k, out_a, out_l, out_n = [], [], [], []
+        for s0, e0 in zip(np.r_[0, brk], np.r_[brk, len(t)]):
+            seg, i = t[s0:e0], 0
+            while i < len(seg):
+                j = int(np.searchsorted(seg, seg[i] + wus, side="right"))
+                if j - i >= min_count:
+                    out_k.append(k[s0]); out_a.append(seg[i]); out_l.append(seg[j - 1]); out_n.append(j - i)
+                i = j
+        return pd.DataFrame(dict(zip(names, [out_k, out_a, out_l, out_n])))
+
+    def scan(batches):
+        carry = None
+        for pdf in batches:
+            if carry is not None and not carry.empty:
+                pdf = pd.concat([carry, pdf], ignore_index=True)
+            if pdf.empty:
+                continue
+            last = (pdf[key] == pdf[key].iloc[-1]) & (pdf["_run"] == pdf["_run"].iloc[-1])
+            carry = pdf[last]
+            yield emit(pdf[~last])
+        if carry is not None:
+            yield emit(carry)
+
+    return scan
