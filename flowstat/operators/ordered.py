@@ -62,7 +62,9 @@ def neighbour(df: DataFrame, part, order, cols, chunk_col: str, chunk: int,
               prefix: str = "prev_", direction: str = "lag") -> DataFrame:
     """Adds ``prefix + c`` = value of ``c`` in the previous (``lag``) or next
     (``lead``) row of the same ``part`` group in ``order`` - exact ``lag`` /
-    ``lead`` computed chunk by chunk."""
+    ``lead`` computed chunk by chunk.  The row a neighbouring chunk needs
+    comes from a partial aggregate (one row per (key, chunk) leaves each map
+    task), which costs far less shuffle than re-reading the window output."""
     parts, orders, cs = _list(part), _list(order), _list(cols)
     with_ck = df.withColumn("_ck", floor_to(F.col(chunk_col), chunk))
     w = Window.partitionBy(*parts, "_ck").orderBy(*[_col(o) for o in orders])

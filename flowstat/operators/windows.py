@@ -40,20 +40,27 @@ def _keys(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
+def _count(weight: str | None):
+    return F.count(F.lit(1)) if weight is None else F.sum(F.col(weight)).cast("long")
+
+
 def tumbling_count(df: DataFrame, ts: str, keys=None, size="1 hour",
-                   out: str = "cnt", end_col: str = "window_end") -> DataFrame:
-    """Rows per key and tumbling window (epoch aligned)."""
+                   out: str = "cnt", end_col: str = "window_end", weight: str | None = None) -> DataFrame:
+    """Rows (or the sum of ``weight``) per key and tumbling window."""
     ks = _keys(keys)
     w = F.window(F.col(ts), duration_str(duration_us(size)))
     return (df.groupBy(*ks, w.alias("_w"))
-              .agg(F.count(F.lit(1)).alias(out))
+              .agg(_count(weight).alias(out))
               .select(*ks, F.col("_w.end").alias(end_col), out))
 
 
 def sliding_count(df: DataFrame, ts: str, keys=None, size="1 hour", slide="5 seconds",
                   method: str = "auto", bucket="1 day", out: str = "cnt",
-                  end_col: str = "window_end") -> DataFrame:
-    """Rows per key and sliding window -> keys, window_end, cnt."""
+                  end_col: str = "window_end", weight: str | None = None) -> DataFrame:
+    """Rows per key and sliding window -> keys, window_end, cnt.
+
+    With ``weight`` each row counts as that many rows - used to feed counts
+    that were pre-aggregated per pane (see :func:`pane_counts`)."""
     ks = _keys(keys)
     size_us, slide_us = duration_us(size), duration_us(slide)
     if slide_us <= 0 or size_us < slide_us:
@@ -64,36 +71,52 @@ def sliding_count(df: DataFrame, ts: str, keys=None, size="1 hour", slide="5 sec
     if method == "window":
         w = F.window(F.col(ts), duration_str(size_us), duration_str(slide_us))
         return (df.groupBy(*ks, w.alias("_w"))
-                  .agg(F.count(F.lit(1)).alias(out))
+                  .agg(_count(weight).alias(out))
                   .select(*ks, F.col("_w.end").alias(end_col), out))
     if method == "panes":
-        return _sliding_panes(df, ts, ks, size_us, slide_us, out, end_col)
+        return _sliding_panes(df, ts, ks, size_us, slide_us, out, end_col, weight)
     if method == "difference":
-        return _sliding_difference(df, ts, ks, size_us, slide_us, duration_us(bucket), out, end_col)
+        return _sliding_difference(df, ts, ks, size_us, slide_us, duration_us(bucket), out, end_col, weight)
     raise ValueError(f"unknown method {method!r}")
 
 
-def _pane_counts(df: DataFrame, ts: str, ks: list[str], size_us: int, slide_us: int):
+def pane_counts(df: DataFrame, ts: str, keys=None, size="1 hour", slide="5 minutes",
+                out: str = "cnt", weight: str | None = None) -> DataFrame:
+    """Rows per key and pane of length gcd(size, slide) -> keys, ts (pane
+    start, same type), cnt.  Every pane lies inside the same sliding windows
+    as its start, so ``sliding_count(panes, ts, keys, size, slide,
+    weight=cnt)`` equals the count over the raw rows.  Aggregating to panes
+    *before* joining a dimension (page url, customer nation) makes the join
+    run over pane counts instead of raw events."""
+    ks = _keys(keys)
+    dtype = ts_type(df, ts)
+    g = math.gcd(duration_us(size), duration_us(slide))
+    p = floor_to(to_micros(ts, dtype), g)
+    return (df.groupBy(*ks, p.alias("_p")).agg(_count(weight).alias(out))
+              .select(*ks, from_micros("_p", dtype).alias(ts), out))
+
+
+def _pane_counts(df: DataFrame, ts: str, ks: list[str], size_us: int, slide_us: int, weight=None):
     dtype = ts_type(df, ts)
     g = math.gcd(size_us, slide_us)
     t = to_micros(ts, dtype)
-    panes = (df.select(*ks, floor_to(t, g).alias("_p"))
-               .groupBy(*ks, "_p").agg(F.count(F.lit(1)).alias("_c")))
+    panes = (df.select(*ks, floor_to(t, g).alias("_p"), *([F.col(weight)] if weight else []))
+               .groupBy(*ks, "_p").agg(_count(weight).alias("_c")))
     # window starts s (multiples of slide) with  p + g - size <= s <= p
     first_end = ceil_to(F.col("_p") + F.lit(g - size_us), slide_us) + F.lit(size_us)
     last_end = floor_to(F.col("_p"), slide_us) + F.lit(size_us)
     return dtype, panes, first_end, last_end
 
 
-def _sliding_panes(df, ts, ks, size_us, slide_us, out, end_col):
-    dtype, panes, first_end, last_end = _pane_counts(df, ts, ks, size_us, slide_us)
+def _sliding_panes(df, ts, ks, size_us, slide_us, out, end_col, weight=None):
+    dtype, panes, first_end, last_end = _pane_counts(df, ts, ks, size_us, slide_us, weight)
     exploded = panes.select(*ks, "_c", F.explode(F.sequence(first_end, last_end, F.lit(slide_us))).alias("_e"))
-    return (exploded.groupBy(*ks, "_e").agg(F.sum("_c").alias(out))
+    return (exploded.groupBy(*ks, "_e").agg(F.sum("_c").cast("long").alias(out))
                     .select(*ks, from_micros("_e", dtype).alias(end_col), out))
 
 
-def _sliding_difference(df, ts, ks, size_us, slide_us, bucket_us, out, end_col):
-    dtype, panes, first_end, last_end = _pane_counts(df, ts, ks, size_us, slide_us)
+def _sliding_difference(df, ts, ks, size_us, slide_us, bucket_us, out, end_col, weight=None):
+    dtype, panes, first_end, last_end = _pane_counts(df, ts, ks, size_us, slide_us, weight)
     bucket_us = max(bucket_us, slide_us)
     deltas = (panes
               .select(*ks, floor_to(F.col("_p"), bucket_us).alias("_b"),
@@ -112,7 +135,7 @@ def _sliding_difference(df, ts, ks, size_us, slide_us, bucket_us, out, end_col):
         *ks, "_run",
         F.explode(F.sequence(F.col("_at"), F.col("_nxt") - F.lit(slide_us), F.lit(slide_us))).alias("_e"))
     # each bucket holds a partial count; sum the buckets per window end
-    return (exploded.groupBy(*ks, "_e").agg(F.sum("_run").alias(out))
+    return (exploded.groupBy(*ks, "_e").agg(F.sum("_run").cast("long").alias(out))
                     .select(*ks, from_micros("_e", dtype).alias(end_col), out))
 
 

@@ -187,9 +187,12 @@ _HOT_PAGES_SQL = _sliding_sql(_GETS, "url", M10, M1)
 
 
 def _hot_page_counts(spark, sf_dir):
-    acc = T.page_views(spark, sf_dir)
-    gets = acc.where((F.col("method") == "GET") & ~is_asset("url"))
-    return windows.sliding_count(gets, "ts", "url", "10 minutes", "1 minute")
+    # count GETs per (page, pane) first, then attach urls to the pane counts:
+    # the join sees one row per page and minute instead of every request
+    gets = T.page_requests(spark, sf_dir).where(F.col("method") == "GET")
+    panes = windows.pane_counts(gets, "ts", "page_id", "10 minutes", "1 minute")
+    pages = T.pages(spark, sf_dir).where(~is_asset("url"))
+    return windows.sliding_count(panes.join(pages, "page_id"), "ts", "url", "10 minutes", "1 minute", weight="cnt")
 
 
 @register("hot_pages_sliding", _HOT_PAGES_SQL)
@@ -280,7 +283,10 @@ _ADS = (f"SELECT n.n_name AS province, epoch_us(e.ts) AS t FROM events e JOIN cu
 @register("ad_clicks_by_province", _sliding_sql(_ADS, "province", H, M5))
 def ad_clicks_by_province(spark, sf_dir):
     """Ad clicks per province, 1 h sliding by 5 min."""
-    return windows.sliding_count(T.ad_clicks(spark, sf_dir), "ts", "province", "1 hour", "5 minutes")
+    clicks = T.table(spark, sf_dir, "events").select("user_id", "ts")
+    panes = windows.pane_counts(clicks, "ts", "user_id", "1 hour", "5 minutes")
+    joined = panes.join(T.customer_province(spark, sf_dir), "user_id")
+    return windows.sliding_count(joined, "ts", "province", "1 hour", "5 minutes", weight="cnt")
 
 
 _CAPPED = ("SELECT event_id AS seq, user_id, event_type AS ad_id, strftime(ts, '%Y-%m-%d') AS day, ts, "

@@ -36,16 +36,24 @@ def behavior(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.col("event_type").alias("behavior"), "ts", F.col("event_id").alias("seq"))
 
 
-def page_views(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Access-log view: events joined to pages on item = page_id.
-    method 'GET' for views; the page table is a dimension - Spark broadcasts
-    it only while its size estimate is under the broadcast threshold."""
+def page_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Access-log requests: seq, ts, user_id, method ('GET' for views), page_id."""
     ev = table(spark, sf_dir, "events")
-    pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    acc = ev.select(F.col("event_id").alias("seq"), "ts", "user_id",
-                    F.when(F.col("event_type") == PV, F.lit("GET")).otherwise(F.lit("POST")).alias("method"),
-                    json_long("props", "k").alias("page_id"))
-    return acc.join(pages, "page_id")
+    return ev.select(F.col("event_id").alias("seq"), "ts", "user_id",
+                     F.when(F.col("event_type") == PV, F.lit("GET")).otherwise(F.lit("POST")).alias("method"),
+                     json_long("props", "k").alias("page_id"))
+
+
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page dimension (page_id, url).  It grows with the data, so it is
+    joined by whatever the size check allows: broadcast while Spark's size
+    estimate (or AQE's runtime size) is under the threshold, else a shuffle."""
+    return table(spark, sf_dir, "pages").select("page_id", "url")
+
+
+def page_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests joined to their url (row level, for row-level consumers)."""
+    return page_requests(spark, sf_dir).join(pages(spark, sf_dir), "page_id")
 
 
 def market_behavior(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,16 +66,19 @@ def market_behavior(spark: SparkSession, sf_dir: str) -> DataFrame:
                      "ts", F.col("event_id").alias("seq"))
 
 
-def ad_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ad clicks with the clicking customer's nation as province.  customer
-    grows with the data, so it is joined by a shuffled join unless its
-    estimate fits the broadcast threshold; nation (25 rows) is a constant-size
-    dimension."""
-    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
+def customer_province(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer key -> province (nation name).  nation has a fixed 25 rows
+    at every scale, so broadcasting it is bounded; customer grows with the
+    data and is left to the size-checked join selection."""
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    return (ev.join(cust, ev.user_id == cust.c_custkey)
-              .join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
+    return (cust.join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
+                .select(F.col("c_custkey").alias("user_id"), F.col("n_name").alias("province")))
+
+
+def ad_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ad clicks with the clicking customer's nation as province (row level)."""
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
+    return (ev.join(customer_province(spark, sf_dir), "user_id")
               .select(F.col("event_id").alias("seq"), "ts", "user_id",
-                      json_long("props", "k").alias("ad_id"),
-                      F.col("n_name").alias("province"), "event_type"))
+                      json_long("props", "k").alias("ad_id"), "province", "event_type"))
