@@ -456,3 +456,29 @@ def tx_receipt_unmatched(spark, sf_dir):
     p, r = _tx_sides(spark, sf_dir)
     return joins.interval_match(p, r, "user_id", "pay_ts", "receipt_ts", "pay_id", "receipt_id",
                                 "-1 hour", "2 hours")[2]
+
+
+# ================================================================ access log
+from ..sources import parse_access_log  # noqa: E402
+
+
+def access_log_lines(spark, sf_dir):
+    """The requests written as space-separated access-log lines
+    (ip user - dd/MM/yyyy:HH:mm:ss +0000 method url)."""
+    req = T.page_views(spark, sf_dir)
+    u = F.col("user_id")
+    ip = F.concat_ws(".", F.lit("10"), *[F.pmod(F.floor(u / F.lit(d)), F.lit(256)).cast("string")
+                                         for d in (65536, 256, 1)])
+    line = F.concat_ws(" ", ip, u.cast("string"), F.lit("-"), F.date_format("ts", "dd/MM/yyyy:HH:mm:ss"),
+                       F.lit("+0000"), F.col("method"), F.col("url"))
+    return req.select(line.alias("value"))
+
+
+@register("hot_pages_from_log", _HOT_PAGES_SQL)
+def hot_pages_from_log(spark, sf_dir):
+    """The hot-page counts computed from parsed log lines (the
+    log keeps whole seconds, which never moves a row across a minute-aligned
+    window border)."""
+    log = parse_access_log(access_log_lines(spark, sf_dir)).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    gets = log.where((F.col("method") == "GET") & ~is_asset("url"))
+    return windows.sliding_count(gets, "ts", "url", "10 minutes", "1 minute")

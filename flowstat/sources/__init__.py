@@ -20,15 +20,15 @@ def read_records(spark: SparkSession, path: str, kind: str, stream: bool = False
     an explicit schema -> typed columns + ``ts`` (event time) + ``seq``.
 
     ``mode='FAILFAST'`` stops on a malformed line like the original jobs;
-    ``'PERMISSIVE'`` nulls bad fields instead.  An empty field stays an empty
-    string (``emptyValue``), so the empty tx id of a create row cannot join.
+    ``'PERMISSIVE'`` nulls bad fields instead.  An empty (unquoted) field
+    reads as null, so the empty tx id of a create row can never join.
     ``seq`` is the arrival order: the line order of a batch file read (stable
     for one read of the same files); a stream should carry its own sequence
     number or Kafka offset instead.
     """
     schema, unit = RECORDS[kind]
     reader = (spark.readStream if stream else spark.read).schema(schema)
-    df = reader.option("mode", mode).option("emptyValue", "").option("nullValue", "\u0000").csv(path)
+    df = reader.option("mode", mode).csv(path)
     df = _typed(df, unit)
     if with_seq and not stream:
         df = df.withColumn("seq", F.monotonically_increasing_id())
@@ -81,14 +81,13 @@ def parse_csv_lines(lines: DataFrame, kind: str, value_col: str = "value") -> Da
     return _typed(parsed.select("_r.*", *[c for c in parsed.columns if c != "_r"]), unit)
 
 
-def replay_lines(spark: SparkSession, path: str, fmt: str = "kafka", **options):
-    """Write every line of a text file as one message (``value``) of a sink
-    (``kafka`` with ``topic`` and ``kafka.bootstrap.servers`` options, or any
-    batch format for testing).  Returns the DataFrameWriter's save result."""
-    lines = spark.read.text(path)
-    writer = lines.write.format(fmt)
+def replay_lines(spark: SparkSession, source: str, fmt: str = "kafka", target: str | None = None, **options):
+    """Write every line of a text file as one message (``value``) of a sink:
+    ``kafka`` (options ``topic`` and ``kafka.bootstrap.servers``), or any
+    batch file format at ``target`` (used by the tests)."""
+    writer = spark.read.text(source).write.format(fmt)
     for k, v in options.items():
         writer = writer.option(k, v)
     if fmt == "kafka":
         return writer.save()
-    return writer.mode("overwrite").save(options.get("path"))
+    return writer.mode("overwrite").save(target)

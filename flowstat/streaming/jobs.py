@@ -71,8 +71,11 @@ def changelog_per_batch(keys, state_path: str, sink: callable):
     """``foreachBatch`` callback for a retract stream: diff each batch's
     snapshot against the previous snapshot stored at ``state_path`` (a
     table in the shared checkpoint folder), emit +/- rows, store the new
-    snapshot."""
+    snapshot.  Each batch is taken as the complete current snapshot (e.g. a
+    complete-mode top-N); an empty batch carries no snapshot and is skipped."""
     def run(batch: DataFrame, epoch_id: int):
+        if batch.isEmpty():
+            return
         spark = batch.sparkSession
         try:
             prev = spark.read.parquet(state_path)
