@@ -121,15 +121,17 @@ def burst(df: DataFrame, key: str, is_fail, is_reset, ts: str, seq: str, within=
           min_count: int = 2, msg: str = LOGIN_WARNING, chunk=DEFAULT_TIME_CHUNK) -> DataFrame:
     """Failure burst with a timer: the first failure of a key opens a window
     ``[first, first + within]``; when it expires, >= ``min_count`` failures in
-    it give one warning (first, last); a reset row (success) before expiry
-    discards the window.  The next failure after expiry or reset opens a new
-    window (event-time order, ties by ``seq``).
+    it give one warning (first, last); a reset row (success) in the window,
+    after the first failure, cancels it.  The next failure after expiry or
+    reset opens a new window (event-time order, ties by ``seq``).
 
     Anchors chain greedily, which no window expression states, so the scan
     runs in pandas - but only over *runs*: maximal stretches of a key's
-    failures with no reset between them and no gap above ``within``.  No
-    window can cross a run border, so runs are independent groups of bounded
-    length, found with a chunked ``lag`` (never a whole key in one group)."""
+    failures with no reset between them and no gap above ``within``, each
+    followed by the resets up to the next run.  No window crosses a run
+    border, and only a run's last window can be cancelled (by the reset that
+    ends the run), so runs are independent.  Run ids come from a chunked
+    ``lag`` and running sum (never a whole key in one task)."""
     dtype = ts_type(df, ts)
     wus = duration_us(within)
     base = (df.select(key, seq, to_micros(ts, dtype).alias("_t"), _pred(df, is_fail).alias("_f"),
@@ -137,15 +139,13 @@ def burst(df: DataFrame, key: str, is_fail, is_reset, ts: str, seq: str, within=
               .where(F.col("_f") | F.col("_r")))
     prev = neighbour(base, key, ["_t", seq], ["_f", "_t"], chunk_col="_t", chunk=duration_us(chunk), prefix="p_")
     starts = (F.col("_f") & (F.col("p__f").isNull() | ~F.col("p__f") | (F.col("_t") - F.col("p__t") > wus)))
-    fails = prev.where(F.col("_f")).withColumn("_start", starts.cast("long"))
-    runs = running_total(fails, part=[key], order=["_t", seq], value="_start", out="_run",
-                         chunk_col="_t", chunk=duration_us(chunk))
-
+    runs = running_total(prev.withColumn("_start", starts.cast("long")), part=[key], order=["_t", seq],
+                         value="_start", out="_run", chunk_col="_t", chunk=duration_us(chunk))
     schema = T.StructType([T.StructField(key, df.schema[key].dataType)]
                           + [T.StructField(c, T.LongType()) for c in ("first_fail_us", "last_fail_us", "n_fails")])
     # secondary sort: runs are hashed over all tasks, each task streams its
     # runs in (key, run, time) order through a constant-memory scan
-    ordered = (runs.select(key, "_run", "_t", seq)
+    ordered = (runs.where(F.col("_run") > 0).select(key, "_run", "_t", seq, "_f")
                    .repartition(key, "_run")
                    .sortWithinPartitions(key, "_run", "_t", seq))
     res = ordered.mapInPandas(_burst_scanner(key, wus, min_count, schema.fieldNames()), schema=schema)
@@ -162,14 +162,18 @@ def _burst_scanner(key: str, wus: int, min_count: int, names: list[str]):
     def emit(pdf: pd.DataFrame) -> pd.DataFrame:
         if pdf.empty:
             return pd.DataFrame({n: pd.Series(dtype="int64") for n in names})
-        k, r, t = pdf[key].to_numpy(), pdf["_run"].to_numpy(), pdf["_t"].to_numpy()
+        k, r = pdf[key].to_numpy(), pdf["_run"].to_numpy()
+        t, f = pdf["_t"].to_numpy(), pdf["_f"].to_numpy(dtype=bool)
         brk = np.flatnonzero((k[1:] != k[:-1]) | (r[1:] != r[:-1])) + 1
         out_k, out_a, out_l, out_n = [], [], [], []
         for s0, e0 in zip(np.r_[0, brk], np.r_[brk, len(t)]):
-            seg, i = t[s0:e0], 0
+            seg = t[s0:e0][f[s0:e0]]                 # the run's failures (they precede its resets)
+            resets = t[s0:e0][~f[s0:e0]]
+            i = 0
             while i < len(seg):
                 j = int(np.searchsorted(seg, seg[i] + wus, side="right"))
-                if j - i >= min_count:
+                cancelled = j == len(seg) and len(resets) and resets[0] <= seg[i] + wus
+                if j - i >= min_count and not cancelled:
                     out_k.append(k[s0]); out_a.append(seg[i]); out_l.append(seg[j - 1]); out_n.append(j - i)
                 i = j
         return pd.DataFrame(dict(zip(names, [out_k, out_a, out_l, out_n])))

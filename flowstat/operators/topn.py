@@ -50,12 +50,16 @@ def report(ranked: DataFrame, part: str, key: str, score: str = "cnt", rank_col:
 
 def changelog(prev: DataFrame, cur: DataFrame, keys, op_col: str = "op") -> DataFrame:
     """Rows of ``cur`` not in ``prev`` as '+', rows of ``prev`` not in ``cur``
-    as '-' (a retract stream between two snapshots).  Anti joins on the full
-    row, so it scales as two shuffled joins, never a driver-side diff."""
+    as '-' (a retract stream between two snapshots, multiset semantics on
+    ``keys``).  One union and one aggregate (a single shuffle on the keys,
+    map-side combined), never a driver-side diff."""
     ks = [keys] if isinstance(keys, str) else list(keys)
-    added = cur.join(prev, on=ks, how="left_anti").withColumn(op_col, F.lit("+"))
-    removed = prev.join(cur, on=ks, how="left_anti").withColumn(op_col, F.lit("-"))
-    return added.unionByName(removed)
+    both = (cur.select(*ks, F.lit(1).alias("_d"))
+               .unionByName(prev.select(*ks, F.lit(-1).alias("_d"))))
+    net = both.groupBy(*ks).agg(F.sum("_d").alias("_n")).where(F.col("_n") != 0)
+    return (net.select(*ks, F.when(F.col("_n") > 0, F.lit("+")).otherwise(F.lit("-")).alias(op_col),
+                       F.explode(F.array_repeat(F.lit(1), F.abs(F.col("_n")).cast("int"))).alias("_x"))
+               .drop("_x"))
 
 
 def ranking_changelog(ranked: DataFrame, part: str, key: str, step_us: int,

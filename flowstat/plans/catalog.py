@@ -346,15 +346,20 @@ def login_fail_sequence(spark, sf_dir):
 WITH RECURSIVE p AS (SELECT user_id, ts, event_id, event_type = 'error' AS f,
                             lag(event_type = 'error') OVER w AS pf, lag(ts) OVER w AS pts
                      FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
-fl AS (SELECT user_id, epoch_us(ts) AS t, sum(CASE WHEN pf IS NULL OR NOT pf OR epoch_us(ts) - epoch_us(pts) > {H2} THEN 1 ELSE 0 END)
+fl AS (SELECT user_id, epoch_us(ts) AS t, event_id AS s,
+              sum(CASE WHEN pf IS NULL OR NOT pf OR epoch_us(ts) - epoch_us(pts) > {H2} THEN 1 ELSE 0 END)
               OVER (PARTITION BY user_id ORDER BY ts, event_id) AS run FROM p WHERE f),
 anchors AS (SELECT user_id, run, min(t) AS a FROM fl GROUP BY ALL
             UNION ALL
             SELECT an.user_id, an.run, (SELECT min(fl.t) FROM fl WHERE fl.user_id = an.user_id AND fl.run = an.run AND fl.t > an.a + {H2})
-            FROM anchors an WHERE an.a IS NOT NULL)
-SELECT user_id, make_timestamp(a) AS first_fail, make_timestamp(max(t)) AS last_fail, count(*) AS n_fails, 'login fail' AS warning
-FROM anchors JOIN fl USING (user_id, run) WHERE a IS NOT NULL AND t BETWEEN a AND a + {H2}
-GROUP BY user_id, run, a HAVING count(*) >= 2""")
+            FROM anchors an WHERE an.a IS NOT NULL),
+bursts AS (SELECT user_id, a, min(s) FILTER (WHERE t = a) AS aseq, max(t) AS l, count(*) AS n
+           FROM anchors JOIN fl USING (user_id, run) WHERE a IS NOT NULL AND t BETWEEN a AND a + {H2}
+           GROUP BY user_id, run, a HAVING count(*) >= 2)
+SELECT user_id, make_timestamp(a) AS first_fail, make_timestamp(l) AS last_fail, n AS n_fails, 'login fail' AS warning
+FROM bursts b WHERE NOT EXISTS (
+  SELECT 1 FROM events r WHERE r.user_id = b.user_id AND r.event_type <> 'error'
+    AND epoch_us(r.ts) BETWEEN b.a AND b.a + {H2} AND (epoch_us(r.ts) > b.a OR r.event_id > b.aseq))""")
 def login_fail_burst(spark, sf_dir):
     """>= 2 failures within 2 h of the first, no success between."""
     fail = F.col("event_type") == T.FAIL

@@ -43,11 +43,14 @@ def test_burst(spark):
         [(1, 1, "fail", at(0)), (1, 2, "fail", at(1)), (1, 3, "fail", at(2)), (1, 4, "fail", at(2.5)),
          (1, 5, "fail", at(4.4)),                                 # anchor 0 -> [0, 2]: 3 fails; anchor 2.5 -> 2 fails
          (2, 6, "fail", at(0)), (2, 7, "success", at(1)), (2, 8, "fail", at(1.5)),   # success cancels
-         (3, 9, "fail", at(0))],
+         (3, 9, "fail", at(0)),
+         (4, 10, "fail", at(0)), (4, 11, "fail", at(1)), (4, 12, "success", at(1.5)),   # cancelled in span
+         (5, 13, "fail", at(0)), (5, 14, "fail", at(1)), (5, 15, "success", at(2.5)),   # success after expiry
+         (6, 16, "fail", at(0)), (6, 17, "fail", at(2)), (6, 18, "success", at(2))],    # success at the bound
         LOGIN)
     out = rows(patterns.burst(df, "user_id", fail, ~fail, "ts", "seq", "2 seconds"),
                "user_id", "first_fail", "last_fail", "n_fails")
-    assert out == [(1, at(0), at(2), 3), (1, at(2.5), at(4.4), 2)]
+    assert out == [(1, at(0), at(2), 3), (1, at(2.5), at(4.4), 2), (5, at(0), at(1), 2)]
 
 
 ORDER = "order_id long, seq long, event_type string, ts timestamp_ntz"
