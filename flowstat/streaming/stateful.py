@@ -201,3 +201,220 @@ def pair_status_stream(df: DataFrame, key: str, is_create, is_pay, ts: str, with
     out = base.groupBy(key).transformWithStateInPandas(
         OrderStatusProcessor(duration_us(within)), schema, "Append", "EventTime")
     return out.select(F.col("key").alias(key), "status")
+
+
+# ------------------------------------------------------------------ event-time ordered rules
+_BUF = T.StructType([T.StructField("t", _LONG), T.StructField("seq", _LONG),
+                     T.StructField("a", _BOOL), T.StructField("b", _BOOL)])
+
+
+class _EventTimeOrdered(StatefulProcessor):
+    """Buffers a key's rows (time, seq, flag a, flag b) in list state and
+    releases them in (time, seq) order once the watermark has passed them
+    (rows at or after the watermark may still be joined by equal-time rows).
+    Subclasses keep a small carry state and implement :meth:`release`."""
+
+    out_columns: list[str] = []
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.buf = handle.getListState("buf", _BUF)
+        self.init_carry(handle)
+
+    def init_carry(self, handle) -> None:
+        raise NotImplementedError
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = _concat(rows)
+        wm = timerValues.getCurrentWatermarkInMs() * 1000
+        if wm > 0:
+            pdf = pdf[pdf["t_us"] >= wm]                     # late rows are dropped, as Spark does
+        if pdf.empty:
+            return
+        self.buf.appendList([(int(t), int(s), bool(a), bool(b)) for t, s, a, b in
+                             zip(pdf["t_us"], pdf["seq"], pdf["flag_a"], pdf["flag_b"])])
+        for ms in np.unique(pdf["t_us"].to_numpy() // 1000 + 1):
+            self.handle.registerTimer(int(ms))
+        yield from ()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        wm = timerValues.getCurrentWatermarkInMs() * 1000
+        held = list(self.buf.get()) if self.buf.exists() else []
+        ready = sorted((r for r in held if r[0] < wm), key=lambda r: (r[0], r[1]))
+        rest = [r for r in held if r[0] >= wm]
+        if ready:
+            if rest:
+                self.buf.put(rest)
+            else:
+                self.buf.clear()
+        out = self.release(key, ready, wm)
+        if out:
+            yield pd.DataFrame(out, columns=self.out_columns)
+
+    def release(self, key, ready, wm) -> list[tuple]:
+        raise NotImplementedError
+
+    def close(self) -> None:
+        pass
+
+
+class StrictNextProcessor(_EventTimeOrdered):
+    """Adjacent rows (event-time order) with flag a then flag b, less
+    than ``within`` apart.  Carry: the last released row (is a, time)."""
+
+    out_columns = ["key", "first_us", "last_us", "seq"]
+
+    def __init__(self, within_us: int):
+        self.w = within_us
+
+    def init_carry(self, handle) -> None:
+        self.last = handle.getValueState("last", T.StructType([T.StructField("a", _BOOL), T.StructField("t", _LONG)]))
+
+    def release(self, key, ready, wm):
+        if not ready:
+            return []
+        pa, pt = self.last.get() if self.last.exists() else (False, 0)
+        out = []
+        for t, s, a, b in ready:
+            if pa and b and t - pt < self.w:
+                out.append((key[0], pt, t, s))
+            pa, pt = a, t
+        self.last.update((bool(pa), int(pt)))
+        return out
+
+
+class FollowedByProcessor(_EventTimeOrdered):
+    """C4: every ``a`` row takes the first later ``b`` row; gap < within ->
+    matched, else timeout.  An ``a`` row still waiting when the watermark
+    passes its deadline times out.  Carry: the waiting ``a`` rows."""
+
+    out_columns = ["key", "kind", "seq", "t", "then_seq", "then_t"]
+
+    def __init__(self, within_us: int):
+        self.w = within_us
+
+    def init_carry(self, handle) -> None:
+        self.pending = handle.getListState("pending", T.StructType([T.StructField("t", _LONG),
+                                                                     T.StructField("seq", _LONG)]))
+
+    def release(self, key, ready, wm):
+        pend = list(self.pending.get()) if self.pending.exists() else []
+        out = []
+        for t, s, a, b in ready:
+            if b:
+                for ct, cs in pend:
+                    out.append((key[0], "matched", cs, ct, s, t) if t - ct < self.w
+                               else (key[0], "timeout", cs, ct, None, None))
+                pend = []
+            if a:
+                pend.append((t, s))
+                self.handle.registerTimer((t + self.w) // 1000 + 1)
+        keep = []
+        for ct, cs in pend:
+            if ct + self.w < wm:
+                out.append((key[0], "timeout", cs, ct, None, None))
+            else:
+                keep.append((ct, cs))
+        if keep:
+            self.pending.put(keep)
+        else:
+            self.pending.clear()
+        return out
+
+
+class BurstProcessor(_EventTimeOrdered):
+    """The first failure (flag a) opens ``[first, first + within]``; a
+    reset (flag b) in it cancels it; at expiry >= ``min_count`` failures
+    warn.  Carry: (anchor time, count, last failure time)."""
+
+    out_columns = ["key", "first_us", "last_us", "n_fails"]
+
+    def __init__(self, within_us: int, min_count: int):
+        self.w, self.min_count = within_us, min_count
+
+    def init_carry(self, handle) -> None:
+        self.anchor = handle.getValueState("anchor", T.StructType([T.StructField("a", _LONG), T.StructField("n", _LONG),
+                                                                   T.StructField("last", _LONG)]))
+
+    def release(self, key, ready, wm):
+        cur = self.anchor.get() if self.anchor.exists() else None
+        out = []
+
+        def close(c):
+            if c is not None and c[1] >= self.min_count:
+                out.append((key[0], c[0], c[2], c[1]))
+
+        for t, s, fail, reset in ready:
+            if cur is not None and t > cur[0] + self.w:
+                close(cur)
+                cur = None
+            if fail:
+                if cur is None:
+                    cur = (t, 1, t)
+                    self.handle.registerTimer((t + self.w) // 1000 + 1)
+                else:
+                    cur = (cur[0], cur[1] + 1, t)
+            elif reset and cur is not None:
+                cur = None                                   # cancelled inside its window
+        if cur is not None and cur[0] + self.w < wm:
+            close(cur)
+            cur = None
+        if cur is None:
+            self.anchor.clear()
+        else:
+            self.anchor.update(tuple(int(x) for x in cur))
+        return out
+
+
+def _ordered_input(df, key, a, b, ts, seq, delay):
+    # note: Catalyst pushes the flag filter below the watermark, so rows that
+    # match neither flag do not move event time for these operators
+    ev = with_event_time(df, ts, delay)
+    expr = (lambda p: F.expr(p) if isinstance(p, str) else p)
+    base = ev.select(key, F.col(seq).alias("seq"), expr(a).alias("flag_a"), expr(b).alias("flag_b"),
+                     to_micros(ts, T.TimestampType()).alias("t_us")).where("flag_a OR flag_b")
+    return ev, base
+
+
+def match_next_stream(df: DataFrame, key: str, first, second, ts: str, seq: str, within="2 seconds",
+                      delay="10 seconds", msg: str = LOGIN_WARNING) -> DataFrame:
+    """Streaming C3.  Every row of the key takes part in adjacency (a row
+    matching neither predicate breaks a pair), so all rows are buffered."""
+    ev = with_event_time(df, ts, delay)
+    base = ev.select(key, F.col(seq).alias("seq"), (F.expr(first) if isinstance(first, str) else first).alias("flag_a"),
+                     (F.expr(second) if isinstance(second, str) else second).alias("flag_b"),
+                     to_micros(ts, T.TimestampType()).alias("t_us"))
+    schema = T.StructType([T.StructField("key", ev.schema[key].dataType), T.StructField("first_us", _LONG),
+                           T.StructField("last_us", _LONG), T.StructField("seq", _LONG)])
+    out = base.groupBy(key).transformWithStateInPandas(StrictNextProcessor(duration_us(within)), schema,
+                                                       "Append", "EventTime")
+    return out.select(F.col("key").alias(key), from_micros("first_us", T.TimestampType()).alias("first_fail"),
+                      from_micros("last_us", T.TimestampType()).alias("last_fail"), F.col("seq").alias(seq),
+                      F.lit(msg).alias("warning"))
+
+
+def followed_by_stream(df: DataFrame, key: str, first, then, ts: str, seq: str, within="15 minutes",
+                       delay="0 seconds") -> DataFrame:
+    """Streaming C4 -> one tagged frame: kind = matched / timeout."""
+    ev, base = _ordered_input(df, key, first, then, ts, seq, delay)
+    schema = T.StructType([T.StructField("key", ev.schema[key].dataType), T.StructField("kind", T.StringType()),
+                           T.StructField("seq", _LONG), T.StructField("t", _LONG),
+                           T.StructField("then_seq", _LONG), T.StructField("then_t", _LONG)])
+    out = base.groupBy(key).transformWithStateInPandas(FollowedByProcessor(duration_us(within)), schema,
+                                                       "Append", "EventTime")
+    return out.select(F.col("key").alias(key), "kind", F.col("seq").alias(seq),
+                      from_micros("t", T.TimestampType()).alias(ts), F.col("then_seq"),
+                      from_micros("then_t", T.TimestampType()).alias("then_ts"))
+
+
+def burst_stream(df: DataFrame, key: str, is_fail, is_reset, ts: str, seq: str, within="2 seconds",
+                 min_count: int = 2, delay="10 seconds", msg: str = LOGIN_WARNING) -> DataFrame:
+    """Streaming C2."""
+    ev, base = _ordered_input(df, key, is_fail, is_reset, ts, seq, delay)
+    schema = T.StructType([T.StructField("key", ev.schema[key].dataType), T.StructField("first_us", _LONG),
+                           T.StructField("last_us", _LONG), T.StructField("n_fails", _LONG)])
+    out = base.groupBy(key).transformWithStateInPandas(BurstProcessor(duration_us(within), min_count), schema,
+                                                       "Append", "EventTime")
+    return out.select(F.col("key").alias(key), from_micros("first_us", T.TimestampType()).alias("first_fail"),
+                      from_micros("last_us", T.TimestampType()).alias("last_fail"), "n_fails",
+                      F.lit(msg).alias("warning"))

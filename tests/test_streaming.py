@@ -42,7 +42,7 @@ def sentinel(spark, stream_dir):
     d, ev = stream_dir
     # written once, before any stream starts: the stream sees it with the data, and since it is
     # far in the future the watermark after the first batch closes every data window
-    sent = spark.createDataFrame([(10 ** 9, "2030-01-01 00:00:00", SENTINEL_USER, "signup", 0.0, '{"k": 0}')],
+    sent = spark.createDataFrame([(10 ** 9, "2030-01-01 00:00:00", SENTINEL_USER, "click", 0.0, '{"k": 0}')],
                                  "event_id long, ts string, user_id long, event_type string, value double, props string") \
         .withColumn("ts", F.col("ts").cast("timestamp_ntz"))
     sent.write.mode("append").parquet(f"{d}/in")
@@ -117,3 +117,32 @@ def test_order_status_stream(spark, stream_dir):
     got = _run(spark, stream_dir, lambda s: stateful.pair_status_stream(s, "user_id", c, p, "ts", "1 day"))
     want = patterns.pair_status(ev, "user_id", c, p, "ts", "1 day")
     assert rows(got, "user_id", "status") == rows(want, "user_id", "status")
+
+
+def test_match_next_stream(spark, stream_dir):
+    _, ev = stream_dir
+    fail = F.col("event_type") == "error"
+    got = _run(spark, stream_dir, lambda s: stateful.match_next_stream(
+        s.withColumnRenamed("event_id", "seq"), "user_id", fail, fail, "ts", "seq", "2 hours"))
+    want = patterns.match_next(ev.withColumnRenamed("event_id", "seq"), "user_id", fail, fail, "ts", "seq", "2 hours")
+    assert rows(got, "user_id", "seq") == rows(want, "user_id", "seq")
+
+
+def test_followed_by_stream(spark, stream_dir):
+    _, ev = stream_dir
+    c, p = F.col("event_type") == "click", F.col("event_type") == "purchase"
+    got = _run(spark, stream_dir, lambda s: stateful.followed_by_stream(
+        s.withColumnRenamed("event_id", "seq"), "user_id", c, p, "ts", "seq", "1 day"))
+    m, t = patterns.followed_by(ev.withColumnRenamed("event_id", "seq"), "user_id", c, p, "ts", "seq", "1 day")
+    assert rows(got.where("kind = 'matched'"), "seq", "then_seq") == rows(m, "seq", "then_seq")
+    assert rows(got.where("kind = 'timeout'"), "seq") == rows(t, "seq")
+
+
+def test_burst_stream(spark, stream_dir):
+    _, ev = stream_dir
+    fail = F.col("event_type") == "error"
+    got = _run(spark, stream_dir, lambda s: stateful.burst_stream(
+        s.withColumnRenamed("event_id", "seq"), "user_id", fail, ~fail, "ts", "seq", "2 hours"))
+    want = patterns.burst(ev.withColumnRenamed("event_id", "seq"), "user_id", fail, ~fail, "ts", "seq", "2 hours")
+    assert rows(got, "user_id", "n_fails") == rows(want, "user_id", "n_fails")
+    assert want.count() > 0
