@@ -418,3 +418,45 @@ def burst_stream(df: DataFrame, key: str, is_fail, is_reset, ts: str, seq: str,
     return out.select(F.col("key").alias(key), from_micros("first_us", T.TimestampType()).alias("first_fail"),
                       from_micros("last_us", T.TimestampType()).alias("last_fail"), "n_fails",
                       F.lit(msg).alias("warning"))
+
+
+# ------------------------------------------------------------------ T7
+class LateFlagProcessor(StatefulProcessor):
+    """Stateless use of the state API: it only reads the micro-batch's
+    watermark (which Spark does not expose to plain expressions) and flags
+    rows whose last window, extended by the allowed lateness, is already
+    closed: ``floor(t, slide) + size - 1 ms + lateness <= watermark``."""
+
+    def __init__(self, size_us: int, slide_us: int, lateness_us: int, names: list[str]):
+        self.size, self.slide, self.late, self.names = size_us, slide_us, lateness_us, names
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        pass
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        wm = timerValues.getCurrentWatermarkInMs() * 1000
+        for pdf in rows:
+            t = pdf["t_us"].to_numpy(dtype=np.int64)
+            last_end = t - np.mod(t, self.slide) + self.size
+            out = pdf[self.names].copy()
+            out["late"] = (wm > 0) & (last_end - 1000 + self.late <= wm)
+            yield out
+
+    def close(self) -> None:
+        pass
+
+
+def split_late_stream(df: DataFrame, ts: str, size="10 minutes", slide="5 seconds", lateness="1 minute",
+                      delay="1 second", spread: int = 64) -> DataFrame:
+    """Streaming late-row side output: every row with a ``late`` flag (split
+    it with a filter in ``foreachBatch``).  The watermark is Spark's, i.e.
+    per micro-batch, so a row counts as late against the watermark of the
+    batch it arrives in.  Rows are spread over ``spread`` groups by a hash
+    (no state is kept, the grouping only parallelises the check)."""
+    ev = with_event_time(df, ts, delay)
+    names = [c for c in ev.columns]
+    base = ev.withColumn("t_us", to_micros(ts, T.TimestampType())).withColumn(
+        "spread_key", F.pmod(F.hash(*[F.col(c) for c in names]), F.lit(spread)))
+    schema = T.StructType(list(ev.schema.fields) + [T.StructField("late", _BOOL)])
+    proc = LateFlagProcessor(duration_us(size), duration_us(slide), duration_us(lateness), names)
+    return base.groupBy("spread_key").transformWithStateInPandas(proc, schema, "Append", "EventTime")
