@@ -62,10 +62,15 @@ def ts_type(df: DataFrame, ts: str) -> T.DataType:
 
 def to_micros(col: Column | str, dtype: T.DataType) -> Column:
     """Event time -> epoch microseconds, independent of the session zone
-    (a TIMESTAMP_NTZ is read as a UTC wall clock)."""
+    (a TIMESTAMP_NTZ is read as a UTC wall clock from its date and time
+    fields, so no zone - and no daylight-saving shift - is involved)."""
     c = F.col(col) if isinstance(col, str) else col
     if isinstance(dtype, T.TimestampNTZType):
-        return F.timestamp_diff("MICROSECOND", _epoch_ntz(), c)
+        secs = F.date_part(F.lit("SECOND"), c)                      # decimal(8,6): seconds with fraction
+        return (F.unix_date(c.cast("date")).cast("long") * F.lit(86_400_000_000)
+                + F.hour(c).cast("long") * F.lit(3_600_000_000)
+                + F.minute(c).cast("long") * F.lit(60_000_000)
+                + (secs * F.lit(1_000_000)).cast("long"))
     return F.unix_micros(c)
 
 

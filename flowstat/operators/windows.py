@@ -16,9 +16,10 @@ Three physical strategies for a sliding count, all exact:
   window end and a -c one slide after its last, take a running sum per key
   over window ends and expand only the resulting constant segments.  Work is
   proportional to panes + result rows instead of rows x size/slide.  The
-  running sum is partitioned by (keys, coarse time bucket) so no single task
-  ever sees more than one bucket of one key, even for a hot or empty key set;
-  buckets are merged by a final sum per window end.
+  running sum is partitioned by (keys, bucket of window ends) so no single
+  task ever sees more than one bucket of one key, even for a hot key or a
+  keyless count; each bucket owns its window ends (panes near a bucket
+  border are sent to both buckets), so results need no final aggregate.
 """
 
 from __future__ import annotations
@@ -117,13 +118,20 @@ def _sliding_panes(df, ts, ks, size_us, slide_us, out, end_col, weight=None):
 
 def _sliding_difference(df, ts, ks, size_us, slide_us, bucket_us, out, end_col, weight=None):
     dtype, panes, first_end, last_end = _pane_counts(df, ts, ks, size_us, slide_us, weight)
-    bucket_us = max(bucket_us, slide_us)
+    # Each bucket [bD, (b+1)D) of window *ends* is owned by one (key, bucket)
+    # task.  A pane feeds ends [first_end, last_end], a range shorter than D,
+    # so it is sent to the one or two buckets that range touches; every end
+    # is then produced exactly once and no final aggregation is needed.
+    d = max(bucket_us, size_us)
+    r = size_us % slide_us                      # window ends are = r (mod slide)
+    fe, le = first_end, last_end
+    owners = F.array_distinct(F.array(floor_to(fe, d), floor_to(le, d)))
     deltas = (panes
-              .select(*ks, floor_to(F.col("_p"), bucket_us).alias("_b"),
-                      F.explode(F.array(
-                          F.struct(first_end.alias("at"), F.col("_c").alias("d")),
-                          F.struct((last_end + F.lit(slide_us)).alias("at"), (-F.col("_c")).alias("d")),
-                      )).alias("_x"))
+              .select(*ks, "_c", fe.alias("_fe"), le.alias("_le"), F.explode(owners).alias("_b"))
+              .select(*ks, "_b", F.explode(F.array(
+                  F.struct(F.col("_fe").alias("at"), F.col("_c").alias("d")),
+                  F.struct((F.col("_le") + F.lit(slide_us)).alias("at"), (-F.col("_c")).alias("d")),
+              )).alias("_x"))
               .groupBy(*ks, "_b", F.col("_x.at").alias("_at"))
               .agg(F.sum("_x.d").alias("_d")))
     w = Window.partitionBy(*ks, "_b").orderBy("_at")
@@ -131,12 +139,14 @@ def _sliding_difference(df, ts, ks, size_us, slide_us, bucket_us, out, end_col,
             .withColumn("_run", F.sum("_d").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
             .withColumn("_nxt", F.lead("_at").over(w))
             .where(F.col("_run") > 0))
-    exploded = segs.select(
-        *ks, "_run",
-        F.explode(F.sequence(F.col("_at"), F.col("_nxt") - F.lit(slide_us), F.lit(slide_us))).alias("_e"))
-    # each bucket holds a partial count; sum the buckets per window end
-    return (exploded.groupBy(*ks, "_e").agg(F.sum("_run").cast("long").alias(out))
-                    .select(*ks, from_micros("_e", dtype).alias(end_col), out))
+    lo_b = F.col("_b") + F.pmod(F.lit(r) - F.col("_b"), F.lit(slide_us))          # first end >= bD
+    hi_b = (F.col("_b") + F.lit(d - 1)) - F.pmod(F.col("_b") + F.lit(d - 1 - r), F.lit(slide_us))  # last end < (b+1)D
+    lo = F.greatest(F.col("_at"), lo_b)
+    hi = F.least(F.col("_nxt") - F.lit(slide_us), hi_b)
+    return (segs.where(lo <= hi)
+                .select(*ks, F.col("_run").cast("long").alias(out),
+                        F.explode(F.sequence(lo, hi, F.lit(slide_us))).alias("_e"))
+                .select(*ks, from_micros("_e", dtype).alias(end_col), out))
 
 
 def salted_count(df: DataFrame, ts: str, size="1 hour", salt_col: str | None = None,

@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 # on the cluster (spark-defaults.conf, --conf) wins because we only fill gaps.
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
