@@ -155,40 +155,54 @@ def burst(df: DataFrame, key: str, is_fail, is_reset, ts: str, seq: str, within=
 
 
 def _burst_scanner(key: str, wus: int, min_count: int, names: list[str]):
-    """Greedy anchor scan over batches sorted by (key, run, time).  Complete
-    runs are scanned with ``searchsorted`` (a loop over anchors, not rows);
-    the last run of a batch is carried into the next batch."""
-
-    def emit(pdf: pd.DataFrame) -> pd.DataFrame:
-        if pdf.empty:
+    """Greedy anchor scan over batches sorted by (key, run, time, seq).
+    Anchors are found with ``searchsorted`` (a loop over anchors, not rows).
+    A run continuing into the next batch keeps only the failures of its
+    still-open window, so memory is bounded by one window of one key, not
+    by the length of a run."""
+
+    def scan_group(kv, t, f, final, out):
+        seg, resets = t[f], t[~f]
+        final = final or len(resets) > 0          # a reset ends the run's failures
+        i = 0
+        while i < len(seg):
+            j = int(np.searchsorted(seg, seg[i] + wus, side="right"))
+            if j == len(seg) and not final:
+                return i                           # window may still grow: carry from here
+            cancelled = j == len(seg) and len(resets) > 0 and resets[0] <= seg[i] + wus
+            if j - i >= min_count and not cancelled:
+                out.append((kv, int(seg[i]), int(seg[j - 1]), j - i))
+            i = j
+        return None
+
+    def frame(out):
+        if not out:
             return pd.DataFrame({n: pd.Series(dtype="int64") for n in names})
-        k, r = pdf[key].to_numpy(), pdf["_run"].to_numpy()
-        t, f = pdf["_t"].to_numpy(), pdf["_f"].to_numpy(dtype=bool)
-        brk = np.flatnonzero((k[1:] != k[:-1]) | (r[1:] != r[:-1])) + 1
-        out_k, out_a, out_l, out_n = [], [], [], []
-        for s0, e0 in zip(np.r_[0, brk], np.r_[brk, len(t)]):
-            seg = t[s0:e0][f[s0:e0]]                 # the run's failures (they precede its resets)
-            resets = t[s0:e0][~f[s0:e0]]
-            i = 0
-            while i < len(seg):
-                j = int(np.searchsorted(seg, seg[i] + wus, side="right"))
-                cancelled = j == len(seg) and len(resets) and resets[0] <= seg[i] + wus
-                if j - i >= min_count and not cancelled:
-                    out_k.append(k[s0]); out_a.append(seg[i]); out_l.append(seg[j - 1]); out_n.append(j - i)
-                i = j
-        return pd.DataFrame(dict(zip(names, [out_k, out_a, out_l, out_n])))
+        return pd.DataFrame(out, columns=names)
 
     def scan(batches):
         carry = None
         for pdf in batches:
             if carry is not None and not carry.empty:
                 pdf = pd.concat([carry, pdf], ignore_index=True)
+            carry = None
             if pdf.empty:
                 continue
-            last = (pdf[key] == pdf[key].iloc[-1]) & (pdf["_run"] == pdf["_run"].iloc[-1])
-            carry = pdf[last]
-            yield emit(pdf[~last])
-        if carry is not None:
-            yield emit(carry)
+            k, r = pdf[key].to_numpy(), pdf["_run"].to_numpy()
+            t, f = pdf["_t"].to_numpy(), pdf["_f"].to_numpy(dtype=bool)
+            brk = np.flatnonzero((k[1:] != k[:-1]) | (r[1:] != r[:-1])) + 1
+            starts, ends = np.r_[0, brk], np.r_[brk, len(t)]
+            out = []
+            for n, (s0, e0) in enumerate(zip(starts, ends)):
+                last = n == len(starts) - 1
+                open_at = scan_group(k[s0], t[s0:e0], f[s0:e0], not last, out)
+                if last and open_at is not None:
+                    fails = pdf.iloc[s0:e0][f[s0:e0]]
+                    carry = fails.iloc[open_at:]
+            yield frame(out)
+        if carry is not None and not carry.empty:
+            out = []
+            scan_group(carry[key].iloc[0], carry["_t"].to_numpy(), carry["_f"].to_numpy(dtype=bool), True, out)
+            yield frame(out)
 
     return scan

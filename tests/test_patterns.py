@@ -103,3 +103,16 @@ def test_empty_patterns(spark):
     fail = F.col("event_type") == "fail"
     assert patterns.consecutive(df, "user_id", fail, "ts", "seq").count() == 0
     assert patterns.burst(df, "user_id", fail, ~fail, "ts", "seq").count() == 0
+
+
+def test_burst_long_run_across_batches(spark):
+    # one key failing every second for a long stretch: the scan crosses Arrow batch borders
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        fail = F.col("event_type") == "fail"
+        df = spark.createDataFrame([(1, i, "fail", at(i)) for i in range(50)] + [(1, 99, "success", at(49.5))], LOGIN)
+        out = rows(patterns.burst(df, "user_id", fail, ~fail, "ts", "seq", "2 seconds"), "first_fail", "n_fails")
+        # anchors 0, 3, 6, ..., 48: each window [a, a+2] holds 3 failures; the last one (48, 49) is cancelled
+        assert out == [(at(a), 3) for a in range(0, 48, 3)]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
