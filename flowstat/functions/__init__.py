@@ -116,10 +116,20 @@ def is_asset(url: Column | str, pattern: str = ASSET_PATTERN) -> Column:
     return c.rlike(pattern)
 
 
-def local_day(ts: Column | str, zone: str = "UTC") -> Column:
-    """Calendar day of an event time in ``zone`` (for daily resets)."""
-    c = F.col(ts) if isinstance(ts, str) else ts
-    return F.to_date(F.from_utc_timestamp(c.cast("timestamp"), zone))
+def to_utc_wallclock(col: Column | str, dtype: T.DataType) -> Column:
+    """Event time -> TIMESTAMP_NTZ wall clock in UTC, whatever the session
+    zone (an NTZ column is taken to be a UTC wall clock already)."""
+    c = F.col(col) if isinstance(col, str) else col
+    if isinstance(dtype, T.TimestampNTZType):
+        return c
+    return from_micros(F.unix_micros(c), T.TimestampNTZType())
+
+
+def local_day(ts: Column | str, zone: str = "UTC", dtype: T.DataType = T.TimestampNTZType()) -> Column:
+    """Calendar day of an event time in ``zone`` (for daily resets); no
+    dependence on the session zone."""
+    wall = to_utc_wallclock(ts, dtype)
+    return F.convert_timezone(F.lit("UTC"), F.lit(zone), wall).cast("date")
 
 
 def fmt_ts(ts: Column | str, pattern: str = "yyyy-MM-dd HH:mm:ss") -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import local_day
+from ..functions import local_day, ts_type
 from .ordered import running_total
 
 # ---------------------------------------------------------------- fixed values
@@ -22,7 +22,7 @@ def cap_and_flag(df: DataFrame, keys, ts: str, seq: str, limit: int = 100, zone:
     count split into ``seq`` chunks, so one hot (user, ad) pair does not
     land in one task.  -> (passed rows, warnings)."""
     ks = [keys] if isinstance(keys, str) else list(keys)
-    dayed = df.withColumn(day_col, local_day(ts, zone))
+    dayed = df.withColumn(day_col, local_day(ts, zone, ts_type(df, ts)))
     numbered = running_total(dayed, part=[*ks, day_col], order=[seq], value=F.lit(1), out="_n",
                              chunk_col=seq, chunk=chunk)
     passed = numbered.where(F.col("_n") <= limit).drop("_n")

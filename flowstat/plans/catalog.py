@@ -463,6 +463,7 @@ def tx_receipt_unmatched(spark, sf_dir):
 
 
 # ================================================================ access log
+from ..functions import to_utc_wallclock  # noqa: E402
 from ..sources import parse_access_log  # noqa: E402
 
 
@@ -483,6 +484,7 @@ def hot_pages_from_log(spark, sf_dir):
     """The hot-page counts computed from parsed log lines (the
     log keeps whole seconds, which never moves a row across a minute-aligned
     window border)."""
-    log = parse_access_log(access_log_lines(spark, sf_dir)).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    log = parse_access_log(access_log_lines(spark, sf_dir))
+    log = log.withColumn("ts", to_utc_wallclock("ts", log.schema["ts"].dataType))
     gets = log.where((F.col("method") == "GET") & ~is_asset("url"))
     return windows.sliding_count(gets, "ts", "url", "10 minutes", "1 minute")

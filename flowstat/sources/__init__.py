@@ -6,7 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import ACCESS_LOG_TIME_FORMAT, epoch_to_ts
+from pyspark.sql import types as T
+
+from ..functions import ACCESS_LOG_TIME_FORMAT, epoch_to_ts, to_micros
 from ..schemas import RECORDS
 
 
@@ -38,13 +40,15 @@ def read_records(spark: SparkSession, path: str, kind: str, stream: bool = False
 def parse_access_log(lines: DataFrame, value_col: str = "value", zone: str = "UTC",
                      time_format: str = ACCESS_LOG_TIME_FORMAT) -> DataFrame:
     """Space-separated access-log lines -> ip, user_id, ts, method, url
-    (fields 0, 1, 3, 5, 6; the time is read as a wall clock in ``zone``)."""
+    (fields 0, 1, 3, 5, 6).  The time is a wall clock in ``zone``; ``ts`` is
+    the instant (TIMESTAMP), independent of the session zone."""
     parts = F.split(F.col(value_col), " ")
-    local = F.to_timestamp(parts.getItem(3), time_format)
+    wall = F.to_timestamp_ntz(parts.getItem(3), F.lit(time_format))
+    utc_wall = F.convert_timezone(F.lit(zone), F.lit("UTC"), wall)
     return lines.select(
         parts.getItem(0).alias("ip"),
         parts.getItem(1).alias("user_id"),
-        F.to_utc_timestamp(local, zone).alias("ts") if zone != "UTC" else local.alias("ts"),
+        F.timestamp_micros(to_micros(utc_wall, T.TimestampNTZType())).alias("ts"),
         parts.getItem(5).alias("method"),
         parts.getItem(6).alias("url"),
     )

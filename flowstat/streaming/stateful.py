@@ -130,7 +130,7 @@ def cap_and_flag_stream(df: DataFrame, keys, ts: str, seq: str, limit: int = 100
     filter inside ``foreachBatch`` to feed two sinks from one query."""
     k0, k1 = keys
     ev = with_event_time(df, ts, delay)
-    base = ev.select(k0, k1, F.col(seq).alias("seq"), F.unix_date(local_day(ts, zone)).cast("long").alias("day_num"))
+    base = ev.select(k0, k1, F.col(seq).alias("seq"), F.unix_date(local_day(ts, zone, ev.schema[ts].dataType)).cast("long").alias("day_num"))
     schema = T.StructType([T.StructField("k0", ev.schema[k0].dataType), T.StructField("k1", ev.schema[k1].dataType),
                            T.StructField("seq", _LONG), T.StructField("day_num", _LONG),
                            T.StructField("channel", T.StringType())])
