@@ -270,6 +270,13 @@ def marketing_by_channel(spark, sf_dir):
     return marketing_counts(T.market_behavior(spark, sf_dir), as_written=True)
 
 
+@register("marketing_by_channel_no_uninstall",
+          _sliding_sql(f"SELECT * FROM ({_MARKET}) m WHERE behavior <> 'error'", "channel, behavior", H, M5))
+def marketing_by_channel_no_uninstall(spark, sf_dir):
+    """P6, the evident aim of the channel job: uninstalls dropped."""
+    return marketing_counts(T.market_behavior(spark, sf_dir), as_written=False)
+
+
 def marketing_counts(df, as_written: bool = True, uninstall: str = T.FAIL, size="1 hour", slide="5 minutes"):
     if not as_written:
         df = df.where(F.col("behavior") != uninstall)
