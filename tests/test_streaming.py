@@ -146,3 +146,11 @@ def test_burst_stream(spark, stream_dir):
     want = patterns.burst(ev.withColumnRenamed("event_id", "seq"), "user_id", fail, ~fail, "ts", "seq", "2 hours")
     assert rows(got, "user_id", "n_fails") == rows(want, "user_id", "n_fails")
     assert want.count() > 0
+
+
+def test_running_distinct_stream(spark, stream_dir):
+    _, ev = stream_dir
+    views = lambda df: df.where("event_type = 'view'").withColumnRenamed("event_id", "seq")
+    got = _run(spark, stream_dir, lambda s: stateful.running_distinct_stream(views(s), "ts", "seq", "user_id", "1 hour"))
+    want = distinct.running_distinct(views(ev), "ts", "seq", "user_id", "1 hour")
+    assert rows(got, "seq", "uv") == rows(want, "seq", "uv")
