@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import duration_us, floor_to, from_micros, to_micros, ts_type
 from .ordered import running_total
@@ -22,17 +23,22 @@ from .ordered import running_total
 def split_late(df: DataFrame, ts: str, arrival: str, seq: str, delay="1 second",
                size="10 minutes", slide="5 seconds", lateness="1 minute",
                chunk="1 hour", wm_col: str = "watermark") -> tuple[DataFrame, DataFrame]:
-    """-> (on_time, late).  ``arrival`` is a timestamp giving arrival order
-    (ties broken by ``seq``).  The running maximum over the whole arrival
-    order is computed chunk by chunk of arrival time (``chunk``), so it never
-    runs in one task."""
+    """-> (on_time, late).  ``arrival`` gives the arrival order (ties broken
+    by ``seq``): a timestamp (``chunk`` is then a duration) or a number such
+    as a line or offset number (``chunk`` is then a count).  The running
+    maximum over the whole arrival order is computed chunk by chunk, so it
+    never runs in one task."""
     dtype = ts_type(df, ts)
-    adtype = ts_type(df, arrival)
     d, size_us, slide_us, late_us = (duration_us(x) for x in (delay, size, slide, lateness))
     t = to_micros(ts, dtype)
-    base = df.withColumn("_t", t).withColumn("_arr", to_micros(arrival, adtype))
+    adtype = df.schema[arrival].dataType
+    if isinstance(adtype, (T.TimestampType, T.TimestampNTZType)):
+        arr, step = to_micros(arrival, adtype), duration_us(chunk)
+    else:
+        arr, step = F.col(arrival).cast("long"), int(chunk) if isinstance(chunk, int) else 1 << 20
+    base = df.withColumn("_t", t).withColumn("_arr", arr)
     ran = running_total(base, part=[], order=["_arr", seq], value="_t", out="_mx",
-                        chunk_col="_arr", chunk=duration_us(chunk), agg="max", exclusive=True)
+                        chunk_col="_arr", chunk=step, agg="max", exclusive=True)
     wm = F.col("_mx") - F.lit(d)
     last_end = floor_to(F.col("_t"), slide_us) + F.lit(size_us)
     flagged = (ran.withColumn(wm_col, from_micros(wm, dtype))
