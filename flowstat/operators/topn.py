@@ -23,10 +23,9 @@ def top_n(df: DataFrame, part, key: str, score: str = "cnt", n: int = 5,
 def top_n_collect(df: DataFrame, part, key: str, score: str = "cnt", n: int = 5,
                   rank_col: str = "rn") -> DataFrame:
     """Top-N as a second aggregate (the form Spark accepts on an append-mode
-    stream, where ``row_number`` is not allowed): keep the n best
-    (-score, key) pairs of each group.  ``max_by``-free: the k-smallest of
-    the struct array, computed per group after a partial aggregation that
-    ships the whole group, so prefer :func:`top_n` in batch."""
+    stream, where ``row_number`` is not allowed): the n smallest
+    (-score, key) pairs of each group.  The list of a group holds all of its
+    keys, so prefer :func:`top_n` (partial WindowGroupLimit) in batch."""
     parts = [part] if isinstance(part, str) else list(part)
     best = F.slice(F.sort_array(F.collect_list(F.struct((-F.col(score)).alias("neg"), F.col(key).alias("k")))), 1, n)
     return (df.groupBy(*parts).agg(best.alias("_top"))

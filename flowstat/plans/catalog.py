@@ -107,10 +107,10 @@ _TUMBLE_ITEMS_SQL = f"SELECT item_id, {_end(H)} AS window_end, count(*) AS cnt F
 @register("hot_items_sql_counts", _TUMBLE_ITEMS_SQL)
 def hot_items_sql_counts(spark, sf_dir):
     """A4: item views per tumbling hour, written in Spark SQL."""
-    T.behavior(spark, sf_dir).select("item_id", "behavior", F.col("ts")).createOrReplaceTempView("user_behavior")
+    T.behavior(spark, sf_dir).select("item_id", "behavior", F.col("ts")).createOrReplaceTempView("flowstat_user_behavior")
     return spark.sql("""
         SELECT item_id, window.end AS window_end, count(item_id) AS cnt
-        FROM user_behavior WHERE behavior = 'view'
+        FROM flowstat_user_behavior WHERE behavior = 'view'
         GROUP BY item_id, window(ts, '1 hour')""")
 
 
@@ -119,11 +119,11 @@ SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY window_end ORDER B
 FROM ({_TUMBLE_ITEMS_SQL}) c) WHERE row_num <= 5""")
 def hot_items_sql(spark, sf_dir):
     """Top 5 per hour by SQL over a named view."""
-    hot_items_sql_counts(spark, sf_dir).createOrReplaceTempView("agg")
+    hot_items_sql_counts(spark, sf_dir).createOrReplaceTempView("flowstat_item_hour_counts")
     return spark.sql("""
         SELECT * FROM (
           SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, item_id) AS row_num
-          FROM agg) WHERE row_num <= 5""")
+          FROM flowstat_item_hour_counts) WHERE row_num <= 5""")
 
 
 # ================================================================ PV / UV
