@@ -86,3 +86,22 @@ def test_foreach_batch_changelog_stream(spark):
     q.stop()
     assert got == [("+", 1, "a"), ("+", 2, "b"), ("+", 1, "b"), ("-", 1, "a")]
     assert checkpoint_location(src, name).endswith(f"streams/{name}")
+
+
+def test_console_sink_and_top_n_per_batch(spark, capsys):
+    d = tempfile.mkdtemp(prefix="flowstat-topn-")
+    spark.createDataFrame([(1, i % 4, f"2024-01-01 00:0{i % 3}:00") for i in range(12)],
+                          "seq long, item_id long, ts string") \
+        .withColumn("ts", F.col("ts").cast("timestamp")).coalesce(1).write.parquet(f"{d}/in/1")
+    src = spark.readStream.schema("seq long, item_id long, ts timestamp").parquet(f"{d}/in/*")
+    counts = jobs.tumbling_count_stream(src, "ts", "item_id", "1 minute", delay="0 seconds")
+    got = []
+    q = write_stream(counts, "topn_" + uuid.uuid4().hex[:6], mode="update",
+                     foreach_batch=jobs.top_n_per_batch("window_end", "item_id", 2,
+                                                        lambda df, e: got.extend(rows(df, "window_end", "rn", "item_id"))))
+    q.processAllAvailable()
+    q.stop()
+    assert len(got) == 6 and {r[1] for r in got} == {1, 2}
+    c = write_stream(src, "console_" + uuid.uuid4().hex[:6], fmt="console")
+    c.processAllAvailable()
+    c.stop()
