@@ -109,12 +109,13 @@ def pair_status(df: DataFrame, key: str, is_create, is_pay, ts: str, within="15
                  .where(F.col("_pt") >= F.col("_ct"))
                  .groupBy(key).agg(F.min("_pt").alias("_p1")))
     s = firsts.join(after, key, "left")
-    created = s.where(F.col("_ct").isNotNull()).select(
-        key, F.when(F.col("_p1").isNotNull() & (F.col("_p1") < F.col("_ct") + F.lit(w)), F.lit(PAYED))
-              .otherwise(F.lit(TIMEOUT)).alias(out))
-    orphan = s.where(F.col("_pt0").isNotNull() & (F.col("_ct").isNull() | (F.col("_pt0") < F.col("_ct")))) \
-        .select(key, F.lit(PAY_WITHOUT_CREATE).alias(out))
-    return created.unionByName(orphan)
+    created = F.when(F.col("_ct").isNotNull(),
+                     F.when(F.col("_p1").isNotNull() & (F.col("_p1") < F.col("_ct") + F.lit(w)), F.lit(PAYED))
+                      .otherwise(F.lit(TIMEOUT)))
+    orphan = F.when(F.col("_pt0").isNotNull() & (F.col("_ct").isNull() | (F.col("_pt0") < F.col("_ct"))),
+                    F.lit(PAY_WITHOUT_CREATE))
+    # both kinds of row come out of one projection (no union re-reading the input)
+    return s.select(key, F.explode(F.array_compact(F.array(created, orphan))).alias(out))
 
 
 def burst(df: DataFrame, key: str, is_fail, is_reset, ts: str, seq: str, within="2 seconds",
