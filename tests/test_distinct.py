@@ -41,3 +41,12 @@ def test_running_distinct_chunks(spark):
         .groupBy("window_end").agg(F.max("uv").alias("uv"))
     exact = distinct.distinct_per_window(ev, "ts", "user_id", "1 hour", "exact")
     assert rows(last, "window_end", "uv") == rows(exact, "window_end", "uv")
+
+
+def test_approx_close_to_exact(spark):
+    from .conftest import SF001
+    ev = tables.behavior(spark, SF001).where(F.col("behavior") == "view")
+    ex = dict(rows(distinct.distinct_per_window(ev, "ts", "user_id", "1 hour", "exact"), "window_end", "uv"))
+    ap = dict(rows(distinct.distinct_per_window(ev, "ts", "user_id", "1 hour", "approx"), "window_end", "uv"))
+    assert set(ex) == set(ap)
+    assert sum(abs(ap[k] - ex[k]) for k in ex) <= 0.02 * sum(ex.values())
