@@ -46,12 +46,40 @@ def interval_match(left: DataFrame, right: DataFrame, on, left_ts: str, right_ts
                    left_id: str, right_id: str, lower="-3 seconds", upper="5 seconds",
                    bucket=None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Two-sided match with waits (a full outer interval join) ->
-    (matched, left_unmatched, right_unmatched).  Unmatched rows are the anti
-    joins of each side against the matched ids, shuffled on the id."""
-    matched = interval_join(left, right, on, left_ts, right_ts, lower, upper, bucket)
-    return (matched,
-            left.join(matched.select(left_id), left_id, "left_anti"),
-            right.join(matched.select(right_id), right_id, "left_anti"))
+    (matched, left_unmatched, right_unmatched), from one bucketed full outer
+    join.  A right row lives in one bucket, so an unmatched right row shows
+    up exactly once.  A left row is copied to the one or two buckets its
+    interval touches; it is unmatched when every copy is - counted per
+    ``left_id`` (unique per left row)."""
+    keys = [on] if isinstance(on, str) else list(on)
+    lo, hi = duration_us(lower), duration_us(upper)
+    w = max(duration_us(bucket) if bucket else hi - lo, 1_000_000)
+    lt = to_micros(left_ts, ts_type(left, left_ts))
+    rt = to_micros(right_ts, ts_type(right, right_ts))
+    lcols, rcols = left.columns, right.columns
+    buckets = F.sequence(floor_to(lt + F.lit(lo), w), floor_to(lt + F.lit(hi), w), F.lit(w))
+    l2 = left.select(F.struct(*lcols).alias("_L"), lt.alias("_lt"), F.size(buckets).alias("_nb"),
+                     *[F.col(k).alias("_lk" + str(i)) for i, k in enumerate(keys)],
+                     F.explode_outer(buckets).alias("_lb"))
+    r2 = right.select(F.struct(*rcols).alias("_R"), rt.alias("_rt"), floor_to(rt, w).alias("_rb"),
+                      *[F.col(k).alias("_rk" + str(i)) for i, k in enumerate(keys)])
+    cond = [F.col("_lk" + str(i)) == F.col("_rk" + str(i)) for i in range(len(keys))] + [
+        F.col("_lb") == F.col("_rb"),
+        F.col("_rt") >= F.col("_lt") + F.lit(lo),
+        F.col("_rt") <= F.col("_lt") + F.lit(hi),
+    ]
+    fo = l2.join(r2, cond, "full_outer")
+    others_r = [c for c in rcols if c not in keys]
+    matched = fo.where(F.col("_L").isNotNull() & F.col("_R").isNotNull()).select(
+        *[F.col("_L")[c].alias(c) for c in lcols], *[F.col("_R")[c].alias(c) for c in others_r])
+    right_unmatched = fo.where(F.col("_L").isNull()).select(*[F.col("_R")[c].alias(c) for c in rcols])
+    left_unmatched = (fo.where(F.col("_R").isNull())
+                        .groupBy(F.col("_L")[left_id].alias("_id"))
+                        .agg(F.count(F.lit(1)).alias("_n"), F.any_value("_L").alias("_L"),
+                             F.any_value("_nb").alias("_nb"))
+                        .where(F.col("_n") >= F.greatest(F.col("_nb"), F.lit(1)))
+                        .select(*[F.col("_L")[c].alias(c) for c in lcols]))
+    return matched, left_unmatched, right_unmatched
 
 
 def full_outer_interval(left: DataFrame, right: DataFrame, on, left_ts: str, right_ts: str,
