@@ -95,7 +95,8 @@ def interval_join_stream(left: DataFrame, right: DataFrame, on: str, left_ts: st
     lo, hi = duration_us(lower), duration_us(upper)
     lft = with_event_time(left, left_ts, left_delay).withColumnRenamed(on, "_lk")
     rgt = with_event_time(right, right_ts, right_delay).withColumnRenamed(on, "_rk")
-    cond = F.expr(f"_lk = _rk AND {right_ts} >= {left_ts} + make_dt_interval(0, 0, 0, {lo / 1e6}) "
-                  f"AND {right_ts} <= {left_ts} + make_dt_interval(0, 0, 0, {hi / 1e6})")
+    # interval literals let Spark derive the state-eviction bounds from the condition
+    cond = F.expr(f"_lk = _rk AND {right_ts} >= {left_ts} + INTERVAL {lo} MICROSECONDS "
+                  f"AND {right_ts} <= {left_ts} + INTERVAL {hi} MICROSECONDS")
     j = lft.join(rgt, cond, how)
     return j.withColumn(on, F.coalesce(F.col("_lk"), F.col("_rk"))).drop("_lk", "_rk")

@@ -154,3 +154,21 @@ def test_running_distinct_stream(spark, stream_dir):
     got = _run(spark, stream_dir, lambda s: stateful.running_distinct_stream(views(s), "ts", "seq", "user_id", "1 hour"))
     want = distinct.running_distinct(views(ev), "ts", "seq", "user_id", "1 hour")
     assert rows(got, "seq", "uv") == rows(want, "seq", "uv")
+
+
+def test_full_outer_interval_join_stream(spark, stream_dir):
+    _, ev = stream_dir
+
+    def sides(df):
+        p = df.where("event_type = 'click'").select("user_id", F.col("event_id").alias("pay_id"), F.col("ts").alias("pay_ts"))
+        r = df.where("event_type = 'purchase'").select("user_id", F.col("event_id").alias("receipt_id"),
+                                                       F.col("ts").alias("receipt_ts"))
+        return p, r
+
+    got = _run(spark, stream_dir, lambda s: jobs.interval_join_stream(
+        *sides(s), "user_id", "pay_ts", "receipt_ts", "-1 hour", "2 hours", how="full_outer")) \
+        .where(F.col("user_id") != SENTINEL_USER)
+    want = joins.full_outer_interval(*sides(ev), "user_id", "pay_ts", "receipt_ts", "pay_id", "receipt_id",
+                                     "-1 hour", "2 hours")
+    fill = lambda df: df.fillna(-1, subset=["pay_id", "receipt_id"])
+    assert rows(fill(got), "user_id", "pay_id", "receipt_id") == rows(fill(want), "user_id", "pay_id", "receipt_id")
