@@ -17,20 +17,25 @@ def _typed(df: DataFrame, unit: str) -> DataFrame:
 
 
 def read_records(spark: SparkSession, path: str, kind: str, stream: bool = False,
-                 mode: str = "FAILFAST", with_seq: bool = True) -> DataFrame:
+                 mode: str = "FAILFAST", with_seq: bool = True, corrupt_col: str | None = None) -> DataFrame:
     """A headerless CSV log of record ``kind`` (see ``schemas.RECORDS``) with
     an explicit schema -> typed columns + ``ts`` (event time) + ``seq``.
 
     ``mode='FAILFAST'`` stops on a malformed line like the original jobs;
-    ``'PERMISSIVE'`` nulls bad fields instead.  An empty (unquoted) field
+    ``'PERMISSIVE'`` nulls bad fields instead and, with ``corrupt_col``,
+    keeps the raw text of a malformed line in that column.  An empty (unquoted) field
     reads as null, so the empty tx id of a create row can never join.
     ``seq`` is the arrival order: the line order of a batch file read (stable
     for one read of the same files); a stream should carry its own sequence
     number or Kafka offset instead.
     """
     schema, unit = RECORDS[kind]
-    reader = (spark.readStream if stream else spark.read).schema(schema)
-    df = reader.option("mode", mode).csv(path)
+    if corrupt_col:
+        schema = T.StructType(schema.fields + [T.StructField(corrupt_col, T.StringType())])
+    reader = (spark.readStream if stream else spark.read).schema(schema).option("mode", mode)
+    if corrupt_col:
+        reader = reader.option("columnNameOfCorruptRecord", corrupt_col)
+    df = reader.csv(path)
     df = _typed(df, unit)
     if with_seq and not stream:
         df = df.withColumn("seq", F.monotonically_increasing_id())

@@ -37,8 +37,17 @@ def tumbling_count_stream(df: DataFrame, ts: str, keys=None, size="1 hour", dela
     return windows.tumbling_count(with_event_time(df, ts, delay), ts, keys, size)
 
 
-def uv_stream(df: DataFrame, ts: str, col: str, size="1 hour", delay="0 seconds") -> DataFrame:
-    return distinct.distinct_per_window_stream(with_event_time(df, ts, delay), ts, col, size)
+def uv_stream(df: DataFrame, ts: str, col: str, size="1 hour", delay="0 seconds", how: str = "exact") -> DataFrame:
+    """Distinct visitors per window on a stream: ``exact`` (two chained
+    aggregates, state grows with visitors per open window), ``bitmap`` (same
+    over bitmap positions) or ``approx`` (HyperLogLog, constant state)."""
+    ev = with_event_time(df, ts, delay)
+    if how == "exact":
+        return distinct.distinct_per_window_stream(ev, ts, col, size)
+    if how == "bitmap":
+        from ..functions import bitmap_hash
+        return distinct.distinct_per_window_stream(ev.withColumn("_h", bitmap_hash(col)), ts, "_h", size)
+    return distinct.distinct_per_window(ev, ts, col, size, "approx")
 
 
 def top_n_stream(df: DataFrame, ts: str, key: str, size="1 hour", slide="5 minutes", n: int = 5,

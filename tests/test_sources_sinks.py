@@ -35,6 +35,8 @@ def test_read_records_failfast_and_permissive(spark):
         read_records(spark, p, "order").collect()
     perm = read_records(spark, p, "order", mode="PERMISSIVE")
     assert perm.where(F.col("order_id").isNull()).count() == 1
+    bad = read_records(spark, p, "order", mode="PERMISSIVE", corrupt_col="bad_line").cache()
+    assert [r["bad_line"] for r in bad.where(F.col("bad_line").isNotNull()).collect()] == ["x,pay,tx01,notanumber"]
 
 
 def test_market_record_milliseconds(spark):

@@ -67,6 +67,15 @@ def test_uv_stream_equals_batch(spark, stream_dir):
     assert rows(got, "window_end", "uv") == rows(want, "window_end", "uv")
 
 
+def test_uv_stream_bitmap_and_approx(spark, stream_dir):
+    _, ev = stream_dir
+    for how in ("bitmap", "approx"):
+        got = _run(spark, stream_dir, lambda s: jobs.uv_stream(s, "ts", "user_id", "1 hour", how=how))
+        want = distinct.distinct_per_window(ev, "ts", "user_id", "1 hour", how).withColumn(
+            "window_end", F.col("window_end").cast("timestamp"))
+        assert rows(got, "window_end", "uv") == rows(want, "window_end", "uv")
+
+
 def test_topn_stream_equals_batch(spark, stream_dir):
     _, ev = stream_dir
     beh = lambda df: df.select(F.get_json_object("props", "$.k").cast("long").alias("item_id"), "ts")
