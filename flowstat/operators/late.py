@@ -22,7 +22,7 @@ from .ordered import running_total
 
 def split_late(df: DataFrame, ts: str, arrival: str, seq: str, delay="1 second",
                size="10 minutes", slide="5 seconds", lateness="1 minute",
-               chunk="1 hour", wm_col: str = "watermark") -> tuple[DataFrame, DataFrame]:
+               chunk="1 minute", wm_col: str = "watermark") -> tuple[DataFrame, DataFrame]:
     """-> (on_time, late).  ``arrival`` gives the arrival order (ties broken
     by ``seq``): a timestamp (``chunk`` is then a duration) or a number such
     as a line or offset number (``chunk`` is then a count).  The running

@@ -23,7 +23,7 @@ PAYED, TIMEOUT, PAY_WITHOUT_CREATE = "payed", "timeout", "pay_without_create"
 # ------------------------------------------------------------------------------
 
 DEFAULT_SEQ_CHUNK = 1 << 20
-DEFAULT_TIME_CHUNK = "1 day"
+DEFAULT_TIME_CHUNK = "1 hour"
 
 
 def _pred(df: DataFrame, p) -> Column:
