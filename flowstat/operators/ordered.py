@@ -82,3 +82,43 @@ def neighbour(df: DataFrame, part, order, cols, chunk_col: str, chunk: int,
     for c in cs:
         joined = joined.withColumn(prefix + c, F.when(F.col("_edge"), F.col("_nb")[c]).otherwise(F.col(prefix + c)))
     return joined.drop("_ck", "_edge", "_nb")
+
+
+def sessionize(df: DataFrame, part, order, cols, starts, chunk_col: str, chunk: int,
+               out: str = "session", flag: str = "is_start") -> DataFrame:
+    """Gaps and islands in one chunked pass: ``starts(prev, cur)`` says
+    whether a row opens a new session given the previous row of its group
+    (``prev[c]`` is null for a group's first row); ``out`` numbers the
+    sessions 1, 2, ... per group in ``order`` (0 before the first start).
+
+    One window per (key, chunk) yields the local previous row and the local
+    count of starts; the per-chunk summary (first row, last row, inner
+    starts) is aggregated on that window's own partitioning, so it costs no
+    extra shuffle; a window over chunks repairs each chunk's first row and
+    gives the offsets, joined back on (key, chunk)."""
+    parts, orders, cs = _list(part), _list(order), _list(cols)
+    with_ck = df.withColumn("_ck", floor_to(F.col(chunk_col), chunk))
+    w = Window.partitionBy(*parts, "_ck").orderBy(*[_col(o) for o in orders])
+    prev = {c: F.lag(F.col(c)).over(w) for c in cs}
+    cur = {c: F.col(c) for c in cs}
+    local = (with_ck.withColumn("_edge", F.lag(F.lit(1)).over(w).isNull())
+                    .withColumn("_ls", F.coalesce(starts(prev, cur), F.lit(False)))
+                    .withColumn("_inner", F.when(F.col("_edge"), F.lit(0)).otherwise(F.col("_ls").cast("long"))))
+    local = local.withColumn("_lc", F.sum("_inner").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    ordkey = F.struct(*[_col(o) for o in orders])
+    payload = F.struct(*[F.col(c) for c in cs])
+    summary = local.groupBy(*parts, "_ck").agg(F.min_by(payload, ordkey).alias("_first"),
+                                                F.max_by(payload, ordkey).alias("_last"),
+                                                F.sum("_inner").alias("_n"))
+    cw = Window.partitionBy(*parts).orderBy("_ck")
+    pl = F.lag("_last").over(cw)
+    first_start = F.coalesce(starts({c: pl[c] for c in cs}, {c: F.col("_first")[c] for c in cs}), F.lit(False))
+    chunks = (summary.withColumn("_fs", first_start.cast("long"))
+                     .withColumn("_tot", F.col("_n") + F.col("_fs"))
+                     .withColumn("_off", F.coalesce(F.sum("_tot").over(cw.rowsBetween(Window.unboundedPreceding, -1)),
+                                                    F.lit(0)))
+                     .select(*parts, "_ck", "_fs", "_off"))
+    joined = local.join(chunks, on=[*parts, "_ck"], how="left")
+    return (joined.withColumn(out, F.col("_off") + F.col("_fs") + F.col("_lc"))
+                  .withColumn(flag, F.when(F.col("_edge"), F.col("_fs") == 1).otherwise(F.col("_ls")))
+                  .drop("_ck", "_edge", "_ls", "_inner", "_lc", "_fs", "_off"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import duration_us, from_micros, to_micros, ts_type
-from .ordered import neighbour, running_total
+from .ordered import neighbour, running_total, sessionize
 
 # ---------------------------------------------------------------- fixed values
 LOGIN_WARNING = "login fail"
@@ -132,16 +132,18 @@ def burst(df: DataFrame, key: str, is_fail, is_reset, ts: str, seq: str, within=
     followed by the resets up to the next run.  No window crosses a run
     border, and only a run's last window can be cancelled (by the reset that
     ends the run), so runs are independent.  Run ids come from a chunked
-    ``lag`` and running sum (never a whole key in one task)."""
+    sessionize pass (never a whole key in one task)."""
     dtype = ts_type(df, ts)
     wus = duration_us(within)
     base = (df.select(key, seq, to_micros(ts, dtype).alias("_t"), _pred(df, is_fail).alias("_f"),
                       _pred(df, is_reset).alias("_r"))
               .where(F.col("_f") | F.col("_r")))
-    prev = neighbour(base, key, ["_t", seq], ["_f", "_t"], chunk_col="_t", chunk=duration_us(chunk), prefix="p_")
-    starts = (F.col("_f") & (F.col("p__f").isNull() | ~F.col("p__f") | (F.col("_t") - F.col("p__t") > wus)))
-    runs = running_total(prev.withColumn("_start", starts.cast("long")), part=[key], order=["_t", seq],
-                         value="_start", out="_run", chunk_col="_t", chunk=duration_us(chunk))
+
+    def starts(prev, cur):
+        return cur["_f"] & (prev["_f"].isNull() | ~prev["_f"] | (cur["_t"] - prev["_t"] > wus))
+
+    runs = sessionize(base, key, ["_t", seq], ["_f", "_t"], starts, chunk_col="_t", chunk=duration_us(chunk),
+                      out="_run", flag="_start")
     schema = T.StructType([T.StructField(key, df.schema[key].dataType)]
                           + [T.StructField(c, T.LongType()) for c in ("first_fail_us", "last_fail_us", "n_fails")])
     # secondary sort: runs are hashed over all tasks, each task streams its

@@ -47,3 +47,21 @@ def test_neighbour_lag_lead(spark):
                          direction="lead")
     assert rows(got_lag, "event_id", "p_value") == ref_lag
     assert rows(got_lead, "event_id", "p_value") == ref_lead
+
+
+def test_sessionize_matches_lag_cumsum(spark):
+    from flowstat.operators.ordered import sessionize
+    ev = _ev(spark).withColumn("t", F.unix_micros(F.col("ts").cast("timestamp")))
+    gap = 6 * 3600 * 1_000_000
+
+    def starts(prev, cur):
+        return prev["t"].isNull() | (cur["t"] - prev["t"] > gap)
+
+    w = Window.partitionBy("user_id").orderBy("t", "event_id")
+    ref = (ev.withColumn("p", F.lag("t").over(w))
+             .withColumn("s", (F.col("p").isNull() | (F.col("t") - F.col("p") > gap)).cast("long"))
+             .withColumn("session", F.sum("s").over(w.rowsBetween(Window.unboundedPreceding, 0))))
+    want = rows(ref, "event_id", "session")
+    for chunk in (3600 * 1_000_000, 1 << 60):
+        got = sessionize(ev, "user_id", ["t", "event_id"], ["t"], starts, chunk_col="t", chunk=chunk)
+        assert rows(got, "event_id", "session") == want
