@@ -16,6 +16,28 @@ def _typed(df: DataFrame, unit: str) -> DataFrame:
     return df.withColumn("ts", epoch_to_ts("timestamp", unit))
 
 
+def parse_uri(path: str) -> tuple[str, dict]:
+    """``socket://host:port`` -> ("socket", {host, port});
+    ``kafka://server1,server2/topic`` -> ("kafka", {servers, topic});
+    anything else -> ("file", {path})."""
+    if path.startswith("socket://"):
+        host, _, port = path[len("socket://"):].rpartition(":")
+        return "socket", {"host": host, "port": int(port)}
+    if path.startswith("kafka://"):
+        servers, _, topic = path[len("kafka://"):].partition("/")
+        return "kafka", {"servers": servers, "topic": topic}
+    return "file", {"path": path}
+
+
+def _stream_lines(spark: SparkSession, path: str) -> DataFrame | None:
+    kind, args = parse_uri(path)
+    if kind == "socket":
+        return socket_lines(spark, args["host"], args["port"])
+    if kind == "kafka":
+        return kafka_lines(spark, args["servers"], args["topic"])
+    return None
+
+
 def read_records(spark: SparkSession, path: str, kind: str, stream: bool = False,
                  mode: str = "FAILFAST", with_seq: bool = True, corrupt_col: str | None = None) -> DataFrame:
     """A headerless CSV log of record ``kind`` (see ``schemas.RECORDS``) with
@@ -27,8 +49,13 @@ def read_records(spark: SparkSession, path: str, kind: str, stream: bool = False
     reads as null, so the empty tx id of a create row can never join.
     ``seq`` is the arrival order: the line order of a batch file read (stable
     for one read of the same files); a stream should carry its own sequence
-    number or Kafka offset instead.
+    number or Kafka offset instead.  With ``stream=True`` the path may be
+    ``socket://host:port`` or ``kafka://servers/topic`` (one record per
+    message).
     """
+    lines = _stream_lines(spark, path) if stream else None
+    if lines is not None:                      # socket / Kafka: one CSV record per message
+        return parse_csv_lines(lines, kind)
     schema, unit = RECORDS[kind]
     if corrupt_col:
         schema = T.StructType(schema.fields + [T.StructField(corrupt_col, T.StringType())])
@@ -60,8 +87,11 @@ def parse_access_log(lines: DataFrame, value_col: str = "value", zone: str = "UT
 
 
 def read_access_log(spark: SparkSession, path: str, stream: bool = False, zone: str = "UTC") -> DataFrame:
-    reader = spark.readStream if stream else spark.read
-    return parse_access_log(reader.text(path), zone=zone)
+    """Access log from files, or on a stream from ``socket://`` / ``kafka://``."""
+    lines = _stream_lines(spark, path) if stream else None
+    if lines is None:
+        lines = (spark.readStream if stream else spark.read).text(path)
+    return parse_access_log(lines, zone=zone)
 
 
 def socket_lines(spark: SparkSession, host: str, port: int) -> DataFrame:

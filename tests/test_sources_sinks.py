@@ -107,3 +107,10 @@ def test_console_sink_and_top_n_per_batch(spark, capsys):
     c = write_stream(src, "console_" + uuid.uuid4().hex[:6], fmt="console")
     c.processAllAvailable()
     c.stop()
+
+
+def test_parse_uri():
+    from flowstat.sources import parse_uri
+    assert parse_uri("socket://localhost:7777") == ("socket", {"host": "localhost", "port": 7777})
+    assert parse_uri("kafka://b1:9092,b2:9092/hotitems") == ("kafka", {"servers": "b1:9092,b2:9092", "topic": "hotitems"})
+    assert parse_uri("/data/UserBehavior.csv") == ("file", {"path": "/data/UserBehavior.csv"})
