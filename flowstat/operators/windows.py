@@ -132,8 +132,10 @@ def _sliding_difference(df, ts, ks, size_us, slide_us, bucket_us, out, end_col,
                   F.struct(F.col("_fe").alias("at"), F.col("_c").alias("d")),
                   F.struct((F.col("_le") + F.lit(slide_us)).alias("at"), (-F.col("_c")).alias("d")),
               )).alias("_x"))
-              .groupBy(*ks, "_b", F.col("_x.at").alias("_at"))
-              .agg(F.sum("_x.d").alias("_d")))
+              .select(*ks, "_b", F.col("_x.at").alias("_at"), F.col("_x.d").alias("_d")))
+    # Deltas at the same instant need no merging: of tied rows only the last
+    # carries the full running sum, and the others get empty segments (their
+    # next instant is their own), which the lo <= hi filter drops.
     w = Window.partitionBy(*ks, "_b").orderBy("_at")
     segs = (deltas
             .withColumn("_run", F.sum("_d").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
