@@ -118,16 +118,22 @@ def _sliding_panes(df, ts, ks, size_us, slide_us, out, end_col, weight=None):
 
 def _sliding_difference(df, ts, ks, size_us, slide_us, bucket_us, out, end_col, weight=None):
     dtype, panes, first_end, last_end = _pane_counts(df, ts, ks, size_us, slide_us, weight)
+    ranges = panes.select(*ks, "_c", first_end.alias("_fe"), last_end.alias("_le"))
+    return _ranges_difference(ranges, ks, dtype, size_us, slide_us, bucket_us, out, end_col)
+
+
+def _ranges_difference(ranges, ks, dtype, size_us, slide_us, bucket_us, out, end_col):
+    """Counts per window end from weighted ranges of window ends
+    (``_c`` rows contribute to every end in ``[_fe, _le]``, step slide)."""
     # Each bucket [bD, (b+1)D) of window *ends* is owned by one (key, bucket)
-    # task.  A pane feeds ends [first_end, last_end], a range shorter than D,
-    # so it is sent to the one or two buckets that range touches; every end
-    # is then produced exactly once and no final aggregation is needed.
+    # task.  A range is shorter than D, so it is sent to the one or two
+    # buckets it touches; every end is then produced exactly once and no
+    # final aggregation is needed.
     d = max(bucket_us, size_us)
     r = size_us % slide_us                      # window ends are = r (mod slide)
-    fe, le = first_end, last_end
-    owners = F.array_distinct(F.array(floor_to(fe, d), floor_to(le, d)))
-    deltas = (panes
-              .select(*ks, "_c", fe.alias("_fe"), le.alias("_le"), F.explode(owners).alias("_b"))
+    owners = F.array_distinct(F.array(floor_to(F.col("_fe"), d), floor_to(F.col("_le"), d)))
+    deltas = (ranges
+              .select(*ks, "_c", "_fe", "_le", F.explode(owners).alias("_b"))
               .select(*ks, "_b", F.explode(F.array(
                   F.struct(F.col("_fe").alias("at"), F.col("_c").alias("d")),
                   F.struct((F.col("_le") + F.lit(slide_us)).alias("at"), (-F.col("_c")).alias("d")),
@@ -151,6 +157,40 @@ def _sliding_difference(df, ts, ks, size_us, slide_us, bucket_us, out, end_col,
                 .select(*ks, from_micros("_e", dtype).alias(end_col), out))
 
 
+def sliding_count_open(df: DataFrame, ts: str, keys=None, size="10 minutes", slide="5 seconds",
+                       watermark: str = "watermark", lateness="1 minute", method: str = "auto",
+                       bucket="1 day", out: str = "cnt", end_col: str = "window_end") -> DataFrame:
+    """Sliding counts with allowed lateness, as a stream with per-row
+    watermarks finally reports them: a row counts in a window only if that
+    window was still open when the row arrived, i.e.
+    ``end - 1 ms + lateness > watermark`` (``watermark`` is the column with
+    the watermark seen by the row, e.g. from :func:`late.split_late`; null =
+    no watermark yet).  A row late for some of its windows still counts in
+    the others."""
+    ks = _keys(keys)
+    dtype = ts_type(df, ts)
+    size_us, slide_us, late_us = duration_us(size), duration_us(slide), duration_us(lateness)
+    g = math.gcd(size_us, slide_us)
+    r = size_us % slide_us
+    p = floor_to(to_micros(ts, dtype), g)
+    fe = ceil_to(p + F.lit(g - size_us), slide_us) + F.lit(size_us)
+    le = floor_to(p, slide_us) + F.lit(size_us)
+    wm = to_micros(watermark, ts_type(df, watermark))
+    need = wm + F.lit(1001 - late_us)                       # first end that is still open
+    first_open = need + F.pmod(F.lit(r) - need, F.lit(slide_us))
+    lo = F.when(wm.isNull(), fe).otherwise(F.greatest(fe, first_open))
+    ranges = (df.select(*ks, lo.alias("_fe"), le.alias("_le"))
+                .where(F.col("_fe") <= F.col("_le"))
+                .groupBy(*ks, "_fe", "_le").agg(F.count(F.lit(1)).alias("_c")))
+    if method == "auto":
+        method = "window" if size_us / slide_us <= RATIO_FOR_DIFFERENCE else "difference"
+    if method == "window":
+        exploded = ranges.select(*ks, "_c", F.explode(F.sequence("_fe", "_le", F.lit(slide_us))).alias("_e"))
+        return (exploded.groupBy(*ks, "_e").agg(F.sum("_c").cast("long").alias(out))
+                        .select(*ks, from_micros("_e", dtype).alias(end_col), out))
+    return _ranges_difference(ranges, ks, dtype, size_us, slide_us, duration_us(bucket), out, end_col)
+
+
 def salted_count(df: DataFrame, ts: str, size="1 hour", salt_col: str | None = None,
                  n: int = 10, out: str = "cnt", end_col: str = "window_end") -> DataFrame:
     """Two-stage count per tumbling window: partial count per (window, salt),

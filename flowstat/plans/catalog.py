@@ -235,6 +235,30 @@ def late_rows(spark, sf_dir):
     return late_df.select("seq", "ts", "watermark")
 
 
+@register("hot_pages_with_lateness", f"""
+WITH log AS (SELECT e.event_id, e.event_type, p.url, epoch_us(e.ts) AS t,
+                    epoch_us(e.ts) + ((e.event_id * 7919) % 1500) * 1000000 AS arr
+             FROM events e JOIN pages p ON {_ITEM} = p.page_id),
+w AS (SELECT *, max(t) OVER (ORDER BY arr, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 1000000 AS wm
+      FROM log),
+x AS (SELECT url, (t // {M1}) * {M1} + (i + 1) * {M1} AS e, wm FROM w, range(10) r(i)
+      WHERE event_type = 'view' AND NOT regexp_matches(url, '{ASSET_PATTERN}'))
+SELECT url, make_timestamp(e) AS window_end, count(*) AS cnt FROM x
+WHERE wm IS NULL OR e - 1000 + 60000000 > wm GROUP BY ALL""")
+def hot_pages_with_lateness(spark, sf_dir):
+    """T6/T7 with A5: GETs per url, 10 min sliding by 1 min, on a log that
+    arrives out of order (derived arrival as in ``late_rows``); watermark =
+    max earlier event time - 1 s; a row counts only in the windows still open
+    (end - 1 ms + 1 min of allowed lateness > watermark) when it arrives."""
+    log = T.page_views(spark, sf_dir)
+    delay = F.pmod(F.col("seq") * F.lit(7919), F.lit(1500))
+    log = log.withColumn("arrival", F.timestamp_add("SECOND", delay, F.col("ts")))
+    # the watermark moves with every request; only GETs are counted
+    seen = late.watermark_before(log, "ts", "arrival", "seq", "1 second")
+    gets = seen.where((F.col("method") == "GET") & ~is_asset("url"))
+    return windows.sliding_count_open(gets, "ts", "url", "10 minutes", "1 minute", "watermark", "1 minute")
+
+
 # ================================================================ marketing / ads
 _MARKET = (f"SELECT user_id, event_type AS behavior, "
            f"['app store', 'wechat', 'weibo', 'tieba'][({_ITEM} % 4) + 1] AS channel, epoch_us(ts) AS t FROM events")

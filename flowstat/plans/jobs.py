@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import capping, distinct, joins, patterns, topn, windows
-from ..operators.late import split_late
+from ..operators.late import late_flag, watermark_before
 from ..sources import read_access_log, read_records
 from ..streaming import jobs as sj
 from ..streaming import stateful
@@ -69,10 +69,12 @@ def hot_pages(spark: SparkSession, path: str, n: int = 5, size="10 minutes", sli
         counts = sj.sliding_count_stream(gets, "ts", "url", size, slide,
                                          delay=f"{_secs(disorder) + _secs(lateness)} seconds")
         return _emit({"hot pages": counts}, stream, sink, mode="update")
-    # arrival order of a log file is its line order
-    with_seq = gets.withColumn("seq", F.monotonically_increasing_id())
-    on_time, late_rows = split_late(with_seq, "ts", "seq", "seq", disorder, size, slide, lateness)
-    counts = windows.sliding_count(on_time, "ts", "url", size, slide)
+    # arrival order of a log file is its line order; every request moves the
+    # watermark, GETs are counted in the windows still open on their arrival
+    seen = watermark_before(log.withColumn("seq", F.monotonically_increasing_id()), "ts", "seq", "seq", disorder)
+    gets = seen.where((F.col("method") == "GET") & ~is_asset("url"))
+    late_rows = gets.where(late_flag(gets, "ts", "watermark", size, slide, lateness))
+    counts = windows.sliding_count_open(gets, "ts", "url", size, slide, "watermark", lateness)
     return {"hot pages": topn.top_n(counts, "window_end", "url", "cnt", n), "late": late_rows}
 
 

@@ -66,3 +66,22 @@ def test_ltz_timestamps(spark):
     a = rows(windows.sliding_count(df, "ts", None, "10 seconds", "5 seconds", method="difference"), "window_end", "cnt")
     b = rows(windows.sliding_count(df, "ts", None, "10 seconds", "5 seconds", method="window"), "window_end", "cnt")
     assert a == b and [c for _, c in a] == [1, 2, 1]
+
+
+def test_sliding_count_open_methods_and_edges(spark):
+    # 10 s windows sliding by 5 s, lateness 2 s; the second row sees watermark 20 s
+    df = spark.createDataFrame([(at(20), None), (at(12), at(20)), (at(17.5), at(20))],
+                               "ts timestamp_ntz, watermark timestamp_ntz")
+    a = rows(windows.sliding_count_open(df, "ts", None, "10 seconds", "5 seconds", "watermark", "2 seconds",
+                                        method="window"), "window_end", "cnt")
+    b = rows(windows.sliding_count_open(df, "ts", None, "10 seconds", "5 seconds", "watermark", "2 seconds",
+                                        method="difference"), "window_end", "cnt")
+    # row 12 s: windows end 15 (15 - 0.001 + 2 <= 20: closed) and 20 (21.999 > 20: open)
+    # row 17.5 s: windows end 20, 25 (both open); row 20 s: windows end 25, 30
+    assert a == b == [(at(20), 2), (at(25), 2), (at(30), 1)]
+    # with a null watermark everywhere it equals the plain count
+    ev = _ev(spark).withColumn("watermark", F.lit(None).cast("timestamp_ntz"))
+    c = rows(windows.sliding_count_open(ev, "ts", "event_type", "1 hour", "5 minutes", "watermark", "0 seconds"),
+             "event_type", "window_end", "cnt")
+    d = rows(windows.sliding_count(ev, "ts", "event_type", "1 hour", "5 minutes"), "event_type", "window_end", "cnt")
+    assert c == d
