@@ -29,6 +29,17 @@ def _emit(outputs: dict[str, DataFrame], stream: bool, sink: str, mode: str = "a
     return {label: write_stream(df, label.replace(" ", "_"), fmt=sink, mode=mode) for label, df in outputs.items()}
 
 
+def _emit_ranked(counts: DataFrame, label: str, key: str, n: int, sink, mode: str = "update"):
+    """Rank each micro-batch of window counts (top-n per window end) and hand
+    it to ``sink``: "console" prints it, a callable gets ``(df, epoch_id)``."""
+    def show(df, epoch_id):
+        print(f"== {label} (batch {epoch_id})")
+        df.orderBy("window_end", "rn").show(1000, truncate=False)
+    target = sink if callable(sink) else show
+    cb = sj.top_n_per_batch("window_end", key, n, target)
+    return {label: write_stream(counts, label.replace(" ", "_"), mode=mode, foreach_batch=cb)}
+
+
 def _seq(df: DataFrame, stream: bool) -> DataFrame:
     # a file stream has no line number: the event time orders rows of one key
     return df.withColumn("seq", F.unix_micros("ts")) if stream else df
@@ -46,9 +57,17 @@ def hot_items(spark: SparkSession, path: str, n: int = 5, size="1 hour", slide="
     return {"hot items": ranked, "report": topn.report(ranked, "window_end", "item_id")}
 
 
-def hot_items_sql(spark: SparkSession, path: str, n: int = 5):
-    """Hourly item views and the top-n per hour, in SQL over named views."""
-    ub = read_records(spark, path, "user_behavior")
+def hot_items_sql(spark: SparkSession, path: str, n: int = 5, stream: bool = False, sink="console"):
+    """Hourly item views and the top-n per hour, in SQL over named views.
+    On a stream (e.g. ``kafka://servers/hotitems``) the hourly counts are
+    the SQL aggregate over a watermarked view and the ranking runs per
+    micro-batch (``row_number`` is not allowed on a stream)."""
+    ub = read_records(spark, path, "user_behavior", stream=stream)
+    if stream:
+        sj.with_event_time(ub, "ts").select("item_id", "behavior", "ts").createOrReplaceTempView("data_table")
+        counts = spark.sql("""SELECT item_id, window.end AS window_end, count(item_id) AS cnt FROM data_table
+                              WHERE behavior = 'pv' GROUP BY item_id, window(ts, '1 hour')""")
+        return _emit_ranked(counts, "hot items sql", "item_id", n, sink, mode="append")
     ub.select("item_id", "behavior", "ts").createOrReplaceTempView("data_table")
     counts = spark.sql("""SELECT item_id, window.end AS window_end, count(item_id) AS cnt FROM data_table
                           WHERE behavior = 'pv' GROUP BY item_id, window(ts, '1 hour')""")
@@ -66,9 +85,11 @@ def hot_pages(spark: SparkSession, path: str, n: int = 5, size="10 minutes", sli
     log = read_access_log(spark, path, stream=stream)
     gets = log.where((F.col("method") == "GET") & ~is_asset("url"))
     if stream:
+        # delay = disorder + allowed lateness; update mode re-emits corrected
+        # counts for late rows, and each micro-batch is re-ranked
         counts = sj.sliding_count_stream(gets, "ts", "url", size, slide,
                                          delay=f"{_secs(disorder) + _secs(lateness)} seconds")
-        return _emit({"hot pages": counts}, stream, sink, mode="update")
+        return _emit_ranked(counts, "hot pages", "url", n, sink)
     # arrival order of a log file is its line order; every request moves the
     # watermark, GETs are counted in the windows still open on their arrival
     seen = watermark_before(log.withColumn("seq", F.monotonically_increasing_id()), "ts", "seq", "seq", disorder)

@@ -55,3 +55,33 @@ def test_hot_pages_job_late_side_output(spark, tmp_path):
     out = jobs.hot_pages(spark, str(p), size="10 seconds", slide="5 seconds", lateness="1 minute")
     assert [r["url"] for r in out["late"].collect()] == ["/b"]
     assert out["hot pages"].where("url = '/b'").count() == 0 and out["hot pages"].where("url = '/a'").count() > 0
+
+
+def test_hot_pages_job_stream_ranked(spark, tmp_path):
+    d = tmp_path / "logs"
+    d.mkdir()
+    lines = [f"1.1.1.1 - - 01/01/2024:00:00:{s:02d} +0000 GET /{'a' if s % 3 else 'b'}" for s in range(30)]
+    lines.append("1.1.1.1 - - 01/01/2024:05:00:00 +0000 GET /z")      # moves the watermark past everything
+    (d / "access.log").write_text("\n".join(lines))
+    got = []
+    qs = jobs.hot_pages(spark, str(d), n=1, size="10 seconds", slide="5 seconds", stream=True,
+                        sink=lambda df, e: got.extend((r["window_end"], r["url"], r["cnt"]) for r in df.collect()))
+    for q in qs.values():
+        q.processAllAvailable()
+        q.stop()
+    assert got and all(url in ("/a", "/b", "/z") for _, url, _ in got)
+    assert max(c for _, _, c in got) == 7                # /a is 2 of every 3 seconds: 7 in a 10 s window
+
+
+def test_hot_items_sql_job_stream(spark, tmp_path):
+    d = tmp_path / "ub"
+    d.mkdir()
+    rows_ = [f"{u},{u % 4},1,pv,{1704067200 + u * 60}" for u in range(50)] + ["1,1,1,pv,1704153600"]
+    (d / "UserBehavior.csv").write_text("\n".join(rows_))
+    got = []
+    qs = jobs.hot_items_sql(spark, str(d), n=2, stream=True,
+                            sink=lambda df, e: got.extend((r["window_end"], r["rn"], r["item_id"]) for r in df.collect()))
+    for q in qs.values():
+        q.processAllAvailable()
+        q.stop()
+    assert {(rn, item) for _, rn, item in got} >= {(1, 0), (2, 1)}
