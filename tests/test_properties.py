@@ -3,7 +3,6 @@ prefix aggregates equal a plain Python prefix scan, on random inputs."""
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from flowstat.operators import windows
 from flowstat.operators.ordered import running_total
