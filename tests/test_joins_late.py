@@ -32,3 +32,15 @@ def test_late_split_partial_windows(spark):
     assert rows(on_time, "seq") == [(1,), (3,), (4,)]
     _, late2 = late.split_late(df, "ts", "arr", "seq", "0 seconds", "10 seconds", "5 seconds", "1 second")
     assert late2.count() == 0
+
+
+def test_interval_duplicate_keys_and_empty(spark):
+    pays = spark.createDataFrame([(1, 10, at(100)), (1, 11, at(101))], "k long, pay_id long, pay_ts timestamp_ntz")
+    recs = spark.createDataFrame([(1, 20, at(102)), (1, 21, at(103))], "k long, rec_id long, rec_ts timestamp_ntz")
+    inner = joins.interval_join(pays, recs, "k", "pay_ts", "rec_ts", "-3 seconds", "5 seconds")
+    assert rows(inner, "pay_id", "rec_id") == [(10, 20), (10, 21), (11, 20), (11, 21)]
+    empty = recs.limit(0)
+    m, lu, ru = joins.interval_match(pays, empty, "k", "pay_ts", "rec_ts", "pay_id", "rec_id")
+    assert (m.count(), lu.count(), ru.count()) == (0, 2, 0)
+    on_time, late_df = late.split_late(pays.limit(0).withColumnRenamed("pay_id", "seq"), "pay_ts", "pay_ts", "seq")
+    assert on_time.count() == 0 and late_df.count() == 0

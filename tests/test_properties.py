@@ -42,3 +42,25 @@ def test_running_total_matches_scan(spark, vals, chunk, agg, exclusive, descendi
             window = [d[2] for d in seq[: j if exclusive else j + 1]]
             want = fn(window) if window else (0 if agg == "sum" else None)
             assert got[s] == want, (k, s)
+
+
+@SETTINGS
+@given(left=st.lists(st.tuples(st.integers(0, 2), st.integers(0, 120)), max_size=25),
+       right=st.lists(st.tuples(st.integers(0, 2), st.integers(0, 120)), max_size=25),
+       lo=st.integers(-20, 0), width=st.integers(0, 30), bucket=st.sampled_from([None, "1 second", "7 seconds"]))
+def test_interval_join_matches_brute_force(spark, left, right, lo, width, bucket):
+    from flowstat.operators import joins
+    hi = lo + width
+    ldf = spark.createDataFrame([(k, i, at(t)) for i, (k, t) in enumerate(left)],
+                                "k long, lid long, lts timestamp_ntz")
+    rdf = spark.createDataFrame([(k, i, at(t)) for i, (k, t) in enumerate(right)],
+                                "k long, rid long, rts timestamp_ntz")
+    want = sorted((i, j) for i, (k1, t1) in enumerate(left) for j, (k2, t2) in enumerate(right)
+                  if k1 == k2 and t1 + lo <= t2 <= t1 + hi)
+    m, lu, ru = joins.interval_match(ldf, rdf, "k", "lts", "rts", "lid", "rid", f"{lo} seconds", f"{hi} seconds",
+                                     bucket)
+    assert rows(m, "lid", "rid") == want
+    assert rows(joins.interval_join(ldf, rdf, "k", "lts", "rts", f"{lo} seconds", f"{hi} seconds", bucket),
+                "lid", "rid") == want
+    assert [r[0] for r in rows(lu, "lid")] == sorted(set(range(len(left))) - {i for i, _ in want})
+    assert [r[0] for r in rows(ru, "rid")] == sorted(set(range(len(right))) - {j for _, j in want})
