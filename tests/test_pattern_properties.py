@@ -104,3 +104,58 @@ def test_burst_state_machine(spark, evs, within, min_count):
         if cur and cur[1] >= min_count:
             want.append((k, cur[0], cur[2], cur[1]))
     assert got == sorted(want)
+
+
+@SETTINGS
+@given(evs=EVENTS, within=st.integers(1, 10))
+def test_pair_status(spark, evs, within):
+    df, data = _df(spark, evs)
+    got = rows(patterns.pair_status(df, "k", F.col("e") == "fail", F.col("e") == "pay", "ts", f"{within} seconds"),
+               "k", "status")
+    want = []
+    for k, rs in _by_key(data, lambda d: (d[3], d[1])).items():
+        creates = [r[3] for r in rs if r[2] == "fail"]
+        pays = [r[3] for r in rs if r[2] == "pay"]
+        if creates:
+            c = min(creates)
+            later = [p for p in pays if p >= c]
+            want.append((k, "payed" if later and (min(later) - c).total_seconds() < within else "timeout"))
+        if pays and (not creates or min(pays) < min(creates)):
+            want.append((k, "pay_without_create"))
+    assert got == sorted(want)
+
+
+@SETTINGS
+@given(evs=st.lists(st.tuples(st.integers(0, 5), st.integers(0, 7200)), min_size=1, max_size=40),
+       chunk=st.integers(1, 8))
+def test_running_distinct(spark, evs, chunk):
+    from flowstat.operators import distinct
+    data = [(i, u, at(t)) for i, (u, t) in enumerate(evs)]
+    df = spark.createDataFrame(data, "seq long, user long, ts timestamp_ntz")
+    got = rows(distinct.running_distinct(df, "ts", "seq", "user", "1 hour", hashed=False, chunk=chunk), "seq", "uv")
+    want, seen = [], {}
+    for i, u, t in sorted(data):
+        hour = (t.hour, t.day)
+        seen.setdefault(hour, set()).add(u)
+        want.append((i, len(seen[hour])))
+    assert got == want
+
+
+@SETTINGS
+@given(evs=st.lists(st.tuples(st.integers(0, 120), st.integers(0, 40)), min_size=1, max_size=30),
+       lateness=st.integers(0, 10), method=st.sampled_from(["window", "difference"]))
+def test_open_window_counts(spark, evs, lateness, method):
+    from flowstat.operators import late, windows
+    # arrival order = list order; event time t; watermark = max earlier t (no disorder bound)
+    data = [(i, at(t), at(t + d)) for i, (t, d) in enumerate(evs)]
+    df = spark.createDataFrame(data, "seq long, ts timestamp_ntz, arr timestamp_ntz")
+    seen = late.watermark_before(df.withColumn("arr_n", F.col("seq")), "ts", "arr_n", "seq", "0 seconds", chunk=3)
+    got = rows(windows.sliding_count_open(seen, "ts", None, "10 seconds", "5 seconds", "watermark",
+                                          f"{lateness} seconds", method=method), "window_end", "cnt")
+    counts, mx = {}, None
+    for i, (t, _) in enumerate(evs):
+        for end in range((t // 5) * 5 + 5, (t // 5) * 5 + 15, 5):
+            if mx is None or end * 1000 - 1 + lateness * 1000 > mx * 1000:
+                counts[end] = counts.get(end, 0) + 1
+        mx = t if mx is None else max(mx, t)
+    assert got == sorted((at(e), c) for e, c in counts.items())
