@@ -203,5 +203,7 @@ def salted_count(df: DataFrame, ts: str, size="1 hour", salt_col: str | None = N
     salt_src = F.col(salt_col) if salt_col else F.col(ts)
     salt = F.pmod(F.hash(salt_src), F.lit(n))
     stage1 = df.groupBy(w.alias("_w"), salt.alias("_salt")).agg(F.count(F.lit(1)).alias("_c"))
-    return (stage1.groupBy(F.col("_w.end").alias(end_col))
-                  .agg(F.sum("_c").alias(out)))
+    # stage 2 groups by the window struct, which carries the watermark, so
+    # the same two-stage plan also runs on a stream (append mode)
+    return (stage1.groupBy("_w").agg(F.sum("_c").alias(out))
+                  .select(F.col("_w.end").alias(end_col), out))

@@ -108,7 +108,9 @@ def page_views(spark: SparkSession, path: str, stream: bool = False, sink: str =
     """Hourly page views (plain and two-stage salted)."""
     ub = read_records(spark, path, "user_behavior", stream=stream).where(F.col("behavior") == "pv")
     if stream:
-        return _emit({"pv": sj.tumbling_count_stream(ub, "ts", None, "1 hour")}, stream, sink)
+        ev = sj.with_event_time(ub, "ts")
+        return _emit({"pv": windows.tumbling_count(ev, "ts", None, "1 hour", out="pv"),
+                      "pv salted": windows.salted_count(ev, "ts", "1 hour", "user_id", 10, out="pv")}, stream, sink)
     return {"pv": windows.tumbling_count(ub, "ts", None, "1 hour", out="pv"),
             "pv salted": windows.salted_count(ub, "ts", "1 hour", "user_id", 10, out="pv")}
 

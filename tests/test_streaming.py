@@ -184,3 +184,11 @@ def test_full_outer_interval_join_stream(spark, stream_dir):
                                      "-1 hour", "2 hours")
     fill = lambda df: df.fillna(-1, subset=["pay_id", "receipt_id"])
     assert rows(fill(got), "user_id", "pay_id", "receipt_id") == rows(fill(want), "user_id", "pay_id", "receipt_id")
+
+
+def test_salted_count_stream(spark, stream_dir):
+    _, ev = stream_dir
+    got = _run(spark, stream_dir, lambda s: windows.salted_count(jobs.with_event_time(s, "ts"), "ts", "1 hour",
+                                                                 "user_id", 10))
+    want = windows.tumbling_count(ev, "ts", None, "1 hour").withColumn("window_end", F.col("window_end").cast("timestamp"))
+    assert rows(got, "window_end", "cnt") == rows(want, "window_end", "cnt")
