@@ -85,3 +85,35 @@ def test_hot_items_sql_job_stream(spark, tmp_path):
         q.processAllAvailable()
         q.stop()
     assert {(rn, item) for _, rn, item in got} >= {(1, 0), (2, 1)}
+
+
+def _dir(tmp_path, name, lines):
+    d = tmp_path / name
+    d.mkdir()
+    (d / "part.csv").write_text("\n".join(lines))
+    return str(d)
+
+
+def test_every_job_streams(spark, tmp_path):
+    """Each job's streaming path starts, drains its input and stops cleanly."""
+    t0 = 1704067200
+    ub = _dir(tmp_path, "ub", [f"{u},{u % 3},1,pv,{t0 + 37 * u}" for u in range(60)])
+    mk = _dir(tmp_path, "mk", [f"{u},{['CLICK', 'INSTALL', 'UNINSTALL'][u % 3]},wechat,{(t0 + 11 * u) * 1000}"
+                               for u in range(60)])
+    ads = _dir(tmp_path, "ads", [f"{u % 4},{u % 2},beijing,beijing,{t0 + 7 * u}" for u in range(60)])
+    od = _dir(tmp_path, "od", [f"{u},create,,{t0 + u}" for u in range(20)] +
+              [f"{u},pay,tx{u},{t0 + u + 30}" for u in range(20)])
+    rc = _dir(tmp_path, "rc", [f"tx{u},wechat,{t0 + u + 31}" for u in range(20)])
+    runs = [jobs.hot_items(spark, ub, stream=True, sink="memory"),
+            jobs.page_views(spark, ub, stream=True, sink="memory"),
+            jobs.unique_visitors(spark, ub, stream=True, sink="memory"),
+            jobs.marketing(spark, mk, stream=True, sink="memory"),
+            jobs.ad_clicks(spark, ads, stream=True, sink="memory"),
+            jobs.order_timeout(spark, od, stream=True, sink="memory"),
+            jobs.tx_match(spark, od, rc, stream=True, sink="memory")]
+    for qs in runs:
+        for q in qs.values():
+            q.processAllAvailable()
+            q.stop()
+            assert q.exception() is None
+    assert spark.table("ad_clicks").where("channel = 'passed'").count() == 60
