@@ -78,20 +78,27 @@ def top_n_per_batch(part: str, key: str, n: int, sink: callable):
 
 def changelog_per_batch(keys, state_path: str, sink: callable):
     """``foreachBatch`` callback for a retract stream: diff each batch's
-    snapshot against the previous snapshot stored at ``state_path`` (a
-    table in the shared checkpoint folder), emit +/- rows, store the new
-    snapshot.  Each batch is taken as the complete current snapshot (e.g. a
-    complete-mode top-N); an empty batch carries no snapshot and is skipped."""
+    snapshot against the previous snapshot, emit +/- rows, store the new
+    snapshot.  Snapshots are kept in a table at ``state_path`` (a folder in
+    the shared checkpoint location) partitioned by epoch, and a batch diffs
+    against the latest *earlier* epoch, so a batch replayed after a failure
+    produces the same change log.  Each batch is taken as the complete
+    current snapshot (e.g. a complete-mode top-N); an empty batch carries no
+    snapshot and is skipped."""
     def run(batch: DataFrame, epoch_id: int):
         if batch.isEmpty():
             return
         spark = batch.sparkSession
         try:
-            prev = spark.read.parquet(state_path)
-        except Exception:  # noqa: BLE001 - first batch: no snapshot yet
-            prev = spark.createDataFrame([], batch.schema)
+            stored = spark.read.parquet(state_path).where(F.col("epoch") < epoch_id)
+            last = stored.agg(F.max("epoch")).first()[0]
+        except Exception:  # noqa: BLE001 - no snapshot table yet
+            stored, last = None, None
+        prev = (stored.where(F.col("epoch") == last).drop("epoch") if last is not None
+                else spark.createDataFrame([], batch.schema))
         sink(topn.changelog(prev, batch, keys), epoch_id)
-        batch.write.mode("overwrite").parquet(state_path)
+        (batch.withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite")
+              .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(state_path))
     return run
 
 
