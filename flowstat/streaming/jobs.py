@@ -102,6 +102,39 @@ def changelog_per_batch(keys, state_path: str, sink: callable):
     return run
 
 
+def top_n_retract_per_batch(part: str, key: str, n: int, state_path: str, sink: callable,
+                            score: str = "cnt", rank_col: str = "rn", op_col: str = "op"):
+    """``foreachBatch`` callback turning update-mode window counts into the
+    retract stream of a top-n per window (+ rows entering, - rows leaving).
+
+    Counts only grow, so an item can enter a window's top-n only in a batch
+    that updates it: the new top-n of an affected window is the top-n of its
+    previous top-n (refreshed with this batch's counts) and this batch's
+    updated items.  The only state is the top-n rows per window, kept in a
+    table at ``state_path`` (shared checkpoint folder) as one partition of
+    changed windows per epoch; a batch reads the latest earlier entry of
+    each affected window, so a replayed batch gives the same output."""
+    def run(batch: DataFrame, epoch_id: int):
+        if batch.isEmpty():
+            return
+        spark = batch.sparkSession
+        upd = batch.select(part, key, score)
+        affected = upd.select(part).distinct()
+        try:
+            hist = spark.read.parquet(state_path).where(F.col("epoch") < epoch_id).join(affected, part)
+            latest = hist.groupBy(part).agg(F.max("epoch").alias("epoch"))
+            prev = hist.join(latest, [part, "epoch"]).select(part, key, score, rank_col)
+        except Exception:  # noqa: BLE001 - no state yet
+            prev = spark.createDataFrame([], T.StructType([batch.schema[part], batch.schema[key],
+                                                           batch.schema[score], T.StructField(rank_col, T.IntegerType())]))
+        carried = prev.select(part, key, score).join(upd.select(part, key), [part, key], "left_anti")
+        cur = topn.top_n(carried.unionByName(upd), part, key, score, n, rank_col).select(part, key, score, rank_col)
+        sink(topn.changelog(prev, cur, [part, key, score, rank_col], op_col), epoch_id)
+        (cur.withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(state_path))
+    return run
+
+
 def interval_join_stream(left: DataFrame, right: DataFrame, on: str, left_ts: str, right_ts: str,
                          lower="-3 seconds", upper="5 seconds", how: str = "inner",
                          left_delay="0 seconds", right_delay="0 seconds") -> DataFrame:

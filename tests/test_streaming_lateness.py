@@ -45,3 +45,29 @@ def test_late_rows_stream(spark):
                  "append")
     flags = sorted((r["seq"], r["late"]) for r in out.collect())
     assert flags == [(50, True), (100, False), (195, False), (200, False)]
+
+
+def test_top_n_retract_stream(spark):
+    import tempfile as _t
+    # item views per 1 h window, top-2, arriving in three micro-batches
+    d = _t.mkdtemp(prefix="flowstat-retract-")
+    waves = [[(1, 10), (2, 20), (2, 30)],            # item 2: 2, item 1: 1
+             [(3, 40), (3, 50), (3, 60)],            # item 3 takes rank 1, item 1 drops out
+             [(1, 70), (1, 80)]]                     # item 1: 3 -> ties item 3, key order puts it first
+    for i, wave in enumerate(waves):
+        spark.createDataFrame([(item, sec) for item, sec in wave], "item_id long, sec long") \
+            .select("item_id", F.timestamp_seconds(F.lit(1704067200) + F.col("sec")).alias("ts")) \
+            .coalesce(1).write.parquet(f"{d}/in/{i}")
+        time.sleep(1.1)
+    src = spark.readStream.schema("item_id long, ts timestamp").option("maxFilesPerTrigger", 1).parquet(f"{d}/in/*")
+    counts = jobs.tumbling_count_stream(src, "ts", "item_id", "1 hour", delay="1 hour")
+    log = []
+    cb = jobs.top_n_retract_per_batch("window_end", "item_id", 2, f"{d}/state",
+                                      lambda df, e: log.append(sorted((r["op"], r["item_id"], r["cnt"], r["rn"])
+                                                                      for r in df.collect())))
+    q = write_stream(counts, "retract_" + uuid.uuid4().hex[:6], mode="update", foreach_batch=cb)
+    q.processAllAvailable()
+    q.stop()
+    assert log[0] == [("+", 1, 1, 2), ("+", 2, 2, 1)]
+    assert log[1] == [("+", 2, 2, 2), ("+", 3, 3, 1), ("-", 1, 1, 2), ("-", 2, 2, 1)]
+    assert log[2] == [("+", 1, 3, 1), ("+", 3, 3, 2), ("-", 2, 2, 2), ("-", 3, 3, 1)]
