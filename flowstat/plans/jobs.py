@@ -20,7 +20,7 @@ from ..operators.late import late_flag, watermark_before
 from ..sources import read_access_log, read_records
 from ..streaming import jobs as sj
 from ..streaming import stateful
-from ..streaming.sinks import write_stream
+from ..streaming.sinks import checkpoint_location, write_stream
 
 
 def _emit(outputs: dict[str, DataFrame], stream: bool, sink: str, mode: str = "append"):
@@ -60,14 +60,22 @@ def hot_items(spark: SparkSession, path: str, n: int = 5, size="1 hour", slide="
 def hot_items_sql(spark: SparkSession, path: str, n: int = 5, stream: bool = False, sink="console"):
     """Hourly item views and the top-n per hour, in SQL over named views.
     On a stream (e.g. ``kafka://servers/hotitems``) the hourly counts are
-    the SQL aggregate over a watermarked view and the ranking runs per
-    micro-batch (``row_number`` is not allowed on a stream)."""
+    the SQL aggregate over a watermarked view (update mode) and the output is
+    the retract stream of the top-n per hour: +/- rows as items enter and
+    leave it (``row_number`` is not allowed on a stream)."""
     ub = read_records(spark, path, "user_behavior", stream=stream)
     if stream:
         sj.with_event_time(ub, "ts").select("item_id", "behavior", "ts").createOrReplaceTempView("data_table")
         counts = spark.sql("""SELECT item_id, window.end AS window_end, count(item_id) AS cnt FROM data_table
                               WHERE behavior = 'pv' GROUP BY item_id, window(ts, '1 hour')""")
-        return _emit_ranked(counts, "hot items sql", "item_id", n, sink, mode="append")
+        label = "hot items sql"
+        state = checkpoint_location(counts, label.replace(" ", "_")) + "/topn_state"
+
+        def show(df, epoch_id):
+            print(f"== {label} (batch {epoch_id})")
+            df.orderBy("window_end", "op", "rn").show(1000, truncate=False)
+        cb = sj.top_n_retract_per_batch("window_end", "item_id", n, state, sink if callable(sink) else show)
+        return {label: write_stream(counts, label.replace(" ", "_"), mode="update", foreach_batch=cb)}
     ub.select("item_id", "behavior", "ts").createOrReplaceTempView("data_table")
     counts = spark.sql("""SELECT item_id, window.end AS window_end, count(item_id) AS cnt FROM data_table
                           WHERE behavior = 'pv' GROUP BY item_id, window(ts, '1 hour')""")

@@ -80,11 +80,11 @@ def test_hot_items_sql_job_stream(spark, tmp_path):
     (d / "UserBehavior.csv").write_text("\n".join(rows_))
     got = []
     qs = jobs.hot_items_sql(spark, str(d), n=2, stream=True,
-                            sink=lambda df, e: got.extend((r["window_end"], r["rn"], r["item_id"]) for r in df.collect()))
+                            sink=lambda df, e: got.extend((r["op"], r["rn"], r["item_id"]) for r in df.collect()))
     for q in qs.values():
         q.processAllAvailable()
         q.stop()
-    assert {(rn, item) for _, rn, item in got} >= {(1, 0), (2, 1)}
+    assert {(op, rn, item) for op, rn, item in got} >= {("+", 1, 0), ("+", 2, 1)}
 
 
 def _dir(tmp_path, name, lines):
