@@ -233,8 +233,9 @@ class _EventTimeOrdered(StatefulProcessor):
             return
         self.buf.appendList([(int(t), int(s), bool(a), bool(b)) for t, s, a, b in
                              zip(pdf["t_us"], pdf["seq"], pdf["flag_a"], pdf["flag_b"])])
-        for ms in np.unique(pdf["t_us"].to_numpy() // 1000 + 1):
-            self.handle.registerTimer(int(ms))
+        # one timer at the earliest new row is enough: a firing releases every
+        # row the watermark has passed and re-arms for the earliest one left
+        self.handle.registerTimer(int(pdf["t_us"].min()) // 1000 + 1)
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
@@ -247,6 +248,8 @@ class _EventTimeOrdered(StatefulProcessor):
                 self.buf.put(rest)
             else:
                 self.buf.clear()
+        if rest:
+            self.handle.registerTimer(min(r[0] for r in rest) // 1000 + 1)
         out = self.release(key, ready, wm)
         if out:
             yield pd.DataFrame(out, columns=self.out_columns)
