@@ -170,7 +170,7 @@ class OrderStatusProcessor(StatefulProcessor):
         due = (ct if ct is not None else min(pays)) + self.w
         for old in list(self.handle.listTimers()):
             self.handle.deleteTimer(old)
-        self.handle.registerTimer(due // 1000)
+        self.handle.registerTimer(-(-due // 1000))           # ceil: fire only once the deadline has passed
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
