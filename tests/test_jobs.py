@@ -1,4 +1,4 @@
-"""The end-to-end jobs on the reference's own logs (read in place)."""
+"""The end-to-end jobs on the original small logs (read in place)."""
 
 import os
 
@@ -8,7 +8,7 @@ from flowstat.plans import jobs
 
 from .test_fixtures import ADS, LOGIN, ORDERS, RECEIPTS
 
-pytestmark = pytest.mark.skipif(not os.path.exists(LOGIN), reason="reference logs not present")
+pytestmark = pytest.mark.skipif(not os.path.exists(LOGIN), reason="behaviour logs not present")
 
 
 def test_login_job(spark):
