@@ -42,3 +42,28 @@ def write_stream(df: DataFrame, name: str, fmt: str = "console", mode: str = "ap
     if trigger:
         w = w.trigger(**trigger)
     return w.start(path) if path else w.start()
+
+
+def fan_out_per_batch(channel_col: str, targets: dict, fmt: str = "parquet"):
+    """``foreachBatch`` callback splitting one tagged stream (main output and
+    side outputs in a ``channel`` column) into one table per channel.
+
+    ``targets`` maps a channel value to a folder (or to a callable taking
+    ``(df, epoch_id)``).  The batch is cached once for the several writes;
+    folders are written partitioned by epoch with dynamic overwrite, so a
+    micro-batch replayed after a failure replaces its own rows instead of
+    duplicating them."""
+    def run(batch: DataFrame, epoch_id: int):
+        from pyspark.sql import functions as F
+        batch.persist()
+        try:
+            for channel, target in targets.items():
+                part = batch.where(F.col(channel_col) == channel).drop(channel_col)
+                if callable(target):
+                    target(part, epoch_id)
+                else:
+                    (part.withColumn("epoch", F.lit(epoch_id)).write.format(fmt).mode("overwrite")
+                         .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").save(target))
+        finally:
+            batch.unpersist()
+    return run

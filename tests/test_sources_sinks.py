@@ -126,3 +126,20 @@ def test_changelog_replay_is_idempotent(spark):
     cb(s2, 1)
     cb(s2, 1)                      # the same epoch again, as after a failure
     assert out[1] == out[2] == [("+", 1, "b"), ("-", 1, "a")]
+
+
+def test_fan_out_side_outputs(spark):
+    from flowstat.streaming import stateful
+    from flowstat.streaming.sinks import fan_out_per_batch
+    d = tempfile.mkdtemp(prefix="flowstat-fan-")
+    spark.createDataFrame([(7, 42, i, f"2024-01-01 00:00:{i:02d}") for i in range(6)],
+                          "user_id long, ad_id long, seq long, ts string") \
+        .withColumn("ts", F.col("ts").cast("timestamp")).coalesce(1).write.parquet(f"{d}/in/1")
+    src = spark.readStream.schema("user_id long, ad_id long, seq long, ts timestamp").parquet(f"{d}/in/*")
+    tagged = stateful.cap_and_flag_stream(src, ["user_id", "ad_id"], "ts", "seq", limit=3)
+    cb = fan_out_per_batch("channel", {"passed": f"{d}/passed", "blacklist": f"{d}/blacklist"})
+    q = write_stream(tagged, "fan_" + uuid.uuid4().hex[:6], foreach_batch=cb)
+    q.processAllAvailable()
+    q.stop()
+    assert sorted(r["seq"] for r in spark.read.parquet(f"{d}/passed").collect()) == [0, 1, 2]
+    assert [r["seq"] for r in spark.read.parquet(f"{d}/blacklist").collect()] == [3]
