@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import duration_str, duration_us
+from ..functions import duration_str, duration_us, to_micros
 from ..operators import distinct, topn, windows
 
 
@@ -22,7 +22,8 @@ def with_event_time(df: DataFrame, ts: str, delay="0 seconds", out: str | None =
     lateness L, pass ``delay = disorder + L`` and use update mode."""
     out = out or ts
     if isinstance(df.schema[ts].dataType, T.TimestampNTZType):
-        df = df.withColumn(out, F.col(ts).cast("timestamp"))
+        # an NTZ wall clock is read as UTC (as in the batch operators), not in the session zone
+        df = df.withColumn(out, F.timestamp_micros(to_micros(ts, T.TimestampNTZType())))
     elif out != ts:
         df = df.withColumn(out, F.col(ts))
     return df.withWatermark(out, duration_str(duration_us(delay)))
