@@ -101,7 +101,7 @@ def hot_items_topn_changelog(spark, sf_dir):
     return topn.ranking_changelog(ranked, "window_end", "item_id", M5).select("window_end", "item_id", "rn", "op")
 
 
-_TUMBLE_ITEMS_SQL = f"SELECT item_id, {_end(H)} AS window_end, count(*) AS cnt FROM ({_VIEWS}) v GROUP BY ALL"
+_TUMBLE_ITEMS_SQL = f"SELECT item_id, {_end(H)} AS window_end, count(item_id) AS cnt FROM ({_VIEWS}) v GROUP BY ALL"
 
 
 @register("hot_items_sql_counts", _TUMBLE_ITEMS_SQL)
