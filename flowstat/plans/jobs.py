@@ -213,12 +213,22 @@ JOBS = {"hot_items": hot_items, "hot_items_sql": hot_items_sql, "hot_pages": hot
 
 
 def main(argv: list[str]) -> None:
+    """``job path [path2] [--stream]``: batch prints each output; with
+    ``--stream`` the job's queries run with console sinks until stopped
+    (paths may then be folders, ``socket://host:port`` or
+    ``kafka://servers/topic``)."""
     from ..session import get_session
-    if not argv or argv[0] not in JOBS:
-        print("usage: python -m flowstat.plans.jobs {" + ",".join(JOBS) + "} path [path2]")
+    stream = "--stream" in argv
+    args = [a for a in argv if a != "--stream"]
+    if not args or args[0] not in JOBS:
+        print("usage: python -m flowstat.plans.jobs {" + ",".join(JOBS) + "} path [path2] [--stream]")
         raise SystemExit(2)
     spark = get_session()
-    for label, df in JOBS[argv[0]](spark, *argv[1:]).items():
+    if stream:
+        JOBS[args[0]](spark, *args[1:], stream=True, sink="console")
+        spark.streams.awaitAnyTermination()
+        return
+    for label, df in JOBS[args[0]](spark, *args[1:]).items():
         print(f"== {label}")
         df.show(50, truncate=False)
 
