@@ -30,8 +30,25 @@ def with_event_time(df: DataFrame, ts: str, delay="0 seconds", out: str | None =
 
 
 def sliding_count_stream(df: DataFrame, ts: str, keys=None, size="1 hour", slide="5 minutes",
-                         delay="0 seconds") -> DataFrame:
-    return windows.sliding_count(with_event_time(df, ts, delay), ts, keys, size, slide, method="window")
+                         delay="0 seconds", method: str = "auto") -> DataFrame:
+    """Sliding counts on a stream.  ``window``: ``F.window`` expands every
+    row size/slide times.  ``panes`` (auto above a ratio of 16): count rows
+    per tumbling pane of gcd(size, slide) first, then take the sliding
+    windows over the panes' event time (``window_time``) - a chained
+    time-window aggregation, so the expansion is per pane, not per row."""
+    import math
+    ev = with_event_time(df, ts, delay)
+    size_us, slide_us = duration_us(size), duration_us(slide)
+    if method == "auto":
+        method = "panes" if size_us / slide_us > windows.RATIO_FOR_DIFFERENCE else "window"
+    if method == "window":
+        return windows.sliding_count(ev, ts, keys, size, slide, method="window")
+    ks = [] if keys is None else ([keys] if isinstance(keys, str) else list(keys))
+    g = math.gcd(size_us, slide_us)
+    panes = ev.groupBy(F.window(F.col(ts), duration_str(g)).alias("_p"), *ks).agg(F.count(F.lit(1)).alias("_c"))
+    w = F.window(F.window_time("_p"), duration_str(size_us), duration_str(slide_us))
+    return (panes.groupBy(w.alias("_w"), *ks).agg(F.sum("_c").cast("long").alias("cnt"))
+                 .select(*ks, F.col("_w.end").alias("window_end"), "cnt"))
 
 
 def tumbling_count_stream(df: DataFrame, ts: str, keys=None, size="1 hour", delay="0 seconds") -> DataFrame:

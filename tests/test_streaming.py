@@ -192,3 +192,12 @@ def test_salted_count_stream(spark, stream_dir):
                                                                  "user_id", 10))
     want = windows.tumbling_count(ev, "ts", None, "1 hour").withColumn("window_end", F.col("window_end").cast("timestamp"))
     assert rows(got, "window_end", "cnt") == rows(want, "window_end", "cnt")
+
+
+def test_sliding_stream_panes_wide_ratio(spark, stream_dir):
+    _, ev = stream_dir
+    got = _run(spark, stream_dir, lambda s: jobs.sliding_count_stream(s, "ts", "event_type", "1 hour", "1 minute",
+                                                                      method="panes"))
+    want = windows.sliding_count(ev, "ts", "event_type", "1 hour", "1 minute").withColumn(
+        "window_end", F.col("window_end").cast("timestamp"))
+    assert rows(got, "event_type", "window_end", "cnt") == rows(want, "event_type", "window_end", "cnt")
