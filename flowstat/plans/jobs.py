@@ -95,8 +95,9 @@ def hot_pages(spark: SparkSession, path: str, n: int = 5, size="10 minutes", sli
     if stream:
         # delay = disorder + allowed lateness; update mode re-emits corrected
         # counts for late rows, and each micro-batch is re-ranked
+        # (update mode allows one stateful aggregation only, so no pane pre-aggregation here)
         counts = sj.sliding_count_stream(gets, "ts", "url", size, slide,
-                                         delay=f"{_secs(disorder) + _secs(lateness)} seconds")
+                                         delay=f"{_secs(disorder) + _secs(lateness)} seconds", method="window")
         return _emit_ranked(counts, "hot pages", "url", n, sink)
     # arrival order of a log file is its line order; every request moves the
     # watermark, GETs are counted in the windows still open on their arrival

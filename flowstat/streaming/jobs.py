@@ -35,7 +35,9 @@ def sliding_count_stream(df: DataFrame, ts: str, keys=None, size="1 hour", slide
     row size/slide times.  ``panes`` (auto above a ratio of 16): count rows
     per tumbling pane of gcd(size, slide) first, then take the sliding
     windows over the panes' event time (``window_time``) - a chained
-    time-window aggregation, so the expansion is per pane, not per row."""
+    time-window aggregation, so the expansion is per pane, not per row.
+    Chained aggregations run in append mode only; use ``window`` for update
+    mode (allowed lateness with early and corrected results)."""
     import math
     ev = with_event_time(df, ts, delay)
     size_us, slide_us = duration_us(size), duration_us(slide)
