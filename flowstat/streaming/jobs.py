@@ -90,7 +90,9 @@ def top_n_stream(df: DataFrame, ts: str, key: str, size="1 hour", slide="5 minut
 def top_n_per_batch(part: str, key: str, n: int, sink: callable):
     """``foreachBatch`` callback: rank each micro-batch of closed windows
     with the batch :func:`top_n` (WindowGroupLimit applies) and hand the
-    result to ``sink(df, epoch_id)``."""
+    result to ``sink(df, epoch_id)``.  The sink must consume the whole
+    frame (write or collect it; ``show``/``limit`` alone is not enough):
+    Spark checks that every state partition of the batch was committed."""
     def run(batch: DataFrame, epoch_id: int):
         sink(topn.top_n(batch, part, key, "cnt", n), epoch_id)
     return run
