@@ -1,6 +1,8 @@
 """Pattern operators against straightforward per-key Python scans on random
 logs (small integer times, so equal timestamps and bound hits are common)."""
 
+import os
+
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -9,7 +11,10 @@ from flowstat.operators import capping, patterns
 
 from .conftest import at, rows
 
-SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+# reproducible examples by default; FLOWSTAT_EXPLORE=1 draws fresh random ones (and more of them)
+SETTINGS = settings(max_examples=40 if os.environ.get("FLOWSTAT_EXPLORE") else 8, deadline=None,
+                    derandomize=not os.environ.get("FLOWSTAT_EXPLORE"),
+                    suppress_health_check=[HealthCheck.function_scoped_fixture])
 EVENTS = st.lists(st.tuples(st.integers(0, 2), st.sampled_from(["fail", "ok", "pay"]), st.integers(0, 30)),
                   min_size=1, max_size=40)
 

@@ -1,6 +1,8 @@
 """Property tests: the three sliding-count strategies agree, and chunked
 prefix aggregates equal a plain Python prefix scan, on random inputs."""
 
+import os
+
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -9,7 +11,10 @@ from flowstat.operators.ordered import running_total
 
 from .conftest import at, rows
 
-SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+# reproducible examples by default; FLOWSTAT_EXPLORE=1 draws fresh random ones (and more of them)
+SETTINGS = settings(max_examples=40 if os.environ.get("FLOWSTAT_EXPLORE") else 8, deadline=None,
+                    derandomize=not os.environ.get("FLOWSTAT_EXPLORE"),
+                    suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
 @SETTINGS
