@@ -82,32 +82,31 @@ def consecutive_stream(df: DataFrame, key: str, is_fail, ts: str, seq: str, max_
 
 # ------------------------------------------------------------------ B1
 class ClickCapProcessor(StatefulProcessor):
-    """State: (day, clicks that day).  Clicks up to ``limit`` pass, click
-    ``limit + 1`` warns, later ones are dropped; a new day resets.  A timer
-    one day after the day's end clears the state of idle keys."""
+    """State: clicks per calendar day (map day -> count).  In arrival order,
+    clicks up to ``limit`` of a day pass, click ``limit + 1`` warns, later
+    ones are dropped - per day, so a late click of the previous day is still
+    counted against that day (as in the batch operator).  A timer two days
+    after a day's start drops that day's counter."""
 
     def __init__(self, limit: int):
         self.limit = limit
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.count = handle.getValueState("count", T.StructType([T.StructField("day", _LONG),
-                                                                 T.StructField("n", _LONG)]))
+        self.count = handle.getMapState("count", T.StructType([T.StructField("day", _LONG)]),
+                                        T.StructType([T.StructField("n", _LONG)]))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _concat(rows).sort_values("seq", kind="stable")
-        day, n = self.count.get() if self.count.exists() else (None, 0)
+        pdf = _concat(rows).sort_values("seq", kind="stable").reset_index(drop=True)
         days = pdf["day_num"].to_numpy(dtype=np.int64)
-        out_n = np.empty(len(days), dtype=np.int64)
-        for i, d in enumerate(days):        # a loop over this key's new rows only
-            if d != day:
-                day, n = int(d), 0
-            n += 1
-            out_n[i] = n
-        self.count.update((int(day), int(n)))
-        for old in list(self.handle.listTimers()):
-            self.handle.deleteTimer(old)
-        self.handle.registerTimer((int(day) + 2) * 86_400_000)
+        before = {}
+        for d in np.unique(days):                  # one state lookup per day in the batch
+            got = self.count.getValue((int(d),))
+            before[int(d)] = got[0] if got else 0
+        out_n = pdf.groupby("day_num").cumcount().to_numpy() + 1 + np.array([before[int(d)] for d in days])
+        for d, last in pd.Series(out_n).groupby(days).max().items():
+            self.count.updateValue((int(d),), (int(last),))
+            self.handle.registerTimer((int(d) + 2) * 86_400_000)
         keep = out_n <= self.limit + 1
         if not keep.any():
             return
@@ -117,7 +116,7 @@ class ClickCapProcessor(StatefulProcessor):
         yield res[["k0", "k1", "seq", "day_num", "channel"]]
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.count.clear()
+        self.count.removeKey((int(expiredTimerInfo.getExpiryTimeInMs() // 86_400_000) - 2,))
         yield from ()
 
     def close(self) -> None:

@@ -119,3 +119,27 @@ def test_ordered_rules_across_batches(spark):
     want = patterns.burst(batch, "k", fail, ok, "ts", "seq", "3 seconds")
     assert sorted((r["k"], r["n_fails"]) for r in got.collect()) == \
         sorted((r["k"], r["n_fails"]) for r in want.where("k != 3").collect())
+
+
+def test_cap_stream_late_click_of_previous_day(spark):
+    """A click of day 1 arriving after day 2 has started still counts against
+    day 1, in the stream as in the batch operator."""
+    import tempfile as _t
+
+    from flowstat.operators import capping
+    d = _t.mkdtemp(prefix="flowstat-cap-")
+    waves = [[(1, 86400 - 30), (2, 86400 - 20)],          # day 1: clicks 1, 2
+             [(3, 86400 + 10), (4, 86400 - 10)],          # day 2 starts, then a late day-1 click (3rd of day 1)
+             [(5, 86400 - 5), (6, 86400 + 20)]]           # 4th click of day 1 -> warning; day 2: 2nd click
+    for i, wave in enumerate(waves):
+        spark.createDataFrame([(7, 42, seq, sec) for seq, sec in wave], "user_id long, ad_id long, seq long, sec long") \
+            .select("user_id", "ad_id", "seq", F.timestamp_seconds(F.lit(1704067200) + F.col("sec")).alias("ts")) \
+            .coalesce(1).write.parquet(f"{d}/in/{i}")
+        time.sleep(1.1)
+    schema = "user_id long, ad_id long, seq long, ts timestamp"
+    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{d}/in/*")
+    got = _drain(stateful.cap_and_flag_stream(src, ["user_id", "ad_id"], "ts", "seq", limit=3, delay="1 hour"), "append")
+    passed, warned = capping.cap_and_flag(spark.read.schema(schema).parquet(f"{d}/in/*"), ["user_id", "ad_id"],
+                                          "ts", "seq", limit=3)
+    assert sorted(r["seq"] for r in got.where("channel = 'passed'").collect()) == sorted(r["seq"] for r in passed.collect())
+    assert [r["seq"] for r in got.where("channel = 'blacklist'").collect()] == [r["seq"] for r in warned.collect()] == [5]
