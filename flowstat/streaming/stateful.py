@@ -276,13 +276,12 @@ class StrictNextProcessor(_EventTimeOrdered):
         if not ready:
             return []
         pa, pt = self.last.get() if self.last.exists() else (False, 0)
-        out = []
-        for t, s, a, b in ready:
-            if pa and b and t - pt < self.w:
-                out.append((key[0], pt, t, s))
-            pa, pt = a, t
-        self.last.update((bool(pa), int(pt)))
-        return out
+        arr = np.array([(r[0], r[1], r[2], r[3]) for r in ready], dtype=np.int64)
+        t, s, a, b = arr[:, 0], arr[:, 1], arr[:, 2].astype(bool), arr[:, 3].astype(bool)
+        prev_a, prev_t = np.r_[pa, a[:-1]], np.r_[pt, t[:-1]]
+        hit = prev_a & b & (t - prev_t < self.w)
+        self.last.update((bool(a[-1]), int(t[-1])))
+        return [(key[0], int(p), int(c), int(q)) for p, c, q in zip(prev_t[hit], t[hit], s[hit])]
 
 
 class FollowedByProcessor(_EventTimeOrdered):
