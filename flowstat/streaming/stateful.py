@@ -301,15 +301,26 @@ class FollowedByProcessor(_EventTimeOrdered):
     def release(self, key, ready, wm):
         pend = list(self.pending.get()) if self.pending.exists() else []
         out = []
-        for t, s, a, b in ready:
-            if b:
-                for ct, cs in pend:
-                    out.append((key[0], "matched", cs, ct, s, t) if t - ct < self.w
-                               else (key[0], "timeout", cs, ct, None, None))
+        if ready:
+            arr = np.array([(r[0], r[1], r[2], r[3]) for r in ready], dtype=np.int64)
+            t, s, a, b = arr[:, 0], arr[:, 1], arr[:, 2].astype(bool), arr[:, 3].astype(bool)
+            pays = np.flatnonzero(b)
+            if pend and len(pays):                 # waiting creates take the first released pay
+                pt, ps = int(t[pays[0]]), int(s[pays[0]])
+                out += [(key[0], "matched", cs, ct, ps, pt) if pt - ct < self.w else
+                        (key[0], "timeout", cs, ct, None, None) for ct, cs in pend]
                 pend = []
-            if a:
-                pend.append((t, s))
-                self.handle.registerTimer((t + self.w) // 1000 + 1)
+            creates = np.flatnonzero(a)
+            nxt = np.searchsorted(pays, creates, side="right")   # first pay strictly after each create
+            for ci, ni in zip(creates, nxt):
+                ct, cs = int(t[ci]), int(s[ci])
+                if ni < len(pays):
+                    pt, ps = int(t[pays[ni]]), int(s[pays[ni]])
+                    out.append((key[0], "matched", cs, ct, ps, pt) if pt - ct < self.w else
+                               (key[0], "timeout", cs, ct, None, None))
+                else:
+                    pend.append((ct, cs))
+                    self.handle.registerTimer((ct + self.w) // 1000 + 1)
         keep = []
         for ct, cs in pend:
             if ct + self.w < wm:
