@@ -12,8 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import duration_us
-from ..operators import distinct, topn, windows
+from ..functions import ASSET_PATTERN, duration_us, is_asset, to_utc_wallclock
+from ..operators import capping, distinct, joins, late, patterns, topn, windows
+from ..sources import parse_access_log
 from . import tables as T
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -176,8 +177,6 @@ def uv_running(spark, sf_dir):
 
 
 # ================================================================ hot pages
-from ..functions import ASSET_PATTERN, is_asset  # noqa: E402
-from ..operators import capping, joins, late, patterns  # noqa: E402
 
 M1 = duration_us("1 minute")
 M10 = duration_us("10 minutes")
@@ -494,8 +493,6 @@ def tx_receipt_unmatched(spark, sf_dir):
 
 
 # ================================================================ access log
-from ..functions import to_utc_wallclock  # noqa: E402
-from ..sources import parse_access_log  # noqa: E402
 
 
 def access_log_lines(spark, sf_dir):
