@@ -15,6 +15,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import duration_us, is_asset
 from ..operators import capping, distinct, joins, patterns, topn, windows
 from ..operators.late import late_flag, watermark_before
 from ..sources import read_access_log, read_records
@@ -89,7 +90,6 @@ def hot_pages(spark: SparkSession, path: str, n: int = 5, size="10 minutes", sli
               lateness="1 minute", disorder="1 second", stream: bool = False, sink: str = "console"):
     """Top-n GET urls (static assets dropped) per sliding window; late rows
     go to a side output."""
-    from ..functions import is_asset
     log = read_access_log(spark, path, stream=stream)
     gets = log.where((F.col("method") == "GET") & ~is_asset("url"))
     if stream:
@@ -109,7 +109,6 @@ def hot_pages(spark: SparkSession, path: str, n: int = 5, size="10 minutes", sli
 
 
 def _secs(d) -> int:
-    from ..functions import duration_us
     return duration_us(d) // 1_000_000
 
 

@@ -8,11 +8,13 @@ early results and corrections (allowed lateness) are emitted too.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import duration_str, duration_us, to_micros
+from ..functions import bitmap_hash, duration_str, duration_us, to_micros
 from ..operators import distinct, topn, windows
 
 
@@ -38,7 +40,6 @@ def sliding_count_stream(df: DataFrame, ts: str, keys=None, size="1 hour", slide
     time-window aggregation, so the expansion is per pane, not per row.
     Chained aggregations run in append mode only; use ``window`` for update
     mode (allowed lateness with early and corrected results)."""
-    import math
     ev = with_event_time(df, ts, delay)
     size_us, slide_us = duration_us(size), duration_us(slide)
     if method == "auto":
@@ -65,7 +66,6 @@ def uv_stream(df: DataFrame, ts: str, col: str, size="1 hour", delay="0 seconds"
     if how == "exact":
         return distinct.distinct_per_window_stream(ev, ts, col, size)
     if how == "bitmap":
-        from ..functions import bitmap_hash
         return distinct.distinct_per_window_stream(ev.withColumn("_h", bitmap_hash(col)), ts, "_h", size)
     return distinct.distinct_per_window(ev, ts, col, size, "approx")
 

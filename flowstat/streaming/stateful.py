@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from ..functions import duration_us, from_micros, local_day, to_micros
+from ..functions import bitmap_hash, duration_str, duration_us, from_micros, local_day, to_micros
 from ..operators.capping import BLACKLIST_WARNING
 from ..operators.patterns import LOGIN_WARNING, PAY_WITHOUT_CREATE, PAYED, TIMEOUT
 from .jobs import with_event_time
@@ -519,7 +519,6 @@ def running_distinct_stream(df: DataFrame, ts: str, seq: str, col: str, size="1
                             delay="0 seconds") -> DataFrame:
     """Streaming per-event distinct count (exact per row, like
     :func:`flowstat.operators.distinct.running_distinct`)."""
-    from ..functions import bitmap_hash, duration_str
     ev = with_event_time(df, ts, delay)
     w = F.window(F.col(ts), duration_str(duration_us(size)))
     v = bitmap_hash(col) if hashed else F.col(col).cast("long")
