@@ -354,20 +354,35 @@ class BurstProcessor(_EventTimeOrdered):
 
         def close(c):
             if c is not None and c[1] >= self.min_count:
-                out.append((key[0], c[0], c[2], c[1]))
+                out.append((key[0], int(c[0]), int(c[2]), int(c[1])))
 
-        for t, s, fail, reset in ready:
-            if cur is not None and t > cur[0] + self.w:
-                close(cur)
-                cur = None
-            if fail:
+        if ready:
+            arr = np.array([(r[0], r[2], r[3]) for r in ready], dtype=np.int64)
+            t, fail, reset = arr[:, 0], arr[:, 1].astype(bool), arr[:, 2].astype(bool)
+            fails, resets = np.flatnonzero(fail), np.flatnonzero(reset & ~fail)
+            i, n = 0, len(t)
+            while i < n:                           # one step per window, not per row
                 if cur is None:
-                    cur = (t, 1, t)
-                    self.handle.registerTimer((t + self.w) // 1000 + 1)
-                else:
-                    cur = (cur[0], cur[1] + 1, t)
-            elif reset and cur is not None:
-                cur = None                                   # cancelled inside its window
+                    j = fails[np.searchsorted(fails, i)] if np.searchsorted(fails, i) < len(fails) else n
+                    if j >= n:
+                        break
+                    cur = (int(t[j]), 1, int(t[j]))
+                    self.handle.registerTimer((int(t[j]) + self.w) // 1000 + 1)
+                    i = j + 1
+                    continue
+                end = int(np.searchsorted(t, cur[0] + self.w, side="right"))   # first row after the window
+                end = max(end, i)
+                k = np.searchsorted(resets, i)
+                if k < len(resets) and resets[k] < end:          # a success inside the window cancels it
+                    cur, i = None, int(resets[k]) + 1
+                    continue
+                lo, hi = np.searchsorted(fails, i), np.searchsorted(fails, end)
+                if hi > lo:
+                    cur = (cur[0], cur[1] + int(hi - lo), int(t[fails[hi - 1]]))
+                if end >= n:
+                    break
+                close(cur)
+                cur, i = None, end
         if cur is not None and cur[0] + self.w < wm:
             close(cur)
             cur = None
