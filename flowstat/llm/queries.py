@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, exact_dedup, line_dedup, sharding
+from . import decontam, exact_dedup, line_dedup, sharding, token_files
 from .common import table
 
 
@@ -27,8 +27,14 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
             .drop("spans", "items"))
 
 
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return token_files.token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_dedup, op2_line_dedup, op6_feistel_sharding, op7_benchmark_decontamination)}
+    f.__name__: f for f in (op1_exact_dedup, op2_line_dedup, op6_feistel_sharding, op7_benchmark_decontamination,
+                               op10_token_files)}
 
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": """
