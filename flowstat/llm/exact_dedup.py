@@ -29,8 +29,14 @@ from pyspark.sql import functions as F
 
 from .common import materialize, scratch, whole
 
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# State on disk.  Files are not preallocated (a store for each partition would
+# hold megabytes of air), and a batch uploads its changes instead of all files.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def sha256(text: Column) -> Column:
@@ -61,13 +67,15 @@ def run_stream(spark: SparkSession, path: str, digest: Callable[[Column], Column
     def write_epoch(changed: DataFrame, epoch: int) -> None:
         changed.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
 
-    before = spark.conf.get(PROVIDER)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in STATE_STORE}
+    for k, v in STATE_STORE.items():
+        spark.conf.set(k, v)
     try:
         (state.writeStream.outputMode("update").foreachBatch(write_epoch)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination())
     finally:
-        spark.conf.set(PROVIDER, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     schema = spark.createDataFrame([], state.schema).schema
     if not _exists(spark, out):
         return spark.createDataFrame([], schema)
