@@ -79,7 +79,7 @@ def run_stream(spark: SparkSession, path: str, digest: Callable[[Column], Column
     schema = spark.createDataFrame([], state.schema).schema
     if not _exists(spark, out):
         return spark.createDataFrame([], schema)
-    epochs = spark.read.schema(schema).parquet(f"{out}/epoch=*")
+    epochs = spark.read.schema(schema).parquet(out)  # and the epoch, which is not used
     # the state only grows: a digest's last row is the one with the highest count
     return (epochs.groupBy("digest").agg(F.max_by(F.struct("keep_id", "keep_loc", "n"), "n").alias("s"))
             .select("digest", "s.keep_id", "s.keep_loc", "s.n"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, exact_dedup, line_dedup, sharding, token_files
+from . import decontam, exact_dedup, line_dedup, ngram_join, sharding, token_files
 from .common import table
 
 
@@ -18,6 +18,10 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op6_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
@@ -33,7 +37,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_dedup, op2_line_dedup, op6_feistel_sharding, op7_benchmark_decontamination,
+    f.__name__: f for f in (op1_exact_dedup, op2_line_dedup, op5_ngram_jaccard_join, op6_feistel_sharding, op7_benchmark_decontamination,
                                op10_token_files)}
 
 ORACLES: dict[str, str] = {
@@ -57,6 +61,19 @@ ORACLES: dict[str, str] = {
                CASE WHEN t = '' THEN 0 ELSE len(lines) END - coalesce(n, 0) AS n_removed,
                coalesce(text, '') AS text
         FROM d LEFT JOIN k ON d.doc_id = k.doc_id""",
+    "op5_ngram_jaccard_join": """
+        WITH RECURSIVE
+             w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+             s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+                   FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 5, 0) + 2)) AS i FROM w WHERE len(w) > 0)),
+             n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+             p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+             l AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * k >= 80 * (na.n + nb.n - k)),
+             e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+             r AS (SELECT doc_id AS d, doc_id AS c FROM w UNION SELECT r.d, e.b FROM r JOIN e ON r.c = e.a)
+        SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id
+        FROM w LEFT JOIN n ON w.doc_id = n.doc_id JOIN (SELECT d, min(c) AS component_id FROM r GROUP BY d) m ON w.doc_id = m.d""",
     "op7_benchmark_decontamination": """
         WITH dw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                                       '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
