@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, exact_dedup, line_dedup, ngram_join, sharding, token_files
+from . import decontam, exact_dedup, line_dedup, mixing, ngram_join, quality, sharding, token_files
 from .common import table
 
 
@@ -31,6 +31,15 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
             .drop("spans", "items"))
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    taken, _ = mixing.mix(table(spark, sf_dir, "documents"))
+    return taken.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     return token_files.token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -38,7 +47,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_exact_dedup, op2_line_dedup, op5_ngram_jaccard_join, op6_feistel_sharding, op7_benchmark_decontamination,
-                               op10_token_files)}
+                               op8_quality_classifier, op9_source_mixing, op10_token_files)}
 
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": """
