@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, exact_dedup, line_dedup, mixing, ngram_join, quality, sharding, token_files
+from . import decontam, exact_dedup, line_dedup, mixing, ngram_join, pii, quality, secret_scan, sharding, token_files
 from .common import table
 
 
@@ -18,6 +18,14 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents")).drop("assign", "access", "hex", "random")
+
+
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.scan(table(spark, sf_dir, "documents")).drop(*pii.KINDS, "likely")
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_join(table(spark, sf_dir, "documents"))
 
@@ -46,7 +54,8 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_dedup, op2_line_dedup, op5_ngram_jaccard_join, op6_feistel_sharding, op7_benchmark_decontamination,
+    f.__name__: f for f in (op1_exact_dedup, op2_line_dedup, op3_secret_scan, op4_personal_data, op5_ngram_jaccard_join,
+                               op6_feistel_sharding, op7_benchmark_decontamination,
                                op8_quality_classifier, op9_source_mixing, op10_token_files)}
 
 ORACLES: dict[str, str] = {
