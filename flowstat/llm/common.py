@@ -35,11 +35,14 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def lower_ascii(text: Column) -> Column:
-    """Lower-case A-Z only; every other character stays."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
 def words_count(text: Column) -> Column:
     """Number of maximal runs of characters other than space and \\x09-\\x0D."""
     return F.regexp_count(text, F.lit("[^ \\x09-\\x0D]+"))
+
+
+def fresh(docs: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until it is none of the columns of ``docs``."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name

@@ -160,3 +160,17 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 10, block_
     return found.select("doc_id", "n_words", covered.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
                         F.sha2(names, 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"),
                         "spans", "items")
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, width: int = 10, block_windows: int = 200_000) -> DataFrame:
+    """The rows of ``docs`` without any hit."""
+    def without(block: list[tuple[int, str]]):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            found_by = searchers(block, width)
+            for batch in batches:
+                yield batch.filter(pa.array([not search(x.as_py(), found_by)[1] for x in batch.column("text")], pa.bool_()))
+        return run
+
+    for block in item_blocks(benchmark, width, block_windows):
+        docs = docs.mapInArrow(without(block), docs.schema)
+    return docs

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import materialize, whole, words_count
+from .common import fresh, materialize, whole, words_count
 
 CHUNKS = 1024
 
@@ -145,18 +145,17 @@ def mixed_documents(docs: DataFrame, **parameters) -> DataFrame:
     """The documents of the mix, with the columns of ``docs``: a document once for
     each whole time it is taken, and once more with its first words (joined by
     single spaces) where the mix ends inside it."""
+    key, copy, found, text = (fresh(docs, f"mix_{c}") for c in ("key", "copy", "found", "text"))
     taken, _ = mix(docs, **parameters)
-    per_key = taken.where("taken > 0").groupBy(F.col("key").alias("mix_key")).agg(
-        F.map_from_entries(F.collect_list(F.struct("copy", F.struct("taken", "size")))).alias("mix_taken"))
-    keyed = docs.withColumn("mix_key", row_key())
-    number = F.row_number().over(W.partitionBy("mix_key").orderBy(F.hash(*docs.columns)))
-    rows = (keyed.withColumn("mix_copy", number).join(per_key, "mix_key")
-            .withColumn("mix", F.try_element_at("mix_taken", F.col("mix_copy"))).where("mix is not null"))
-    rest = F.pmod("mix.taken", "mix.size")
+    per_key = taken.where("taken > 0").groupBy(F.col("key").alias(key)).agg(
+        F.map_from_entries(F.collect_list(F.struct("copy", F.struct("taken", "size")))).alias(found))
+    number = F.row_number().over(W.partitionBy(key).orderBy(F.hash(*docs.columns)))
+    rows = (docs.withColumn(key, row_key()).withColumn(copy, number).join(per_key, key)
+            .withColumn(found, F.try_element_at(found, F.col(copy))).where(F.col(found).isNotNull()))
+    rest = F.pmod(F.col(found)["taken"], F.col(found)["size"])
     part = F.array_join(F.slice(F.regexp_extract_all("text", F.lit("[^ \\x09-\\x0D]+"), F.lit(0)), 1, rest.cast("int")), " ")
-    times = F.call_function("div", F.col("mix.taken"), F.col("mix.size")).cast("int")
+    times = F.call_function("div", F.col(found)["taken"], F.col(found)["size"]).cast("int")
     texts = F.concat(F.array_repeat(F.col("text"), times), F.when(rest > 0, F.array(part)).otherwise(F.array().cast("array<string>")))
-    out = rows.withColumn("mix_text", F.explode(texts))
-    return out.select(*[F.col("mix_text").alias(c) if c == "text"
-                        else F.when(F.col("mix_text") == F.col("text"), F.col(c)).otherwise(F.char_length("mix_text")).alias(c) if c == "n_chars"
-                        else F.col(c) for c in docs.columns])
+    out = rows.withColumn(text, F.explode(texts))
+    size = F.when(F.col(text) == F.col("text"), F.col("n_chars")).otherwise(F.char_length(text)) if "n_chars" in docs.columns else None
+    return out.select(*[F.col(text).alias(c) if c == "text" else size.alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])

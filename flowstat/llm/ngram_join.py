@@ -49,11 +49,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import materialize, whole
+from .common import fresh, materialize, whole
 
 WORDS = 5
 SKETCH_ROWS = 64
@@ -246,13 +246,13 @@ def _with_components(postings: DataFrame, labels: DataFrame | None) -> DataFrame
             .where("low <> high").drop("high"))
 
 
-def _fit(n: F.Column, m: F.Column) -> F.Column:
+def _fit(n: Column, m: Column) -> Column:
     """Sizes that can link."""
     return (100 * F.least(n, m) >= 80 * F.greatest(n, m))
 
 
 def jaccard_join(docs: DataFrame, sketch_bits: int = 22, most_shared: int = 4, star_rounds: int = 2) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text)."""
+    """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text), and th, the text's hash."""
     text = whole("text")
     rows = docs.select("doc_id", F.xxhash64(text).alias("th"), text.alias("text"))
     found = materialize(_classes(rows, sketch_bits), "join-classes")
@@ -305,7 +305,24 @@ def _assign(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     else:
         classes = classes.withColumn("comp", F.col("class"))
     ids = classes.groupBy("comp").agg(F.min("low").alias("component"))
-    by_class = classes.join(ids, "comp").select("class", "component")
+    by_class = classes.join(ids, "comp").select("class", "comp", "component")
     return (members.join(by_class, "class", "left")
             .select("doc_id", F.col("n").cast("long").alias("n_shingles"),
-                    F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component")).alias("component_id")))
+                    F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component")).alias("component_id"),
+                    "th", F.coalesce("comp", "class").alias("component_class")))
+
+
+def keep_one(docs: DataFrame, **parameters) -> DataFrame:
+    """One row of each component: that of the smallest id (null last), then of the
+    smallest text hash.  Rows of equal id and text are one document; wordless
+    documents all stay."""
+    def key(th: Column) -> Column:
+        return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), th)
+
+    found, name = jaccard_join(docs, **parameters), fresh(docs, "join_key")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "th"))
+    one = (found.where("component_class is not null").groupBy("component_class").agg(first.alias("r")).select("r.doc_id", "r.th")
+           .unionByName(found.where("component_class is null").select("doc_id", "th").distinct())
+           .select(key(F.col("th")).alias(name)))
+    keyed = docs.withColumn(name, key(F.xxhash64(whole("text"))))
+    return keyed.join(one, name, "left_semi").dropDuplicates([name]).drop(name)

@@ -31,8 +31,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import materialize, whole
+from .common import fresh, materialize
 
 SYMBOLS = np.frombuffer(b"#$%&*+/<=>@\\^_`{|}~[]", np.uint8)
 
@@ -84,14 +85,14 @@ def measures(text: bytes) -> list[float]:
 N_MEASURES = 37
 
 
-def features(docs: DataFrame) -> DataFrame:
-    """doc_id, x: the vector of every row."""
+def with_features(docs: DataFrame, name: str = "x") -> DataFrame:
+    """``docs`` with the vector of every row's text as column ``name``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = [measures(t.as_py()) for t in batch.column("text").cast(pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(x, pa.list_(pa.float64()))], names=["doc_id", "x"])
+            x = [measures(t.as_py() or b"") for t in batch.column("text").cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(x, pa.list_(pa.float64()))], names=[*batch.schema.names, name])
 
-    return docs.select("doc_id", whole("text").alias("text")).mapInArrow(run, "doc_id long, x array<double>")
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.ArrayType(T.DoubleType()))]))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -110,13 +111,22 @@ def preference_pairs(rows: DataFrame, opponents: int) -> DataFrame:
             .select(F.zip_with("x", "y", lambda a, b: a - b).alias("d")))
 
 
-def fit(labelled: DataFrame, sample: int = 20_000, opponents: int = 4) -> tuple[list[float], float]:
-    """Weights and threshold from rows (doc_id, quality, x); at most ``sample`` of each class."""
+def training_rows(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
+    """doc_id, quality, x, i of at most ``sample`` labelled rows of each class, numbered by class."""
+    known = labels.select("doc_id", "quality").where(~held_out(F.col("doc_id")))
+    some = [known.where(F.col("quality") == q).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for q in (0, 1)]
+    # at most 2 * sample rows
+    found = docs.select("doc_id", "text").join(F.broadcast(some[0].unionByName(some[1])), "doc_id")
+    rows = with_features(found).select("doc_id", "quality", "x")
+    order = W.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id", "x")
+    return materialize(rows.withColumn("i", F.row_number().over(order) - 1), "quality-sample")
+
+
+def fit(rows: DataFrame, opponents: int = 4) -> tuple[list[float], float]:
+    """Weights and threshold from training rows."""
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.functions import array_to_vector
 
-    order = W.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id", "x")
-    rows = materialize(labelled.withColumn("i", F.row_number().over(order) - 1).where(F.col("i") < sample), "quality-sample")
     pairs = preference_pairs(rows, opponents)
     both = (pairs.select("d", F.lit(1.0).alias("label"))
             .unionByName(pairs.select(F.transform("d", lambda x: -x).alias("d"), F.lit(0.0).alias("label"))))
@@ -133,16 +143,28 @@ def fit(labelled: DataFrame, sample: int = 20_000, opponents: int = 4) -> tuple[
     return weights, (below + above) / 2
 
 
-def raw_score(weights: list[float]) -> Column:
-    return F.aggregate(F.zip_with("x", F.array(*[F.lit(w) for w in weights]), lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
+def raw_score(weights: list[float], vector: str = "x") -> Column:
+    return F.aggregate(F.zip_with(vector, F.array(*[F.lit(w) for w in weights]), lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
+
+
+def with_score(docs: DataFrame, labels: DataFrame, name: str = "score", cut: float = 0.3, sample: int = 20_000) -> DataFrame:
+    """``docs`` with the score of every row as column ``name``."""
+    weights, threshold = fit(training_rows(docs, labels, sample))
+    vector = fresh(docs, "x")
+    raw = raw_score(weights, vector)
+    score = 1 / (1 + F.exp(F.lit(threshold - math.log(cut / (1 - cut))) - raw))
+    # rounding must not move a text at the threshold below the cut
+    score = F.when(raw >= threshold, F.greatest(score, F.lit(cut))).otherwise(score)
+    return with_features(docs, vector).withColumn(name, score).drop(vector)
 
 
 def classify(docs: DataFrame, labels: DataFrame, cut: float = 0.3, sample: int = 20_000) -> DataFrame:
     """doc_id, held_out, score, predicted of every row of ``docs``."""
-    found = materialize(features(docs), "quality-features")
-    known = labels.select("doc_id", "quality").where("quality in (0, 1)")
-    weights, threshold = fit(found.join(known, "doc_id").where(~held_out(F.col("doc_id"))), sample)
-    score = 1 / (1 + F.exp(F.lit(threshold - math.log(cut / (1 - cut))) - raw_score(weights)))
-    score = F.when(raw_score(weights) >= threshold, F.greatest(score, F.lit(cut))).otherwise(score)
-    return (found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"))
-            .withColumn("predicted", (F.col("score") >= cut).cast("int")))
+    return (with_score(docs.select("doc_id", "text"), labels, "score", cut, sample)
+            .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= cut).cast("int").alias("predicted")))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, cut: float = 0.3, sample: int = 20_000) -> DataFrame:
+    """The rows of ``docs`` that score at least ``cut``."""
+    name = fresh(docs, "score")
+    return with_score(docs, labels, name, cut, sample).where(F.col(name) >= cut).drop(name)

@@ -27,7 +27,7 @@ def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.jaccard_join(table(spark, sf_dir, "documents"))
+    return ngram_join.jaccard_join(table(spark, sf_dir, "documents")).drop("th", "component_class")
 
 
 def op6_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
