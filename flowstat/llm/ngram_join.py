@@ -45,6 +45,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -154,10 +155,10 @@ def prefix(s: np.ndarray, counts: np.ndarray, shift: int, floor: float, most: in
     order = np.argsort((4 * np.log2(c + 1.0)).astype(np.uint8), kind="stable")
     shortest = n - at_least(n)
     longest = min(most, at_least(n))
-    cost = np.cumsum(1.0 + np.maximum(0.0, c[order[:shortest + longest]] - 2 * floor))[shortest:]
+    others = np.cumsum(np.maximum(0.0, c[order[:shortest + longest]] - 2 * floor))[shortest:]
     share = np.arange(1, longest + 1)
-    # postings read, plus candidates (at most postings / l) times the cost of a verification
-    best = int(np.argmin(cost * (1 + n / 8 / share)))
+    # postings read, plus candidates (those that share l are at most postings / l) times the cost of a verification
+    best = int(np.argmin(share + others * (1 + n / 8 / share)))
     return s[order[:shortest + best + 1]], best + 1
 
 
@@ -260,7 +261,7 @@ def jaccard_join(docs: DataFrame, sketch_bits: int = 22, most_shared: int = 4, s
     counts = _sketch(found, sketch_bits)
     shared = materialize(_postings(rows, counts, sketch_bits, most_shared).dropDuplicates(["shingle", "class"]), "join-postings")
 
-    labels, links = None, None
+    labels, links = None, []
     if not shared.isEmpty():
         texts = materialize(_texts(rows, members, shared.select("class").distinct()), "join-texts")
         for _ in range(star_rounds):
@@ -270,9 +271,8 @@ def jaccard_join(docs: DataFrame, sketch_bits: int = 22, most_shared: int = 4, s
             stars = (left.withColumn("b", centre["class"]).where("comp <> low")
                      .groupBy(F.col("class").alias("a"), "b").count()
                      .groupBy("a").agg(F.max_by("b", F.struct("count", "b")).alias("b")))
-            new = materialize(verify(stars, texts), "join-links")
-            links = new if links is None else links.unionByName(new)
-            labels = components(links)
+            links.append(materialize(verify(stars, texts), "join-links"))
+            labels = components(reduce(DataFrame.unionByName, links))
         left = materialize(_with_components(shared, labels), "join-left")
         sizes = left.groupBy("shingle", "comp").agg(F.count(F.lit(1)).alias("k"))
         largest = sizes.groupBy("shingle").agg(F.max_by("comp", F.struct("k", "comp")).alias("big"))
@@ -285,8 +285,8 @@ def jaccard_join(docs: DataFrame, sketch_bits: int = 22, most_shared: int = 4, s
                  .groupBy(F.col("a.class").alias("a"), F.col("b.class").alias("b"))
                  .agg(F.count(F.lit(1)).alias("k"), F.first(F.least(F.pmod("a.nl", F.lit(16)), F.pmod("b.nl", F.lit(16)))).alias("l"))
                  .where("k >= l").select("a", "b"))
-        links = links.unionByName(materialize(verify(pairs, texts), "join-links"))
-        labels = components(links)
+        links.append(materialize(verify(pairs, texts), "join-links"))
+        labels = components(reduce(DataFrame.unionByName, links))
     return _assign(members, labels)
 
 
