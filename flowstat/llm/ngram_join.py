@@ -16,17 +16,21 @@ Steps, each distributed:
    thing sent to the driver and back: ``2 ** sketch_bits`` cells).  The counters
    give the order and the cost estimates; they never decide what is compared
    beyond that, so their collisions cost time only.
-2. Documents with equal sets are one class.  Each class posts its prefix; a
-   task posts a class once however many copies it reads.  Postings whose
-   shingle has a single class are dropped.
+2. Documents with equal sets are one class.  Each class posts its prefix with the
+   places of the shingles in it; a task posts a class once however many copies
+   it reads.  A place bounds the sizes of sets that can link through it (the
+   first l common shingles leave at least the needed overlap behind them), so
+   postings whose shingle has a single class, or no class of a fitting size, are
+   dropped.
 3. Near copies in the thousands would make all pairs of their group, so classes
-   are first compared with one other class only: the smallest of the postings
-   they share most.  Linked ones merge into components.  This is repeated on
-   postings that still hold several components.
+   are first compared with one other class only, the centre of the shingles that
+   they share most: the class with the shingle at the earliest place, which has
+   the fewest shingles of its own.  Linked ones merge into components.  This is
+   repeated with other centres on postings that still hold several components.
 4. What is left is compared in full: all pairs of classes in different
    components under one shingle, except that the largest component's members
-   need no comparison with each other.  Pairs with at least min(l) shared
-   shingles and fitting sizes are verified on the whole texts.
+   need no comparison with each other.  Pairs with fitting sizes and at least
+   min(l) shared shingles at fitting places are verified on the whole texts.
 
 So every pair of linked documents is either verified or already joined through
 others, and groups of copies cost about as many comparisons as members.
@@ -43,6 +47,7 @@ pair of 20,000-word documents has a chance of about 1e-11.  A class is named by
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Iterator
 from functools import reduce
@@ -54,7 +59,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import fresh, materialize, whole
+from .common import fresh, materialize, scratch, whole
 
 WORDS = 5
 SKETCH_ROWS = 64
@@ -163,7 +168,7 @@ def prefix(s: np.ndarray, counts: np.ndarray, shift: int, floor: float, most: in
 
 
 def _postings(docs: DataFrame, counts: np.ndarray, sketch_bits: int, most: int) -> DataFrame:
-    """shingle, class, nl (16 * n + l); each task posts a class once."""
+    """shingle, class, nip (size, place in the prefix and l, packed); each task posts a class once."""
     held = docs.sparkSession.sparkContext.broadcast(np.minimum(counts, 2**32 - 1).astype(np.uint32))
     floor = counts.sum() / len(counts)
 
@@ -180,16 +185,50 @@ def _postings(docs: DataFrame, counts: np.ndarray, sketch_bits: int, most: int)
                 p, share = prefix(s, held.value, 64 - sketch_bits, floor, most)
                 tokens.append(p)
                 ids.append(np.full(len(p), class_id(digest), np.int64))
-                sizes.append(np.full(len(p), 16 * len(s) + share, np.int64))
+                sizes.append((len(s) << 32) + (np.arange(len(p), dtype=np.int64) << 4) + share)
             if ids:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(ids)), pa.array(np.concatenate(sizes))],
-                    names=["shingle", "class", "nl"])
+                    names=["shingle", "class", "nip"])
 
-    rows = docs.select("text").mapInArrow(run, "shingle long, class long, nl long")
+    return _crowded(docs.select("text").mapInArrow(run, "shingle long, class long, nip long"), "class")
+
+
+PLACE = (1 << 28) - 1
+
+
+def _size(nip: str) -> Column:
+    return F.shiftright(nip, 32)
+
+
+def _place(nip: str) -> Column:
+    return F.shiftright(nip, 4).bitwiseAND(F.lit(PLACE))
+
+
+def _share(nip: str) -> Column:
+    return F.pmod(nip, F.lit(16))
+
+
+def _crowded(postings: DataFrame, group: str) -> DataFrame:
+    """Postings under shingles that hold several values of ``group``, and at least
+    one class of a size that can link through the posting."""
     same = W.partitionBy("shingle")
-    return (rows.withColumn("low", F.min("class").over(same)).withColumn("high", F.max("class").over(same))
-            .where("low <> high").drop("high"))
+    n = _size("nip")
+    # a pair's l-th common shingle leaves an overlap of at most n - place + l - 1, and it
+    # needs 4/9 (n + m) or more; 0.8 n <= m <= 1.25 n in any case
+    tail = n - _place("nip") + _share("nip") - 1
+    most = F.least(F.floor(n * 5 / 4), F.floor(tail * 9 / 4) - n)
+    return (postings.withColumns({"low": F.min(group).over(same), "high": F.max(group).over(same),
+                                  "n_low": F.min(n).over(same), "n_high": F.max(n).over(same)})
+            .where((F.col("low") != F.col("high")) & (most >= F.col("n_low")) & (F.ceil(n * 4 / 5) <= F.col("n_high")))
+            .drop("low", "high", "n_low", "n_high"))
+
+
+def _can_link(a: str, b: str) -> Column:
+    """Sizes fit, and neither place is too late for the overlap that they need."""
+    n, m = _size(a), _size(b)
+    tail = F.least(n - _place(a), m - _place(b)) + F.least(_share(a), _share(b)) - 1
+    return (100 * F.least(n, m) >= 80 * F.greatest(n, m)) & (9 * tail >= 4 * (n + m))
 
 
 # --------------------------------------------------------------- verification
@@ -236,20 +275,37 @@ def components(edges: DataFrame) -> DataFrame:
 
 # ----------------------------------------------------------------- the join
 def _with_components(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Postings under shingles that still hold several components."""
-    if labels is not None:
-        postings = postings.join(labels, "class", "left").withColumn("comp", F.coalesce("comp", "class"))
-    else:
-        postings = postings.withColumn("comp", F.col("class"))
-    same = W.partitionBy("shingle")
-    return (postings.select("shingle", "class", "nl", "comp")
-            .withColumn("low", F.min("comp").over(same)).withColumn("high", F.max("comp").over(same))
-            .where("low <> high").drop("high"))
-
-
-def _fit(n: Column, m: Column) -> Column:
-    """Sizes that can link."""
-    return (100 * F.least(n, m) >= 80 * F.greatest(n, m))
+    """Postings with their class's component, under shingles that still hold several."""
+    if labels is None:
+        return _crowded(postings.withColumn("comp", F.col("class")), "comp")
+    named = postings.join(labels, "class", "left").withColumn("comp", F.coalesce("comp", "class"))
+    return _crowded(named.select("shingle", "class", "nip", "comp"), "comp")
+
+
+def _stars(left: DataFrame, number: int) -> DataFrame:
+    """Pairs (a, b): each class and the centre with which it shares most shingles."""
+    first = _place("nip") if number == 0 else F.xxhash64(F.lit(number), "class")
+    centre = F.min(F.struct(first.alias("first"), "class", "nip", "comp")).over(W.partitionBy("shingle"))
+    met = left.withColumn("c", centre).withColumns({"c_nip": F.col("c.nip"), "b": F.col("c.class")})
+    return (met.where((F.col("comp") != F.col("c.comp")) & _can_link("nip", "c_nip"))
+            .groupBy(F.col("class").alias("a"), "b").count()
+            .groupBy("a").agg(F.max_by("b", F.struct("count", "b")).alias("b")))
+
+
+def _all_pairs(left: DataFrame) -> DataFrame:
+    """Pairs (a, b) of classes in different components that share enough; no two of
+    the largest component under a shingle."""
+    sizes = left.groupBy("shingle", "comp").agg(F.count(F.lit(1)).alias("k"))
+    largest = sizes.groupBy("shingle").agg(F.max_by("comp", F.struct("k", "comp")).alias("big"))
+    named = left.join(largest, "shingle")
+    a = named.where("comp <> big").select("shingle", *[F.col(c).alias(f"a_{c}") for c in ("class", "nip", "comp")])
+    b = named.select("shingle", "big", *[F.col(c).alias(f"b_{c}") for c in ("class", "nip", "comp")])
+    # each pair once: a minor meets the whole largest component, and other minors of smaller components
+    once = (F.col("b_comp") == F.col("big")) | (F.col("a_comp") > F.col("b_comp"))
+    return (a.join(b, "shingle").where((F.col("a_comp") != F.col("b_comp")) & once & _can_link("a_nip", "b_nip"))
+            .groupBy(F.col("a_class").alias("a"), F.col("b_class").alias("b"))
+            .agg(F.count(F.lit(1)).alias("k"), F.first(F.least(_share("a_nip"), _share("b_nip"))).alias("l"))
+            .where("k >= l").select("a", "b"))
 
 
 def jaccard_join(docs: DataFrame, sketch_bits: int = 22, most_shared: int = 4, star_rounds: int = 2) -> DataFrame:
@@ -263,29 +319,12 @@ def jaccard_join(docs: DataFrame, sketch_bits: int = 22, most_shared: int = 4, s
 
     labels, links = None, []
     if not shared.isEmpty():
-        texts = materialize(_texts(rows, members, shared.select("class").distinct()), "join-texts")
-        for _ in range(star_rounds):
-            left = _with_components(shared, labels)
-            # the shingle's first component is the centre; a class meets the centre it shares most shingles with
-            centre = F.min(F.struct("comp", "class")).over(W.partitionBy("shingle"))
-            stars = (left.withColumn("b", centre["class"]).where("comp <> low")
-                     .groupBy(F.col("class").alias("a"), "b").count()
-                     .groupBy("a").agg(F.max_by("b", F.struct("count", "b")).alias("b")))
-            links.append(materialize(verify(stars, texts), "join-links"))
+        texts = by_class(_texts(rows, members, shared.select("class").distinct()))
+        for number in range(star_rounds):
+            links.append(materialize(verify(_stars(_with_components(shared, labels), number), texts), "join-links"))
             labels = components(reduce(DataFrame.unionByName, links))
         left = materialize(_with_components(shared, labels), "join-left")
-        sizes = left.groupBy("shingle", "comp").agg(F.count(F.lit(1)).alias("k"))
-        largest = sizes.groupBy("shingle").agg(F.max_by("comp", F.struct("k", "comp")).alias("big"))
-        minor = left.join(largest, "shingle").where("comp <> big")
-        # each pair once: a minor meets the whole largest component, and minors of other components below its own
-        a, b = minor.alias("a"), left.join(largest, "shingle").alias("b")
-        pairs = (a.join(b, (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.comp") != F.col("b.comp"))
-                        & ((F.col("b.comp") == F.col("b.big")) | (F.col("a.comp") > F.col("b.comp")))
-                        & _fit(F.shiftright("a.nl", 4), F.shiftright("b.nl", 4)))
-                 .groupBy(F.col("a.class").alias("a"), F.col("b.class").alias("b"))
-                 .agg(F.count(F.lit(1)).alias("k"), F.first(F.least(F.pmod("a.nl", F.lit(16)), F.pmod("b.nl", F.lit(16)))).alias("l"))
-                 .where("k >= l").select("a", "b"))
-        links.append(materialize(verify(pairs, texts), "join-links"))
+        links.append(materialize(verify(_all_pairs(left), texts), "join-links"))
         labels = components(reduce(DataFrame.unionByName, links))
     return _assign(members, labels)
 
@@ -298,6 +337,17 @@ def _texts(rows: DataFrame, members: DataFrame, classes: DataFrame) -> DataFrame
             .dropDuplicates(["class"]).select("class", "text"))
 
 
+def by_class(texts: DataFrame) -> DataFrame:
+    """``texts`` as a table bucketed by class in the shared folder, so that joins on
+    the class move the other side only."""
+    spark = texts.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"join_texts_{uuid.uuid4().hex}"
+    (texts.repartition(n, "class").write.bucketBy(n, "class").sortBy("class")
+     .option("path", scratch(spark, "join-texts")).saveAsTable(name))
+    return spark.table(name)
+
+
 def _assign(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     classes = members.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("low"))
     if labels is not None:
