@@ -2,58 +2,83 @@
 return the outputs (batch) or start labelled streaming queries.
 
 Batch: ``job(spark, paths...)`` returns ``{label: DataFrame}``.
-Stream: ``job(spark, paths..., stream=True, sink="console")`` starts one
-query per output and returns ``{label: StreamingQuery}``.
+Stream: ``job(spark, paths..., stream=True, sink=...)`` starts one query per
+output and returns ``{label: StreamingQuery}``.  ``sink`` is ``"console"``
+(prints every row), ``"memory"``, a folder (every row as Parquet, a sub-folder
+for each output, a partition for each micro-batch), or callables ``(df,
+epoch_id)``: one, or a dictionary of one for each output.
 
-    python -m flowstat.plans.jobs login_fail /data/LoginLog.csv
+    python -m flowstat.plans.jobs login_fail /data/LoginLog.csv --out /data/result
 """
 
 from __future__ import annotations
 
 import sys
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import duration_us, is_asset
 from ..operators import capping, distinct, joins, patterns, topn, windows
 from ..operators.late import late_flag, watermark_before
-from ..sources import read_access_log, read_records
+from ..sources import arrival_order, parse_access_log, read_access_log, read_records
 from ..streaming import jobs as sj
 from ..streaming import stateful
-from ..streaming.sinks import checkpoint_location, write_stream
+from ..streaming.sinks import checkpoint_location, epoch_folder, fan_out_per_batch, print_batch, print_rows, write_stream
 
 
-def _emit(outputs: dict[str, DataFrame], stream: bool, sink: str, mode: str = "append"):
-    if not stream:
-        return outputs
-    return {label: write_stream(df, label.replace(" ", "_"), fmt=sink, mode=mode) for label, df in outputs.items()}
+def _name(label: str) -> str:
+    return label.replace(" ", "_")
 
 
-def _emit_ranked(counts: DataFrame, label: str, key: str, n: int, sink, mode: str = "update"):
-    """Rank each micro-batch of window counts (top-n per window end) and hand
-    it to ``sink``: "console" prints it, a callable gets ``(df, epoch_id)``."""
-    def show(df, epoch_id):
-        print(f"== {label} (batch {epoch_id})")
-        df.orderBy("window_end", "rn").show(1000, truncate=False)
-    target = sink if callable(sink) else show
-    cb = sj.top_n_per_batch("window_end", key, n, target)
-    return {label: write_stream(counts, label.replace(" ", "_"), mode=mode, foreach_batch=cb)}
+def _target(label: str, sink):
+    """Where a micro-batch of an output goes: a callable ``(df, epoch_id)``."""
+    if isinstance(sink, dict):
+        return sink[label]
+    if callable(sink):
+        return sink
+    return print_batch(label) if sink == "console" else epoch_folder(f"{sink.rstrip('/')}/{_name(label)}")
+
+
+def _emit(outputs: dict[str, DataFrame], sink, identity: str, mode: str = "append"):
+    def start(label, df):
+        if sink == "memory":
+            return write_stream(df, _name(label), fmt="memory", mode=mode)
+        return write_stream(df, _name(label), mode=mode, foreach_batch=_target(label, sink), identity=identity)
+    return {label: start(label, df) for label, df in outputs.items()}
+
+
+def _emit_split(tagged: DataFrame, label: str, channel: str, outputs: dict, sink, identity: str):
+    """One query for a tagged stream; its channels (value -> label) go to sinks of their own."""
+    if sink == "memory":
+        return {label: write_stream(tagged, _name(label), fmt="memory")}
+    split = fan_out_per_batch(channel, {value: _target(name, sink) for value, name in outputs.items()})
+    return {label: write_stream(tagged, _name(label), foreach_batch=split, identity=identity)}
+
+
+def _emit_ranked(counts: DataFrame, label: str, key: str, n: int, sink, identity: str, mode: str = "update"):
+    """Rank each micro-batch of window counts (top-n per window end) and hand it to
+    ``sink`` (``"memory"`` keeps the counts themselves)."""
+    if sink == "memory":
+        return {label: write_stream(counts, _name(label), fmt="memory", mode=mode)}
+    cb = sj.top_n_per_batch("window_end", key, n, _target(label, sink))
+    return {label: write_stream(counts, _name(label), mode=mode, foreach_batch=cb, identity=identity)}
 
 
 def _seq(df: DataFrame, stream: bool) -> DataFrame:
-    # a file stream has no line number: the event time orders rows of one key
-    return df.withColumn("seq", F.unix_micros("ts")) if stream else df
+    # a file stream has no line number: there the event time orders rows of one key
+    return df.withColumn("seq", F.unix_micros("ts")) if stream and "seq" not in df.columns else df
 
 
 def hot_items(spark: SparkSession, path: str, n: int = 5, size="1 hour", slide="5 minutes",
               stream: bool = False, sink: str = "console"):
     """Top-n viewed items per sliding window, with its text report."""
-    ub = read_records(spark, path, "user_behavior", stream=stream).where(F.col("behavior") == "pv")
+    ub, pv = read_records(spark, path, "user_behavior", stream=stream), F.col("behavior") == "pv"
     if stream:
-        ranked = sj.top_n_stream(ub, "ts", "item_id", size, slide, n)
-        return _emit({"hot items": ranked}, stream, sink)
-    counts = windows.sliding_count(ub, "ts", "item_id", size, slide)
+        # a window's counts come out together when it closes; the batch ranking keeps n rows per task
+        counts = sj.sliding_count_stream(ub, "ts", "item_id", size, slide, where=pv)
+        return _emit_ranked(counts, "hot items", "item_id", n, sink, f"{path} {size} {slide} {n}", mode="append")
+    counts = windows.sliding_count(ub.where(pv), "ts", "item_id", size, slide)
     ranked = topn.top_n(counts, "window_end", "item_id", "cnt", n)
     return {"hot items": ranked, "report": topn.report(ranked, "window_end", "item_id")}
 
@@ -67,23 +92,28 @@ def hot_items_sql(spark: SparkSession, path: str, n: int = 5, stream: bool = Fal
     ub = read_records(spark, path, "user_behavior", stream=stream)
     if stream:
         sj.with_event_time(ub, "ts").select("item_id", "behavior", "ts").createOrReplaceTempView("data_table")
-        counts = spark.sql("""SELECT item_id, window.end AS window_end, count(item_id) AS cnt FROM data_table
-                              WHERE behavior = 'pv' GROUP BY item_id, window(ts, '1 hour')""")
-        label = "hot items sql"
-        state = checkpoint_location(counts, label.replace(" ", "_")) + "/topn_state"
-
-        def show(df, epoch_id):
-            print(f"== {label} (batch {epoch_id})")
-            df.orderBy("window_end", "op", "rn").show(1000, truncate=False)
-        cb = sj.top_n_retract_per_batch("window_end", "item_id", n, state, sink if callable(sink) else show)
-        return {label: write_stream(counts, label.replace(" ", "_"), mode="update", foreach_batch=cb)}
+        # the condition names the event time, so it stays above the watermark
+        counts = spark.sql(hourly_items_sql("data_table", "if(ts IS NOT NULL, behavior = 'pv', false)"))
+        label, identity = "hot items sql", f"{path} {n}"
+        state = checkpoint_location(spark, _name(label), identity) + "/topn_state"
+        cb = sj.top_n_retract_per_batch("window_end", "item_id", n, state, _target(label, sink))
+        return {label: write_stream(counts, _name(label), mode="update", foreach_batch=cb, identity=identity)}
     ub.select("item_id", "behavior", "ts").createOrReplaceTempView("data_table")
-    counts = spark.sql("""SELECT item_id, window.end AS window_end, count(item_id) AS cnt FROM data_table
-                          WHERE behavior = 'pv' GROUP BY item_id, window(ts, '1 hour')""")
+    counts = spark.sql(hourly_items_sql("data_table", "behavior = 'pv'"))
     counts.createOrReplaceTempView("agg")
-    top = spark.sql(f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, item_id)
-                        AS row_num FROM agg) WHERE row_num <= {int(n)}""")
-    return {"counts": counts, "top": top}
+    return {"counts": counts, "top": spark.sql(top_items_sql("agg", n))}
+
+
+def hourly_items_sql(view: str, condition: str) -> str:
+    """Views per item and hour of the rows that satisfy ``condition``."""
+    return (f"SELECT item_id, window.end AS window_end, count(item_id) AS cnt FROM {view} "
+            f"WHERE {condition} GROUP BY item_id, window(ts, '1 hour')")
+
+
+def top_items_sql(view: str, n: int) -> str:
+    """The first ``n`` items of each hour by count, then id."""
+    ranked = f"SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, item_id) AS row_num FROM {view}"
+    return f"SELECT * FROM ({ranked}) WHERE row_num <= {int(n)}"
 
 
 def hot_pages(spark: SparkSession, path: str, n: int = 5, size="10 minutes", slide="5 seconds",
@@ -91,18 +121,23 @@ def hot_pages(spark: SparkSession, path: str, n: int = 5, size="10 minutes", sli
     """Top-n GET urls (static assets dropped) per sliding window; late rows
     go to a side output."""
     log = read_access_log(spark, path, stream=stream)
-    gets = log.where((F.col("method") == "GET") & ~is_asset("url"))
+    wanted = (F.col("method") == "GET") & ~is_asset("url")
     if stream:
         # delay = disorder + allowed lateness; update mode re-emits corrected
         # counts for late rows, and each micro-batch is re-ranked
         # (update mode allows one stateful aggregation only, so no pane pre-aggregation here)
-        counts = sj.sliding_count_stream(gets, "ts", "url", size, slide,
+        identity = f"{path} {size} {slide} {n} {lateness} {disorder}"
+        counts = sj.sliding_count_stream(log, "ts", "url", size, slide, where=wanted,
                                          delay=f"{_secs(disorder) + _secs(lateness)} seconds", method="window")
-        return _emit_ranked(counts, "hot pages", "url", n, sink)
-    # arrival order of a log file is its line order; every request moves the
+        flagged = stateful.split_late_stream(log, "ts", size, slide, lateness, disorder)
+        late = flagged.where(F.col("late") & wanted).drop("late", "spread_key", "t_us")
+        return (_emit_ranked(counts, "hot pages", "url", n, sink, identity)
+                | _emit({"late": late}, sink, identity))
+    # arrival order of a log is the order of its files and lines; every request moves the
     # watermark, GETs are counted in the windows still open on their arrival
-    seen = watermark_before(log.withColumn("seq", F.monotonically_increasing_id()), "ts", "seq", "seq", disorder)
-    gets = seen.where((F.col("method") == "GET") & ~is_asset("url"))
+    lines = arrival_order(spark.read.text(path))
+    seen = watermark_before(parse_access_log(lines, keep=["seq"]), "ts", "seq", "seq", disorder)
+    gets = seen.where(wanted)
     late_rows = gets.where(late_flag(gets, "ts", "watermark", size, slide, lateness))
     counts = windows.sliding_count_open(gets, "ts", "url", size, slide, "watermark", lateness)
     return {"hot pages": topn.top_n(counts, "window_end", "url", "cnt", n), "late": late_rows}
@@ -114,20 +149,23 @@ def _secs(d) -> int:
 
 def page_views(spark: SparkSession, path: str, stream: bool = False, sink: str = "console"):
     """Hourly page views (plain and two-stage salted)."""
-    ub = read_records(spark, path, "user_behavior", stream=stream).where(F.col("behavior") == "pv")
+    ub, pv = read_records(spark, path, "user_behavior", stream=stream), F.col("behavior") == "pv"
     if stream:
-        ev = sj.with_event_time(ub, "ts")
+        ev = sj.after_watermark(sj.with_event_time(ub, "ts"), "ts", pv)
         return _emit({"pv": windows.tumbling_count(ev, "ts", None, "1 hour", out="pv"),
-                      "pv salted": windows.salted_count(ev, "ts", "1 hour", "user_id", 10, out="pv")}, stream, sink)
+                      "pv salted": windows.salted_count(ev, "ts", "1 hour", "user_id", 10, out="pv")}, sink, path)
+    ub = ub.where(pv)
     return {"pv": windows.tumbling_count(ub, "ts", None, "1 hour", out="pv"),
             "pv salted": windows.salted_count(ub, "ts", "1 hour", "user_id", 10, out="pv")}
 
 
 def unique_visitors(spark: SparkSession, path: str, stream: bool = False, sink: str = "console"):
     """Hourly unique visitors: exact, bitmap, approximate, and per event."""
-    ub = read_records(spark, path, "user_behavior", stream=stream).where(F.col("behavior") == "pv")
+    ub, pv = read_records(spark, path, "user_behavior", stream=stream), F.col("behavior") == "pv"
     if stream:
-        return _emit({"uv": sj.uv_stream(ub, "ts", "user_id", "1 hour")}, stream, sink)
+        running = stateful.running_distinct_stream(_seq(ub, True), "ts", "seq", "user_id", "1 hour", where=pv)
+        return _emit({"uv": sj.uv_stream(ub, "ts", "user_id", "1 hour", where=pv), "uv running": running}, sink, path)
+    ub = ub.where(pv)
     return {"uv": distinct.distinct_per_window(ub, "ts", "user_id", "1 hour", "exact"),
             "uv bitmap": distinct.distinct_per_window(ub, "ts", "user_id", "1 hour", "bitmap"),
             "uv approx": distinct.distinct_per_window(ub, "ts", "user_id", "1 hour", "approx"),
@@ -138,11 +176,13 @@ def marketing(spark: SparkSession, path: str, size="1 hour", slide="5 seconds",
               stream: bool = False, sink: str = "console"):
     """Counts per (channel, behaviour) and the uninstall total per window."""
     mk = read_records(spark, path, "market", stream=stream)
-    by_channel = mk if as_written else mk.where(F.col("behavior") != "UNINSTALL")
-    total = mk.where(F.col("behavior") == "UNINSTALL")
+    gone = F.col("behavior") == "UNINSTALL"
+    counted: Column | None = None if as_written else ~gone
     if stream:
-        return _emit({"channel": sj.sliding_count_stream(by_channel, "ts", ["channel", "behavior"], size, slide),
-                      "total": sj.sliding_count_stream(total, "ts", None, size, slide)}, stream, sink)
+        return _emit({"channel": sj.sliding_count_stream(mk, "ts", ["channel", "behavior"], size, slide, where=counted),
+                      "total": sj.sliding_count_stream(mk, "ts", None, size, slide, where=gone)},
+                     sink, f"{path} {size} {slide} {as_written}")
+    by_channel, total = mk if as_written else mk.where(counted), mk.where(gone)
     t = windows.sliding_count(total, "ts", None, size, slide)
     return {"channel": windows.sliding_count(by_channel, "ts", ["channel", "behavior"], size, slide),
             "total": t.select(F.concat_ws(",", F.date_format("window_end", "yyyy-MM-dd HH:mm:ss.S"),
@@ -151,15 +191,16 @@ def marketing(spark: SparkSession, path: str, size="1 hour", slide="5 seconds",
 
 def ad_clicks(spark: SparkSession, path: str, limit: int = 100, zone: str = "Asia/Shanghai",
               size="1 hour", slide="5 seconds", stream: bool = False, sink: str = "console"):
-    """Click cap with blacklist side output, and clicks per province."""
+    """Click cap with blacklist side output, and clicks (all of them) per province."""
     ads = _seq(read_records(spark, path, "ad_click", stream=stream), stream)
     if stream:
         tagged = stateful.cap_and_flag_stream(ads, ["user_id", "ad_id"], "ts", "seq", limit, zone)
-        return _emit({"ad clicks": tagged,
-                      "province": sj.sliding_count_stream(ads, "ts", "province", size, slide)}, stream, sink)
+        identity = f"{path} {limit} {zone} {size} {slide}"
+        return (_emit_split(tagged, "ad clicks", "channel", {"passed": "passed", "blacklist": "black list"}, sink, identity)
+                | _emit({"province": sj.sliding_count_stream(ads, "ts", "province", size, slide)}, sink, identity))
     passed, warned = capping.cap_and_flag(ads, ["user_id", "ad_id"], "ts", "seq", limit, zone)
     return {"passed": passed, "black list": warned,
-            "province": windows.sliding_count(passed, "ts", "province", size, slide)}
+            "province": windows.sliding_count(ads, "ts", "province", size, slide)}
 
 
 def login_fail(spark: SparkSession, path: str, bound="2 seconds", stream: bool = False, sink: str = "console"):
@@ -170,7 +211,8 @@ def login_fail(spark: SparkSession, path: str, bound="2 seconds", stream: bool =
     if stream:
         return _emit({"consecutive": stateful.consecutive_stream(lg, "user_id", fail, "ts", "seq", bound),
                       "sequence": stateful.match_next_stream(lg, "user_id", fail, fail, "ts", "seq", bound),
-                      "burst": stateful.burst_stream(lg, "user_id", fail, ~fail, "ts", "seq", bound)}, stream, sink)
+                      "burst": stateful.burst_stream(lg, "user_id", fail, ~fail, "ts", "seq", bound)},
+                     sink, f"{path} {bound}")
     return {"consecutive": patterns.consecutive(lg, "user_id", fail, "ts", "seq", bound),
             "sequence": patterns.match_next(lg, "user_id", fail, fail, "ts", "seq", bound),
             "burst": patterns.burst(lg, "user_id", fail, ~fail, "ts", "seq", bound)}
@@ -183,8 +225,10 @@ def order_timeout(spark: SparkSession, path: str, within="15 minutes", stream: b
     od = _seq(read_records(spark, path, "order", stream=stream), stream)
     c, p = F.col("event_type") == "create", F.col("event_type") == "pay"
     if stream:
-        return _emit({"payed": stateful.followed_by_stream(od, "order_id", c, p, "ts", "seq", within),
-                      "status": stateful.pair_status_stream(od, "order_id", c, p, "ts", within)}, stream, sink)
+        identity = f"{path} {within}"
+        tagged = stateful.followed_by_stream(od, "order_id", c, p, "ts", "seq", within)
+        return (_emit_split(tagged, "orders", "kind", {"matched": "payed", "timeout": "order timeout"}, sink, identity)
+                | _emit({"status": stateful.pair_status_stream(od, "order_id", c, p, "ts", within)}, sink, identity))
     paid, timeout = patterns.followed_by(od, "order_id", c, p, "ts", "seq", within)
     return {"payed": paid, "order timeout": timeout,
             "status": patterns.pair_status(od, "order_id", c, p, "ts", within)}
@@ -192,17 +236,20 @@ def order_timeout(spark: SparkSession, path: str, within="15 minutes", stream: b
 
 def tx_match(spark: SparkSession, orders: str, receipts: str, lower="-3 seconds", upper="5 seconds",
              stream: bool = False, sink: str = "console"):
-    """Payment-receipt reconciliation: matched pairs and both unmatched sides."""
-    pays = (read_records(spark, orders, "order", stream=stream).where(F.col("event_type") == "pay")
-            .select("tx_id", "order_id", F.col("ts").alias("pay_ts")))
-    recs = read_records(spark, receipts, "receipt", stream=stream).select(
-        "tx_id", "pay_channel", F.col("ts").alias("receipt_ts"))
+    """Payment-receipt reconciliation: matched pairs and both unmatched sides.
+    A record is named by its place in the log; transaction ids may repeat or be null."""
+    od, paid = read_records(spark, orders, "order", stream=stream), F.col("event_type") == "pay"
+    rc = read_records(spark, receipts, "receipt", stream=stream)
     if stream:
-        return _emit({"matched": sj.interval_join_stream(pays, recs, "tx_id", "pay_ts", "receipt_ts", lower, upper,
-                                                         "full_outer")}, stream, sink)
-    m, lu, ru = joins.interval_match(pays.withColumn("pay_key", F.col("tx_id")),
-                                     recs.withColumn("receipt_key", F.col("tx_id")),
-                                     "tx_id", "pay_ts", "receipt_ts", "pay_key", "receipt_key", lower, upper)
+        joined = sj.interval_join_stream(od.select("tx_id", "order_id", "event_type", F.col("ts").alias("pay_ts")),
+                                         rc.select("tx_id", "pay_channel", F.col("ts").alias("receipt_ts")), "tx_id",
+                                         "pay_ts", "receipt_ts", lower, upper, "full_outer", left_where=paid).drop("event_type")
+        side = (F.when(F.col("receipt_ts").isNull(), "pay").when(F.col("pay_ts").isNull(), "receipt").otherwise("matched"))
+        outputs = {"matched": "matched", "pay": "unmatched pays", "receipt": "unmatched receipts"}
+        return _emit_split(joined.withColumn("side", side), "transactions", "side", outputs, sink, f"{orders} {receipts} {lower} {upper}")
+    pays = od.where(paid).select("tx_id", "order_id", F.col("ts").alias("pay_ts"), F.col("seq").alias("pay_key"))
+    recs = rc.select("tx_id", "pay_channel", F.col("ts").alias("receipt_ts"), F.col("seq").alias("receipt_key"))
+    m, lu, ru = joins.interval_match(pays, recs, "tx_id", "pay_ts", "receipt_ts", "pay_key", "receipt_key", lower, upper)
     return {"matched": m.drop("pay_key", "receipt_key"), "unmatched pays": lu.drop("pay_key"),
             "unmatched receipts": ru.drop("receipt_key")}
 
@@ -213,24 +260,36 @@ JOBS = {"hot_items": hot_items, "hot_items_sql": hot_items_sql, "hot_pages": hot
 
 
 def main(argv: list[str]) -> None:
-    """``job path [path2] [--stream]``: batch prints each output; with
-    ``--stream`` the job's queries run with console sinks until stopped
-    (paths may then be folders, ``socket://host:port`` or
-    ``kafka://servers/topic``)."""
+    """``job path [path2] [--stream] [--out folder] [--preview n]``.
+
+    With ``--out`` every row of each output is written there as Parquet; without
+    it every row is printed, or with ``--preview n`` the first n rows of each
+    output.  With ``--stream`` the job's queries run until stopped (paths may then
+    be folders, ``socket://host:port`` or ``kafka://servers/topic``)."""
     from ..session import get_session
-    stream = "--stream" in argv
-    args = [a for a in argv if a != "--stream"]
+    args, out, preview, stream = list(argv), None, None, "--stream" in argv
+    if stream:
+        args.remove("--stream")
+    for flag in ("--out", "--preview"):
+        if flag in args:
+            i = args.index(flag)
+            value = args.pop(i + 1)
+            args.pop(i)
+            out, preview = (value, preview) if flag == "--out" else (out, int(value))
     if not args or args[0] not in JOBS:
-        print("usage: python -m flowstat.plans.jobs {" + ",".join(JOBS) + "} path [path2] [--stream]")
+        print("usage: python -m flowstat.plans.jobs {" + ",".join(JOBS) + "} path [path2] [--stream] [--out folder] [--preview n]")
         raise SystemExit(2)
     spark = get_session()
     if stream:
-        JOBS[args[0]](spark, *args[1:], stream=True, sink="console")
+        JOBS[args[0]](spark, *args[1:], stream=True, sink=out or "console")
         spark.streams.awaitAnyTermination()
         return
     for label, df in JOBS[args[0]](spark, *args[1:]).items():
-        print(f"== {label}")
-        df.show(50, truncate=False)
+        if out:
+            df.write.mode("overwrite").parquet(f"{out.rstrip('/')}/{_name(label)}")
+        else:
+            print(f"== {label}\n{' | '.join(df.columns)}")
+            print_rows(df, preview)
 
 
 if __name__ == "__main__":

@@ -5,10 +5,12 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
-# Settings every flowstat job wants.  They are defaults: a value already set
-# on the cluster (spark-defaults.conf, --conf) wins because we only fill gaps.
+# Settings every flowstat job wants.  They only fill gaps: a value set by the
+# caller or already present in the Spark configuration (spark-defaults.conf,
+# --conf) wins.
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -27,36 +29,41 @@ DEFAULT_CONF = {
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app: str = "flowstat", extra: dict | None = None) -> SparkSession:
+    running = SparkSession.getActiveSession()
+    present = (running.sparkContext.getConf() if running else SparkConf())
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
     if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for k, v in conf.items():
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    given = extra or {}
+    for k, v in given.items():
         builder = builder.config(k, v)
+    for k, v in DEFAULT_CONF.items():
+        if k not in given and not present.contains(k):
+            builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
+_PRIVATE: dict[str, str] = {}  # application id -> folder of a local run
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by the cluster.
+    """The shared folder that the cluster names in ``spark.checkpoint.dir``.
 
-    The cluster names it in ``spark.checkpoint.dir``; we read it from the
-    session.  Only when nothing is configured (a local test run) do we create
-    a private folder, so a cluster job never writes to a machine-local path.
+    The setting itself is returned, not the context's checkpoint folder: that
+    one has a new random name for each driver, so a restarted stream would not
+    find what it wrote.  Only a local run without the setting gets a private
+    folder; a cluster must name one.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        configured = tempfile.mkdtemp(prefix="flowstat-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    if configured:
+        return configured
+    sc = spark.sparkContext
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+    if sc.applicationId not in _PRIVATE:
+        _PRIVATE[sc.applicationId] = tempfile.mkdtemp(prefix="flowstat-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    return _PRIVATE[sc.applicationId]

@@ -4,8 +4,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-
 from pyspark.sql import types as T
 
 from ..functions import ACCESS_LOG_TIME_FORMAT, epoch_to_ts, to_micros
@@ -47,15 +47,16 @@ def read_records(spark: SparkSession, path: str, kind: str, stream: bool = False
     ``'PERMISSIVE'`` nulls bad fields instead and, with ``corrupt_col``,
     keeps the raw text of a malformed line in that column.  An empty (unquoted) field
     reads as null, so the empty tx id of a create row can never join.
-    ``seq`` is the arrival order: the line order of a batch file read (stable
-    for one read of the same files); a stream should carry its own sequence
-    number or Kafka offset instead.  With ``stream=True`` the path may be
+    ``seq`` is the arrival order: files by name, lines by place (batch), or the
+    Kafka offset, which orders the rows of one partition and so of one message
+    key (stream).  Other streams should carry their own sequence number.  With ``stream=True`` the path may be
     ``socket://host:port`` or ``kafka://servers/topic`` (one record per
     message).
     """
     lines = _stream_lines(spark, path) if stream else None
     if lines is not None:                      # socket / Kafka: one CSV record per message
-        return parse_csv_lines(lines, kind)
+        parsed = parse_csv_lines(lines, kind, mode=mode, corrupt_col=corrupt_col)
+        return parsed.withColumn("seq", F.col("offset")) if with_seq and "offset" in parsed.columns else parsed
     schema, unit = RECORDS[kind]
     if corrupt_col:
         schema = T.StructType(schema.fields + [T.StructField(corrupt_col, T.StringType())])
@@ -63,16 +64,26 @@ def read_records(spark: SparkSession, path: str, kind: str, stream: bool = False
     if corrupt_col:
         reader = reader.option("columnNameOfCorruptRecord", corrupt_col)
     df = reader.csv(path)
-    df = _typed(df, unit)
-    if with_seq and not stream:
-        df = df.withColumn("seq", F.monotonically_increasing_id())
-    return df
+    return _typed(arrival_order(df) if with_seq and not stream else df, unit)
+
+
+def arrival_order(df: DataFrame, out: str = "seq") -> DataFrame:
+    """Lines of a batch file read with ``out``, increasing by file path, then by
+    place in the file.  Spark deals the files' splits over tasks in an order of its
+    own; inside a split lines are read in order.  The splits (a row for each) are
+    ranked, and a line's number is its split's rank above its number in the task."""
+    split = {"_file": F.col("_metadata.file_path"), "_block": F.col("_metadata.file_block_start")}
+    lines = df.select("*", *[c.alias(k) for k, c in split.items()], F.monotonically_increasing_id().alias("_id"))
+    splits = df.select(*[c.alias(k) for k, c in split.items()]).distinct()
+    ranked = splits.withColumn("_rank", F.row_number().over(W.orderBy("_file", "_block")) - 1)
+    number = F.shiftleft(F.col("_rank").cast("long"), 33) + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    return lines.join(ranked, ["_file", "_block"]).withColumn(out, number).drop("_file", "_block", "_id", "_rank")
 
 
 def parse_access_log(lines: DataFrame, value_col: str = "value", zone: str = "UTC",
-                     time_format: str = ACCESS_LOG_TIME_FORMAT) -> DataFrame:
+                     time_format: str = ACCESS_LOG_TIME_FORMAT, keep: list[str] | None = None) -> DataFrame:
     """Space-separated access-log lines -> ip, user_id, ts, method, url
-    (fields 0, 1, 3, 5, 6).  The time is a wall clock in ``zone``; ``ts`` is
+    (fields 0, 1, 3, 5, 6) and the columns ``keep`` of the input.  The time is a wall clock in ``zone``; ``ts`` is
     the instant (TIMESTAMP), independent of the session zone."""
     parts = F.split(F.col(value_col), " ")
     wall = F.to_timestamp_ntz(parts.getItem(3), F.lit(time_format))
@@ -83,6 +94,7 @@ def parse_access_log(lines: DataFrame, value_col: str = "value", zone: str = "UT
         F.timestamp_micros(to_micros(utc_wall, T.TimestampNTZType())).alias("ts"),
         parts.getItem(5).alias("method"),
         parts.getItem(6).alias("url"),
+        *(keep or []),
     )
 
 
@@ -112,11 +124,17 @@ def kafka_lines(spark: SparkSession, servers: str, topic: str, group: str | None
     return reader.load().select(F.col("value").cast("string").alias("value"), "partition", "offset")
 
 
-def parse_csv_lines(lines: DataFrame, kind: str, value_col: str = "value") -> DataFrame:
-    """CSV lines already in a string column (socket / Kafka) -> typed record."""
+def parse_csv_lines(lines: DataFrame, kind: str, value_col: str = "value", mode: str = "FAILFAST",
+                    corrupt_col: str | None = None) -> DataFrame:
+    """CSV lines already in a string column (socket / Kafka) -> typed record;
+    ``mode`` and ``corrupt_col`` as in :func:`read_records`."""
     schema, unit = RECORDS[kind]
+    options = {"mode": mode}
+    if corrupt_col:
+        schema = T.StructType(schema.fields + [T.StructField(corrupt_col, T.StringType())])
+        options["columnNameOfCorruptRecord"] = corrupt_col
     ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
-    parsed = lines.select(F.from_csv(F.col(value_col), ddl).alias("_r"), *[c for c in lines.columns if c != value_col])
+    parsed = lines.select(F.from_csv(F.col(value_col), ddl, options).alias("_r"), *[c for c in lines.columns if c != value_col])
     return _typed(parsed.select("_r.*", *[c for c in parsed.columns if c != "_r"]), unit)
 
 

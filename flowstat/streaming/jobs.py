@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,16 +31,26 @@ def with_event_time(df: DataFrame, ts: str, delay="0 seconds", out: str | None =
     return df.withWatermark(out, duration_str(duration_us(delay)))
 
 
+def after_watermark(ev: DataFrame, ts: str, predicate: Column | None) -> DataFrame:
+    """Rows of ``ev`` that satisfy ``predicate``, taken above the watermark.
+
+    Every row of the log moves the event time, also those that are not counted.
+    Catalyst moves a plain filter below the watermark node; one that refers to
+    the event time stays above it."""
+    return ev if predicate is None else ev.where(F.when(F.col(ts).isNotNull(), predicate))
+
+
 def sliding_count_stream(df: DataFrame, ts: str, keys=None, size="1 hour", slide="5 minutes",
-                         delay="0 seconds", method: str = "auto") -> DataFrame:
-    """Sliding counts on a stream.  ``window``: ``F.window`` expands every
+                         delay="0 seconds", method: str = "auto", where: Column | None = None) -> DataFrame:
+    """Sliding counts on a stream, of the rows that satisfy ``where``
+    (all rows move the watermark).  ``window``: ``F.window`` expands every
     row size/slide times.  ``panes`` (auto above a ratio of 16): count rows
     per tumbling pane of gcd(size, slide) first, then take the sliding
     windows over the panes' event time (``window_time``) - a chained
     time-window aggregation, so the expansion is per pane, not per row.
     Chained aggregations run in append mode only; use ``window`` for update
     mode (allowed lateness with early and corrected results)."""
-    ev = with_event_time(df, ts, delay)
+    ev = after_watermark(with_event_time(df, ts, delay), ts, where)
     size_us, slide_us = duration_us(size), duration_us(slide)
     if method == "auto":
         method = "panes" if size_us / slide_us > windows.RATIO_FOR_DIFFERENCE else "window"
@@ -54,15 +64,17 @@ def sliding_count_stream(df: DataFrame, ts: str, keys=None, size="1 hour", slide
                  .select(*ks, F.col("_w.end").alias("window_end"), "cnt"))
 
 
-def tumbling_count_stream(df: DataFrame, ts: str, keys=None, size="1 hour", delay="0 seconds") -> DataFrame:
-    return windows.tumbling_count(with_event_time(df, ts, delay), ts, keys, size)
+def tumbling_count_stream(df: DataFrame, ts: str, keys=None, size="1 hour", delay="0 seconds",
+                          where: Column | None = None, out: str = "cnt") -> DataFrame:
+    return windows.tumbling_count(after_watermark(with_event_time(df, ts, delay), ts, where), ts, keys, size, out=out)
 
 
-def uv_stream(df: DataFrame, ts: str, col: str, size="1 hour", delay="0 seconds", how: str = "exact") -> DataFrame:
+def uv_stream(df: DataFrame, ts: str, col: str, size="1 hour", delay="0 seconds", how: str = "exact",
+              where: Column | None = None) -> DataFrame:
     """Distinct visitors per window on a stream: ``exact`` (two chained
     aggregates, state grows with visitors per open window), ``bitmap`` (same
     over bitmap positions) or ``approx`` (HyperLogLog, constant state)."""
-    ev = with_event_time(df, ts, delay)
+    ev = after_watermark(with_event_time(df, ts, delay), ts, where)
     if how == "exact":
         return distinct.distinct_per_window_stream(ev, ts, col, size)
     if how == "bitmap":
@@ -71,13 +83,13 @@ def uv_stream(df: DataFrame, ts: str, col: str, size="1 hour", delay="0 seconds"
 
 
 def top_n_stream(df: DataFrame, ts: str, key: str, size="1 hour", slide="5 minutes", n: int = 5,
-                 delay="0 seconds") -> DataFrame:
+                 delay="0 seconds", where: Column | None = None) -> DataFrame:
     """Sliding counts then top-N per window as a second aggregate grouped by
     the window struct (which carries the watermark), so append mode accepts
     it (``row_number`` is not allowed on a stream).  Each group's list is
     bounded by the keys of one window; use :func:`top_n_per_batch` when
     windows hold very many keys."""
-    ev = with_event_time(df, ts, delay)
+    ev = after_watermark(with_event_time(df, ts, delay), ts, where)
     w = F.window(F.col(ts), duration_str(duration_us(size)), duration_str(duration_us(slide)))
     counts = ev.groupBy(w.alias("_w"), key).agg(F.count(F.lit(1)).alias("cnt"))
     best = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("cnt")).alias("neg"), F.col(key).alias("k")))), 1, n)
@@ -111,11 +123,10 @@ def changelog_per_batch(keys, state_path: str, sink: callable):
         if batch.isEmpty():
             return
         spark = batch.sparkSession
-        try:
+        stored, last = None, None
+        if path_exists(spark, state_path):
             stored = spark.read.parquet(state_path).where(F.col("epoch") < epoch_id)
             last = stored.agg(F.max("epoch")).first()[0]
-        except Exception:  # noqa: BLE001 - no snapshot table yet
-            stored, last = None, None
         prev = (stored.where(F.col("epoch") == last).drop("epoch") if last is not None
                 else spark.createDataFrame([], batch.schema))
         sink(topn.changelog(prev, batch, keys), epoch_id)
@@ -140,32 +151,41 @@ def top_n_retract_per_batch(part: str, key: str, n: int, state_path: str, sink:
         if batch.isEmpty():
             return
         spark = batch.sparkSession
-        upd = batch.select(part, key, score)
+        upd = batch.select(part, key, score).persist()
         affected = upd.select(part).distinct()
-        try:
+        if path_exists(spark, state_path):
             hist = spark.read.parquet(state_path).where(F.col("epoch") < epoch_id).join(affected, part)
             latest = hist.groupBy(part).agg(F.max("epoch").alias("epoch"))
             prev = hist.join(latest, [part, "epoch"]).select(part, key, score, rank_col)
-        except Exception:  # noqa: BLE001 - no state yet
+        else:
             prev = spark.createDataFrame([], T.StructType([batch.schema[part], batch.schema[key],
                                                            batch.schema[score], T.StructField(rank_col, T.IntegerType())]))
         carried = prev.select(part, key, score).join(upd.select(part, key), [part, key], "left_anti")
-        cur = topn.top_n(carried.unionByName(upd), part, key, score, n, rank_col).select(part, key, score, rank_col)
+        cur = topn.top_n(carried.unionByName(upd), part, key, score, n, rank_col).select(part, key, score, rank_col).persist()
         sink(topn.changelog(prev, cur, [part, key, score, rank_col], op_col), epoch_id)
         (cur.withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(state_path))
+        upd.unpersist()
+        cur.unpersist()
     return run
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(p)
+
+
 def interval_join_stream(left: DataFrame, right: DataFrame, on: str, left_ts: str, right_ts: str,
                          lower="-3 seconds", upper="5 seconds", how: str = "inner",
-                         left_delay="0 seconds", right_delay="0 seconds") -> DataFrame:
-    """Stream-stream interval join with watermarks on both sides; state is
+                         left_delay="0 seconds", right_delay="0 seconds",
+                         left_where: Column | None = None, right_where: Column | None = None) -> DataFrame:
+    """Stream-stream interval join of the rows that satisfy ``left_where`` and
+    ``right_where``, with watermarks (moved by all rows) on both sides; state is
     dropped once the watermark passes the interval.  ``how`` inner or
     full_outer (unmatched rows appear once their wait has expired)."""
     lo, hi = duration_us(lower), duration_us(upper)
-    lft = with_event_time(left, left_ts, left_delay).withColumnRenamed(on, "_lk")
-    rgt = with_event_time(right, right_ts, right_delay).withColumnRenamed(on, "_rk")
+    lft = after_watermark(with_event_time(left, left_ts, left_delay), left_ts, left_where).withColumnRenamed(on, "_lk")
+    rgt = after_watermark(with_event_time(right, right_ts, right_delay), right_ts, right_where).withColumnRenamed(on, "_rk")
     # interval literals let Spark derive the state-eviction bounds from the condition
     cond = F.expr(f"_lk = _rk AND {right_ts} >= {left_ts} + INTERVAL {lo} MICROSECONDS "
                   f"AND {right_ts} <= {left_ts} + INTERVAL {hi} MICROSECONDS")

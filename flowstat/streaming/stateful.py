@@ -3,10 +3,12 @@
 (Input column names must not start with an underscore: the pandas side of
 the operator renames such columns positionally.)
 
-Each processor keeps O(1) state per key (a last event, a counter, a pair of
-times), registers event-time timers to finalise or expire it, and works on
-whole pandas batches per key (no per-row Python calls across the JVM
-boundary).  Times are passed as epoch microseconds and turned back into
+State per key: a last event (consecutive failures), a counter per day (click
+cap), the create and pay times of an open order (order status), the rows that
+the watermark has not passed (the event-time ordered rules) or the bitmap
+positions of an open window (distinct count).  Event-time timers finalise and
+expire it.  Input comes as pandas batches per key; buffered rows are put into
+and read from list state as tuples.  Times are passed as epoch microseconds and turned back into
 timestamps on the JVM side.
 """
 
@@ -24,7 +26,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from ..functions import bitmap_hash, duration_str, duration_us, from_micros, local_day, to_micros
 from ..operators.capping import BLACKLIST_WARNING
 from ..operators.patterns import LOGIN_WARNING, PAY_WITHOUT_CREATE, PAYED, TIMEOUT
-from .jobs import with_event_time
+from .jobs import after_watermark, with_event_time
 
 _LONG, _BOOL = T.LongType(), T.BooleanType()
 
@@ -110,10 +112,9 @@ class ClickCapProcessor(StatefulProcessor):
         keep = out_n <= self.limit + 1
         if not keep.any():
             return
-        res = pdf.loc[keep, ["seq", "day_num"]].copy()
+        res = pdf.loc[keep, ["click", "day_num"]].copy()
         res["channel"] = np.where(out_n[keep] <= self.limit, "passed", "blacklist")
-        res["k0"], res["k1"] = key[0], key[1]
-        yield res[["k0", "k1", "seq", "day_num", "channel"]]
+        yield res
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.count.removeKey((int(expiredTimerInfo.getExpiryTimeInMs() // 86_400_000) - 2,))
@@ -125,41 +126,57 @@ class ClickCapProcessor(StatefulProcessor):
 
 def cap_and_flag_stream(df: DataFrame, keys, ts: str, seq: str, limit: int = 100, zone: str = "UTC",
                         delay="0 seconds") -> DataFrame:
-    """One tagged stream (``channel`` = passed / blacklist); split it with a
-    filter inside ``foreachBatch`` to feed two sinks from one query."""
-    k0, k1 = keys
+    """One tagged stream of whole click rows with their day (``channel`` = passed /
+    blacklist); :func:`flowstat.streaming.sinks.fan_out_per_batch` splits it."""
+    ks = [keys] if isinstance(keys, str) else list(keys)
     ev = with_event_time(df, ts, delay)
-    base = ev.select(k0, k1, F.col(seq).alias("seq"), F.unix_date(local_day(ts, zone, ev.schema[ts].dataType)).cast("long").alias("day_num"))
-    schema = T.StructType([T.StructField("k0", ev.schema[k0].dataType), T.StructField("k1", ev.schema[k1].dataType),
-                           T.StructField("seq", _LONG), T.StructField("day_num", _LONG),
+    # a click travels as JSON, so its columns keep their types whatever they are
+    micros = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    base = ev.select(*[F.col(k).alias(f"key{i}") for i, k in enumerate(ks)], F.col(seq).alias("seq"),
+                     F.unix_date(local_day(ts, zone, ev.schema[ts].dataType)).cast("long").alias("day_num"),
+                     F.to_json(F.struct(*ev.columns), micros).alias("click"))
+    schema = T.StructType([T.StructField("click", T.StringType()), T.StructField("day_num", _LONG),
                            T.StructField("channel", T.StringType())])
-    out = base.groupBy(k0, k1).transformWithStateInPandas(ClickCapProcessor(limit), schema, "Append", "EventTime")
-    return out.select(F.col("k0").alias(k0), F.col("k1").alias(k1), F.col("seq").alias(seq),
-                      F.date_from_unix_date(F.col("day_num").cast("int")).alias("day"), "channel",
-                      F.when(F.col("channel") == "blacklist", F.lit(BLACKLIST_WARNING)).alias("warning"))
+    out = base.groupBy(*[f"key{i}" for i in range(len(ks))]).transformWithStateInPandas(
+        ClickCapProcessor(limit), schema, "Append", "EventTime")
+    row = F.from_json("click", T.StructType([T.StructField(f.name, f.dataType) for f in ev.schema]), micros)
+    return (out.withColumn("row", row)
+            .select("row.*", F.date_from_unix_date(F.col("day_num").cast("int")).alias("day"), "channel",
+                    F.when(F.col("channel") == "blacklist", F.lit(BLACKLIST_WARNING)).alias("warning")))
 
 
 # ------------------------------------------------------------------ C5
 class OrderStatusProcessor(StatefulProcessor):
     """State: first create time and the pay times of one order; a timer at
     create + ``within`` (or first pay + ``within`` while no create is seen)
-    finalises the order: payed / timeout / pay_without_create."""
+    finalises the order: payed / timeout / pay_without_create.
 
-    def __init__(self, within_us: int):
-        self.w = within_us
+    A finalised order is remembered for ``keep`` more event time, so a pay that
+    comes later belongs to it and says nothing new; a create after a reported
+    pay-without-create is still judged.  After that the key's state is dropped,
+    and a row later still starts a new order."""
+
+    def __init__(self, within_us: int, keep_us: int):
+        self.w, self.keep = within_us, keep_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.create = handle.getValueState("create", T.StructType([T.StructField("t", _LONG)]))
         self.pays = handle.getListState("pays", T.StructType([T.StructField("t", _LONG)]))
+        self.done = handle.getValueState("done", T.StructType([T.StructField("created", _BOOL), T.StructField("until", _LONG)]))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _concat(rows)
+        done = self.done.get() if self.done.exists() else None
+        if done is not None and done[0]:
+            return
         c = pdf.loc[pdf["is_create"], "t_us"]
         ct = self.create.get()[0] if self.create.exists() else None
         if len(c):
             ct = int(c.min()) if ct is None else min(ct, int(c.min()))
             self.create.update((ct,))
+        elif done is not None and ct is None:
+            return                                           # more pays without a create
         new_pays = [(int(x),) for x in pdf.loc[pdf["is_pay"], "t_us"]]
         if new_pays:
             self.pays.appendList(new_pays)
@@ -175,14 +192,21 @@ class OrderStatusProcessor(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         ct = self.create.get()[0] if self.create.exists() else None
         pays = [p[0] for p in self.pays.get()] if self.pays.exists() else []
+        done = self.done.get() if self.done.exists() else None
+        self.create.clear()
+        self.pays.clear()
+        if ct is None and not pays:                          # the time to remember is over
+            self.done.clear()
+            return
         out = []
         if ct is not None:
             later = [p for p in pays if p >= ct]
             out.append(PAYED if later and min(later) < ct + self.w else TIMEOUT)
-        if pays and (ct is None or min(pays) < ct):
+        if done is None and pays and (ct is None or min(pays) < ct):
             out.append(PAY_WITHOUT_CREATE)
-        self.create.clear()
-        self.pays.clear()
+        until = expiredTimerInfo.getExpiryTimeInMs() + self.keep // 1000
+        self.done.update((ct is not None, until))
+        self.handle.registerTimer(until)
         if out:
             yield pd.DataFrame({"key": [key[0]] * len(out), "status": out})
 
@@ -191,14 +215,15 @@ class OrderStatusProcessor(StatefulProcessor):
 
 
 def pair_status_stream(df: DataFrame, key: str, is_create, is_pay, ts: str, within="15 minutes",
-                       delay="0 seconds") -> DataFrame:
-    ev = with_event_time(df, ts, delay)
+                       delay="0 seconds", keep="1 day") -> DataFrame:
+    """Streaming C5; a finalised order is remembered for ``keep`` of event time."""
     expr = (lambda p: F.expr(p) if isinstance(p, str) else p)
-    base = ev.select(key, expr(is_create).alias("is_create"), expr(is_pay).alias("is_pay"),
-                     to_micros(ts, T.TimestampType()).alias("t_us")).where("is_create OR is_pay")
+    ev = with_event_time(df, ts, delay)
+    base = after_watermark(ev, ts, expr(is_create) | expr(is_pay)).select(
+        key, expr(is_create).alias("is_create"), expr(is_pay).alias("is_pay"), to_micros(ts, T.TimestampType()).alias("t_us"))
     schema = T.StructType([T.StructField("key", ev.schema[key].dataType), T.StructField("status", T.StringType())])
     out = base.groupBy(key).transformWithStateInPandas(
-        OrderStatusProcessor(duration_us(within)), schema, "Append", "EventTime")
+        OrderStatusProcessor(duration_us(within), duration_us(keep)), schema, "Append", "EventTime")
     return out.select(F.col("key").alias(key), "status")
 
 
@@ -394,12 +419,12 @@ class BurstProcessor(_EventTimeOrdered):
 
 
 def _ordered_input(df, key, a, b, ts, seq, delay):
-    # note: Catalyst pushes the flag filter below the watermark, so rows that
-    # match neither flag do not move event time for these operators
-    ev = with_event_time(df, ts, delay)
+    """Rows with either flag; all rows move the watermark."""
     expr = (lambda p: F.expr(p) if isinstance(p, str) else p)
-    base = ev.select(key, F.col(seq).alias("seq"), expr(a).alias("flag_a"), expr(b).alias("flag_b"),
-                     to_micros(ts, T.TimestampType()).alias("t_us")).where("flag_a OR flag_b")
+    ev = with_event_time(df, ts, delay)
+    base = after_watermark(ev, ts, expr(a) | expr(b)).select(
+        key, F.col(seq).alias("seq"), expr(a).alias("flag_a"), expr(b).alias("flag_b"),
+        to_micros(ts, T.TimestampType()).alias("t_us"))
     return ev, base
 
 
@@ -474,12 +499,14 @@ class LateFlagProcessor(StatefulProcessor):
 
 
 def split_late_stream(df: DataFrame, ts: str, size="10 minutes", slide="5 seconds", lateness="1 minute",
-                      delay="1 second", spread: int = 64) -> DataFrame:
+                      delay="1 second", spread: int | None = None) -> DataFrame:
     """Streaming late-row side output: every row with a ``late`` flag (split
     it with a filter in ``foreachBatch``).  The watermark is Spark's, i.e.
     per micro-batch, so a row counts as late against the watermark of the
     batch it arrives in.  Rows are spread over ``spread`` groups by a hash
-    (no state is kept, the grouping only parallelises the check)."""
+    (no state is kept, the grouping only parallelises the check); by default four
+    for each shuffle partition."""
+    spread = spread or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ev = with_event_time(df, ts, delay)
     names = [c for c in ev.columns]
     base = ev.withColumn("t_us", to_micros(ts, T.TimestampType())).withColumn(
@@ -531,10 +558,10 @@ class RunningDistinctProcessor(StatefulProcessor):
 
 
 def running_distinct_stream(df: DataFrame, ts: str, seq: str, col: str, size="1 hour", hashed: bool = True,
-                            delay="0 seconds") -> DataFrame:
+                            delay="0 seconds", where=None) -> DataFrame:
     """Streaming per-event distinct count (exact per row, like
     :func:`flowstat.operators.distinct.running_distinct`)."""
-    ev = with_event_time(df, ts, delay)
+    ev = after_watermark(with_event_time(df, ts, delay), ts, where)
     w = F.window(F.col(ts), duration_str(duration_us(size)))
     v = bitmap_hash(col) if hashed else F.col(col).cast("long")
     base = ev.select(F.col(seq).alias("seq"), to_micros(w.end, T.TimestampType()).alias("end_us"), v.alias("h"))

@@ -16,9 +16,9 @@ T0 = datetime(2024, 1, 1, 0, 0, 0)
 @pytest.fixture(scope="session")
 def spark():
     import tempfile
-    s = get_session("local[4]", 8, app="flowstat-tests")
     # tests get a fresh checkpoint root so stream queries with stable names never resume an old run
-    s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="flowstat-test-ckpt-"))
+    s = get_session("local[4]", 8, app="flowstat-tests",
+                    extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="flowstat-test-ckpt-")})
     yield s
     s.stop()
 

@@ -87,7 +87,8 @@ def test_foreach_batch_changelog_stream(spark):
     q.processAllAvailable()
     q.stop()
     assert got == [("+", 1, "a"), ("+", 2, "b"), ("+", 1, "b"), ("-", 1, "a")]
-    assert checkpoint_location(src, name).endswith(f"streams/{name}")
+    assert checkpoint_location(spark, name).endswith(f"streams/{name}")
+    assert checkpoint_location(spark, name, "a") != checkpoint_location(spark, name, "b")
 
 
 def test_console_sink_and_top_n_per_batch(spark, capsys):
