@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import ASSET_PATTERN, duration_us, is_asset, to_utc_wallclock
+from ..functions import ASSET_PATTERN, duration_us, floor_to, from_micros, is_asset, to_micros, to_utc_wallclock
 from ..operators import capping, distinct, joins, late, patterns, topn, windows
 from ..sources import parse_access_log
 from . import tables as T
@@ -516,3 +516,134 @@ def hot_pages_from_log(spark, sf_dir):
     log = log.withColumn("ts", to_utc_wallclock("ts", log.schema["ts"].dataType))
     gets = log.where((F.col("method") == "GET") & ~is_asset("url"))
     return windows.sliding_count(gets, "ts", "url", "10 minutes", "1 minute")
+
+
+# ================================================================ features that the keys above do not reach
+_KEY = "CASE WHEN event_id % 11 <> 0 THEN user_id % 7 END"
+
+
+@register("tx_match_repeated", f"""
+WITH p AS (SELECT {_KEY} AS tx, event_id AS pay_id, ts AS pay_ts FROM events WHERE event_type = 'click'),
+     r AS (SELECT {_KEY} AS tx, event_id AS receipt_id, ts AS receipt_ts FROM events WHERE event_type = 'purchase')
+SELECT coalesce(p.tx, r.tx) AS tx, pay_id, receipt_id FROM p FULL JOIN r
+ON p.tx = r.tx AND r.receipt_ts BETWEEN p.pay_ts - INTERVAL 3 MINUTE AND p.pay_ts + INTERVAL 5 MINUTE""")
+def tx_match_repeated(spark, sf_dir):
+    """J2 with transaction ids that repeat and are sometimes null: every row is
+    matched or unmatched on its own, and no row is lost."""
+    ev = T.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
+    ev = ev.withColumn("tx", F.when(F.pmod("event_id", F.lit(11)) != 0, F.pmod("user_id", F.lit(7))))
+    pays = ev.where(F.col("event_type") == T.CREATE).select("tx", F.col("event_id").alias("pay_id"), F.col("ts").alias("pay_ts"))
+    receipts = ev.where(F.col("event_type") == T.PAY).select("tx", F.col("event_id").alias("receipt_id"), F.col("ts").alias("receipt_ts"))
+    return joins.full_outer_interval(pays, receipts, "tx", "pay_ts", "receipt_ts", "pay_id", "receipt_id",
+                                     "-3 minutes", "5 minutes").select("tx", "pay_id", "receipt_id")
+
+
+@register("hot_pages_top2", f"""
+SELECT window_end, CAST(row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, url) AS INTEGER) AS rn, url, cnt
+FROM ({_sliding_sql(_GETS, "url", H, M5)}) c QUALIFY rn <= 2""")
+def hot_pages_top2(spark, sf_dir):
+    """R5 with a cut that bites: the two top urls of an hour, every five minutes."""
+    gets = T.page_requests(spark, sf_dir).where(F.col("method") == "GET")
+    panes = windows.pane_counts(gets, "ts", "page_id", "1 hour", "5 minutes")
+    pages = T.pages(spark, sf_dir).where(~is_asset("url"))
+    counts = windows.sliding_count(panes.join(pages, "page_id"), "ts", "url", "1 hour", "5 minutes", weight="cnt")
+    return topn.top_n(counts, "window_end", "url", "cnt", 2).select("window_end", "rn", "url", "cnt")
+
+
+_WITH_ASSETS = ("SELECT page_id, url || CASE WHEN page_id % 3 = 0 THEN '.css' WHEN page_id % 5 = 0 THEN '.png' "
+                "WHEN page_id % 7 = 0 THEN '.css.html' ELSE '' END AS url FROM pages")
+
+
+@register("hot_pages_without_assets", f"""
+SELECT url, {_end(H)} AS window_end, count(*) AS cnt
+FROM (SELECT p.url, epoch_us(e.ts) AS t FROM events e JOIN ({_WITH_ASSETS}) p ON {_ITEM.replace("props", "e.props")} = p.page_id
+      WHERE e.event_type = 'view' AND NOT regexp_matches(p.url, '{ASSET_PATTERN}')) x GROUP BY ALL""")
+def hot_pages_without_assets(spark, sf_dir):
+    """P4 on urls of which a third and more are assets (suffixes by a rule)."""
+    n = F.col("page_id")
+    suffix = (F.when(n % 3 == 0, ".css").when(n % 5 == 0, ".png").when(n % 7 == 0, ".css.html").otherwise(""))
+    pages = T.pages(spark, sf_dir).withColumn("url", F.concat("url", suffix)).where(~is_asset("url"))
+    gets = T.page_requests(spark, sf_dir).where(F.col("method") == "GET")
+    return windows.tumbling_count(gets.join(pages, "page_id"), "ts", "url", "1 hour")
+
+
+@register("ad_clicks_by_province_5s", f"""
+SELECT province, strftime(window_end, '%Y-%m-%d') AS day, count(*) AS windows, CAST(sum(cnt) AS BIGINT) AS total, max(cnt) AS most
+FROM ({_sliding_sql(_ADS, "province", H, 5_000_000)}) c GROUP BY ALL""")
+def ad_clicks_by_province_5s(spark, sf_dir):
+    """A13/A5 at the job's own slide (1 h / 5 s, the difference method), folded per day."""
+    counts = windows.sliding_count(T.ad_clicks(spark, sf_dir), "ts", "province", "1 hour", "5 seconds")
+    return (counts.groupBy("province", F.date_format("window_end", "yyyy-MM-dd").alias("day"))
+            .agg(F.count(F.lit(1)).alias("windows"), F.sum("cnt").alias("total"), F.max("cnt").alias("most")))
+
+
+_SHANGHAI = _CAPPED.replace("strftime(ts, '%Y-%m-%d')", "strftime(ts + INTERVAL 8 HOUR, '%Y-%m-%d')").replace(
+    "CAST(ts AS DATE)", "CAST(ts + INTERVAL 8 HOUR AS DATE)")
+
+
+@register("ad_click_blacklist_shanghai", f"SELECT user_id, ad_id, day, seq FROM ({_SHANGHAI}) c WHERE n = 4")
+def ad_click_blacklist_shanghai(spark, sf_dir):
+    """B1 with the daily reset at midnight of UTC+8."""
+    ev = T.table(spark, sf_dir, "events").select(F.col("event_id").alias("seq"), "user_id", F.col("event_type").alias("ad_id"), "ts")
+    warned = capping.cap_and_flag(ev, ["user_id", "ad_id"], "ts", "seq", limit=3, zone="Asia/Shanghai")[1]
+    return warned.select("user_id", "ad_id", F.col("day").cast("string").alias("day"), "seq")
+
+
+_LATE_SEQ = f"(({_ARRIVAL_SQL}) // 1000000) * 100000000 + event_id % 100000000"
+
+
+@register("login_fail_disordered", f"""
+WITH e AS (SELECT user_id, event_type = 'error' AS f, epoch_us(ts) AS t, {_LATE_SEQ} AS seq FROM events),
+l AS (SELECT *, lag(f) OVER w AS pf, lag(t) OVER w AS pt FROM e WINDOW w AS (PARTITION BY user_id ORDER BY seq))
+SELECT user_id, seq, make_timestamp(pt) AS first_fail, make_timestamp(t) AS last_fail FROM l WHERE f AND pf AND t - pt <= {H2}""")
+def login_fail_disordered(spark, sf_dir):
+    """C1 in arrival order where it differs from event time (negative gaps count)."""
+    ev = T.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts").join(
+        _arrivals(spark, sf_dir).select(F.col("seq").alias("event_id"), "arrival"), "event_id")
+    seconds = F.floor(to_micros("arrival", ev.schema["arrival"].dataType) / F.lit(1_000_000))
+    ev = ev.withColumn("seq", seconds.cast("long") * 100_000_000 + F.pmod("event_id", F.lit(100_000_000)))
+    found = patterns.consecutive(ev.select("user_id", "event_type", "ts", "seq"), "user_id", F.col("event_type") == T.FAIL,
+                                 "ts", "seq", "2 hours", chunk=3600 * 100_000_000)
+    return found.select("user_id", "seq", "first_fail", "last_fail")
+
+
+@register("uv_hourly_approx_error", f"SELECT {_end(H)} AS window_end, TRUE AS close FROM ({_VIEWS}) v GROUP BY ALL")
+def uv_hourly_approx_error(spark, sf_dir):
+    """Whether each hour's sketch is within three times its standard error (5 %) of the exact count, or one visitor."""
+    exact = distinct.distinct_per_window(_views(spark, sf_dir), "ts", "user_id", "1 hour", "exact")
+    approx = distinct.distinct_per_window(_views(spark, sf_dir), "ts", "user_id", "1 hour", "approx")
+    both = exact.join(approx.select("window_end", F.col("uv").alias("guess")), "window_end")
+    return both.select("window_end", (F.abs(F.col("uv") - F.col("guess")) <= F.greatest(F.lit(1.0), 0.15 * F.col("uv"))).alias("close"))
+
+
+_PANES_SQL = f"""
+    SELECT item_id, (t // {H}) * {H} + {H} AS we, (t // {M5}) * {M5} + {M5} AS pe, count(*) AS c FROM ({_VIEWS}) v GROUP BY ALL"""
+
+
+@register("hot_items_retract_panes", f"""
+WITH s AS (SELECT item_id, we, pe + i * {M5} AS pe, CAST(sum(c) AS BIGINT) AS cnt FROM ({_PANES_SQL}) p, range(12) r(i)
+           WHERE pe + i * {M5} <= we GROUP BY ALL),
+top AS (SELECT *, CAST(row_number() OVER (PARTITION BY we, pe ORDER BY cnt DESC, item_id) AS INTEGER) AS rn FROM s QUALIFY rn <= 5),
+d AS (SELECT we, pe, item_id, cnt, rn, 1 AS d FROM top
+      UNION ALL SELECT we, pe + {M5}, item_id, cnt, rn, -1 FROM top WHERE pe + {M5} <= we)
+SELECT make_timestamp(we) AS window_end, make_timestamp(pe) AS pane_end, item_id, cnt, rn, CASE WHEN sum(d) > 0 THEN '+' ELSE '-' END AS op
+FROM d GROUP BY we, pe, item_id, cnt, rn HAVING sum(d) <> 0""")
+def hot_items_retract_panes(spark, sf_dir):
+    """K3: the retract stream of the top five items of one tumbling hour as its
+    five-minute panes arrive: rows leave and enter as the counts of the window grow."""
+    views = _views(spark, sf_dir)
+    t = to_micros("ts", views.schema["ts"].dataType)
+    panes = (views.select("item_id", (floor_to(t, H) + H).alias("we"), (floor_to(t, M5) + M5).alias("pe"))
+             .groupBy("item_id", "we", "pe").agg(F.count(F.lit(1)).alias("c")))
+    # a pane's views count in it and in the later panes of its hour
+    so_far = (panes.select("item_id", "we", F.explode(F.sequence("pe", "we", F.lit(M5))).alias("pe"), "c")
+              .groupBy("we", "pe", "item_id").agg(F.sum("c").alias("cnt")))
+    ranked = topn.top_n(so_far, ["we", "pe"], "item_id", "cnt", 5)
+    # each ranked row enters at its pane and leaves at the next; what stays cancels out
+    steps = ranked.select("we", "item_id", "cnt", "rn", F.explode(F.array(
+        F.struct(F.col("pe").alias("pe"), F.lit(1).alias("d")), F.struct((F.col("pe") + M5).alias("pe"), F.lit(-1).alias("d")))).alias("x"))
+    net = (steps.select("we", "x.pe", "item_id", "cnt", "rn", "x.d").where("pe <= we")
+           .groupBy("we", "pe", "item_id", "cnt", "rn").agg(F.sum("d").alias("d")).where("d <> 0"))
+    ts = views.schema["ts"].dataType
+    return net.select(from_micros("we", ts).alias("window_end"), from_micros("pe", ts).alias("pane_end"), "item_id", "cnt", "rn",
+                      F.when(F.col("d") > 0, "+").otherwise("-").alias("op"))
