@@ -1,13 +1,15 @@
 """Order-dependent window computations that stay balanced under skew.
 
-A per-key ordered window (``lag``, running sums) normally sends each key to
-one task; a key holding a third of all rows would then be sorted by a single
-task.  These helpers split every key's order into chunks of a numeric leading
-order column (``chunk_col``; a sequence number or an event time in
-microseconds), compute the window inside each (key, chunk), and repair the
-chunk boundaries with a small per-(key, chunk) summary table: the summary is
-an aggregate (partial, skew-safe), its own window runs over chunks only, and
-it is joined back on (key, chunk).  Results are exact, whatever the chunk.
+A per-key ordered window (``lag``, running sums) sends each key to one task; a
+key holding a third of all rows would then be sorted by a single task.  So the
+rows of each key are counted first (one row per key and task is shuffled).  If no
+key has more than ``HEAVY_ROWS`` rows, the window runs per key: one exchange.
+Otherwise the heavy keys, and only they, are split in chunks of a numeric leading
+order column (``chunk_col``; a sequence number or an event time in microseconds);
+the window runs inside each (key, chunk), and a summary of the heavy keys' chunks
+(a partial, skew-safe aggregate, with a window over chunks only) carries values
+across chunk borders, joined back on (key, chunk).  Without a key the whole order
+is split.  Results are exact, whatever the chunk and the limit.
 """
 
 from __future__ import annotations
@@ -30,6 +32,41 @@ def _list(x) -> list:
     return [x] if isinstance(x, (str, Column)) else list(x)
 
 
+# Rows of one key that one task may order.
+HEAVY_ROWS = 1 << 20
+
+
+def _chunked(df: DataFrame, parts: list, chunk_col: str, chunk: int) -> tuple[DataFrame, bool]:
+    """``df`` with the chunk ``_ck`` of each row (one chunk for a light key) and
+    ``_heavy``; and whether any key is heavy (then its chunks need repair)."""
+    if not parts:
+        return df.withColumns({"_ck": floor_to(F.col(chunk_col), chunk), "_heavy": F.lit(True)}), True
+    counts = df.groupBy(*[_col(p).alias(f"_h{i}") for i, p in enumerate(parts)]).agg(F.count(F.lit(1)).alias("_hn"))
+    heavy = counts.where(F.col("_hn") > HEAVY_ROWS)
+    n = heavy.count()
+    if not n:
+        return df.withColumns({"_ck": F.lit(0), "_heavy": F.lit(False)}), False
+    # few rows: at most one for each HEAVY_ROWS rows of input
+    side = F.broadcast(heavy) if n <= 10_000 else heavy
+    same = [_col(p).eqNullSafe(F.col(f"_h{i}")) for i, p in enumerate(parts)]
+    on = same[0]
+    for c in same[1:]:
+        on = on & c
+    marked = df.join(side, on, "left").withColumn("_heavy", F.col("_hn").isNotNull())
+    marked = marked.withColumn("_ck", F.when(F.col("_heavy"), floor_to(F.col(chunk_col), chunk)).otherwise(F.lit(0)))
+    return marked.drop("_hn", *[f"_h{i}" for i in range(len(parts))]), True
+
+
+def _with_chunks(local: DataFrame, chunks: DataFrame, parts: list) -> DataFrame:
+    """``local`` left-joined to the table of chunks (keys may be null)."""
+    named = chunks.select(*[_col(p).alias(f"_c{i}") for i, p in enumerate(parts)],
+                          *[F.col(c).alias("_cc" if c == "_ck" else c) for c in chunks.columns if c not in parts])
+    on = F.col("_ck") == F.col("_cc")
+    for i, p in enumerate(parts):
+        on = on & _col(p).eqNullSafe(F.col(f"_c{i}"))
+    return local.join(named, on, "left").drop("_cc", *[f"_c{i}" for i in range(len(parts))])
+
+
 def running_total(df: DataFrame, part, order, value, out: str, chunk_col: str, chunk: int,
                   agg: str = "sum", exclusive: bool = False, descending: bool = False) -> DataFrame:
     """``agg(value)`` over the rows of each ``part`` group that come before
@@ -40,48 +77,53 @@ def running_total(df: DataFrame, part, order, value, out: str, chunk_col: str, c
     fn = _AGG[agg]
     ords = [(_col(o).desc() if descending else _col(o).asc()) for o in orders]
     val = _col(value)
-    with_ck = df.withColumn("_ck", floor_to(F.col(chunk_col), chunk))
-    w = Window.partitionBy(*parts, "_ck").orderBy(*ords)
+    with_ck, split = _chunked(df, parts, chunk_col, chunk)
+    w = (Window.partitionBy(*parts, "_ck") if split else Window.partitionBy(*parts)).orderBy(*ords)
     frame = w.rowsBetween(Window.unboundedPreceding, -1 if exclusive else Window.currentRow)
     local = with_ck.withColumn("_loc", fn(val).over(frame))
-    totals = with_ck.groupBy(*parts, "_ck").agg(fn(val).alias("_tot"))
+    if not split:
+        alone = F.coalesce("_loc", F.lit(0)) if agg == "sum" else F.col("_loc")
+        return local.withColumn(out, alone).drop("_ck", "_heavy", "_loc")
+    totals = with_ck.where("_heavy").groupBy(*parts, "_ck").agg(fn(val).alias("_tot"))
     ck_order = F.col("_ck").desc() if descending else F.col("_ck").asc()
     cw = Window.partitionBy(*parts).orderBy(ck_order).rowsBetween(Window.unboundedPreceding, -1)
     offs = totals.select(*parts, "_ck", fn("_tot").over(cw).alias("_off"))
-    joined = local.join(offs, on=[*parts, "_ck"], how="left")
+    joined = _with_chunks(local, offs, parts)
     if agg == "sum":
         res = F.coalesce(F.col("_off"), F.lit(0)) + F.coalesce(F.col("_loc"), F.lit(0))
     elif agg == "max":
         res = F.greatest(F.col("_off"), F.col("_loc"))
     else:
         res = F.least(F.col("_off"), F.col("_loc"))
-    return joined.withColumn(out, res).drop("_ck", "_loc", "_off")
+    return joined.withColumn(out, res).drop("_ck", "_heavy", "_loc", "_off")
 
 
 def neighbour(df: DataFrame, part, order, cols, chunk_col: str, chunk: int,
               prefix: str = "prev_", direction: str = "lag") -> DataFrame:
     """Adds ``prefix + c`` = value of ``c`` in the previous (``lag``) or next
     (``lead``) row of the same ``part`` group in ``order`` - exact ``lag`` /
-    ``lead`` computed chunk by chunk.  The row a neighbouring chunk needs
-    comes from a partial aggregate (one row per (key, chunk) leaves each map
-    task), which costs far less shuffle than re-reading the window output."""
+    ``lead``, chunk by chunk for heavy keys.  The row a neighbouring chunk needs
+    comes from a partial aggregate (one row per heavy key and chunk leaves each
+    map task)."""
     parts, orders, cs = _list(part), _list(order), _list(cols)
-    with_ck = df.withColumn("_ck", floor_to(F.col(chunk_col), chunk))
-    w = Window.partitionBy(*parts, "_ck").orderBy(*[_col(o) for o in orders])
+    with_ck, split = _chunked(df, parts, chunk_col, chunk)
+    w = (Window.partitionBy(*parts, "_ck") if split else Window.partitionBy(*parts)).orderBy(*[_col(o) for o in orders])
     shift = F.lag if direction == "lag" else F.lead
+    if not split:
+        return with_ck.withColumns({prefix + c: shift(F.col(c)).over(w) for c in cs}).drop("_ck", "_heavy")
     local = with_ck.withColumn("_edge", shift(F.lit(1)).over(w).isNull())
     for c in cs:
         local = local.withColumn(prefix + c, shift(F.col(c)).over(w))
     ordkey = F.struct(*[_col(o) for o in orders])
     payload = F.struct(*[F.col(c) for c in cs])
     pick = F.max_by if direction == "lag" else F.min_by
-    ends = with_ck.groupBy(*parts, "_ck").agg(pick(payload, ordkey).alias("_end"))
+    ends = with_ck.where("_heavy").groupBy(*parts, "_ck").agg(pick(payload, ordkey).alias("_end"))
     cw = Window.partitionBy(*parts).orderBy("_ck")
     across = ends.select(*parts, "_ck", shift("_end").over(cw).alias("_nb"))
-    joined = local.join(across, on=[*parts, "_ck"], how="left")
+    joined = _with_chunks(local, across, parts)
     for c in cs:
         joined = joined.withColumn(prefix + c, F.when(F.col("_edge"), F.col("_nb")[c]).otherwise(F.col(prefix + c)))
-    return joined.drop("_ck", "_edge", "_nb")
+    return joined.drop("_ck", "_heavy", "_edge", "_nb")
 
 
 def sessionize(df: DataFrame, part, order, cols, starts, chunk_col: str, chunk: int,
@@ -91,23 +133,27 @@ def sessionize(df: DataFrame, part, order, cols, starts, chunk_col: str, chunk:
     (``prev[c]`` is null for a group's first row); ``out`` numbers the
     sessions 1, 2, ... per group in ``order`` (0 before the first start).
 
-    One window per (key, chunk) yields the local previous row and the local
+    For light keys that is one window.  For heavy ones a window per (key, chunk) yields the local previous row and the local
     count of starts; the per-chunk summary (first row, last row, inner
     starts) is aggregated on that window's own partitioning, so it costs no
     extra shuffle; a window over chunks repairs each chunk's first row and
     gives the offsets, joined back on (key, chunk)."""
     parts, orders, cs = _list(part), _list(order), _list(cols)
-    with_ck = df.withColumn("_ck", floor_to(F.col(chunk_col), chunk))
-    w = Window.partitionBy(*parts, "_ck").orderBy(*[_col(o) for o in orders])
+    with_ck, split = _chunked(df, parts, chunk_col, chunk)
+    w = (Window.partitionBy(*parts, "_ck") if split else Window.partitionBy(*parts)).orderBy(*[_col(o) for o in orders])
     prev = {c: F.lag(F.col(c)).over(w) for c in cs}
     cur = {c: F.col(c) for c in cs}
+    if not split:
+        opened = with_ck.withColumn(flag, F.coalesce(starts(prev, cur), F.lit(False)))
+        number = F.sum(F.col(flag).cast("long")).over(w.rowsBetween(Window.unboundedPreceding, 0))
+        return opened.withColumn(out, number).select(*[c for c in df.columns], out, flag)
     local = (with_ck.withColumn("_edge", F.lag(F.lit(1)).over(w).isNull())
                     .withColumn("_ls", F.coalesce(starts(prev, cur), F.lit(False)))
                     .withColumn("_inner", F.when(F.col("_edge"), F.lit(0)).otherwise(F.col("_ls").cast("long"))))
     local = local.withColumn("_lc", F.sum("_inner").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     ordkey = F.struct(*[_col(o) for o in orders])
     payload = F.struct(*[F.col(c) for c in cs])
-    summary = local.groupBy(*parts, "_ck").agg(F.min_by(payload, ordkey).alias("_first"),
+    summary = local.where("_heavy").groupBy(*parts, "_ck").agg(F.min_by(payload, ordkey).alias("_first"),
                                                 F.max_by(payload, ordkey).alias("_last"),
                                                 F.sum("_inner").alias("_n"))
     cw = Window.partitionBy(*parts).orderBy("_ck")
@@ -118,7 +164,11 @@ def sessionize(df: DataFrame, part, order, cols, starts, chunk_col: str, chunk:
                      .withColumn("_off", F.coalesce(F.sum("_tot").over(cw.rowsBetween(Window.unboundedPreceding, -1)),
                                                     F.lit(0)))
                      .select(*parts, "_ck", "_fs", "_off"))
-    joined = local.join(chunks, on=[*parts, "_ck"], how="left")
-    return (joined.withColumn(out, F.col("_off") + F.col("_fs") + F.col("_lc"))
-                  .withColumn(flag, F.when(F.col("_edge"), F.col("_fs") == 1).otherwise(F.col("_ls")))
-                  .drop("_ck", "_edge", "_ls", "_inner", "_lc", "_fs", "_off"))
+    joined = _with_chunks(local, chunks, parts)
+    # a light key is one chunk: its first row's start is its own
+    first = F.coalesce(F.col("_fs"), (F.col("_edge") & F.col("_ls")).cast("long"), F.lit(0))
+    light = F.sum(F.col("_ls").cast("long")).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    joined = joined.withColumn("_light", light)
+    return (joined.withColumn(out, F.when(F.col("_heavy"), F.col("_off") + F.col("_fs") + F.col("_lc")).otherwise(F.col("_light")))
+                  .withColumn(flag, F.when(F.col("_edge"), first == 1).otherwise(F.col("_ls")))
+                  .drop("_ck", "_heavy", "_light", "_edge", "_ls", "_inner", "_lc", "_fs", "_off"))

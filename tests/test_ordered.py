@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -7,6 +8,12 @@ from flowstat.plans import tables
 from .conftest import SF0001, rows
 
 
+@pytest.fixture(autouse=True, params=[50, 1 << 20], ids=["heavy keys", "light keys"])
+def heavy_rows(request, monkeypatch):
+    """Both ways: keys of more than 50 rows are split, or none is."""
+    monkeypatch.setattr("flowstat.operators.ordered.HEAVY_ROWS", request.param)
+
+
 def _ev(spark):
     return tables.table(spark, SF0001, "events").select("event_id", "user_id", "value", "ts")
 

@@ -10,6 +10,12 @@ from flowstat.plans import tables
 from .conftest import SF001, rows
 
 
+@pytest.fixture(autouse=True, params=[50, 1 << 20], ids=["heavy keys", "light keys"])
+def heavy_rows(request, monkeypatch):
+    """Both ways: keys of more than 50 rows are split, or none is."""
+    monkeypatch.setattr("flowstat.operators.ordered.HEAVY_ROWS", request.param)
+
+
 @pytest.fixture(scope="module")
 def skewed(spark):
     ev = tables.table(spark, SF001, "events")
