@@ -97,18 +97,18 @@ def pair_status(df: DataFrame, key: str, is_create, is_pay, ts: str, within="15
     first create c; first pay at or after it p.  ``c.ts <= p.ts < c.ts +
     within`` -> payed, otherwise timeout; a pay earlier than the first
     create, or a pay with no create -> pay_without_create.
-    Two aggregates and one join on the key (AQE splits a hot key)."""
+    The first create up to each pay is a running minimum (creates before pays at
+    equal times), and one aggregate per key takes the rest: the input is read
+    once, besides the count of rows per key."""
     w = duration_us(within)
     dtype = ts_type(df, ts)
     base = df.select(key, to_micros(ts, dtype).alias("_t"), _pred(df, is_create).alias("_c"),
-                     _pred(df, is_pay).alias("_p"))
-    firsts = base.groupBy(key).agg(F.min(F.when(F.col("_c"), F.col("_t"))).alias("_ct"),
-                                   F.min(F.when(F.col("_p"), F.col("_t"))).alias("_pt0"))
-    pays = base.where(F.col("_p")).select(key, F.col("_t").alias("_pt"))
-    after = (pays.join(firsts.where(F.col("_ct").isNotNull()).select(key, "_ct"), key)
-                 .where(F.col("_pt") >= F.col("_ct"))
-                 .groupBy(key).agg(F.min("_pt").alias("_p1")))
-    s = firsts.join(after, key, "left")
+                     _pred(df, is_pay).alias("_p")).where("_c OR _p")
+    base = base.withColumns({"_o": (~F.col("_c")).cast("int"), "_create": F.when(F.col("_c"), F.col("_t"))})
+    ran = running_total(base, part=[key], order=["_t", "_o"], value="_create", out="_seen", chunk_col="_t",
+                        chunk=duration_us(DEFAULT_TIME_CHUNK), agg="min")
+    s = ran.groupBy(key).agg(F.min("_create").alias("_ct"), F.min(F.when(F.col("_p"), F.col("_t"))).alias("_pt0"),
+                             F.min(F.when(F.col("_p") & F.col("_seen").isNotNull(), F.col("_t"))).alias("_p1"))
     created = F.when(F.col("_ct").isNotNull(),
                      F.when(F.col("_p1").isNotNull() & (F.col("_p1") < F.col("_ct") + F.lit(w)), F.lit(PAYED))
                       .otherwise(F.lit(TIMEOUT)))

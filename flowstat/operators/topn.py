@@ -22,20 +22,6 @@ def top_n(df: DataFrame, part, key: str, score: str = "cnt", n: int = 5,
               .where(F.col(rank_col) <= n))
 
 
-def top_n_collect(df: DataFrame, part, key: str, score: str = "cnt", n: int = 5,
-                  rank_col: str = "rn") -> DataFrame:
-    """Top-N as a second aggregate (the form Spark accepts on an append-mode
-    stream, where ``row_number`` is not allowed): the n smallest
-    (-score, key) pairs of each group.  The list of a group holds all of its
-    keys, so prefer :func:`top_n` (partial WindowGroupLimit) in batch."""
-    parts = [part] if isinstance(part, str) else list(part)
-    best = F.slice(F.sort_array(F.collect_list(F.struct((-F.col(score)).alias("neg"), F.col(key).alias("k")))), 1, n)
-    return (df.groupBy(*parts).agg(best.alias("_top"))
-              .select(*parts, F.posexplode("_top").alias("_pos", "_t"))
-              .select(*parts, (F.col("_pos") + 1).alias(rank_col),
-                      F.col("_t.k").alias(key), (-F.col("_t.neg")).alias(score)))
-
-
 def report(ranked: DataFrame, part: str, key: str, score: str = "cnt", rank_col: str = "rn",
            ts_format: str = "yyyy-MM-dd HH:mm:ss", out: str = "report") -> DataFrame:
     """One text line per window of a ranked frame:
@@ -70,6 +56,9 @@ def ranking_changelog(ranked: DataFrame, part: str, key: str, step_us: int,
     key leaving it is '-'.  Rank changes of a key that stays are '-' then '+'
     of the (key, rank) pair, like a retract stream of a top-N table."""
     dtype = ranked.schema[part].dataType
-    cur = ranked.select(part, key, rank_col)
-    prev = ranked.select(from_micros(to_micros(part, dtype) + F.lit(step_us), dtype).alias(part), key, rank_col)
-    return changelog(prev, cur, [part, key, rank_col], op_col)
+    later = from_micros(to_micros(part, dtype) + F.lit(step_us), dtype)
+    # a ranked row enters at its window and leaves at the next; what stays cancels out
+    steps = F.explode(F.array(F.struct(F.col(part).alias("_w"), F.lit(1).alias("_d")), F.struct(later.alias("_w"), F.lit(-1).alias("_d"))))
+    net = (ranked.select(key, rank_col, steps.alias("_s")).groupBy(F.col("_s._w").alias(part), key, rank_col)
+           .agg(F.sum("_s._d").alias("_n")).where("_n <> 0"))
+    return net.select(part, key, rank_col, F.when(F.col("_n") > 0, "+").otherwise("-").alias(op_col))
