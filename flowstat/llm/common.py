@@ -46,3 +46,14 @@ def fresh(docs: DataFrame, name: str) -> str:
     while name in taken:
         name = f"_{name}"
     return name
+
+
+def hash_sample(df: DataFrame, rows: int, *key: str) -> DataFrame:
+    """About ``rows`` rows (all of a smaller ``df``): those whose hash of ``key`` falls in
+    a share of the range.  Each task decides for itself, so no task sorts or reads
+    the candidates of all others; the same rows are chosen whatever the partitions."""
+    n = df.count()
+    if n <= rows:
+        return df
+    parts = 1 << 40
+    return df.where(F.pmod(F.xxhash64(*key), F.lit(parts)) < int(parts * (rows / n)))

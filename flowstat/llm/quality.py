@@ -9,8 +9,8 @@ w . x.  The threshold is the quantile of the training rows' raw scores at the
 share of the worse class, and the score is the sigmoid of the distance to it,
 moved so that the threshold stands at ``cut``.
 
-Labels, language, source and ids are never inputs.  The fit uses at most
-``sample`` training rows of each class, taken in the order of a hash of the id;
+Labels, language, source and ids are never inputs.  The fit uses about
+``sample`` training rows of each class at most, chosen by a hash of the id;
 the threshold is taken over the same rows.  Every text is scored whole.
 
 Cases.  Null text counts as empty; an empty text has the zero vector and gets a
@@ -33,7 +33,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh, materialize
+from .common import fresh, hash_sample, materialize
 
 SYMBOLS = np.frombuffer(b"#$%&*+/<=>@\\^_`{|}~[]", np.uint8)
 
@@ -112,10 +112,10 @@ def preference_pairs(rows: DataFrame, opponents: int) -> DataFrame:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
-    """doc_id, quality, x, i of at most ``sample`` labelled rows of each class, numbered by class."""
+    """doc_id, quality, x, i of about ``sample`` labelled rows of each class at most, numbered by class."""
     known = labels.select("doc_id", "quality").where(~held_out(F.col("doc_id")))
-    some = [known.where(F.col("quality") == q).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for q in (0, 1)]
-    # at most 2 * sample rows
+    some = [hash_sample(known.where(F.col("quality") == q), sample, "doc_id") for q in (0, 1)]
+    # about 2 * sample rows at most
     found = docs.select("doc_id", "text").join(F.broadcast(some[0].unionByName(some[1])), "doc_id")
     rows = with_features(found).select("doc_id", "quality", "x")
     order = W.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id", "x")

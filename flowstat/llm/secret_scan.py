@@ -9,8 +9,8 @@ one of random strings and one of ordinary identifiers, give each run the mean
 log-likelihood ratio per transition; a run is a secret if it is above the
 threshold.  The models are transition counts with one added to each, learned
 from labelled samples: values of base spans over all documents are the random
-class, words of at least ``least`` letters from at most ``sample`` documents
-(those with the smallest hash of id and text) the ordinary class.  The threshold is the ratio
+class, words of at least ``least`` letters from about ``sample`` documents
+(chosen by a hash of id and text) the ordinary class.  The threshold is the ratio
 that ``quantile`` of the ordinary samples stay under, and not below zero.  The
 models are a table of fixed size (``len(ALPHABET) ** 2`` pairs).
 
@@ -29,7 +29,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, whole
+from .common import hash_sample, materialize, whole
 from .spans import joined, names, spans
 
 # fixed values: the contract's formats
@@ -88,8 +88,7 @@ def labelled_samples(found: DataFrame, docs: DataFrame, sample: int, least: int)
     values = F.flatten(F.array(F.transform("assign", lambda x: F.regexp_replace(x["v"], ASSIGN_HEAD, "")),
                                F.transform("access", lambda x: x["v"]), F.transform("hex", lambda x: x["v"])))
     random = found.where("size(assign) + size(access) + size(hex) > 0").select(F.lit("random").alias("label"), F.explode(values).alias("string"))
-    some = (docs.select("doc_id", whole("text").alias("text")).withColumn("h", F.xxhash64("doc_id", "text"))
-            .orderBy("h", "doc_id").limit(sample))
+    some = hash_sample(docs.select("doc_id", whole("text").alias("text")), sample, "doc_id", "text")
     words = F.regexp_extract_all("text", F.lit(f"(?<![A-Za-z0-9])[A-Za-z]{{{least},}}+(?![A-Za-z0-9])"), F.lit(0))
     ordinary = some.select(F.lit("ordinary").alias("label"), F.explode(words).alias("string"))
     return random.unionByName(ordinary)
