@@ -308,7 +308,7 @@ def _all_pairs(left: DataFrame) -> DataFrame:
             .where("k >= l").select("a", "b"))
 
 
-def jaccard_join(docs: DataFrame, sketch_bits: int = 22, most_shared: int = 4, star_rounds: int = 2) -> DataFrame:
+def jaccard_join(docs: DataFrame, sketch_bits: int = 22, most_shared: int = 2, star_rounds: int = 2) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text), and th, the text's hash."""
     text = whole("text")
     rows = docs.select("doc_id", F.xxhash64(text).alias("th"), text.alias("text"))
