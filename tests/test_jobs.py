@@ -222,8 +222,8 @@ def test_every_job_streams(spark, tmp_path):
     runs = [jobs.hot_items(spark, ub, stream=True, sink="memory"),
             jobs.page_views(spark, ub, stream=True, sink="memory"),
             jobs.unique_visitors(spark, ub, stream=True, sink="memory"),
-            jobs.marketing(spark, mk, stream=True, sink="memory"),
-            jobs.ad_clicks(spark, ads, stream=True, sink="memory"),
+            jobs.marketing(spark, mk, size="1 minute", stream=True, sink="memory"),
+            jobs.ad_clicks(spark, ads, size="1 minute", stream=True, sink="memory"),
             jobs.order_timeout(spark, od, stream=True, sink="memory"),
             jobs.tx_match(spark, od, rc, stream=True, sink="memory")]
     for qs in runs:
