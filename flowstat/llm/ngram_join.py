@@ -303,7 +303,8 @@ def _all_pairs(left: DataFrame) -> DataFrame:
     # each pair once: a minor meets the whole largest component, and other minors of smaller components
     once = (F.col("b_comp") == F.col("big")) | (F.col("a_comp") > F.col("b_comp"))
     return (a.join(b, "shingle").where((F.col("a_comp") != F.col("b_comp")) & once & _can_link("a_nip", "b_nip"))
-            .groupBy(F.col("a_class").alias("a"), F.col("b_class").alias("b"))
+            # which class is 'a' differs from shingle to shingle; the shared ones are counted under one order
+            .groupBy(F.least("a_class", "b_class").alias("a"), F.greatest("a_class", "b_class").alias("b"))
             .agg(F.count(F.lit(1)).alias("k"), F.first(F.least(_share("a_nip"), _share("b_nip"))).alias("l"))
             .where("k >= l").select("a", "b"))
 

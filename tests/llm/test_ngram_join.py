@@ -101,3 +101,16 @@ def test_keep_one(spark):
     assert ("5", "one two three four five six") in ids and ("6", "one two three four five six") not in ids
     assert ("7", "long") in ids and ("8", "long") not in ids
     assert sum(x == ("None", "no id here at all, only text") for x in ids) == 1
+
+
+def nip(n, place, share):
+    return (n << 32) + (place << 4) + share
+
+
+def test_shared_shingles_count_in_either_order(spark):
+    """A and B share two shingles; under the second one a larger component turns their order."""
+    a, b, c1, c2 = 1, 2, 9, 10
+    rows = [(100, a, nip(50, 0, 2), 1), (100, b, nip(50, 0, 2), 2)]
+    rows += [(200, k, nip(50, 1, 2), comp) for k, comp in ((a, 1), (b, 2), (c1, 9), (c2, 9))]
+    left = spark.createDataFrame(rows, "shingle long, class long, nip long, comp long")
+    assert [tuple(r) for r in J._all_pairs(left).collect()] == [(a, b)]
