@@ -11,7 +11,8 @@ moved so that the threshold stands at ``cut``.
 
 Labels, language, source and ids are never inputs.  The fit uses about
 ``sample`` training rows of each class at most, chosen by a hash of the id;
-the threshold is taken over the same rows.  Every text is scored whole.
+the threshold is taken over all labelled rows of the training folds, whatever
+the size of the sample.  Every text is scored whole.
 
 Cases.  Null text counts as empty; an empty text has the zero vector and gets a
 score as any other.  Null ids count as the empty string for the fold.  Labels
@@ -122,8 +123,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
     return materialize(rows.withColumn("i", F.row_number().over(order) - 1), "quality-sample")
 
 
-def fit(rows: DataFrame, opponents: int = 4) -> tuple[list[float], float]:
-    """Weights and threshold from training rows."""
+def fit(rows: DataFrame, opponents: int = 4) -> list[float] | None:
+    """Weights from training rows; None with no pair to learn from."""
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.functions import array_to_vector
 
@@ -132,15 +133,42 @@ def fit(rows: DataFrame, opponents: int = 4) -> tuple[list[float], float]:
             .unionByName(pairs.select(F.transform("d", lambda x: -x).alias("d"), F.lit(0.0).alias("label"))))
     both = materialize(both, "quality-pairs")
     if both.isEmpty():
-        return [0.0] * N_MEASURES, 0.0
+        return None
     model = LogisticRegression(fitIntercept=False, regParam=1e-4, maxIter=100).fit(
         both.select(array_to_vector("d").alias("features"), "label"))
-    weights = [float(x) for x in model.coefficients]
-    n, worse = rows.agg(F.count(F.lit(1)), F.count_if(F.col("quality") == 0)).first()
+    return [float(x) for x in model.coefficients]
+
+
+def nth_smallest(rows: DataFrame, k: int, bins: int = 4096, few: int = 4096) -> float:
+    """The value with ``k`` values before it in the sorted column ``raw``, exactly:
+    counts by equal bins narrow the range until few distinct values are left in it."""
+    while True:
+        low, high, kinds = rows.agg(F.min("raw"), F.max("raw"), F.approx_count_distinct("raw")).first()
+        width = (high - low) / bins
+        if kinds <= few or not width > 0:
+            step = F.col("raw")
+        else:
+            step = F.least(F.floor((F.col("raw") - F.lit(low)) / F.lit(width)), F.lit(bins - 1)).cast("int")
+        # at most ``bins`` rows, or a few more than ``few`` distinct values
+        for value, n in rows.groupBy(step.alias("at")).count().orderBy("at").collect():
+            if k < n:
+                break
+            k -= n
+        if kinds <= few or not width > 0:
+            return value
+        rows = rows.where(step == value)
+
+
+def quantile(docs: DataFrame, labels: DataFrame, weights: list[float]) -> float:
+    """The threshold: the quantile of the raw scores of all labelled rows of the
+    training folds at the share of the worse class."""
+    known = labels.select("doc_id", "quality").where(F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id")))
+    texts = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    scored = with_features(texts).select("doc_id", raw_score(weights).alias("raw"))
+    rows = materialize(scored.join(known, "doc_id").select("quality", "raw"), "quality-raw")
+    worse = rows.where("quality = 0").count()
     # the quantile at the worse class's share lies between two rows; the threshold is halfway
-    at = F.array(F.lit((worse - 1) / (n - 1)), F.lit(worse / (n - 1)))
-    below, above = rows.agg(F.percentile(raw_score(weights), at)).first()[0]
-    return weights, (below + above) / 2
+    return (nth_smallest(rows, worse - 1) + nth_smallest(rows, worse)) / 2
 
 
 def raw_score(weights: list[float], vector: str = "x") -> Column:
@@ -149,7 +177,9 @@ def raw_score(weights: list[float], vector: str = "x") -> Column:
 
 def with_score(docs: DataFrame, labels: DataFrame, name: str = "score", cut: float = 0.3, sample: int = 20_000) -> DataFrame:
     """``docs`` with the score of every row as column ``name``."""
-    weights, threshold = fit(training_rows(docs, labels, sample))
+    weights = fit(training_rows(docs, labels, sample))
+    threshold = quantile(docs, labels, weights) if weights else 0.0
+    weights = weights or [0.0] * N_MEASURES
     vector = fresh(docs, "x")
     raw = raw_score(weights, vector)
     score = 1 / (1 + F.exp(F.lit(threshold - math.log(cut / (1 - cut))) - raw))

@@ -1,5 +1,8 @@
+import random
 import zlib
 
+from pyspark.sql import functions as F
+
 from flowstat.llm import quality
 from flowstat.llm.common import table
 
@@ -44,3 +47,31 @@ def test_nasty_empty_and_unlabelled(spark):
     assert quality.classify(empty(spark), labels).count() == 0
     kept = quality.keep_good(nasty(spark), labels.limit(0))
     assert kept.columns == nasty(spark).columns and kept.count() == nasty(spark).count()
+
+
+def overlapping(spark, n=2000):
+    """Rows with a tenth of the worse class, whose texts are noisier on average only."""
+    rnd, rows = random.Random(5), []
+    for i in range(n):
+        bad = i % 10 == 0
+        words = [rnd.choice("some plain words of every day that people use".split()) for _ in range(rnd.randint(20, 60))]
+        noise = sum(rnd.random() < (0.5 if bad else 0.35) for _ in range(12))
+        rows.append((i, " ".join(words + [f"{rnd.choice('$#%')}{k}!" for k in range(noise)]), int(not bad)))
+    table = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    return table.select("doc_id", "text"), table.select("doc_id", "quality")
+
+
+def test_threshold_does_not_depend_on_the_sample(spark):
+    """As many training rows are rejected as the worse class has, also where the fit sees equal classes."""
+    docs, labels = overlapping(spark)
+    worse = labels.where(~quality.held_out(F.col("doc_id")) & (F.col("quality") == 0)).count()
+    for sample in (60, 20_000):
+        got = quality.classify(docs, labels, sample=sample).where("not held_out")
+        assert abs(got.where("predicted = 0").count() - worse) <= 2
+
+
+def test_nth_smallest(spark):
+    values = [x / 7 for x in range(300)] * 2 + [1e6] * 50 + [-3.0]
+    rows = spark.createDataFrame([(v,) for v in values], "raw double")
+    for k in (0, 1, 2, 299, 400, 600, 601, 650):
+        assert quality.nth_smallest(rows, k, bins=16, few=8) == sorted(values)[k]
