@@ -143,8 +143,9 @@ def mix(docs: DataFrame, block_words: int = 512, least_blocks: int = 512, epochs
 
 def mixed_documents(docs: DataFrame, **parameters) -> DataFrame:
     """The documents of the mix, with the columns of ``docs``: a document once for
-    each whole time it is taken, and once more with its first words (joined by
-    single spaces) where the mix ends inside it."""
+    each whole time it is taken, and once more with its text up to the last word
+    taken where the mix ends inside it.  A source's ranks take its blocks in order,
+    so what is taken once more than the rest is always the opening."""
     key, copy, found, text = (fresh(docs, f"mix_{c}") for c in ("key", "copy", "found", "text"))
     taken, _ = mix(docs, **parameters)
     per_key = taken.where("taken > 0").groupBy(F.col("key").alias(key)).agg(
@@ -153,7 +154,10 @@ def mixed_documents(docs: DataFrame, **parameters) -> DataFrame:
     rows = (docs.withColumn(key, row_key()).withColumn(copy, number).join(per_key, key)
             .withColumn(found, F.try_element_at(found, F.col(copy))).where(F.col(found).isNotNull()))
     rest = F.pmod(F.col(found)["taken"], F.col(found)["size"])
-    part = F.array_join(F.slice(F.regexp_extract_all("text", F.lit("[^ \\x09-\\x0D]+"), F.lit(0)), 1, rest.cast("int")), " ")
+    word, first = "[^ \\x09-\\x0D]+", rest.cast("int")
+    # each word behind the white space before it, as they stand in the text
+    part = F.array_join(F.zip_with(F.slice(F.split("text", word, -1), 1, first),
+                                   F.slice(F.regexp_extract_all("text", F.lit(word), F.lit(0)), 1, first), lambda a, b: F.concat(a, b)), "")
     times = F.call_function("div", F.col(found)["taken"], F.col(found)["size"]).cast("int")
     texts = F.concat(F.array_repeat(F.col("text"), times), F.when(rest > 0, F.array(part)).otherwise(F.array().cast("array<string>")))
     out = rows.withColumn(text, F.explode(texts))

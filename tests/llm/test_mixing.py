@@ -99,3 +99,28 @@ def test_nasty_and_empty(spark):
     assert len(got) == nasty(spark).count() and all(0 <= r.taken <= 3 * r.size for r in got)
     assert mixing.mixed_documents(nasty(spark)).columns == nasty(spark).columns
     assert mixing.mix(empty(spark))[0].count() == 0 and mixing.mixed_documents(empty(spark)).count() == 0
+
+
+def test_partial_texts_are_the_words_that_the_schedule_took(spark):
+    """Documents over several blocks: every word as often as its block, in the text's own line breaks."""
+    rows = [(i, " \n\n".join(f"d{i}w{k}\tx{k}" for k in range(40 + i)) + "\n", "ab"[i % 2]) for i in range(7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    options = {"block_words": 16, "least_blocks": 3}
+    taken, slots = mixing.mix(docs, **options)
+    named = taken.withColumn("source_no", F.when(F.col("source") == "a", 1).otherwise(2))
+    blocks = F.greatest(F.ceil(F.col("source_size") / 16), F.lit(3)).cast("long")
+    pieces = mixing.block_pieces(named.select(F.concat_ws(":", "key", "copy").alias("row"), "source_no", "size", blocks.alias("n_blocks"), "source_size"))
+    times = defaultdict(int)
+    for r in slots.collect():
+        times[r.source_no, r.block] += 1
+    ids, words, got = {f"{r.key}:{r.copy}": r.doc_id for r in taken.collect()}, defaultdict(int), defaultdict(int)
+    for p in pieces.collect():
+        for w in rows[ids[p.row]][1].split()[p["from"]:p["from"] + p.words]:
+            words[ids[p.row], w] += times[p.source_no, p.block]
+    partial = 0
+    for r in mixing.mixed_documents(docs, **options).collect():
+        for w in r.text.split():
+            got[r.doc_id, w] += 1
+        assert rows[r.doc_id][1].startswith(r.text)
+        partial += r.text != rows[r.doc_id][1]
+    assert got == {k: n for k, n in words.items() if n} and partial
