@@ -8,11 +8,14 @@ drawn at random.  Two first-order Markov models over the characters of keys,
 one of random strings and one of ordinary identifiers, give each run the mean
 log-likelihood ratio per transition; a run is a secret if it is above the
 threshold.  The models are transition counts with one added to each, learned
-from labelled samples: values of base spans over all documents are the random
-class, words of at least ``least`` letters from about ``sample`` documents
-(chosen by a hash of id and text) the ordinary class.  The threshold is the ratio
-that ``quantile`` of the ordinary samples stay under, and not below zero.  The
-models are a table of fixed size (``len(ALPHABET) ** 2`` pairs).
+over all documents: values of base spans are the random class; the ordinary
+class is runs of key characters of any length from ``least`` on that overlap no
+base span and are shaped as identifiers (``ORDINARY``: words, capitals and
+numbers, joined by separators or by case).  The threshold is the ratio that
+``quantile`` of the ordinary runs stay under, and not below zero; those as long
+as the runs that are scored, which are few among the words, must stay under it
+at that share by themselves.  The models are a table of fixed size
+(``len(ALPHABET) ** 2`` pairs).
 
 A random span is only added where no base span overlaps it.
 
@@ -29,7 +32,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_sample, materialize, whole
+from .common import materialize, whole
 from .spans import joined, names, spans
 
 # fixed values: the contract's formats
@@ -42,7 +45,12 @@ HEX = "(?<![0-9a-f])[0-9a-f]{32,}+"     # a maximal run
 # --------------------------------------------------------------------------
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 # runs of key characters with a letter among them (long numbers are no keys)
-RUN = "(?<![A-Za-z0-9+/_=-])(?=[0-9+/_=-]*+[A-Za-z])[A-Za-z0-9+/_=-]{16,}+"
+LONG = 16
+RUN = f"(?<![A-Za-z0-9+/_=-])(?=[0-9+/_=-]*+[A-Za-z])[A-Za-z0-9+/_=-]{{{LONG},}}+"
+# identifiers: parts between separators are words or capitals of three letters or more, with a number behind and a
+# longer word behind that, or one or two letters with a number, or a number
+WORD = "(?:[A-Z]?[a-z]{3,}+|[A-Z]{3,}+)++"
+ORDINARY = f"^[+/_=-]*+(?:(?:[A-Za-z]{{1,2}}[0-9]{{0,4}}|{WORD}(?:[0-9]++(?:(?=[A-Za-z]{{5}}){WORD}[0-9]*+)?+)?+|[0-9]++)(?:[+/_=-]++|$))++$"
 
 
 def base_spans(text: Column) -> dict[str, Column]:
@@ -54,11 +62,12 @@ def base_spans(text: Column) -> dict[str, Column]:
 
 
 def _pairs(samples: DataFrame) -> DataFrame:
-    """label, a, b: the transitions of samples (label, string), as places in ALPHABET."""
+    """label, times, a, b: the transitions of samples (label, string, and times), as places in ALPHABET."""
     at = F.explode(F.sequence(F.lit(1), F.char_length("string") - 1))
-    rows = samples.where(F.char_length("string") >= 2).select("label", "string", at.alias("i"))
+    times = F.col("times") if "times" in samples.columns else F.lit(1)
+    rows = samples.where(F.char_length("string") >= 2).select("label", "string", times.alias("times"), at.alias("i"))
     place = [F.instr(F.lit(ALPHABET), F.substring("string", F.col("i") + k, F.lit(1))) - 1 for k in (0, 1)]
-    return rows.select("label", place[0].alias("a"), place[1].alias("b")).where("a >= 0 and b >= 0")
+    return rows.select("label", "times", place[0].alias("a"), place[1].alias("b")).where("a >= 0 and b >= 0")
 
 
 def train(samples: DataFrame) -> list[float]:
@@ -66,8 +75,8 @@ def train(samples: DataFrame) -> list[float]:
     row over ALPHABET, from samples (label 'random' / 'ordinary', string)."""
     n = len(ALPHABET)
     counts = {k: [[1.0] * n for _ in range(n)] for k in ("random", "ordinary")}
-    for r in _pairs(samples).groupBy("label", "a", "b").count().collect():  # at most 2 * n * n rows
-        counts[r.label][r.a][r.b] += r["count"]
+    for r in _pairs(samples).groupBy("label", "a", "b").agg(F.sum("times").alias("n")).collect():  # at most 2 * n * n rows
+        counts[r.label][r.a][r.b] += r.n
     return [math.log(x / sum(p)) - math.log(y / sum(q))
             for p, q in zip(counts["random"], counts["ordinary"]) for x, y in zip(p, q)]
 
@@ -83,18 +92,32 @@ def ratio(string: Column, model: list[float]) -> Column:
     return total / F.greatest(F.size(steps), F.lit(1))
 
 
-def labelled_samples(found: DataFrame, docs: DataFrame, sample: int, least: int) -> DataFrame:
-    """(label, string): values of base spans, and words of a bounded set of documents."""
+def labelled_samples(found: DataFrame, docs: DataFrame, least: int) -> DataFrame:
+    """label, string, times: values of base spans, and identifier-shaped runs of all documents."""
     values = F.flatten(F.array(F.transform("assign", lambda x: F.regexp_replace(x["v"], ASSIGN_HEAD, "")),
                                F.transform("access", lambda x: x["v"]), F.transform("hex", lambda x: x["v"])))
     random = found.where("size(assign) + size(access) + size(hex) > 0").select(F.lit("random").alias("label"), F.explode(values).alias("string"))
-    some = hash_sample(docs.select("doc_id", whole("text").alias("text")), sample, "doc_id", "text")
-    words = F.regexp_extract_all("text", F.lit(f"(?<![A-Za-z0-9])[A-Za-z]{{{least},}}+(?![A-Za-z0-9])"), F.lit(0))
-    ordinary = some.select(F.lit("ordinary").alias("label"), F.explode(words).alias("string"))
-    return random.unionByName(ordinary)
-
-
-def scan(docs: DataFrame, sample: int = 2000, least: int = 6, quantile: float = 0.9999) -> DataFrame:
+    # base spans leave the text before its runs are taken
+    text = F.regexp_replace(F.regexp_replace(F.regexp_replace(whole("text"), f"{ASSIGN}(?<={VALUE}{{8}})", " "), ACCESS, " "), HEX, " ")
+    run = f"(?<![A-Za-z0-9+/_=-])(?=[0-9+/_=-]*+[A-Za-z])[A-Za-z0-9+/_=-]{{{least},}}+"
+    ordinary = (docs.select(F.explode(F.regexp_extract_all(text, F.lit(run), F.lit(0))).alias("string"))
+                .where(F.col("string").rlike(ORDINARY)).select(F.lit("ordinary").alias("label"), "string"))
+    return random.unionByName(ordinary).groupBy("label", "string").agg(F.count(F.lit(1)).alias("times"))
+
+
+def quantile_of(ratios: DataFrame, quantile: float) -> float:
+    """The ratio that ``quantile`` of the rows (at, times) stay under, rounded up to thousandths."""
+    # as many rows as thousandths that ratios differ by
+    steps = ratios.groupBy(F.ceil(F.col("at") * 1000).alias("k")).agg(F.sum("times").alias("n")).orderBy("k").collect()
+    left = quantile * sum(r.n for r in steps)
+    for r in steps:
+        left -= r.n
+        if left <= 0:
+            return r.k / 1000
+    return steps[-1].k / 1000 if steps else 0.0
+
+
+def scan(docs: DataFrame, least: int = 6, quantile: float = 0.9999) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans, and the found spans of
     each kind as arrays (assign, access, hex, random)."""
     text = whole("text")
@@ -102,10 +125,10 @@ def scan(docs: DataFrame, sample: int = 2000, least: int = 6, quantile: float =
     base = base_spans(text)
     # the text is scanned once; what is left is short
     found = materialize(docs.select("doc_id", *[c.alias(k) for k, c in base.items()], runs.alias("runs")), "secret-spans")
-    samples = materialize(labelled_samples(found, docs, sample, least), "secret-samples")
+    samples = materialize(labelled_samples(found, docs, least), "secret-samples")
     model = train(samples)
-    top = samples.where("label = 'ordinary'").agg(F.percentile_approx(ratio(F.col("string"), model), F.lit(quantile), F.lit(10000))).first()[0]
-    threshold = max(0.0, top or 0.0)
+    ratios = samples.where("label = 'ordinary'").select(ratio(F.col("string"), model).alias("at"), "times", "string")
+    threshold = max(0.0, quantile_of(ratios, quantile), quantile_of(ratios.where(F.char_length("string") >= LONG), quantile))
     known = F.concat("assign", "access", "hex")
     free = F.filter("runs", lambda r: ~F.exists(known, lambda x: (x["s"] < r["e"]) & (r["s"] < x["e"])))
     random = F.filter(free, lambda r: ratio(r["v"], model) > threshold)

@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import string
 
 from flowstat.llm import pii, secret_scan
 
@@ -70,6 +72,21 @@ def test_markov_models_add_random_strings_only(spark):
     assert got[len(texts) - 1].random == []
 
 
+def test_identifiers_are_ordinary(spark):
+    """Runs with digits, underscores and slashes in any document are no secrets; a key beside them is."""
+    identifiers = ["get_user_by_id_2021", "MAX_BUFFER_SIZE_1024", "test_case_number_12", "docs/api/v2/index", "covid19vaccination2021",
+                   "/usr/local/share/doc/readme"]
+    keys = ["9fK2xQv7Lp0ZtR4mWc8Yb1Nd3Hs6Jg5u", "q8Zr2Lx0Vt5Kd9Wm3Hc7Bn1F"]
+    rnd = random.Random(3)
+    training = [f"some words here token={''.join(rnd.choice(string.ascii_letters + string.digits) for _ in range(24))}" for _ in range(400)]
+    code = [f"call {name} of the module {name}" for name in identifiers] * 5
+    texts = [*training, *code, *[f"a line with {key} in it" for key in keys]]
+    got = {r.doc_id: [x.v for x in r.random] for r in secret_scan.scan(frame(spark, texts)).collect()}
+    n = len(training)
+    assert [got[i] for i in range(n, n + len(code))] == [[]] * len(code)
+    assert [got[i] for i in range(n + len(code), len(texts))] == [[key] for key in keys]
+
+
 def test_training_counts(spark):
     model = secret_scan.train(spark.createDataFrame([("random", "ab"), ("random", "ab"), ("ordinary", "ba")], "label string, string string"))
     n, a, b = len(secret_scan.ALPHABET), secret_scan.ALPHABET.index("a"), secret_scan.ALPHABET.index("b")
