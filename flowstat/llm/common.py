@@ -49,11 +49,22 @@ def fresh(docs: DataFrame, name: str) -> str:
 
 
 def hash_sample(df: DataFrame, rows: int, *key: str) -> DataFrame:
-    """About ``rows`` rows (all of a smaller ``df``): those whose hash of ``key`` falls in
-    a share of the range.  Each task decides for itself, so no task sorts or reads
-    the candidates of all others; the same rows are chosen whatever the partitions."""
+    """At most ``rows`` rows, about that many (all of a smaller ``df``), chosen by a hash of ``key``.
+
+    Rows of equal key are chosen together; a key too frequent for what is left of the
+    sample is passed over, so the bound holds.  No task sorts or reads the
+    candidates of all others; the same rows are chosen whatever the partitions."""
     n = df.count()
     if n <= rows:
         return df
-    parts = 1 << 40
-    return df.where(F.pmod(F.xxhash64(*key), F.lit(parts)) < int(parts * (rows / n)))
+    parts, bins = 1 << 40, 4096
+    h = F.xxhash64(*key)
+    some = df.where(F.pmod(h, F.lit(parts)) < int(parts * min(1.0, 2 * rows / n)))
+    at = F.pmod(F.shiftrightunsigned(h, 40), F.lit(bins))
+    taken, left = [], rows
+    # ``bins`` rows at most
+    for value, count in sorted(map(tuple, some.groupBy(at.alias("at")).count().collect())):
+        if count <= left:
+            taken.append(value)
+            left -= count
+    return some.where(at.isin(taken)) if taken else some.limit(0)
