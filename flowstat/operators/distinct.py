@@ -61,11 +61,15 @@ def running_distinct(df: DataFrame, ts: str, seq: str, col: str, size="1 hour",
     w = F.window(F.col(ts), duration_str(duration_us(size)))
     v = bitmap_hash(col) if hashed else F.col(col)
     base = df.select(F.col(seq), w.end.alias(end_col), v.alias("_v"))
-    firsts = (base.groupBy(end_col, "_v").agg(F.min(seq).alias(seq))
-                  .select(end_col, seq, F.lit(1).alias("_first"), F.lit(0).alias("_row")))
-    rows = base.select(end_col, seq, F.lit(0).alias("_first"), F.lit(1).alias("_row"))
+    return running_firsts(base.groupBy(end_col, "_v").agg(F.min(seq).alias(seq)), base, seq, end_col, out, chunk)
+
+
+def running_firsts(firsts: DataFrame, rows: DataFrame, seq: str, end_col: str, out: str, chunk: int = 1 << 20) -> DataFrame:
+    """seq, window end and ``out`` of every row: the number of first sightings (their
+    window end and ``seq``) in its window up to and including its place."""
     # the marker of a first sighting sorts before the row itself (_row 0 < 1)
-    both = firsts.unionByName(rows)
+    both = (firsts.select(end_col, seq, F.lit(1).alias("_first"), F.lit(0).alias("_row"))
+            .unionByName(rows.select(end_col, seq, F.lit(0).alias("_first"), F.lit(1).alias("_row"))))
     ran = running_total(both, part=[end_col], order=[seq, "_row"], value="_first",
                         out=out, chunk_col=seq, chunk=chunk)
     return ran.where(F.col("_row") == 1).select(seq, end_col, out)

@@ -23,7 +23,7 @@ from ..operators import capping, distinct, joins, patterns, topn, windows
 from ..operators.late import late_flag, watermark_before
 from ..sources import arrival_order, parse_access_log, read_access_log, read_records
 from ..streaming import jobs as sj
-from ..streaming import stateful
+from ..streaming import ranking, stateful
 from ..streaming.sinks import checkpoint_location, epoch_folder, fan_out_per_batch, print_batch, print_rows, write_stream
 
 
@@ -65,6 +65,15 @@ def _emit_ranked(counts: DataFrame, label: str, key: str, n: int, sink, identity
     return {label: write_stream(counts, _name(label), mode=mode, foreach_batch=cb, identity=identity)}
 
 
+def _emit_running(firsts: DataFrame, label: str, sink, identity: str):
+    """The running distinct count of each micro-batch (``"memory"`` keeps the first sightings)."""
+    if sink == "memory":
+        return {label: write_stream(firsts, _name(label), fmt="memory")}
+    state = checkpoint_location(firsts.sparkSession, _name(label), identity) + "/totals"
+    cb = sj.running_distinct_per_batch("seq", state, _target(label, sink))
+    return {label: write_stream(firsts, _name(label), foreach_batch=cb, identity=identity)}
+
+
 def _seq(df: DataFrame, stream: bool) -> DataFrame:
     # a file stream has no line number: there the event time orders rows of one key
     return df.withColumn("seq", F.unix_micros("ts")) if stream and "seq" not in df.columns else df
@@ -123,16 +132,14 @@ def hot_pages(spark: SparkSession, path: str, n: int = 5, size="10 minutes", sli
     log = read_access_log(spark, path, stream=stream)
     wanted = (F.col("method") == "GET") & ~is_asset("url")
     if stream:
-        # delay = disorder + allowed lateness; update mode re-emits corrected
-        # counts for late rows, and each micro-batch is re-ranked
-        # (update mode allows one stateful aggregation only, so no pane pre-aggregation here)
+        # delay = disorder + allowed lateness; a window's ranking comes out whenever it changes, from the
+        # latest counts of all its urls, until the watermark drops the window
         identity = f"{path} {size} {slide} {n} {lateness} {disorder}"
-        counts = sj.sliding_count_stream(log, "ts", "url", size, slide, where=wanted,
-                                         delay=f"{_secs(disorder) + _secs(lateness)} seconds", method="window")
+        pages = ranking.top_n_updates_stream(log, "ts", "url", size, slide, n, where=wanted,
+                                             delay=f"{_secs(disorder) + _secs(lateness)} seconds")
         flagged = stateful.split_late_stream(log, "ts", size, slide, lateness, disorder)
         late = flagged.where(F.col("late") & wanted).drop("late", "spread_key", "t_us")
-        return (_emit_ranked(counts, "hot pages", "url", n, sink, identity)
-                | _emit({"late": late}, sink, identity))
+        return _emit({"hot pages": pages, "late": late}, sink, identity)
     # arrival order of a log is the order of its files and lines; every request moves the
     # watermark, GETs are counted in the windows still open on their arrival
     lines = arrival_order(spark.read.text(path))
@@ -163,8 +170,9 @@ def unique_visitors(spark: SparkSession, path: str, stream: bool = False, sink:
     """Hourly unique visitors: exact, bitmap, approximate, and per event."""
     ub, pv = read_records(spark, path, "user_behavior", stream=stream), F.col("behavior") == "pv"
     if stream:
-        running = stateful.running_distinct_stream(_seq(ub, True), "ts", "seq", "user_id", "1 hour", where=pv)
-        return _emit({"uv": sj.uv_stream(ub, "ts", "user_id", "1 hour", where=pv), "uv running": running}, sink, path)
+        firsts = stateful.first_sightings_stream(_seq(ub, True), "ts", "seq", "user_id", "1 hour", where=pv)
+        return (_emit({"uv": sj.uv_stream(ub, "ts", "user_id", "1 hour", where=pv)}, sink, path)
+                | _emit_running(firsts, "uv running", sink, path))
     ub = ub.where(pv)
     return {"uv": distinct.distinct_per_window(ub, "ts", "user_id", "1 hour", "exact"),
             "uv bitmap": distinct.distinct_per_window(ub, "ts", "user_id", "1 hour", "bitmap"),

@@ -10,12 +10,13 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import bitmap_hash, duration_str, duration_us, to_micros
 from ..operators import distinct, topn, windows
+from .snapshots import Snapshots
 
 
 def with_event_time(df: DataFrame, ts: str, delay="0 seconds", out: str | None = None) -> DataFrame:
@@ -84,19 +85,14 @@ def uv_stream(df: DataFrame, ts: str, col: str, size="1 hour", delay="0 seconds"
 
 def top_n_stream(df: DataFrame, ts: str, key: str, size="1 hour", slide="5 minutes", n: int = 5,
                  delay="0 seconds", where: Column | None = None) -> DataFrame:
-    """Sliding counts then top-N per window as a second aggregate grouped by
-    the window struct (which carries the watermark), so append mode accepts
-    it (``row_number`` is not allowed on a stream).  Each group's list is
-    bounded by the keys of one window; use :func:`top_n_per_batch` when
-    windows hold very many keys."""
-    ev = after_watermark(with_event_time(df, ts, delay), ts, where)
-    w = F.window(F.col(ts), duration_str(duration_us(size)), duration_str(duration_us(slide)))
-    counts = ev.groupBy(w.alias("_w"), key).agg(F.count(F.lit(1)).alias("cnt"))
-    best = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("cnt")).alias("neg"), F.col(key).alias("k")))), 1, n)
-    return (counts.groupBy("_w").agg(best.alias("_top"))
-                  .select(F.col("_w.end").alias("window_end"), F.posexplode("_top").alias("_pos", "_t"))
-                  .select("window_end", (F.col("_pos") + 1).alias("rn"), F.col("_t.k").alias(key),
-                          (-F.col("_t.neg")).alias("cnt")))
+    """Sliding counts, then the top-N of each window once it closes (append mode).
+
+    A window's counts come out together when it closes; the n best of each (window,
+    bucket of keys) are found first, then those of the window, so no list is
+    longer than n rows beside one batch of input (see :mod:`flowstat.streaming.ranking`)."""
+    from .ranking import ranked
+    counts = sliding_count_stream(df, ts, key, size, slide, delay, "auto", where)
+    return ranked(counts, key, n, final=True)
 
 
 def top_n_per_batch(part: str, key: str, n: int, sink: callable):
@@ -113,66 +109,91 @@ def top_n_per_batch(part: str, key: str, n: int, sink: callable):
 def changelog_per_batch(keys, state_path: str, sink: callable):
     """``foreachBatch`` callback for a retract stream: diff each batch's
     snapshot against the previous snapshot, emit +/- rows, store the new
-    snapshot.  Snapshots are kept in a table at ``state_path`` (a folder in
-    the shared checkpoint location) partitioned by epoch, and a batch diffs
-    against the latest *earlier* epoch, so a batch replayed after a failure
-    produces the same change log.  Each batch is taken as the complete
-    current snapshot (e.g. a complete-mode top-N); an empty batch carries no
-    snapshot and is skipped."""
+    snapshot (two are kept, see :class:`Snapshots`).  A batch diffs against the
+    latest *earlier* epoch, so a batch replayed after a failure produces the
+    same change log.  Each batch is taken as the complete current snapshot
+    (e.g. a complete-mode top-N); an empty batch carries no snapshot and is
+    skipped."""
     def run(batch: DataFrame, epoch_id: int):
         if batch.isEmpty():
             return
-        spark = batch.sparkSession
-        stored, last = None, None
-        if path_exists(spark, state_path):
-            stored = spark.read.parquet(state_path).where(F.col("epoch") < epoch_id)
-            last = stored.agg(F.max("epoch")).first()[0]
-        prev = (stored.where(F.col("epoch") == last).drop("epoch") if last is not None
-                else spark.createDataFrame([], batch.schema))
+        state = Snapshots(batch.sparkSession, state_path)
+        prev = state.before(epoch_id)
+        if prev is None:
+            prev = batch.sparkSession.createDataFrame([], batch.schema)
         sink(topn.changelog(prev, batch, keys), epoch_id)
-        (batch.withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite")
-              .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(state_path))
+        state.write(batch, epoch_id)
     return run
 
 
 def top_n_retract_per_batch(part: str, key: str, n: int, state_path: str, sink: callable,
-                            score: str = "cnt", rank_col: str = "rn", op_col: str = "op"):
+                            score: str = "cnt", rank_col: str = "rn", op_col: str = "op", keep="1 day"):
     """``foreachBatch`` callback turning update-mode window counts into the
     retract stream of a top-n per window (+ rows entering, - rows leaving).
 
     Counts only grow, so an item can enter a window's top-n only in a batch
     that updates it: the new top-n of an affected window is the top-n of its
     previous top-n (refreshed with this batch's counts) and this batch's
-    updated items.  The only state is the top-n rows per window, kept in a
-    table at ``state_path`` (shared checkpoint folder) as one partition of
-    changed windows per epoch; a batch reads the latest earlier entry of
-    each affected window, so a replayed batch gives the same output."""
+    updated items.  The only state is the top-n rows of each window that may
+    still change, carried as a :class:`Snapshots` table at ``state_path``: windows that end more
+    than ``keep`` before the latest one are left out (``keep`` must not be shorter than the
+    watermark's delay and one window, after which Spark sends no more counts of them).  A replayed batch
+    reads the same earlier epoch and gives the same output."""
     def run(batch: DataFrame, epoch_id: int):
         if batch.isEmpty():
             return
-        spark = batch.sparkSession
+        spark, state = batch.sparkSession, Snapshots(batch.sparkSession, state_path)
+        columns = [part, key, score, rank_col]
         upd = batch.select(part, key, score).persist()
         affected = upd.select(part).distinct()
-        if path_exists(spark, state_path):
-            hist = spark.read.parquet(state_path).where(F.col("epoch") < epoch_id).join(affected, part)
-            latest = hist.groupBy(part).agg(F.max("epoch").alias("epoch"))
-            prev = hist.join(latest, [part, "epoch"]).select(part, key, score, rank_col)
-        else:
-            prev = spark.createDataFrame([], T.StructType([batch.schema[part], batch.schema[key],
-                                                           batch.schema[score], T.StructField(rank_col, T.IntegerType())]))
+        held = state.before(epoch_id)
+        if held is None:
+            held = spark.createDataFrame([], T.StructType([batch.schema[part], batch.schema[key], batch.schema[score],
+                                                           T.StructField(rank_col, T.IntegerType())]))
+        prev = held.join(affected, part, "left_semi")
         carried = prev.select(part, key, score).join(upd.select(part, key), [part, key], "left_anti")
-        cur = topn.top_n(carried.unionByName(upd), part, key, score, n, rank_col).select(part, key, score, rank_col).persist()
-        sink(topn.changelog(prev, cur, [part, key, score, rank_col], op_col), epoch_id)
-        (cur.withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(state_path))
+        cur = topn.top_n(carried.unionByName(upd), part, key, score, n, rank_col).select(*columns).persist()
+        sink(topn.changelog(prev, cur, columns, op_col), epoch_id)
+        after = held.join(affected, part, "left_anti").select(*columns).unionByName(cur)
+        last = F.expr(f"INTERVAL {duration_us(keep)} MICROSECONDS")
+        newest = after.agg(F.max(part).alias("newest"))       # one row
+        live = after.join(F.broadcast(newest), F.col(part) >= F.col("newest") - last).select(*columns)
+        # a table of n rows for each open window
+        state.write(live.coalesce(1), epoch_id)
         upd.unpersist()
         cur.unpersist()
     return run
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(p)
+def running_distinct_per_batch(seq: str, state_path: str, sink: callable, end_col: str = "window_end", out: str = "uv", keep="1 day"):
+    """``foreachBatch`` callback over :func:`flowstat.streaming.stateful.first_sightings_stream`:
+    for each row the distinct values of its window up to and including it (rows with
+    equal ``seq`` count together), handed to ``sink(df, epoch_id)``.
+
+    The first sightings of the micro-batch are summed up in the order of ``seq`` by
+    :func:`flowstat.operators.ordered.running_total` (a heavy window is split in chunks) and added to the
+    window's number from earlier batches, one row for each window that ends at most ``keep`` before the
+    latest one, carried as a :class:`Snapshots` table."""
+    def run(batch: DataFrame, epoch_id: int):
+        spark, state = batch.sparkSession, Snapshots(batch.sparkSession, state_path)
+        batch = batch.persist()
+        try:
+            if batch.isEmpty():
+                return
+            held = state.before(epoch_id)
+            if held is None:
+                held = spark.createDataFrame([], T.StructType([batch.schema[end_col], T.StructField("before", T.LongType())]))
+            firsts = batch.where("first = 1").select(end_col, seq)
+            ran = distinct.running_firsts(firsts, batch.select(end_col, seq), seq, end_col, "in_batch")
+            sink(ran.join(held, end_col, "left")
+                 .select(seq, end_col, (F.coalesce("before", F.lit(0)) + F.col("in_batch")).cast("long").alias(out)), epoch_id)
+            sums = held.unionByName(batch.groupBy(end_col).agg(F.sum("first").cast("long").alias("before"))).groupBy(end_col).agg(F.sum("before").alias("before"))
+            last = F.expr(f"INTERVAL {duration_us(keep)} MICROSECONDS")
+            newest = sums.agg(F.max(end_col).alias("newest"))  # one row
+            state.write(sums.join(F.broadcast(newest), F.col(end_col) >= F.col("newest") - last).select(end_col, "before").coalesce(1), epoch_id)
+        finally:
+            batch.unpersist()
+    return run
 
 
 def interval_join_stream(left: DataFrame, right: DataFrame, on: str, left_ts: str, right_ts: str,

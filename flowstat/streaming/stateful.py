@@ -5,10 +5,9 @@ the operator renames such columns positionally.)
 
 State per key: a last event (consecutive failures), a counter per day (click
 cap), the create and pay times of an open order (order status), the rows that
-the watermark has not passed (the event-time ordered rules) or the bitmap
-positions of an open window (distinct count).  Event-time timers finalise and
-expire it.  Input comes as pandas batches per key; buffered rows are put into
-and read from list state as tuples.  Times are passed as epoch microseconds and turned back into
+the watermark has not passed (the event-time ordered rules, by time bucket) or the
+values seen in an open window (distinct count, by window and bucket).  Event-time timers
+finalise and expire it.  Input comes as pandas batches per key.  Times are passed as epoch microseconds and turned back into
 timestamps on the JVM side.
 """
 
@@ -228,21 +227,78 @@ def pair_status_stream(df: DataFrame, key: str, is_create, is_pay, ts: str, with
 
 
 # ------------------------------------------------------------------ event-time ordered rules
-_BUF = T.StructType([T.StructField("t", _LONG), T.StructField("seq", _LONG),
-                     T.StructField("a", _BOOL), T.StructField("b", _BOOL)])
+_ROW = np.dtype([("t", "<i8"), ("seq", "<i8"), ("a", "?"), ("b", "?")])
+
+
+class EventBuffer:
+    """Rows of a key (time, seq, flag a, flag b) in map state by time bucket of ``width`` µs.
+
+    Every call of :meth:`add` writes new entries and reads none; :meth:`take` reads the
+    buckets that begin before the watermark and no others, so its work is in proportion to
+    the rows it releases and one bucket.  An index (bucket, number of entries, earliest time)
+    is kept beside them."""
+
+    def __init__(self, handle: StatefulProcessorHandle, width: int):
+        self.width = width
+        self.rows = handle.getMapState("buf", T.StructType([T.StructField("bucket", _LONG), T.StructField("part", _LONG)]),
+                                       T.StructType([T.StructField("rows", T.BinaryType())]))
+        self.index = handle.getValueState("index", T.StructType([T.StructField("buckets", T.BinaryType())]))
+
+    def _buckets(self) -> dict[int, tuple[int, int]]:
+        if not self.index.exists():
+            return {}
+        return {int(b): (int(n), int(t)) for b, n, t in np.frombuffer(self.index.get()[0], "<i8").reshape(-1, 3)}
+
+    def _store(self, buckets: dict[int, tuple[int, int]]) -> None:
+        if buckets:
+            self.index.update((np.array([(b, n, t) for b, (n, t) in buckets.items()], "<i8").tobytes(),))
+        else:
+            self.index.clear()
+
+    def add(self, rows: np.ndarray) -> None:
+        buckets = self._buckets()
+        bucket = rows["t"] // self.width
+        for b in np.unique(bucket):
+            own = rows[bucket == b]
+            n, earliest = buckets.get(int(b), (0, int(own["t"].min())))
+            self.rows.updateValue((int(b), n), (own.tobytes(),))
+            buckets[int(b)] = (n + 1, min(earliest, int(own["t"].min())))
+        self._store(buckets)
+
+    def take(self, before: int) -> np.ndarray:
+        """Remove and return the rows earlier than ``before``, by (time, seq)."""
+        buckets, found = self._buckets(), [np.empty(0, _ROW)]
+        for b in [b for b, (_, earliest) in buckets.items() if earliest < before]:
+            n, _ = buckets.pop(b)
+            held = np.concatenate([np.frombuffer(self.rows.getValue((b, p))[0], _ROW) for p in range(n)])
+            for p in range(n):
+                self.rows.removeKey((b, p))
+            rest = held[held["t"] >= before]
+            if len(rest):
+                self.rows.updateValue((b, 0), (rest.tobytes(),))
+                buckets[b] = (1, int(rest["t"].min()))
+            found.append(held[held["t"] < before])
+        if len(found) > 1:
+            self._store(buckets)
+        ready = np.concatenate(found)
+        return ready[np.lexsort((ready["seq"], ready["t"]))]
+
+    def earliest(self) -> int | None:
+        return min((t for _, t in self._buckets().values()), default=None)
 
 
 class _EventTimeOrdered(StatefulProcessor):
-    """Buffers a key's rows (time, seq, flag a, flag b) in list state and
+    """Buffers a key's rows (time, seq, flag a, flag b) by time bucket and
     releases them in (time, seq) order once the watermark has passed them
     (rows at or after the watermark may still be joined by equal-time rows).
     Subclasses keep a small carry state and implement :meth:`release`."""
 
     out_columns: list[str] = []
+    bucket_us = 1_000_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.buf = handle.getListState("buf", _BUF)
+        self.buf = EventBuffer(handle, self.bucket_us)
         self.init_carry(handle)
 
     def init_carry(self, handle) -> None:
@@ -255,25 +311,21 @@ class _EventTimeOrdered(StatefulProcessor):
             pdf = pdf[pdf["t_us"] >= wm]                     # late rows are dropped, as Spark does
         if pdf.empty:
             return
-        self.buf.appendList([(int(t), int(s), bool(a), bool(b)) for t, s, a, b in
-                             zip(pdf["t_us"], pdf["seq"], pdf["flag_a"], pdf["flag_b"])])
+        new = np.empty(len(pdf), _ROW)
+        for field, column in (("t", "t_us"), ("seq", "seq"), ("a", "flag_a"), ("b", "flag_b")):
+            new[field] = pdf[column].to_numpy()
+        self.buf.add(new)
         # one timer at the earliest new row is enough: a firing releases every
         # row the watermark has passed and re-arms for the earliest one left
-        self.handle.registerTimer(int(pdf["t_us"].min()) // 1000 + 1)
+        self.handle.registerTimer(int(new["t"].min()) // 1000 + 1)
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         wm = timerValues.getCurrentWatermarkInMs() * 1000
-        held = list(self.buf.get()) if self.buf.exists() else []
-        ready = sorted((r for r in held if r[0] < wm), key=lambda r: (r[0], r[1]))
-        rest = [r for r in held if r[0] >= wm]
-        if ready:
-            if rest:
-                self.buf.put(rest)
-            else:
-                self.buf.clear()
-        if rest:
-            self.handle.registerTimer(min(r[0] for r in rest) // 1000 + 1)
+        ready = self.buf.take(wm).tolist()
+        rest = self.buf.earliest()
+        if rest is not None:
+            self.handle.registerTimer(rest // 1000 + 1)
         out = self.release(key, ready, wm)
         if out:
             yield pd.DataFrame(out, columns=self.out_columns)
@@ -418,6 +470,12 @@ class BurstProcessor(_EventTimeOrdered):
         return out
 
 
+def _buffered(processor: _EventTimeOrdered, delay) -> _EventTimeOrdered:
+    """Buckets of a 64th of the watermark's delay, a tenth of a second at least."""
+    processor.bucket_us = max(100_000, duration_us(delay) // 64)
+    return processor
+
+
 def _ordered_input(df, key, a, b, ts, seq, delay):
     """Rows with either flag; all rows move the watermark."""
     expr = (lambda p: F.expr(p) if isinstance(p, str) else p)
@@ -438,7 +496,7 @@ def match_next_stream(df: DataFrame, key: str, first, second, ts: str, seq: str,
                      to_micros(ts, T.TimestampType()).alias("t_us"))
     schema = T.StructType([T.StructField("key", ev.schema[key].dataType), T.StructField("first_us", _LONG),
                            T.StructField("last_us", _LONG), T.StructField("seq", _LONG)])
-    out = base.groupBy(key).transformWithStateInPandas(StrictNextProcessor(duration_us(within)), schema,
+    out = base.groupBy(key).transformWithStateInPandas(_buffered(StrictNextProcessor(duration_us(within)), delay), schema,
                                                        "Append", "EventTime")
     return out.select(F.col("key").alias(key), from_micros("first_us", T.TimestampType()).alias("first_fail"),
                       from_micros("last_us", T.TimestampType()).alias("last_fail"), F.col("seq").alias(seq),
@@ -452,7 +510,7 @@ def followed_by_stream(df: DataFrame, key: str, first, then, ts: str, seq: str,
     schema = T.StructType([T.StructField("key", ev.schema[key].dataType), T.StructField("kind", T.StringType()),
                            T.StructField("seq", _LONG), T.StructField("t", _LONG),
                            T.StructField("then_seq", _LONG), T.StructField("then_t", _LONG)])
-    out = base.groupBy(key).transformWithStateInPandas(FollowedByProcessor(duration_us(within)), schema,
+    out = base.groupBy(key).transformWithStateInPandas(_buffered(FollowedByProcessor(duration_us(within)), delay), schema,
                                                        "Append", "EventTime")
     return out.select(F.col("key").alias(key), "kind", F.col("seq").alias(seq),
                       from_micros("t", T.TimestampType()).alias(ts), F.col("then_seq"),
@@ -465,7 +523,7 @@ def burst_stream(df: DataFrame, key: str, is_fail, is_reset, ts: str, seq: str,
     ev, base = _ordered_input(df, key, is_fail, is_reset, ts, seq, delay)
     schema = T.StructType([T.StructField("key", ev.schema[key].dataType), T.StructField("first_us", _LONG),
                            T.StructField("last_us", _LONG), T.StructField("n_fails", _LONG)])
-    out = base.groupBy(key).transformWithStateInPandas(BurstProcessor(duration_us(within), min_count), schema,
+    out = base.groupBy(key).transformWithStateInPandas(_buffered(BurstProcessor(duration_us(within), min_count), delay), schema,
                                                        "Append", "EventTime")
     return out.select(F.col("key").alias(key), from_micros("first_us", T.TimestampType()).alias("first_fail"),
                       from_micros("last_us", T.TimestampType()).alias("last_fail"), "n_fails",
@@ -509,7 +567,9 @@ def split_late_stream(df: DataFrame, ts: str, size="10 minutes", slide="5 second
     spread = spread or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ev = with_event_time(df, ts, delay)
     names = [c for c in ev.columns]
-    base = ev.withColumn("t_us", to_micros(ts, T.TimestampType())).withColumn(
+    # a copy of the event time, to which the watermark does not belong: else Spark itself drops the rows looked for,
+    # once the watermark that they missed is one micro-batch old
+    base = ev.withColumn("t_us", to_micros(ts, T.TimestampType())).withColumn(ts, F.timestamp_micros("t_us")).withColumn(
         "spread_key", F.pmod(F.hash(*[F.col(c) for c in names]), F.lit(spread)))
     schema = T.StructType(list(ev.schema.fields) + [T.StructField("late", _BOOL)])
     proc = LateFlagProcessor(duration_us(size), duration_us(slide), duration_us(lateness), names)
@@ -517,54 +577,67 @@ def split_late_stream(df: DataFrame, ts: str, size="10 minutes", slide="5 second
 
 
 # ------------------------------------------------------------------ A10 / T9
-class RunningDistinctProcessor(StatefulProcessor):
-    """Per tumbling window: the bitmap positions seen so far (map state) and
-    their number.  Each micro-batch's rows are taken in arrival order and
-    every row gets the window's distinct count up to and including itself -
-    the fire-per-element behaviour.  A timer at the window end clears the
-    window's state once the watermark has passed it."""
+class FirstSightingsProcessor(StatefulProcessor):
+    """Per (window, bucket of values): the values seen so far, in map state by a second
+    hash of the value, so that a micro-batch reads and writes only the parts that its rows
+    touch.  Every row comes out with ``first`` = 1 if its value is seen for the first time
+    (in the order of ``seq``), else 0.  A timer at the window's end clears the state; rows of a
+    window that the watermark has passed are dropped."""
+
+    PARTS = 256
+
+    def __init__(self, buckets: int):
+        self.buckets = buckets
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.seen = handle.getMapState("seen", T.StructType([T.StructField("h", _LONG)]),
-                                       T.StructType([T.StructField("x", _BOOL)]))
-        self.count = handle.getValueState("count", T.StructType([T.StructField("n", _LONG)]))
+        self.seen = handle.getMapState("seen", T.StructType([T.StructField("part", _LONG)]),
+                                       T.StructType([T.StructField("values", T.BinaryType())]))
+
+    def fresh(self, h: np.ndarray) -> np.ndarray:
+        """Whether each of the distinct values ``h`` is new; they are seen from now on."""
+        part = (h // self.buckets) % self.PARTS
+        new = np.zeros(len(h), bool)
+        for p in np.unique(part):                  # one read for each part that has rows
+            at = np.flatnonzero(part == p)
+            got = self.seen.getValue((int(p),))
+            known = np.frombuffer(got[0], np.int64) if got else np.empty(0, np.int64)
+            new[at] = ~np.isin(h[at], known)
+            if new[at].any():
+                self.seen.updateValue((int(p),), (np.sort(np.concatenate([known, h[at][new[at]]])).tobytes(),))
+        return new
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _concat(rows).sort_values("seq", kind="stable")
-        h = pdf["h"].to_numpy(dtype=np.int64)
-        n0 = self.count.get()[0] if self.count.exists() else 0
-        uniq, first_idx = np.unique(h, return_index=True)
-        new_first = np.zeros(len(h), dtype=np.int64)
-        fresh = []
-        for v, i in zip(uniq, first_idx):          # one state lookup per distinct value in the batch
-            if not self.seen.containsKey((int(v),)):
-                new_first[i] = 1
-                fresh.append(int(v))
-        for v in fresh:
-            self.seen.updateValue((v,), (True,))
-        run = n0 + np.cumsum(new_first)
-        self.count.update((int(run[-1]),))
-        self.handle.registerTimer(int(pdf["end_us"].iloc[0]) // 1000)
-        yield pd.DataFrame({"seq": pdf["seq"].to_numpy(), "end_us": pdf["end_us"].to_numpy(), "uv": run})
+        end_us = int(pdf["end_us"].iloc[0])
+        if end_us <= timerValues.getCurrentWatermarkInMs() * 1000:
+            return
+        values, at = np.unique(pdf["h"].to_numpy(dtype=np.int64), return_index=True)
+        first = np.zeros(len(pdf), dtype=np.int32)
+        first[at] = self.fresh(values)
+        self.handle.registerTimer(-(-end_us // 1000))
+        yield pd.DataFrame({"seq": pdf["seq"].to_numpy(), "end_us": pdf["end_us"].to_numpy(), "first": first})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.seen.clear()
-        self.count.clear()
         yield from ()
 
     def close(self) -> None:
         pass
 
 
-def running_distinct_stream(df: DataFrame, ts: str, seq: str, col: str, size="1 hour", hashed: bool = True,
-                            delay="0 seconds", where=None) -> DataFrame:
-    """Streaming per-event distinct count (exact per row, like
-    :func:`flowstat.operators.distinct.running_distinct`)."""
+def first_sightings_stream(df: DataFrame, ts: str, seq: str, col: str, size="1 hour", hashed: bool = True,
+                           delay="0 seconds", where=None, buckets: int | None = None) -> DataFrame:
+    """seq, window_end, first of every row: 1 where the row's value (or bitmap position) is the
+    window's first.  State is keyed by (window, bucket of the value), so a window's traffic is dealt
+    over ``buckets`` groups (by default four for each shuffle partition);
+    :func:`flowstat.streaming.jobs.running_distinct_per_batch` adds the running count."""
+    buckets = buckets or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ev = after_watermark(with_event_time(df, ts, delay), ts, where)
     w = F.window(F.col(ts), duration_str(duration_us(size)))
     v = bitmap_hash(col) if hashed else F.col(col).cast("long")
-    base = ev.select(F.col(seq).alias("seq"), to_micros(w.end, T.TimestampType()).alias("end_us"), v.alias("h"))
-    schema = T.StructType([T.StructField("seq", _LONG), T.StructField("end_us", _LONG), T.StructField("uv", _LONG)])
-    out = base.groupBy("end_us").transformWithStateInPandas(RunningDistinctProcessor(), schema, "Append", "EventTime")
-    return out.select(F.col("seq").alias(seq), from_micros("end_us", T.TimestampType()).alias("window_end"), "uv")
+    base = ev.select(F.col(seq).alias("seq"), to_micros(w.end, T.TimestampType()).alias("end_us"), v.alias("h")).withColumn(
+        "bucket", F.pmod("h", F.lit(buckets)))
+    schema = T.StructType([T.StructField("seq", _LONG), T.StructField("end_us", _LONG), T.StructField("first", T.IntegerType())])
+    out = base.groupBy("end_us", "bucket").transformWithStateInPandas(FirstSightingsProcessor(buckets), schema, "Append", "EventTime")
+    return out.select(F.col("seq").alias(seq), from_micros("end_us", T.TimestampType()).alias("window_end"), "first")

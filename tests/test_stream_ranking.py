@@ -1,0 +1,354 @@
+"""Rankings and running counts on streams, driven file by file."""
+
+import random
+import uuid
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from flowstat.operators import distinct, topn, windows
+from flowstat.plans import jobs as log_jobs
+from flowstat.streaming import jobs, ranking, stateful
+from flowstat.streaming.snapshots import Snapshots
+from flowstat.streaming.sinks import write_stream
+
+T0 = 1704067200
+SCHEMA = "k string, seq long, sec long"
+
+
+class Feed:
+    """A stream over a folder that gets one file for each micro-batch, and what came out of it."""
+
+    def __init__(self, spark, folder):
+        self.spark, self.folder, self.n, self.out = spark, folder, 0, []
+        (folder / "in").mkdir()
+        (folder / "tmp").mkdir()
+        self.source = spark.readStream.schema(SCHEMA).json(f"{folder}/in").withColumn("ts", F.timestamp_seconds(F.lit(T0) + F.col("sec")))
+
+    def start(self, df, callback=None):
+        keep = callback or (lambda batch, epoch: self.out.append(batch.collect()))
+        self.query = write_stream(df, "feed_" + uuid.uuid4().hex[:8], foreach_batch=keep)
+
+    def send(self, rows):
+        """One micro-batch of (key, sec)."""
+        import json
+        f = self.folder / "tmp" / f"{self.n:04d}.json"
+        f.write_text("".join(json.dumps({"k": k, "seq": self.n * 100_000 + i, "sec": s}) + "\n" for i, (k, s) in enumerate(rows)))
+        f.rename(self.folder / "in" / f.name)
+        self.n += 1
+        before = len(self.out)
+        self.query.processAllAvailable()
+        return [r for batch in self.out[before:] for r in batch]
+
+    def all_rows(self):
+        return self.spark.read.schema(SCHEMA).json(f"{self.folder}/in").withColumn("ts", F.timestamp_seconds(F.lit(T0) + F.col("sec")))
+
+
+@pytest.fixture(scope="module", autouse=True)
+def few_partitions(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+@pytest.fixture
+def feed(spark, tmp_path):
+    f = Feed(spark, tmp_path)
+    yield f
+    f.query.stop()
+
+
+def latest(batches):
+    """The last ranking of each window."""
+    found = {}
+    for batch in batches:
+        by = {}
+        for r in batch:
+            by.setdefault(int(r.window_end.timestamp()) - T0, []).append((r.rn, r.k, r.cnt))
+        found |= {w: sorted(x) for w, x in by.items()}
+    return found
+
+
+def batch_top(df, size, slide, n):
+    want = topn.top_n(windows.sliding_count(df, "ts", "k", size, slide), "window_end", "k", "cnt", n)
+    out = {}
+    for r in want.collect():
+        out.setdefault(int(r.window_end.timestamp()) - T0, []).append((r.rn, r.k, r.cnt))
+    return {w: sorted(x) for w, x in out.items()}
+
+
+def test_second_batch_with_one_url(spark, feed):
+    """A micro-batch of one url ranks it among all urls of the window."""
+    feed.start(ranking.top_n_updates_stream(feed.source, "ts", "k", "10 seconds", "5 seconds", 2, delay="1 minute"))
+    feed.send([("/a", 1)] * 10 + [("/b", 2)] * 9)
+    second = feed.send([("/c", 3)])
+    assert latest([second]) == {} and latest(feed.out)[10] == [(1, "/a", 10), (2, "/b", 9)]
+    third = feed.send([("/c", 3)] * 9)
+    assert latest([third]) == {5: [(1, "/a", 10), (2, "/c", 10)], 10: [(1, "/a", 10), (2, "/c", 10)]}
+    assert latest(feed.out) == batch_top(feed.all_rows(), "10 seconds", "5 seconds", 2)
+
+
+def test_late_correction_and_closed_windows(spark, feed):
+    """A late row corrects the windows that are still open; those that the watermark has passed stay as they are."""
+    feed.start(ranking.top_n_updates_stream(feed.source, "ts", "k", "10 seconds", "5 seconds", 2, delay="21 seconds"))
+    feed.send([("/a", 31), ("/a", 32), ("/b", 33)])
+    feed.send([("/z", 60)])                                # watermark 39 s: windows up to 35 s are closed
+    feed.send([])
+    late = feed.send([("/b", 31), ("/b", 32), ("/b", 1)])
+    assert latest([late]) == {40: [(1, "/b", 3), (2, "/a", 2)]}
+    done = latest(feed.out)
+    assert done[35] == [(1, "/a", 2), (2, "/b", 1)] and 5 not in done and 10 not in done
+
+
+@pytest.mark.parametrize("size,slide", [("10 seconds", "5 seconds"), ("10 minutes", "5 seconds"), ("30 seconds", "20 seconds"), ("1 minute", "1 minute")])
+def test_updates_equal_batch(spark, feed, size, slide):
+    """Several micro-batches in disorder, counts and rankings."""
+    rnd = random.Random(size)
+    feed.start(ranking.top_n_updates_stream(feed.source, "ts", "k", size, slide, 3, delay="1 hour"))
+    for _ in range(4):
+        feed.send([(f"/{rnd.choice('aaabbcdefghij')}", rnd.randint(0, 900)) for _ in range(120)])
+    assert latest(feed.out) == batch_top(feed.all_rows(), size, slide, 3)
+
+
+def test_retract_rows_add_up(spark, feed):
+    """+ and - rows in order leave the batch ranking."""
+    rnd = random.Random(3)
+    feed.start(ranking.top_n_updates_stream(feed.source, "ts", "k", "1 hour", "1 hour", 2, delay="2 hours", retract=True))
+    held = set()
+    for _ in range(4):
+        for r in feed.send([(rnd.choice("abcdef"), rnd.randint(0, 7000)) for _ in range(30)]):
+            row = (int(r.window_end.timestamp()) - T0, r.rn, r.k, r.cnt)
+            assert (row in held) == (r.op == "-")
+            (held.discard if r.op == "-" else held.add)(row)
+    want = batch_top(feed.all_rows(), "1 hour", "1 hour", 2)
+    assert held == {(w, *x) for w, rows in want.items() for x in rows}
+
+
+def test_hot_pages_job_second_batch(spark, tmp_path):
+    d = tmp_path / "logs"
+    d.mkdir()
+    out = []
+    hits = lambda url, n: "".join(f"1.1.1.1 - - 01/01/2024:00:00:0{i % 5} +0000 GET {url}\n" for i in range(n))
+    (d / "0.log").write_text(hits("/a", 10) + hits("/b", 9))
+    qs = log_jobs.hot_pages(spark, str(d), n=2, size="10 seconds", slide="10 seconds", stream=True,
+                            sink={"hot pages": lambda df, e: out.append([(r.rn, r.url, r.cnt) for r in df.collect()]), "late": lambda df, e: df.collect()})
+    for text in (None, hits("/c", 1), hits("/b", 1), hits("/c", 10)):
+        if text:
+            (d / f"{len(list(d.iterdir()))}.log").write_text(text)
+        for q in qs.values():
+            q.processAllAvailable()
+    for q in qs.values():
+        q.stop()
+    rankings = [sorted(x) for x in out if x]
+    assert rankings == [[(1, "/a", 10), (2, "/b", 9)], [(1, "/a", 10), (2, "/b", 10)], [(1, "/c", 11), (2, "/a", 10)]]
+
+
+def test_late_rows_after_an_old_watermark(spark, feed):
+    """A row that misses a watermark of several micro-batches ago is still told from the others."""
+    feed.start(stateful.split_late_stream(feed.source, "ts", "10 seconds", "5 seconds", "0 seconds", spread=2))
+    feed.send([("a", 100), ("b", 200)])
+    feed.send([("c", 201)])
+    feed.send([])
+    assert sorted((r.k, r.late) for r in feed.send([("d", 50), ("e", 199)])) == [("d", True), ("e", False)]
+
+
+# ------------------------------------------------------------- without Spark
+class _Value:
+    def __init__(self):
+        self.v, self.reads, self.writes = None, 0, 0
+
+    def exists(self):
+        return self.v is not None
+
+    def get(self):
+        self.reads += 1
+        return self.v
+
+    def update(self, v):
+        self.writes += 1
+        self.v = tuple(v)
+
+    def clear(self):
+        self.v = None
+
+
+class _Map:
+    def __init__(self):
+        self.v, self.reads, self.bytes = {}, 0, 0
+
+    def getValue(self, k):
+        self.reads += 1
+        got = self.v.get(k)
+        self.bytes += len(got[0]) if got else 0
+        return got
+
+    def updateValue(self, k, v):
+        self.v[k] = v
+
+    def removeKey(self, k):
+        self.v.pop(k, None)
+
+    def containsKey(self, k):
+        return k in self.v
+
+    def clear(self):
+        self.v = {}
+
+
+class _Handle:
+    def __init__(self):
+        self.timers = []
+
+    def getValueState(self, name, schema):
+        return _Value()
+
+    def getMapState(self, name, key, value):
+        return _Map()
+
+    def registerTimer(self, ms):
+        self.timers.append(ms)
+
+    def listTimers(self):
+        return list(self.timers)
+
+    def deleteTimer(self, ms):
+        self.timers.remove(ms)
+
+
+def test_ring_reads_and_writes_once_for_a_batch():
+    p = ranking.PaneRingProcessor(600_000_000, 5_000_000)
+    p.init(_Handle())
+    rnd = np.random.default_rng(1)
+    seen = []
+    for b in range(5):
+        t = rnd.integers(0, 300_000_000, 10_000) + b * 60_000_000
+        seen.append(t)
+        ends, counts = p.update(t, 0)
+        every = np.concatenate(seen)
+        for e, c in list(zip(ends, counts))[::17]:
+            assert c == ((every >= e - 600_000_000) & (every < e)).sum()
+        changed = {e for x in np.unique(t // 5_000_000) for e in range(x * 5 + 5, x * 5 + 605, 5)}
+        assert {int(e) // 1_000_000 for e in ends} == changed
+    assert p.ring.writes == 5 and p.ring.reads == 4
+    p._keep(*p._held(), 10 ** 12)
+    assert not p.ring.exists()
+
+
+def test_best_rows_hold_n_rows():
+    p = ranking.BestRowsProcessor(3)
+    p.init(_Handle())
+    import pandas as pd
+    rnd, counts = random.Random(2), {}
+
+    class Timer:
+        def getCurrentWatermarkInMs(self):
+            return 0
+    for _ in range(30):
+        for _ in range(40):
+            k = rnd.randint(0, 50)
+            counts[k] = counts.get(k, 0) + rnd.randint(1, 3)
+        ks = rnd.sample(sorted(counts), min(len(counts), 10))
+        given = {k: counts[k] for k in ks}
+        # only what was given counts as known
+        known = locals().setdefault("known", {})
+        known |= given
+        out = list(p.handleInputRows((pd.Timestamp("2024-01-01"),), iter([pd.DataFrame({"key": list(given), "cnt": list(given.values())})]), Timer()))
+        want = sorted(known.items(), key=lambda x: (-x[1], x[0]))[:3]
+        held = p._held()
+        assert len(held) <= 3 and [tuple(x) for x in held.to_numpy().tolist()] == [list(w) and tuple(w) for w in want]
+        assert not out or out[0]["key"].tolist() == [w[0] for w in want]
+
+
+def test_event_buffer_reads_what_it_releases():
+    """10^5 buffered rows of one key: a firing reads the released rows and one bucket."""
+    handle = _Handle()
+    p = stateful.StrictNextProcessor(2_000_000)
+    p.bucket_us = 1_000_000
+    p.init(handle)
+    rnd = np.random.default_rng(4)
+    n = 100_000
+    rows = np.empty(n, stateful._ROW)
+    rows["t"], rows["seq"], rows["a"], rows["b"] = rnd.integers(0, 1_000_000_000, n), np.arange(n), True, True
+    for part in np.array_split(rows, 20):
+        p.buf.add(part)
+    assert p.buf.rows.reads == 0
+    got, width = [], stateful._ROW.itemsize
+    per_bucket = n / 1000
+    for wm in range(3_500_000, 1_000_000_000, 37_100_000):
+        before = p.buf.rows.bytes
+        ready = p.buf.take(wm)
+        got.append(ready)
+        assert (p.buf.rows.bytes - before) / width <= len(ready) + 3 * per_bucket
+    got.append(p.buf.take(10 ** 12))
+    assert p.buf.earliest() is None and not p.buf.rows.v and not p.buf.index.exists()
+    assert np.concatenate(got).tolist() == sorted(rows.tolist(), key=lambda r: (r[0], r[1]))
+
+
+def test_first_sightings_read_touched_parts_only():
+    p = stateful.FirstSightingsProcessor(8)
+    p.init(_Handle())
+    rnd, seen = np.random.default_rng(5), set()
+    for _ in range(20):
+        h = np.unique(rnd.integers(0, 5000, 50)) * 8
+        before = p.seen.reads
+        new = p.fresh(h)
+        assert new.tolist() == [int(x) not in seen for x in h]
+        assert p.seen.reads - before <= len(h)
+        seen |= set(h.tolist())
+
+
+# ------------------------------------------------------------------ running distinct
+def test_running_distinct_per_batch_equals_batch(spark, feed, tmp_path):
+    rnd, got = random.Random(7), []
+    stream = stateful.first_sightings_stream(feed.source.withColumn("user", F.crc32("k")), "ts", "seq", "user", "1 hour", delay="1 day", buckets=5)
+    feed.start(stream, jobs.running_distinct_per_batch("seq", str(tmp_path / "totals"), lambda df, e: got.extend((r.seq, r.uv) for r in df.collect())))
+    for _ in range(4):
+        feed.send([(f"u{rnd.randint(0, 60)}", rnd.randint(0, 9000)) for _ in range(150)])
+    want = distinct.running_distinct(feed.all_rows().withColumn("user", F.crc32("k")), "ts", "seq", "user", "1 hour")
+    assert sorted(got) == sorted((r.seq, r.uv) for r in want.collect())
+    assert len(list((tmp_path / "totals").iterdir())) <= 2
+
+
+def test_late_rows_of_a_closed_window_are_not_counted(spark, feed, tmp_path):
+    got = []
+    stream = stateful.first_sightings_stream(feed.source.withColumn("user", F.crc32("k")), "ts", "seq", "user", "1 hour", buckets=2)
+    feed.start(stream, jobs.running_distinct_per_batch("seq", str(tmp_path / "totals"), lambda df, e: got.extend((r.seq, r.uv) for r in df.collect())))
+    feed.send([("a", 10), ("b", 20)])
+    feed.send([("a", 9000)])
+    feed.send([("c", 30), ("c", 9001)])
+    assert sorted(got) == [(0, 1), (1, 2), (100_000, 1), (200_001, 2)]
+
+
+# ------------------------------------------------------------------ state that expires
+def test_retract_state_stays_constant(spark, tmp_path):
+    """50 epochs over moving windows: two folders, as many rows as there are open windows."""
+    cb = jobs.top_n_retract_per_batch("window_end", "k", 2, str(tmp_path / "state"), lambda df, e: df.collect(), keep="2 hours")
+    sizes = []
+    for e in range(50):
+        rows = [(T0 + 3600 * (e // 5 + 1), k, e % 5 + i) for i, k in enumerate("abc")]
+        cb(spark.createDataFrame(rows, "w long, k string, cnt long").select(F.timestamp_seconds("w").alias("window_end"), "k", "cnt"), e)
+        files = [f for f in (tmp_path / "state").rglob("*.parquet")]
+        sizes.append((len(list((tmp_path / "state").iterdir())), len(files), Snapshots(spark, str(tmp_path / "state")).before(e + 1).count()))
+    assert max(sizes[20:]) <= (2, 2, 6) and sizes[24:29] == sizes[44:49]
+
+
+def test_replayed_epoch_gives_the_same(spark, tmp_path):
+    out = []
+    cb = jobs.top_n_retract_per_batch("window_end", "k", 1, str(tmp_path / "state"), lambda df, e: out.append(sorted(map(str, df.collect()))))
+    batches = [[("a", 1)], [("b", 2)], [("a", 3)]]
+
+    def frame(rows):
+        return spark.createDataFrame([(T0, k, c) for k, c in rows], "w long, k string, cnt long").select(F.timestamp_seconds("w").alias("window_end"), "k", "cnt")
+    for e, rows in enumerate(batches):
+        cb(frame(rows), e)
+    cb(frame(batches[2]), 2)
+    assert out[3] == out[2] and out[2] != out[1]
+
+
+def test_top_n_stream_keeps_no_long_list(spark):
+    """The plan of the append-mode ranking collects no list."""
+    src = spark.readStream.format("rate").load().select(F.col("timestamp").alias("ts"), (F.col("value") % 7).alias("item"))
+    plan = jobs.top_n_stream(src, "ts", "item", "10 seconds", "5 seconds", 3)._jdf.queryExecution().analyzed().toString()
+    assert "collect_list" not in plan and plan.count("TransformWithState") == 2

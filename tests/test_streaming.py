@@ -163,9 +163,14 @@ def test_burst_stream(spark, stream_dir):
 def test_running_distinct_stream(spark, stream_dir):
     _, ev = stream_dir
     views = lambda df: df.where("event_type = 'view'").withColumnRenamed("event_id", "seq")
-    got = _run(spark, stream_dir, lambda s: stateful.running_distinct_stream(views(s), "ts", "seq", "user_id", "1 hour"))
+    d, _ = stream_dir
+    src, got = spark.readStream.schema(ev.schema).parquet(f"{d}/in"), []
+    cb = jobs.running_distinct_per_batch("seq", tempfile.mkdtemp(prefix="flowstat-totals-"), lambda df, e: got.extend((r.seq, r.uv) for r in df.collect()))
+    q = write_stream(stateful.first_sightings_stream(views(src), "ts", "seq", "user_id", "1 hour"), "q_" + uuid.uuid4().hex[:8], foreach_batch=cb)
+    q.processAllAvailable()
+    q.stop()
     want = distinct.running_distinct(views(ev), "ts", "seq", "user_id", "1 hour")
-    assert rows(got, "seq", "uv") == rows(want, "seq", "uv")
+    assert sorted(got) == rows(want, "seq", "uv")
 
 
 def test_full_outer_interval_join_stream(spark, stream_dir):
