@@ -140,11 +140,12 @@ def top_n_retract_per_batch(part: str, key: str, n: int, state_path: str, sink:
     watermark's delay and one window, after which Spark sends no more counts of them).  A replayed batch
     reads the same earlier epoch and gives the same output."""
     def run(batch: DataFrame, epoch_id: int):
-        if batch.isEmpty():
-            return
         spark, state = batch.sparkSession, Snapshots(batch.sparkSession, state_path)
         columns = [part, key, score, rank_col]
         upd = batch.select(part, key, score).persist()
+        if not upd.count():  # one job over all partitions, so that all state is committed
+            upd.unpersist()
+            return
         affected = upd.select(part).distinct()
         held = state.before(epoch_id)
         if held is None:
@@ -178,7 +179,7 @@ def running_distinct_per_batch(seq: str, state_path: str, sink: callable, end_co
         spark, state = batch.sparkSession, Snapshots(batch.sparkSession, state_path)
         batch = batch.persist()
         try:
-            if batch.isEmpty():
+            if not batch.count():  # one job over all partitions, so that all state is committed
                 return
             held = state.before(epoch_id)
             if held is None:
