@@ -223,8 +223,10 @@ class _Run:
         rest = times - free
         if rest > BLOCK:  # many deletions in a row: no need to write them one by one
             self._close()
-            every = {(p, p): (DELETE * rest, "D" * rest) for p in range(4)}
-            self.paths = join_paths(self.paths, every) if self.paths else {k: v for k, v in every.items() if k[0] in self.starts}
+            starts = tuple(sorted({q for _, q in self.paths})) if self.paths else self.starts
+            # as one deletion, and edits behind it
+            every = {k: (c + DELETE * (rest - 1), "D" * (rest - 1) + a) for k, (c, a) in block_paths("-", starts).items()}
+            self.paths = join_paths(self.paths, every) if self.paths else every
         else:
             self.signature.append("-" * rest)
         if self.open_turns >= BLOCK or len(self.signature) >= 4 * BLOCK:

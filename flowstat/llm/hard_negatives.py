@@ -26,7 +26,7 @@ Cases.  Rows with a null label or vector, or a null or non-finite component, tak
 no part.  Null ids come after all others among equal scores and are no anchors.  Repeated
 rows are rows of their own: a copy of an anchor can be its positive.  Shorter
 vectors count as filled up with zeros.  Scores are exact whatever the
-components' size; those beyond a long are returned as its ends.  Without
+components' size; those beyond a long count as its ends.  Without
 positives, or with empty windows, an anchor has no result.  Empty tables
 give an empty result; extra columns are not read.
 """

@@ -50,12 +50,12 @@ from __future__ import annotations
 import uuid
 import zlib
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -131,8 +131,9 @@ def _classes(docs: DataFrame, sketch_bits: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, th long, n int, class long, part int, counts binary")
 
 
-def _sketch(found: DataFrame, sketch_bits: int) -> np.ndarray:
-    """The summed counters: a fixed number of cells, whatever the input."""
+def _sketch(found: DataFrame, sketch_bits: int) -> tuple[np.ndarray, float]:
+    """The summed counters as quarter steps of their logarithm, one byte each (a fixed
+    number of cells, whatever the input), and their mean."""
     per_row = (1 << sketch_bits) // SKETCH_ROWS
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,37 +142,40 @@ def _sketch(found: DataFrame, sketch_bits: int) -> np.ndarray:
             for part, blob in zip(batch.column("part").to_pylist(), batch.column("counts")):
                 c = np.frombuffer(zlib.decompress(blob.as_py()), "<u4").astype(np.int64)
                 sums[part] = sums[part] + c if part in sums else c
-        yield pa.RecordBatch.from_arrays([pa.array(sums, pa.int32()), pa.array([c.tobytes() for c in sums.values()], pa.binary())],
-                                         names=["part", "counts"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(sums, pa.int32()), pa.array([quarters(c).tobytes() for c in sums.values()], pa.binary()),
+             pa.array([int(c.sum()) for c in sums.values()], pa.int64())], names=["part", "steps", "total"])
 
     rows = (found.where("part is not null").select("part", "counts").repartition(SKETCH_ROWS, "part")
-            .mapInArrow(add, "part int, counts binary"))
-    out = np.zeros((SKETCH_ROWS, per_row), np.int64)
-    for r in rows.collect():  # SKETCH_ROWS rows
-        out[r.part] = np.frombuffer(r.counts, np.int64)
-    return out.reshape(-1)
+            .mapInArrow(add, "part int, steps binary, total long"))
+    out, total = np.zeros((SKETCH_ROWS, per_row), np.uint8), 0
+    for r in rows.collect():  # SKETCH_ROWS rows, a byte for each cell
+        out[r.part] = np.frombuffer(r.steps, np.uint8)
+        total += r.total
+    return out.reshape(-1), total / out.size
+
+
+def quarters(counts: np.ndarray) -> np.ndarray:
+    return np.round(4 * np.log2(counts + 1.0)).astype(np.uint8)
 
 
 # ------------------------------------------------------------------- postings
-def prefix(s: np.ndarray, counts: np.ndarray, shift: int, floor: float, most: int) -> tuple[np.ndarray, int]:
+def prefix(s: np.ndarray, steps: np.ndarray, shift: int, floor: float, most: int) -> tuple[np.ndarray, int]:
     """The shingles a set posts, and the number l that a pair must share."""
-    n, c = len(s), counts[(s >> np.uint64(shift)).astype(np.int64)]
+    n, c = len(s), steps[(s >> np.uint64(shift)).astype(np.int64)]
     # rare first; the counters' logarithm in quarter steps, then the hash (s is sorted, the sort is stable)
-    order = np.argsort((4 * np.log2(c + 1.0)).astype(np.uint8), kind="stable")
+    order = np.argsort(c, kind="stable")
     shortest = n - at_least(n)
     longest = min(most, at_least(n))
-    others = np.cumsum(np.maximum(0.0, c[order[:shortest + longest]] - 2 * floor))[shortest:]
+    others = np.cumsum(np.maximum(0.0, np.exp2(c[order[:shortest + longest]] / 4.0) - 1 - 2 * floor))[shortest:]
     share = np.arange(1, longest + 1)
     # postings read, plus candidates (those that share l are at most postings / l) times the cost of a verification
     best = int(np.argmin(share + others * (1 + n / 8 / share)))
     return s[order[:shortest + best + 1]], best + 1
 
 
-def _postings(docs: DataFrame, counts: np.ndarray, sketch_bits: int, most: int) -> DataFrame:
+def _postings(docs: DataFrame, held: Broadcast, floor: float, sketch_bits: int, most: int) -> DataFrame:
     """shingle, class, nip (size, place in the prefix and l, packed); each task posts a class once."""
-    held = docs.sparkSession.sparkContext.broadcast(np.minimum(counts, 2**32 - 1).astype(np.uint32))
-    floor = counts.sum() / len(counts)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for batch in batches:
@@ -256,23 +260,32 @@ def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """class, comp (its component's smallest class) for the ends of edges (a, b),
-    by rounds of large and small stars."""
-    e = materialize(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
-    state = None
-    while True:
+    by rounds of large and small stars, one job each."""
+    def written(rows: DataFrame) -> tuple[DataFrame, tuple]:
+        seen = Observation()
+        out = materialize(rows.distinct().observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("digest")), "edges")
+        return out, tuple(seen.get.values())
+
+    e, state = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v"))
+    while state[0]:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        e = materialize(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
-        now = tuple(e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
-        if now == state:
+        before, (e, state) = state, written(small.unionByName(least.select("u", F.col("m").alias("v"))))
+        if before == state:
             break
-        state = now
     return e.select(F.col("u").alias("class"), F.col("v").alias("comp"))
 
 
+def _with_links(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Components after more links (a, b): a class's link to its component's name stands for all earlier ones."""
+    if labels is None:
+        return components(links)
+    return components(labels.select(F.col("class").alias("a"), F.col("comp").alias("b")).unionByName(links))
+
+
 # ----------------------------------------------------------------- the join
 def _with_components(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
     """Postings with their class's component, under shingles that still hold several."""
@@ -309,24 +322,26 @@ def _all_pairs(left: DataFrame) -> DataFrame:
             .where("k >= l").select("a", "b"))
 
 
-def jaccard_join(docs: DataFrame, sketch_bits: int = 22, most_shared: int = 2, star_rounds: int = 2) -> DataFrame:
+def jaccard_join(docs: DataFrame, sketch_bits: int = 22, most_shared: int = 4, star_rounds: int = 2) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text), and th, the text's hash."""
-    text = whole("text")
+    text, spark = whole("text"), docs.sparkSession
     rows = docs.select("doc_id", F.xxhash64(text).alias("th"), text.alias("text"))
     found = materialize(_classes(rows, sketch_bits), "join-classes")
     members = found.where("part is null").select("doc_id", "th", "n", "class")
-    counts = _sketch(found, sketch_bits)
-    shared = materialize(_postings(rows, counts, sketch_bits, most_shared).dropDuplicates(["shingle", "class"]), "join-postings")
+    steps, floor = _sketch(found, sketch_bits)
+    held = spark.sparkContext.broadcast(steps)
+    shared = materialize(_postings(rows, held, floor, sketch_bits, most_shared).dropDuplicates(["shingle", "class"]), "join-postings")
+    held.destroy()
 
-    labels, links = None, []
+    labels = None
     if not shared.isEmpty():
-        texts = by_class(_texts(rows, members, shared.select("class").distinct()))
+        name = by_class(_texts(rows, members, shared.select("class").distinct()))
+        texts = spark.table(name)
         for number in range(star_rounds):
-            links.append(materialize(verify(_stars(_with_components(shared, labels), number), texts), "join-links"))
-            labels = components(reduce(DataFrame.unionByName, links))
+            labels = _with_links(labels, materialize(verify(_stars(_with_components(shared, labels), number), texts), "join-links"))
         left = materialize(_with_components(shared, labels), "join-left")
-        links.append(materialize(verify(_all_pairs(left), texts), "join-links"))
-        labels = components(reduce(DataFrame.unionByName, links))
+        labels = _with_links(labels, materialize(verify(_all_pairs(left), texts), "join-links"))
+        spark.sql(f"DROP TABLE {name}")  # the name only; its files are in the shared folder
     return _assign(members, labels)
 
 
@@ -338,15 +353,15 @@ def _texts(rows: DataFrame, members: DataFrame, classes: DataFrame) -> DataFrame
             .dropDuplicates(["class"]).select("class", "text"))
 
 
-def by_class(texts: DataFrame) -> DataFrame:
-    """``texts`` as a table bucketed by class in the shared folder, so that joins on
-    the class move the other side only."""
+def by_class(texts: DataFrame) -> str:
+    """Write ``texts`` as a table bucketed by class in the shared folder, so that joins on
+    the class move the other side only; the table's name."""
     spark = texts.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"join_texts_{uuid.uuid4().hex}"
     (texts.repartition(n, "class").write.bucketBy(n, "class").sortBy("class")
      .option("path", scratch(spark, "join-texts")).saveAsTable(name))
-    return spark.table(name)
+    return name
 
 
 def _assign(members: DataFrame, labels: DataFrame | None) -> DataFrame:

@@ -29,6 +29,7 @@ give no file and an empty result.  Other columns are not read.
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import uuid
@@ -54,44 +55,59 @@ HEAD = struct.Struct("<IBBH")
 # Characters for which lower-casing, normalisation and the split into pieces can be
 # told from the character alone; a text with any other goes to the library whole.
 PLAIN = re.compile(r"[\t-\r -~À-ÖØ-öø-ÿ]*")
-# fixed values: the tokenizer file's split pattern, over lower-case plain characters
+# fixed values: the settings of the tokenizer file for which that holds, and its split pattern over lower-case plain characters
+KNOWN = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+    "post_processor": None, "truncation": None, "padding": None}
 PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
+TOGETHER = 1 << 22  # characters whose words are looked up together
 
 
-class Kept(dict):
-    """Ids (u32 bytes) by string, made when first met, at most ``most`` short strings kept."""
+class Kept:
+    """Ids (u32 bytes) by string, made when first met; the short strings met last are kept, ``most`` to
+    twice as many."""
 
     def __init__(self, make: Callable[[str], bytes], most: int):
-        super().__init__()
-        self.make, self.most = make, most
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.make(piece)
-        if len(piece) <= 64:
-            if len(self) >= self.most:
-                self.clear()
-            self[piece] = ids
+        self.make, self.most, self.new, self.old = make, most, {}, {}
+
+    def __getitem__(self, piece: str) -> bytes:
+        ids = self.new.get(piece)
+        if ids is None:
+            ids = self.old.get(piece)
+            if ids is None:
+                ids = self.make(piece)
+            if len(piece) <= 64:
+                if len(self.new) >= self.most:
+                    self.old, self.new = self.new, {}
+                self.new[piece] = ids
         return ids
 
 
 class Encoder:
     """The library's ids of whole texts.
 
-    Words between white space, and pieces inside them, are independent of each
-    other in this tokenizer, so a piece goes through the library's model once and
-    its ids are kept.
+    Where the file's own settings are the known ones (``KNOWN``), words between white space, and
+    pieces inside them, are independent of each other.  Then the distinct words of many texts
+    are split into pieces, a piece goes through the library's model once and its ids are kept, and the
+    texts' ids are gathered from those of their words.  With any other file, whole texts go through the library.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        settings = json.loads(self.tokenizer.to_str())
+        model = settings["model"]
+        self.by_piece = (all(settings.get(k) == v for k, v in KNOWN.items()) and model["type"] == "BPE" and not model.get("dropout")
+                         and all(t["special"] and not (t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]) for t in settings["added_tokens"]))
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         # the byte-level alphabet: printable bytes stand for themselves, the others follow from 256 on
         shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         hidden = [b for b in range(256) if b not in shown]
         self.alphabet = {b: 256 + i for i, b in enumerate(hidden)}
-        self.pieces = Kept(self._piece, 500_000)
-        self.words = Kept(self._word, 300_000)
+        self.pieces = Kept(self._piece, 400_000)
 
     def _piece(self, piece: str) -> bytes:
         letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.alphabet)
@@ -102,10 +118,41 @@ class Encoder:
             return self.pieces[word]
         return b"".join(map(self.pieces.__getitem__, PIECE.findall(word)))
 
+    def _plain(self, text: str) -> bool:
+        return self.by_piece and PLAIN.fullmatch(text) is not None and not any(s in text for s in self.special)
+
+    def _gathered(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of plain texts."""
+        words = [t.lower().split() for t in texts]
+        coded = pa.array([w for own in words for w in own], pa.string()).dictionary_encode()
+        codes = coded.indices.to_numpy()
+        made = [self._word(w) for w in coded.dictionary.to_pylist()]
+        ids, size = np.frombuffer(b"".join(made), "<u4"), np.array([len(m) // 4 for m in made], np.int64)
+        first, sizes = (np.cumsum(size) - size)[codes], size[codes]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        at = np.arange(ends[-1]) + np.repeat(first - ends[:-1], sizes)
+        bounds = ends[np.concatenate([[0], np.cumsum([len(own) for own in words])])]
+        found = ids[at]
+        return [found[a:b] for a, b in zip(bounds, bounds[1:])]
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of every text."""
+        out: list[np.ndarray | None] = [None] * len(texts)
+        plain, size = [], 0
+        for i, text in enumerate(texts):
+            if self._plain(text):
+                plain.append(i)
+                size += len(text)
+            else:
+                out[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+            if plain and (size >= TOGETHER or i == len(texts) - 1):
+                for j, ids in zip(plain, self._gathered([texts[j] for j in plain])):
+                    out[j] = ids
+                plain, size = [], 0
+        return out
+
     def encode(self, text: str) -> bytes:
-        if PLAIN.fullmatch(text) and not any(s in text for s in self.special):
-            return b"".join(map(self.words.__getitem__, text.lower().split()))
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return self.encode_all([text])[0].tobytes()
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -237,8 +284,8 @@ def write_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1,
                 names=["name", "n_docs", "n_tokens"])
 
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id"), batch.column("text")):
-                ids = enc.encode(text.as_py()) + end
+            for doc_id, found in zip(batch.column("doc_id"), enc.encode_all(batch.column("text").to_pylist())):
+                ids = found.tobytes() + end
                 held.append(ids)
                 lengths.append(len(ids) // 4)
                 doc_ids.append(doc_id.as_py())

@@ -1,0 +1,163 @@
+import hashlib
+import itertools
+import random
+import zlib
+
+import pytest
+
+from flowstat.llm import conversations as C
+
+SCHEMA = "conv_id long, turn long, role string, text string, times string, audit string"
+WHITE = " \t\n\x0b\x0c\r"
+
+
+def damaged(rows):
+    out = []
+    for conv, turn, role, text in rows:
+        key = ":".join(" " if x is None else str(x) for x in (conv, turn))
+        kind = zlib.crc32(key.encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        if kind == 0:
+            continue
+        text = "" if kind == 1 else text.translate({ord(c): None for c in ".!?"}) if kind == 2 else text
+        out += [(conv, turn, "user" if kind == 4 else role, text)] * (2 if kind == 3 else 1)
+    return out
+
+
+def expected(rows):
+    """All edits of a conversation's rows in order, the best (cost, audit) for each grammar state."""
+    rows = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2], r[3]))
+    seen, faults = set(), []
+    for _, _, role, text in rows:
+        body = text.rstrip(WHITE)
+        faults.append("blank" if not body else "duplicate" if (role, text) in seen else "truncated" if body[-1] not in ".!?" else "")
+        seen.add((role, text))
+    step = {(0, "s"): 1, (0, "u"): 2, (1, "u"): 2, (3, "u"): 2, (2, "a"): 3}
+
+    def inserted(best):
+        out = dict(best)
+        for _ in range(2):
+            for p, (cost, audit, lines) in list(out.items()):
+                letter = "a" if p == 2 else "u"
+                new = (cost + 3, audit + "I", (*lines, ("assistant:" if letter == "a" else "user:")))
+                q = step[p, letter]
+                out[q] = min(out.get(q, new), new)
+        return out
+
+    best = {0: (0, "", ())}
+    for (_, _, role, text), fault in zip(rows, faults):
+        now = {}
+
+        def put(q, new):
+            now[q] = min(now.get(q, new), new)
+
+        for p, (cost, audit, lines) in inserted(best).items():
+            put(p, (cost + 4, audit + "D", lines))
+            if fault in ("blank", "duplicate"):
+                continue
+            more = 3 if fault == "truncated" else 0
+            if (p, role[:1]) in step:
+                put(step[p, role[:1]], (cost + more, audit + "K", (*lines, f"{role}:{text}")))
+            letter, name = ("a", "assistant") if p == 2 else ("u", "user")
+            put(step[p, letter], (cost + 3 + more, audit + "R", (*lines, f"{name}:{text}")))
+        best = now
+    cost, audit, lines = min(v for p, v in inserted(best).items() if p in (0, 3))
+    turns = [r[1] for r in rows if r[1] is not None]
+    bad = sum(a[2][:1] + b[2][:1] not in ("su", "ua", "au") for a, b in itertools.pairwise(rows))
+    return (max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0, *(faults.count(f) for f in ("blank", "duplicate", "truncated")), bad,
+            cost, audit, hashlib.sha256("\n".join(lines).encode()).hexdigest())
+
+
+def brute(rows, ids):
+    by = {i: [] for i in ids}
+    for r in rows:
+        by[r[0]].append(r)
+    none = (0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())
+    return {i: expected(x) if x else none for i, x in by.items()}
+
+
+def got(df):
+    found = df.collect()
+    out = {r.conv_id: (r.gaps, r.blank, r.duplicate, r.truncated, r.illegal, r.cost, r.audit, r.repaired_sha256) for r in found}
+    assert len(out) == len(found)
+    return out
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(*r, "x", "y") for r in rows], SCHEMA)
+
+
+def conversation(rnd, conv, n, mess=0.2):
+    rows = []
+    for t in range(n):
+        role = "system" if t == 0 and rnd.random() < 0.3 else ("user", "assistant")[t % 2]
+        if rnd.random() < mess:
+            role = rnd.choice(["user", "assistant", "system", "tool", "", None, "ux"])
+        text = f"text {rnd.randint(0, 10 ** 6)}" + rnd.choice([".", "!", "?", ". \n", "", " and"]) if rnd.random() > mess else rnd.choice(["", " ", None, "same.", "\t\n"])
+        rows.append((conv, None if rnd.random() < mess / 4 else t + rnd.choice([0, 0, 0, 5]) * (rnd.random() < mess), role, text))
+    return rows
+
+
+def test_repair_equals_brute_force(spark):
+    rnd = random.Random(5)
+    rows = [r for c in range(400) for r in conversation(rnd, c, rnd.randint(1, 9), rnd.choice([0, 0.2, 0.6]))]
+    rows += [r for c in range(400, 420) for r in conversation(rnd, c, rnd.randint(17, 60))]
+    rows += rows[:50] + [(None, None, None, None), (None, 1, "user", "hi."), (1000, 0, "assistant", "?")]
+    ids = {r[0] for r in rows}
+    assert got(C.damage_and_repair(frame(spark, rows))) == brute(damaged(rows), ids)
+
+
+@pytest.mark.parametrize("n", [3, 5])
+def test_every_short_conversation(spark, n):
+    """All sequences of roles, and faults, of n turns."""
+    rows, conv = [], 0
+    for roles in itertools.product("suax", repeat=n):
+        for ends in ([".?!.?"[:n], ". .? "[:n]] if n == 5 else itertools.product(". ", repeat=n)):
+            rows += [(conv, t, r, f"t{t}{e}") for t, (r, e) in enumerate(zip(roles, ends))]
+            conv += 1
+    assert got(C.repair(frame(spark, rows).drop("times", "audit"))) == brute(rows, range(conv))
+
+
+def test_long_conversation_is_split(spark):
+    """One conversation over several tasks and parts, another one of equal rows, beside short ones."""
+    rnd = random.Random(8)
+    rows = conversation(rnd, 7, 5000) + [(9, 3, "user", "again.")] * 4000 + [r for c in range(20, 60) for r in conversation(rnd, c, 6)]
+    rnd.shuffle(rows)
+    ids = {r[0] for r in rows}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = got(C.repair(frame(spark, damaged(rows)).drop("times", "audit"), frame(spark, rows)))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert found == brute(damaged(rows), ids)
+
+
+def test_alignment_within_bands():
+    """The banded alignment of any block equals the full one between all states."""
+    rnd = random.Random(3)
+    for _ in range(60):
+        signature = "".join(rnd.choice("suaxSUAX-") for _ in range(rnd.randint(0, 9)))
+        found = C.block_paths(signature, (0, 1, 2, 3))
+        for p, q in itertools.product(range(4), repeat=2):
+            n = sum(c != "-" for c in signature)
+            turns, forced = [], [0]
+            for c in signature:
+                if c == "-":
+                    forced[-1] += 1
+                else:
+                    turns.append((c.lower(), int(c.isupper())))
+                    forced.append(0)
+            every = [C.align(turns, forced, t, 10 ** 6) for t in C.targets(p, q, 3 * n + 4)]
+            assert found.get((p, q)) == min([e for e in every if e], default=None), (signature, p, q)
+
+
+def test_empty_table_and_all_dropped(spark):
+    assert C.damage_and_repair(frame(spark, [])).count() == 0
+    gone = [(c, t, "user", "x.") for c in range(2000) for t in [0] if zlib.crc32(f"{c}:{t}".encode()) % 20 == 0]
+    assert got(C.damage_and_repair(frame(spark, gone))) == brute([], [r[0] for r in gone])
+
+
+def test_very_long_text(spark):
+    text = "word " * 400_000
+    rows = [(1, 1, "user", text), (1, 2, "assistant", text + "."), (1, 3, "user", text)]
+    assert got(C.repair(frame(spark, rows).drop("times", "audit"))) == brute(rows, [1])

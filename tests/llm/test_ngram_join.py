@@ -71,14 +71,14 @@ def test_prefixes_share_enough():
         both = len(np.intersect1d(a, b))
         if 100 * both < 80 * (len(a) + len(b) - both):
             continue
-        (p, l), (q, m) = (J.prefix(s, counts, 58, 10.0, 4) for s in (a, b))
+        (p, l), (q, m) = (J.prefix(s, J.quarters(counts), 58, 10.0, 4) for s in (a, b))
         assert len(np.intersect1d(p, q)) >= min(l, m)
 
 
 def test_costly_prefixes_get_longer():
     s = np.sort(np.random.default_rng(0).integers(0, 2**63, 400, dtype=np.uint64))
-    assert J.prefix(s, np.ones(64, int), 58, 1.0, 4)[1] == 1
-    assert J.prefix(s, np.full(64, 10_000), 58, 1.0, 4)[1] > 1
+    assert J.prefix(s, J.quarters(np.ones(64, int)), 58, 1.0, 4)[1] == 1
+    assert J.prefix(s, J.quarters(np.full(64, 10_000)), 58, 1.0, 4)[1] > 1
 
 
 def test_components(spark):

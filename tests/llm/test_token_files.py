@@ -21,6 +21,25 @@ def test_encoder_equals_the_library(text):
     assert np.frombuffer(T.Encoder(PATH).encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_many_texts_and_another_tokenizer():
+    """The texts together, and a file with other settings, which must not take the way by pieces."""
+    for path, by_piece in ((PATH, True), (public_tokenizers.path("byte_bpe_50k.json"), False)):
+        library, own = Tokenizer.from_file(path), T.Encoder(path)
+        assert own.by_piece == by_piece
+        want = [library.encode(t, add_special_tokens=False).ids for t in TEXTS * 3]
+        assert [x.tolist() for x in own.encode_all(TEXTS * 3)] == want
+
+
+def test_kept_pieces_are_bounded():
+    made = []
+    kept = T.Kept(lambda p: made.append(p) or p.encode(), 10)
+    for i in range(1000):
+        assert kept[str(i % 25)] == str(i % 25).encode() and len(kept.new) + len(kept.old) <= 20
+    for _ in range(50):
+        assert kept["a"] == b"a"
+    assert made.count("a") == 1
+
+
 @pytest.mark.parametrize("high", [1, 2, 300, 2**16, 2**32 - 1])
 def test_format_round_trip(high):
     rnd = np.random.default_rng(high % 1000)
