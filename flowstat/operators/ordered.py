@@ -36,6 +36,10 @@ def _list(x) -> list:
 HEAVY_ROWS = 1 << 20
 
 
+def heavy_rows() -> int:
+    return HEAVY_ROWS
+
+
 def _chunked(df: DataFrame, parts: list, chunk_col: str, chunk: int) -> tuple[DataFrame, bool]:
     """``df`` with the chunk ``_ck`` of each row (one chunk for a light key) and
     ``_heavy``; and whether any key is heavy (then its chunks need repair)."""
@@ -128,7 +132,13 @@ def neighbour(df: DataFrame, part, order, cols, chunk_col: str, chunk: int,
 
 def sessionize(df: DataFrame, part, order, cols, starts, chunk_col: str, chunk: int,
                out: str = "session", flag: str = "is_start") -> DataFrame:
-    """Gaps and islands in one chunked pass: ``starts(prev, cur)`` says
+    """Sessions of each group, see :func:`sessionize_split`."""
+    return sessionize_split(df, part, order, cols, starts, chunk_col, chunk, out, flag)[0]
+
+
+def sessionize_split(df: DataFrame, part, order, cols, starts, chunk_col: str, chunk: int,
+                     out: str = "session", flag: str = "is_start") -> tuple[DataFrame, bool]:
+    """The sessions, and whether any group has more than ``HEAVY_ROWS`` rows.  Gaps and islands in one chunked pass: ``starts(prev, cur)`` says
     whether a row opens a new session given the previous row of its group
     (``prev[c]`` is null for a group's first row); ``out`` numbers the
     sessions 1, 2, ... per group in ``order`` (0 before the first start).
@@ -146,7 +156,7 @@ def sessionize(df: DataFrame, part, order, cols, starts, chunk_col: str, chunk:
     if not split:
         opened = with_ck.withColumn(flag, F.coalesce(starts(prev, cur), F.lit(False)))
         number = F.sum(F.col(flag).cast("long")).over(w.rowsBetween(Window.unboundedPreceding, 0))
-        return opened.withColumn(out, number).select(*[c for c in df.columns], out, flag)
+        return opened.withColumn(out, number).select(*[c for c in df.columns], out, flag), False
     local = (with_ck.withColumn("_edge", F.lag(F.lit(1)).over(w).isNull())
                     .withColumn("_ls", F.coalesce(starts(prev, cur), F.lit(False)))
                     .withColumn("_inner", F.when(F.col("_edge"), F.lit(0)).otherwise(F.col("_ls").cast("long"))))
@@ -171,4 +181,4 @@ def sessionize(df: DataFrame, part, order, cols, starts, chunk_col: str, chunk:
     joined = joined.withColumn("_light", light)
     return (joined.withColumn(out, F.when(F.col("_heavy"), F.col("_off") + F.col("_fs") + F.col("_lc")).otherwise(F.col("_light")))
                   .withColumn(flag, F.when(F.col("_edge"), first == 1).otherwise(F.col("_ls")))
-                  .drop("_ck", "_heavy", "_light", "_edge", "_ls", "_inner", "_lc", "_fs", "_off"))
+                  .drop("_ck", "_heavy", "_light", "_edge", "_ls", "_inner", "_lc", "_fs", "_off")), True

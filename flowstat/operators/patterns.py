@@ -14,8 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import duration_us, from_micros, to_micros, ts_type
-from .ordered import neighbour, running_total, sessionize
+from ..functions import duration_us, floor_to, from_micros, to_micros, ts_type
+from ..session import written
+from .ordered import heavy_rows, neighbour, running_total, sessionize_split
 
 # ---------------------------------------------------------------- fixed values
 LOGIN_WARNING = "login fail"
@@ -132,7 +133,8 @@ def burst(df: DataFrame, key: str, is_fail, is_reset, ts: str, seq: str, within=
     followed by the resets up to the next run.  No window crosses a run
     border, and only a run's last window can be cancelled (by the reset that
     ends the run), so runs are independent.  Run ids come from a chunked
-    sessionize pass (never a whole key in one task)."""
+    sessionize pass (never a whole key in one task).  A run of more than
+    ``HEAVY_ROWS`` failures is split itself, see :func:`long_run_bursts`."""
     dtype = ts_type(df, ts)
     wus = duration_us(within)
     base = (df.select(key, seq, to_micros(ts, dtype).alias("_t"), _pred(df, is_fail).alias("_f"),
@@ -142,21 +144,112 @@ def burst(df: DataFrame, key: str, is_fail, is_reset, ts: str, seq: str, within=
     def starts(prev, cur):
         return cur["_f"] & (prev["_f"].isNull() | ~prev["_f"] | (cur["_t"] - prev["_t"] > wus))
 
-    runs = sessionize(base, key, ["_t", seq], ["_f", "_t"], starts, chunk_col="_t", chunk=duration_us(chunk),
-                      out="_run", flag="_start")
+    runs, split = sessionize_split(base, key, ["_t", seq], ["_f", "_t"], starts, chunk_col="_t", chunk=duration_us(chunk),
+                                   out="_run", flag="_start")
     schema = T.StructType([T.StructField(key, df.schema[key].dataType)]
                           + [T.StructField(c, T.LongType()) for c in ("first_fail_us", "last_fail_us", "n_fails")])
     # secondary sort: runs are hashed over all tasks, each task streams its
     # runs in (key, run, time) order through a constant-memory scan
-    ordered = (runs.where(F.col("_run") > 0).select(key, "_run", "_t", seq, "_f")
-                   .repartition(key, "_run")
-                   .sortWithinPartitions(key, "_run", "_t", seq))
+    rows, long_bursts = runs.where(F.col("_run") > 0).select(key, "_run", "_t", seq, "_f"), None
+    if split:  # no run is longer than its key
+        rows = written(rows, "burst-runs")
+        long = rows.where("_f").groupBy(key, "_run").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > heavy_rows()).select(
+            F.col(key).alias("_lk"), F.col("_run").alias("_lr"))
+        same = F.col(key).eqNullSafe(F.col("_lk")) & (F.col("_run") == F.col("_lr"))
+        if not long.isEmpty():
+            long_bursts = long_run_bursts(rows.join(long, same, "left_semi"), key, wus, min_count, schema)
+            rows = rows.join(long, same, "left_anti")
+    ordered = rows.repartition(key, "_run").sortWithinPartitions(key, "_run", "_t", seq)
     res = ordered.mapInPandas(_burst_scanner(key, wus, min_count, schema.fieldNames()), schema=schema)
+    if long_bursts is not None:
+        res = res.unionByName(long_bursts)
     return res.select(key, from_micros("first_fail_us", dtype).alias("first_fail"),
                       from_micros("last_fail_us", dtype).alias("last_fail"), "n_fails",
                       F.lit(msg).alias("warning"))
 
 
+def long_run_bursts(rows: DataFrame, key: str, wus: int, min_count: int, schema: T.StructType, chunk_windows: int = 256) -> DataFrame:
+    """Bursts of long runs (key, _run, _t, _f), each dealt over many tasks.
+
+    The failure times of a run are cut in chunks of ``chunk_windows`` windows.  An anchor at t is
+    followed by the first failure after t + within, at most one more window away, so each time has a
+    link to its next anchor in its chunk or the next one.  Inside a chunk the links are doubled
+    until they leave it; that gives each time at which a chunk may be entered the
+    time at which the next one is.  These chunk links are doubled in turn, log2 of the number of chunks
+    times, while the times reached from a run's first failure are marked.  Each chunk then
+    knows its first anchor and finds its windows by itself."""
+    width = max(1, wus) * chunk_windows
+    same = [key, "_run"]
+    resets = rows.where(~F.col("_f")).groupBy(*same).agg(F.min("_t").alias("_reset"))
+    times = rows.where("_f").groupBy(*same, "_t").agg(F.count(F.lit(1)).alias("_n"))
+    own = floor_to(F.col("_t"), width)
+    # a chunk also sees the beginning of the next one
+    seen = F.when(F.col("_t") - own < 2 * wus + 2, F.array(own, own - width)).otherwise(F.array(own))
+    dealt = written(times.withColumn("_c", F.explode(seen)), "burst-chunks")
+    kinds = rows.schema[key].dataType
+    link_schema = T.StructType([T.StructField(key, kinds), *[T.StructField(c, T.LongType()) for c in ("_run", "_at", "_to")]])
+
+    def exits(t: np.ndarray, end: int) -> np.ndarray:
+        """For each time of the chunk the place of the first anchor behind its end (len(t) if there is none)."""
+        nxt = np.append(np.searchsorted(t, t + wus, side="right"), len(t))
+        inside = np.append(t < end, False)
+        while True:
+            going = inside[nxt]
+            if not going.any():
+                return nxt[:-1]
+            nxt = np.where(going, nxt[nxt], nxt)
+
+    def links(pdf: pd.DataFrame) -> pd.DataFrame:
+        begin = int(pdf["_c"].iloc[0])
+        t = np.sort(pdf["_t"].to_numpy())
+        to = exits(t, begin + width)
+        entry = np.flatnonzero((t < begin + 2 * wus + 2) & (t < begin + width) & (to < len(t)))
+        return pd.DataFrame({key: [pdf[key].iloc[0]] * len(entry), "_run": int(pdf["_run"].iloc[0]), "_at": t[entry], "_to": t[to[entry]]})
+
+    def joined(a: DataFrame, b: DataFrame, on: str) -> DataFrame:
+        """a's rows with b's _to (as _next) where a's column ``on`` is b's _at."""
+        b = b.select(F.col(key).alias("_bk"), F.col("_run").alias("_br"), F.col("_at").alias("_ba"), F.col("_to").alias("_next"))
+        return a.join(b, F.col(key).eqNullSafe(F.col("_bk")) & (F.col("_run") == F.col("_br")) & (F.col(on) == F.col("_ba")))
+
+    marks = times.groupBy(*same).agg(F.min("_t").alias("_at"))
+    # a run begins anywhere in its first chunk, which has a link for its beginning only
+    first = dealt.join(marks.select(F.col(key).alias("_bk"), F.col("_run").alias("_br"), floor_to(F.col("_at"), width).alias("_bc")),
+                       F.col(key).eqNullSafe(F.col("_bk")) & (F.col("_run") == F.col("_br")) & (F.col("_c") == F.col("_bc"))).select(*dealt.columns)
+
+    def first_link(pdf: pd.DataFrame) -> pd.DataFrame:
+        t = np.sort(pdf["_t"].to_numpy())
+        to = int(exits(t, int(pdf["_c"].iloc[0]) + width)[0])
+        found = [(pdf[key].iloc[0], int(pdf["_run"].iloc[0]), int(t[0]), int(t[to]))] if to < len(t) else []
+        return pd.DataFrame(found, columns=[key, "_run", "_at", "_to"])
+
+    chunked = dealt.groupBy(*same, "_c").applyInPandas(links, link_schema)
+    jump = written(chunked.unionByName(first.groupBy(*same, "_c").applyInPandas(first_link, link_schema)).distinct(), "burst-links")
+    while not jump.isEmpty():  # marks reach twice as far each time
+        marks = written(marks.unionByName(joined(marks, jump, "_at").select(*same, F.col("_next").alias("_at"))).distinct(), "burst-marks")
+        jump = written(joined(jump, jump, "_to").select(*same, "_at", F.col("_next").alias("_to")), "burst-links")
+
+    entered = marks.groupBy(F.col(key).alias("_bk"), F.col("_run").alias("_br"), floor_to(F.col("_at"), width).alias("_bc")).agg(F.min("_at").alias("_at"))
+    chunks = dealt.join(entered, F.col(key).eqNullSafe(F.col("_bk")) & (F.col("_run") == F.col("_br")) & (F.col("_c") == F.col("_bc"))).drop("_bk", "_br", "_bc")
+    known = resets.select(F.col(key).alias("_bk"), F.col("_run").alias("_br"), "_reset")
+    chunks = chunks.join(known, F.col(key).eqNullSafe(F.col("_bk")) & (F.col("_run") == F.col("_br")), "left").drop("_bk", "_br")
+
+    def windows(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_t")
+        t, n = pdf["_t"].to_numpy(), np.concatenate([[0], np.cumsum(pdf["_n"].to_numpy())])
+        end, reset, out = int(pdf["_c"].iloc[0]) + width, pdf["_reset"].iloc[0], []
+        i = int(np.searchsorted(t, int(pdf["_at"].iloc[0])))
+        while i < len(t) and t[i] < end:
+            j = int(np.searchsorted(t, t[i] + wus, side="right"))
+            # only a run's last window can be cancelled, by the reset that ends the run
+            cancelled = j == len(t) and not pd.isna(reset) and reset <= t[i] + wus
+            if n[j] - n[i] >= min_count and not cancelled:
+                out.append((pdf[key].iloc[0], int(t[i]), int(t[j - 1]), int(n[j] - n[i])))
+            i = j
+        return pd.DataFrame(out, columns=schema.fieldNames())
+
+    return chunks.groupBy(*same, "_c").applyInPandas(windows, schema)
+
+
 def _burst_scanner(key: str, wus: int, min_count: int, names: list[str]):
     """Greedy anchor scan over batches sorted by (key, run, time, seq).
     Anchors are found with ``searchsorted`` (a loop over anchors, not rows).

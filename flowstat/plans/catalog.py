@@ -12,8 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import ASSET_PATTERN, duration_us, floor_to, from_micros, is_asset, to_micros, to_utc_wallclock
-from ..operators import capping, distinct, joins, late, patterns, topn, windows
+from ..functions import ASSET_PATTERN, duration_us, floor_to, from_micros, is_asset, json_long, to_micros, to_utc_wallclock
+from ..operators import aggregate, capping, distinct, joins, late, patterns, topn, windows
 from ..sources import parse_access_log
 from . import tables as T
 
@@ -159,6 +159,19 @@ def uv_hourly_bitmap(spark, sf_dir):
     return distinct.distinct_per_window(_views(spark, sf_dir), "ts", "user_id", "1 hour", "bitmap")
 
 
+@register("uv_hourly_bitmap_agg", f"SELECT {_end(H)} AS window_end, count(DISTINCT {_HASH}) AS uv FROM ({_VIEWS}) v GROUP BY ALL")
+def uv_hourly_bitmap_agg(spark, sf_dir):
+    """Set bits of the two-level bitmaps of each hour."""
+    return distinct.bitmap_distinct(_views(spark, sf_dir), "ts", "user_id", "1 hour")
+
+
+@register("uv_sliding_bitmap_agg", f"""
+SELECT {_end(H, step="i")} AS window_end, count(DISTINCT {_HASH}) AS uv FROM ({_VIEWS}) v, range(6) r(i) GROUP BY ALL""")
+def uv_sliding_bitmap_agg(spark, sf_dir):
+    """A9 over sliding windows (6 hours by 1 hour): the hours' bitmaps merged by OR."""
+    return distinct.bitmap_distinct(_views(spark, sf_dir), "ts", "user_id", "6 hours", "1 hour")
+
+
 @register("uv_hourly_approx")
 def uv_hourly_approx(spark, sf_dir):
     """A9 (scalable form): HyperLogLog distinct visitors per hour."""
@@ -609,11 +622,12 @@ def login_fail_disordered(spark, sf_dir):
 
 @register("uv_hourly_approx_error", f"SELECT {_end(H)} AS window_end, TRUE AS close FROM ({_VIEWS}) v GROUP BY ALL")
 def uv_hourly_approx_error(spark, sf_dir):
-    """Whether each hour's sketch is within three times its standard error (5 %) of the exact count, or one visitor."""
+    """Whether each hour's sketch is within three times the standard error it is built for, or one visitor, of the exact count."""
+    rsd = 0.01
     exact = distinct.distinct_per_window(_views(spark, sf_dir), "ts", "user_id", "1 hour", "exact")
-    approx = distinct.distinct_per_window(_views(spark, sf_dir), "ts", "user_id", "1 hour", "approx")
+    approx = distinct.distinct_per_window(_views(spark, sf_dir), "ts", "user_id", "1 hour", "approx", rsd=rsd)
     both = exact.join(approx.select("window_end", F.col("uv").alias("guess")), "window_end")
-    return both.select("window_end", (F.abs(F.col("uv") - F.col("guess")) <= F.greatest(F.lit(1.0), 0.15 * F.col("uv"))).alias("close"))
+    return both.select("window_end", (F.abs(F.col("uv") - F.col("guess")) <= F.greatest(F.lit(1.0), 3 * rsd * F.col("uv"))).alias("close"))
 
 
 _PANES_SQL = f"""
@@ -647,3 +661,18 @@ def hot_items_retract_panes(spark, sf_dir):
     ts = views.schema["ts"].dataType
     return net.select(from_micros("we", ts).alias("window_end"), from_micros("pe", ts).alias("pane_end"), "item_id", "cnt", "rn",
                       F.when(F.col("d") > 0, "+").otherwise("-").alias("op"))
+
+
+@register("item_price_spread", f"""
+SELECT item_id, {_end(H, step="i")} AS window_end, count(*) AS n, min(value) AS low, max(value) AS high
+FROM (SELECT {_ITEM} AS item_id, value, epoch_us(ts) AS t FROM events WHERE event_type = 'view' AND value IS NOT NULL) v, range(2) r(i) GROUP BY ALL""")
+def item_price_spread(spark, sf_dir):
+    """U: a user aggregate (number, least and largest value of an item's views) over 2 hours sliding by 1 hour."""
+    spread = aggregate.Aggregate(
+        "n bigint, low double, high double", "struct<n:bigint,low:double,high:double>", lambda: (0, float("inf"), float("-inf")),
+        lambda a, rows: (a[0] + len(rows), min(a[1], float(rows["value"].min())), max(a[2], float(rows["value"].max()))),
+        lambda a, b: (a[0] + b[0], min(a[1], b[1]), max(a[2], b[2])), lambda a: {"n": a[0], "low": a[1], "high": a[2]})
+    views = (T.table(spark, sf_dir, "events").where((F.col("event_type") == "view") & F.col("value").isNotNull())
+             .select(json_long("props", "k").alias("item_id"), "ts", "value"))
+    return (aggregate.aggregate_windows(views, "ts", "item_id", spread, ["value"], "2 hours", "1 hour", out="spread")
+            .select("item_id", "window_end", "spread.n", "spread.low", "spread.high"))

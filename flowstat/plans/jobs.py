@@ -74,8 +74,13 @@ def _emit_running(firsts: DataFrame, label: str, sink, identity: str):
     return {label: write_stream(firsts, _name(label), foreach_batch=cb, identity=identity)}
 
 
+def _arrival(df: DataFrame) -> str:
+    """The column by which the rows of a key are in the order of their arrival."""
+    return "arrival" if "arrival" in df.columns else "seq"
+
+
 def _seq(df: DataFrame, stream: bool) -> DataFrame:
-    # a file stream has no line number: there the event time orders rows of one key
+    # a number for rules in event time, where it decides between rows of one time only
     return df.withColumn("seq", F.unix_micros("ts")) if stream and "seq" not in df.columns else df
 
 
@@ -202,7 +207,7 @@ def ad_clicks(spark: SparkSession, path: str, limit: int = 100, zone: str = "Asi
     """Click cap with blacklist side output, and clicks (all of them) per province."""
     ads = _seq(read_records(spark, path, "ad_click", stream=stream), stream)
     if stream:
-        tagged = stateful.cap_and_flag_stream(ads, ["user_id", "ad_id"], "ts", "seq", limit, zone)
+        tagged = stateful.cap_and_flag_stream(ads, ["user_id", "ad_id"], "ts", _arrival(ads), limit, zone)
         identity = f"{path} {limit} {zone} {size} {slide}"
         return (_emit_split(tagged, "ad clicks", "channel", {"passed": "passed", "blacklist": "black list"}, sink, identity)
                 | _emit({"province": sj.sliding_count_stream(ads, "ts", "province", size, slide)}, sink, identity))
@@ -217,7 +222,7 @@ def login_fail(spark: SparkSession, path: str, bound="2 seconds", stream: bool =
     lg = _seq(read_records(spark, path, "login", stream=stream), stream)
     fail = F.col("event_type") == "fail"
     if stream:
-        return _emit({"consecutive": stateful.consecutive_stream(lg, "user_id", fail, "ts", "seq", bound),
+        return _emit({"consecutive": stateful.consecutive_stream(lg, "user_id", fail, "ts", _arrival(lg), bound),
                       "sequence": stateful.match_next_stream(lg, "user_id", fail, fail, "ts", "seq", bound),
                       "burst": stateful.burst_stream(lg, "user_id", fail, ~fail, "ts", "seq", bound)},
                      sink, f"{path} {bound}")

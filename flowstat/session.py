@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark import SparkConf
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every flowstat job wants.  They only fill gaps: a value set by the
 # caller or already present in the Spark configuration (spark-defaults.conf,
@@ -47,6 +48,15 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written as a table in the shared folder and read back, so that later
+    stages restart from its files; the folder stays until the caller clears ``spark.checkpoint.dir``."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 _PRIVATE: dict[str, str] = {}  # application id -> folder of a local run
 
 

@@ -3,7 +3,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,16 +50,20 @@ def read_records(spark: SparkSession, path: str, kind: str, stream: bool = False
     ``'PERMISSIVE'`` nulls bad fields instead and, with ``corrupt_col``,
     keeps the raw text of a malformed line in that column.  An empty (unquoted) field
     reads as null, so the empty tx id of a create row can never join.
-    ``seq`` is the arrival order: files by name, lines by place (batch), or the
-    Kafka offset, which orders the rows of one partition and so of one message
-    key (stream).  Other streams should carry their own sequence number.  With ``stream=True`` the path may be
+    ``seq`` is the arrival order of a batch: files by name, lines by place.  Streams carry
+    ``arrival``, a string that sorts as the rows of a micro-batch arrived (see :func:`stream_arrival`; from
+    Kafka the broker's time, partition and offset).  With ``stream=True`` the path may be
     ``socket://host:port`` or ``kafka://servers/topic`` (one record per
     message).
     """
     lines = _stream_lines(spark, path) if stream else None
     if lines is not None:                      # socket / Kafka: one CSV record per message
         parsed = parse_csv_lines(lines, kind, mode=mode, corrupt_col=corrupt_col)
-        return parsed.withColumn("seq", F.col("offset")) if with_seq and "offset" in parsed.columns else parsed
+        if with_seq and "offset" in parsed.columns:
+            # one partition's rows are in the order of their offsets; those of several partitions in the order of the broker's times
+            place = [F.lpad(c.cast("string"), 19, "0") for c in (F.unix_micros("timestamp"), F.col("partition"), F.col("offset"))]
+            parsed = parsed.withColumns({"seq": F.col("offset"), "arrival": F.concat_ws("|", *place)})
+        return parsed
     schema, unit = RECORDS[kind]
     if corrupt_col:
         schema = T.StructType(schema.fields + [T.StructField(corrupt_col, T.StringType())])
@@ -64,7 +71,34 @@ def read_records(spark: SparkSession, path: str, kind: str, stream: bool = False
     if corrupt_col:
         reader = reader.option("columnNameOfCorruptRecord", corrupt_col)
     df = reader.csv(path)
-    return _typed(arrival_order(df) if with_seq and not stream else df, unit)
+    if with_seq:
+        df = stream_arrival(df) if stream else arrival_order(df)
+    return _typed(df, unit)
+
+
+def stream_arrival(df: DataFrame, out: str = "arrival") -> DataFrame:
+    """Lines of a file stream with ``out``, a string that sorts as the lines arrived: files by
+    modification time, then path (as the file source takes them up), splits by their place
+    in the file, lines by their place in the split.  Keyed state sees one micro-batch after the other, so
+    ordering the rows of each micro-batch by it orders a key's rows across the whole stream.
+
+    A split is read by one task from its beginning on, so a count of the task's lines tells their
+    order (Spark has no row number for text files, nor a growing id on streams)."""
+    def number(c: Column | str, width: int = 19) -> Column:
+        return F.lpad((F.col(c) if isinstance(c, str) else c).cast("string"), width, "0")
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = 0
+        for batch in batches:
+            place = pa.array(range(n, n + batch.num_rows), pa.int64())
+            n += batch.num_rows
+            yield pa.RecordBatch.from_arrays([*batch.columns, place], names=[*batch.schema.names, "line_place"])
+
+    meta = F.col("_metadata")
+    split = F.concat_ws("|", number(F.unix_micros(meta["file_modification_time"])), meta["file_path"], number(meta["file_block_start"]))
+    lines = df.select("*", split.alias("line_split"))
+    numbered = lines.mapInArrow(counted, T.StructType([*lines.schema.fields, T.StructField("line_place", T.LongType())]))
+    return numbered.withColumn(out, F.concat_ws("|", "line_split", number("line_place"))).drop("line_split", "line_place")
 
 
 def arrival_order(df: DataFrame, out: str = "seq") -> DataFrame:
@@ -113,15 +147,15 @@ def socket_lines(spark: SparkSession, host: str, port: int) -> DataFrame:
 
 def kafka_lines(spark: SparkSession, servers: str, topic: str, group: str | None = None,
                 starting_offsets: str = "latest", stream: bool = True) -> DataFrame:
-    """Kafka topic -> ``value`` string plus ``offset`` (a usable arrival
-    order).  Needs the spark-sql-kafka package on the classpath."""
+    """Kafka topic -> ``value`` string plus ``partition``, ``offset`` and ``timestamp``
+    (an arrival order).  Needs the spark-sql-kafka package on the classpath."""
     reader = (spark.readStream if stream else spark.read).format("kafka")
     reader = reader.option("kafka.bootstrap.servers", servers).option("subscribe", topic)
     if stream:
         reader = reader.option("startingOffsets", starting_offsets)
     if group:
         reader = reader.option("kafka.group.id", group)
-    return reader.load().select(F.col("value").cast("string").alias("value"), "partition", "offset")
+    return reader.load().select(F.col("value").cast("string").alias("value"), "partition", "offset", "timestamp")
 
 
 def parse_csv_lines(lines: DataFrame, kind: str, value_col: str = "value", mode: str = "FAILFAST",

@@ -73,7 +73,7 @@ def consecutive_stream(df: DataFrame, key: str, is_fail, ts: str, seq: str, max_
     base = ev.select(F.col(key), F.col(seq).alias("seq"), (F.expr(is_fail) if isinstance(is_fail, str) else is_fail)
                      .alias("is_fail"), to_micros(ts, T.TimestampType()).alias("t_us"))
     schema = T.StructType([T.StructField("key", ev.schema[key].dataType), T.StructField("first_us", _LONG),
-                           T.StructField("last_us", _LONG), T.StructField("seq", _LONG)])
+                           T.StructField("last_us", _LONG), T.StructField("seq", ev.schema[seq].dataType)])
     out = base.groupBy(key).transformWithStateInPandas(
         ConsecutiveFailProcessor(duration_us(max_gap), inclusive), schema, "Append", "None")
     return out.select(F.col("key").alias(key), from_micros("first_us", T.TimestampType()).alias("first_fail"),

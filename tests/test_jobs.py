@@ -232,3 +232,48 @@ def test_every_job_streams(spark, tmp_path):
             q.stop()
             assert q.exception() is None
     assert spark.table("ad_clicks").where("channel = 'passed'").count() == 60
+
+
+def test_streams_follow_the_order_of_arrival(spark, tmp_path):
+    """Lines out of the order of their times, over two files of one micro-batch and a third
+    one: failures in a row and the click cap come out as in the batch."""
+    import os
+    logs = {"lg": [["1,10.0.0.1,fail,1704067210", "1,10.0.0.1,fail,1704067205", "2,10.0.0.1,fail,1704067209"],
+                   ["2,10.0.0.1,success,1704067200", "2,10.0.0.1,fail,1704067210", "1,10.0.0.1,fail,1704067206"],
+                   ["2,10.0.0.1,fail,1704067201", "1,10.0.0.1,success,1704067203", "1,10.0.0.1,fail,1704067204"]],
+            "ads": [["7,42,hebei,a,1704067209", "7,42,hebei,b,1704067201"], ["7,42,hebei,c,1704067205", "7,42,hebei,d,1704067200"],
+                    ["7,42,hebei,e,1704067100", "7,42,hebei,f,1704067300"]]}
+    out = {}
+
+    def sink(*labels):
+        return {x: (lambda df, e, x=x: out.setdefault(x, []).extend(df.collect())) for x in labels}
+
+    def put(folder, i, lines):
+        f = tmp_path / f"{folder}-{i}.tmp"
+        f.write_text("\n".join(lines) + "\n")
+        os.utime(f, (1704070000 + i, 1704070000 + i))      # files of known modification times
+        f.rename(tmp_path / folder / f"{i}.csv")
+
+    for folder, files in logs.items():
+        (tmp_path / folder).mkdir()
+        for i in (0, 1):
+            put(folder, i, files[i])
+    started = [*jobs.login_fail(spark, str(tmp_path / "lg"), stream=True, sink=sink("consecutive", "sequence", "burst")).values(),
+               *jobs.ad_clicks(spark, str(tmp_path / "ads"), limit=3, size="1 minute", slide="1 minute", stream=True,
+                               sink=sink("passed", "black list", "province")).values()]
+    for q in started:
+        q.processAllAvailable()
+    for folder, files in logs.items():
+        put(folder, 2, files[2])
+    for q in started:
+        q.processAllAvailable()
+        q.stop()
+    lg, ads = jobs.login_fail(spark, str(tmp_path / "lg")), jobs.ad_clicks(spark, str(tmp_path / "ads"), limit=3, size="1 minute", slide="1 minute")
+
+    def seconds(found):
+        return sorted((r.user_id, int(r.first_fail.timestamp()), int(r.last_fail.timestamp())) for r in found)
+
+    want = lg["consecutive"].select("user_id", "first_fail", "last_fail").collect()
+    assert seconds(out["consecutive"]) == seconds(want) and len(want) >= 2
+    assert sorted(r.city for r in out["passed"]) == sorted(r.city for r in ads["passed"].collect()) == ["a", "b", "c"]
+    assert [r.city for r in out["black list"]] == ["d"] and ads["black list"].count() == 1
