@@ -175,7 +175,7 @@ def prefix(s: np.ndarray, steps: np.ndarray, shift: int, floor: float, most: int
 
 
 def _postings(docs: DataFrame, held: Broadcast, floor: float, sketch_bits: int, most: int) -> DataFrame:
-    """shingle, class, nip (size, place in the prefix and l, packed); each task posts a class once."""
+    """shingle, class, nip (size, place in the prefix, room for ``_earlier``, and l, packed); each task posts a class once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for batch in batches:
@@ -189,7 +189,7 @@ def _postings(docs: DataFrame, held: Broadcast, floor: float, sketch_bits: int,
                 p, share = prefix(s, held.value, 64 - sketch_bits, floor, most)
                 tokens.append(p)
                 ids.append(np.full(len(p), class_id(digest), np.int64))
-                sizes.append((len(s) << 32) + (np.arange(len(p), dtype=np.int64) << 4) + share)
+                sizes.append((len(s) << 32) + (np.arange(len(p), dtype=np.int64) << 8) + share)
             if ids:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(ids)), pa.array(np.concatenate(sizes))],
@@ -198,7 +198,7 @@ def _postings(docs: DataFrame, held: Broadcast, floor: float, sketch_bits: int,
     return _crowded(docs.select("text").mapInArrow(run, "shingle long, class long, nip long"), "class")
 
 
-PLACE = (1 << 28) - 1
+PLACE = (1 << 24) - 1
 
 
 def _size(nip: str) -> Column:
@@ -206,7 +206,18 @@ def _size(nip: str) -> Column:
 
 
 def _place(nip: str) -> Column:
-    return F.shiftright(nip, 4).bitwiseAND(F.lit(PLACE))
+    return F.shiftright(nip, 8).bitwiseAND(F.lit(PLACE))
+
+
+def _earlier(nip: str) -> Column:
+    return F.shiftright(nip, 4).bitwiseAND(F.lit(15))
+
+
+def _with_earlier(postings: DataFrame) -> DataFrame:
+    """Postings with the number of their class's earlier ones (15 at most) packed into ``nip``.  The ones left
+    out stand under shingles that no class able to link has, so no earlier common shingle is among them."""
+    before = F.row_number().over(W.partitionBy("class").orderBy(_place("nip"))) - 1
+    return postings.withColumn("nip", F.col("nip") + F.shiftleft(F.least(before, F.lit(15)).cast("long"), 4))
 
 
 def _share(nip: str) -> Column:
@@ -231,7 +242,8 @@ def _crowded(postings: DataFrame, group: str) -> DataFrame:
 def _can_link(a: str, b: str) -> Column:
     """Sizes fit, and neither place is too late for the overlap that they need."""
     n, m = _size(a), _size(b)
-    tail = F.least(n - _place(a), m - _place(b)) + F.least(_share(a), _share(b)) - 1
+    # one of the first l common shingles, and of those before it no more than either class has posted
+    tail = F.least(n - _place(a), m - _place(b)) + F.least(_share(a) - 1, _share(b) - 1, _earlier(a), _earlier(b))
     return (100 * F.least(n, m) >= 80 * F.greatest(n, m)) & (9 * tail >= 4 * (n + m))
 
 
@@ -330,7 +342,7 @@ def jaccard_join(docs: DataFrame, sketch_bits: int = 22, most_shared: int = 4, s
     members = found.where("part is null").select("doc_id", "th", "n", "class")
     steps, floor = _sketch(found, sketch_bits)
     held = spark.sparkContext.broadcast(steps)
-    shared = materialize(_postings(rows, held, floor, sketch_bits, most_shared).dropDuplicates(["shingle", "class"]), "join-postings")
+    shared = materialize(_with_earlier(_postings(rows, held, floor, sketch_bits, most_shared).dropDuplicates(["shingle", "class"])), "join-postings")
     held.destroy()
 
     labels = None
