@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, whole
-from .spans import joined, names, spans
+from .spans import joined, names, overlapping, spans
 
 # fixed values: the contract's formats
 KEYWORDS = "password|passwd|secret|token|api_?key"
@@ -130,8 +130,8 @@ def scan(docs: DataFrame, least: int = 6, quantile: float = 0.9999) -> DataFrame
     ratios = samples.where("label = 'ordinary'").select(ratio(F.col("string"), model).alias("at"), "times", "string")
     threshold = max(0.0, quantile_of(ratios, quantile), quantile_of(ratios.where(F.char_length("string") >= LONG), quantile))
     known = F.concat("assign", "access", "hex")
-    free = F.filter("runs", lambda r: ~F.exists(known, lambda x: (x["s"] < r["e"]) & (r["s"] < x["e"])))
-    random = F.filter(free, lambda r: ratio(r["v"], model) > threshold)
+    both = F.arrays_zip(F.col("runs").alias("r"), overlapping(F.col("runs"), known).alias("hit"))
+    random = F.transform(F.filter(both, lambda x: ~x["hit"] & (ratio(x["r"]["v"], model) > threshold)), lambda x: x["r"])
     out = found.withColumn("random", F.when(F.size("runs") > 0, random).otherwise(F.col("runs")))
     named = [names(k, F.col(k), i) for i, k in enumerate(("assign", "access", "hex", "random"))]
     return out.select(

@@ -104,14 +104,64 @@ def test_personal_base_spans(spark):
 
 
 def test_trees_add_likely_spans(spark):
-    """Phone numbers and addresses in an unlisted form, in the context that the listed ones have."""
-    texts = [f"call phone: +1 (555) 123-{i:04d} now" for i in range(120)] + [f"part number {i:09d} of order {i:07d}" for i in range(120)]
-    hidden = "call phone: 1 (555) 987-6543 now"
-    got = {r.doc_id: r for r in pii.scan(frame(spark, [*texts, hidden]), precision=0.9).collect()}
-    assert sum(len(got[i].likely) for i in range(120, 240)) <= 12
-    r = got[240]
-    assert r.n_phone == 0 and all(x.v in hidden for x in r.likely)
-    assert sum(got[i].n_phone for i in range(120)) == 120
+    """At production settings: phone numbers and addresses in unlisted forms are found in the context that
+    listed ones have, numbers in a neutral context are left alone."""
+    rnd = random.Random(6)
+    texts = [f"call phone: +1 ({rnd.randint(200, 999)}) {rnd.randint(100, 999)}-{rnd.randint(1000, 9999)} now" for _ in range(1500)]
+    texts += [f"write mail to user{i}@host{i % 40}.example.{rnd.choice(['com', 'org'])} please" for i in range(1500)]
+    texts += [f"part number {i:09d} of order {rnd.randint(10 ** 6, 10 ** 9)}" for i in range(3000)]
+    n = len(texts)
+    hidden = ["call phone: 1 (555) 987-6543 now", "call phone: (555) 987-6543 now", "call phone: 0555 987 6543 now", "write mail to joe (at) example.com please"]
+    neutral = [f"part number {rnd.randint(10 ** 8, 10 ** 9)} of order {rnd.randint(10 ** 6, 10 ** 9)}" for _ in range(300)]
+    got = {r.doc_id: r for r in pii.scan(frame(spark, [*texts, *hidden, *neutral])).collect()}
+    found = [[x.v for x in got[n + i].likely] for i in range(4)]
+    assert found == [["1 (555) 987-6543"], ["(555) 987-6543"], ["0555 987 6543"], ["joe (at) example.com"]]
+    assert all(got[n + i].n_phone == got[n + i].n_email == 0 for i in range(4))
+    assert sum(len(got[i].likely) for i in range(3000, n)) <= 30 and sum(len(got[n + 4 + i].likely) for i in range(300)) <= 3
+    assert sum(got[i].n_phone for i in range(1500)) == 1500 and sum(got[i].n_email for i in range(1500, 3000)) == 1500
+
+
+def test_chosen_spans_equal_brute_force(spark):
+    """Given the spans above the threshold: by start, longest first, those behind the last one taken."""
+    rnd = random.Random(2)
+    rows = []
+    for d in range(200):
+        for _ in range(rnd.randint(1, 12)):
+            s = rnd.randint(0, 40)
+            rows.append((d, d * 7, s, s + rnd.randint(1, 15), "v"))
+    want = {}
+    for d, _, s, e, _ in sorted(rows, key=lambda r: (r[0], r[2], -r[3])):
+        taken = want.setdefault(d, [])
+        if s >= (taken[-1][1] if taken else 0):
+            taken.append((s, e))
+    got = {r.k_id: [(x.s, x.e) for x in r.likely] for r in pii.select_spans(spark.createDataFrame(rows, "doc_id long, th long, s int, e int, v string")).collect()}
+    assert got == want
+
+
+def test_overlaps_equal_brute_force(spark):
+    from pyspark.sql import functions as F
+
+    from flowstat.llm.spans import SPAN, overlapping
+    rnd = random.Random(4)
+
+    def some(n):
+        return [(s, s + rnd.randint(1, 9), "v") for s in (rnd.randint(0, 300) for _ in range(n))]
+    rows = [(i, some(rnd.choice([0, 1, 5, 200])), some(rnd.choice([0, 1, 5, 200]))) for i in range(40)]
+    df = spark.createDataFrame(rows, f"id int, c {SPAN}, k {SPAN}").withColumn("hit", overlapping(F.col("c"), F.col("k")))
+    for r in df.collect():
+        assert r.hit == [any(k.s < c.e and c.s < k.e for k in r.k) for c in r.c]
+
+
+def test_many_matches_in_one_text(spark):
+    """100,000 matches of a kind in one text, in seconds."""
+    import time
+    n = 100_000
+    for scan, piece, column in ((secret_scan.scan, "token=abcdefgh x", "n_assign"), (pii.scan, "a@b.co, ", "n_email")):
+        began = time.time()
+        rows = scan(frame(spark, [piece * n, "short"])).collect()
+        assert max(r[column] for r in rows) == n and time.time() - began < 120
+        spans = next(r.spans for r in rows if r.doc_id == 0).split(",")
+        assert [int(x.split(":")[1]) for x in spans] == [len(piece) * i for i in range(n)]
 
 
 def test_nasty_and_empty(spark):
