@@ -13,8 +13,9 @@ a task holds is bounded whatever the benchmark's size.
 
 Cases.  Null or wordless documents have no words and no hits.  Items that are
 null or wordless are no window; items with a null id hit without being named.
-Repeated items and repeated documents are separate rows.  Other columns are
-not read.
+Repeated items and repeated documents are separate rows.  Very long texts are
+searched whole.  An empty benchmark hits nothing, empty documents give an empty
+result.  Other columns are not read (``keep_clean`` passes them on).
 """
 
 from __future__ import annotations
@@ -171,6 +172,8 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, width: int = 10, block_win
                 yield batch.filter(pa.array([not search(x.as_py(), found_by)[1] for x in batch.column("text")], pa.bool_()))
         return run
 
-    for block in item_blocks(benchmark, width, block_windows):
+    for n, block in enumerate(item_blocks(benchmark, width, block_windows)):
+        if n:  # written, or all blocks' searchers would stand in one task
+            docs = materialize(docs, "decontam-clean")
         docs = docs.mapInArrow(without(block), docs.schema)
     return docs

@@ -17,7 +17,8 @@ Cases.  Null text counts as empty.  Null ``doc_id`` sorts below every number,
 so it stays only if the whole group has null ids (``keep_id`` is then null).
 Repeated rows form a group; of rows with the same largest id the last by
 locator stays, so exactly one row per group has ``kept``.  Empty tables give
-an empty result.  Other columns of the table are not read.
+an empty result.  Very long texts are hashed and compared whole; joins on a digest that
+many rows share are split by Spark's skew handling.  Other columns of the table are not read.
 """
 
 from __future__ import annotations

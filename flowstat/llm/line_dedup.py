@@ -10,7 +10,10 @@ document and the lines they cover are taken out.
 Cases.  Null text gives an empty text with no lines.  A text of fewer than
 three lines has no window and stays whole.  Windows of three empty lines do
 not count.  Rows with equal ``doc_id`` and equal text are one document and get
-the same answer.  Null ids come first.  Other columns are not read.
+the same answer.  Null ids come first.  Windows are told apart by their two hashes, 128 bits, and
+not compared beyond them.  Very long texts are split whole, a row of the shuffle for each of their
+windows; windows that many texts share are joined under Spark's skew handling.  Empty tables give an empty
+result.  Other columns are not read.
 """
 
 from __future__ import annotations

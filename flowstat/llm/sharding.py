@@ -13,7 +13,8 @@ counts are at most one apart (law ``rows``) and both follow from the row number
 alone.  The same rows and seed give the same result whatever the partitions.
 
 Cases.  Null text has size 1 and crc32 0.  Null ids hash as the empty string.
-Repeated rows are separate rows.  Empty tables give an empty result.
+Repeated rows are separate rows.  Very long texts are only measured and hashed.  Empty
+tables give an empty result.  Other columns are not read, so their names cannot clash.
 """
 
 from __future__ import annotations

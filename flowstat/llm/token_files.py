@@ -24,7 +24,8 @@ an attempt that is lost or run twice leaves whole files only.
 
 Cases.  Null text counts as empty: its ids are the end id alone.  Null ids come
 first; rows with equal ids are ordered by a hash of the text.  Empty tables
-give no file and an empty result.  Other columns are not read.
+give no file and an empty result.  Very long texts are encoded whole; a file ends
+behind the document that fills it, however long that is.  Other columns are not read.
 """
 
 from __future__ import annotations

@@ -86,3 +86,14 @@ def test_nasty_and_empty(spark):
     assert sum(r.contaminated for r in got) == 3
     assert decontaminate(empty(spark), items).count() == 0
     assert not any(r.contaminated for r in decontaminate(nasty(spark), items.limit(0)).collect())
+
+
+def test_blocks_never_share_a_task(spark):
+    """However many blocks the benchmark has, a plan holds one pass."""
+    words_ = [f"w{i}" for i in range(120)]
+    items = [(i, " ".join(words_[i:i + 12])) for i in range(50)]
+    docs = spark.createDataFrame([(i, " ".join(words_[i:i + 20]) if i % 2 else f"clean text {i}") for i in range(40)], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    many, one = keep_clean(docs, bench, block_windows=3), keep_clean(docs, bench)
+    assert many._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert sorted(r.doc_id for r in many.collect()) == sorted(r.doc_id for r in one.collect()) == list(range(0, 40, 2))
