@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import duration_us, floor_to, from_micros, to_micros, ts_type
-from .ordered import running_total
+from .ordered import prefix_max
 
 
 def watermark_before(df: DataFrame, ts: str, arrival: str, seq: str, delay="1 second",
@@ -27,7 +27,9 @@ def watermark_before(df: DataFrame, ts: str, arrival: str, seq: str, delay="1 se
     ``seq``) minus ``delay``; null for the first row.  ``arrival`` is a
     timestamp (``chunk`` a duration) or a number such as a line or offset
     number (``chunk`` a count).  The running maximum over the whole arrival
-    order is computed chunk by chunk, so it never runs in one task."""
+    order is computed by leaves of chunks (see :func:`~flowstat.operators.ordered.prefix_max`),
+    so it never runs in one task.  ``df`` is read twice: for the small table of chunks,
+    at once, and for the result; write it first where that is dear."""
     dtype = ts_type(df, ts)
     adtype = df.schema[arrival].dataType
     if isinstance(adtype, (T.TimestampType, T.TimestampNTZType)):
@@ -35,8 +37,7 @@ def watermark_before(df: DataFrame, ts: str, arrival: str, seq: str, delay="1 se
     else:
         arr, step = F.col(arrival).cast("long"), int(chunk) if isinstance(chunk, int) else 1 << 20
     base = df.withColumn("_t", to_micros(ts, dtype)).withColumn("_arr", arr)
-    ran = running_total(base, part=[], order=["_arr", seq], value="_t", out="_mx",
-                        chunk_col="_arr", chunk=step, agg="max", exclusive=True)
+    ran = prefix_max(base, "_arr", seq, "_t", "_mx", step)
     return ran.withColumn(wm_col, from_micros(F.col("_mx") - F.lit(duration_us(delay)), dtype)) \
               .drop("_t", "_arr", "_mx")
 

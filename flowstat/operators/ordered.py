@@ -16,8 +16,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import floor_to
+from ..session import written
 
 _AGG = {"sum": F.sum, "max": F.max, "min": F.min}
 
@@ -102,6 +104,71 @@ def running_total(df: DataFrame, part, order, value, out: str, chunk_col: str, c
     return joined.withColumn(out, res).drop("_ck", "_heavy", "_loc", "_off")
 
 
+# Marks a chunk may be cut at, and cut tables up to which one is broadcast (a row has at most MARKS numbers).
+MARKS = 256
+CUT_CHUNKS = 1000
+_FIRST, _LAST = -(1 << 63), (1 << 63) - 1
+
+
+def prefix_max(df: DataFrame, order: str, seq: str, value: str, out: str, chunk: int) -> DataFrame:
+    """Adds ``out``: the largest ``value`` of the rows before each row in the order
+    (``order``, ``seq``), nulls first; null for the first row.  There is no key, so the
+    whole order is cut in a tree of two levels: chunks of ``order`` (a number), and inside a
+    chunk of more than ``HEAVY_ROWS`` rows leaves of about that many, cut at quantiles
+    of ``order``; a single value that fills a leaf is cut further by blocks of ``seq`` (an
+    integer).  A leaf holds a few times ``HEAVY_ROWS`` rows, or 1 / ``MARKS`` of its
+    chunk if that is more; take a finer ``chunk`` then.
+
+    One aggregate (a row per chunk and task is shuffled) gives each chunk's rows and largest value;
+    it is written, since it is read for the heavy chunks and for the maxima before
+    each chunk.  ``df`` itself is then shuffled once, by leaf."""
+    # no leaf key is null: the join with the maxima then keeps the shuffle of the window
+    rows = df.withColumn("_ck", F.coalesce(floor_to(F.col(order).cast("long"), chunk), F.lit(_FIRST)))
+    chunks = written(rows.groupBy("_ck").agg(F.max(value).alias("_top"), F.count(F.lit(1)).alias("_n")), "prefix-chunks")
+    # one row per chunk, whatever the number of rows in it
+    before = Window.orderBy("_ck").rowsBetween(Window.unboundedPreceding, -1)
+    offs = chunks.select("_ck", F.max("_top").over(before).alias("_off"))
+    leaf = ["_ck"]
+    heavy = chunks.where(F.col("_n") > HEAVY_ROWS)
+    if not heavy.isEmpty():
+        # quantiles are approximate: written, so that all uses cut at the same places
+        rows = _leaves(rows, written(_cuts(rows, heavy, order), "prefix-cuts"), order, seq)
+        leaf = ["_ck", "_sub", "_tie"]
+        inside = Window.partitionBy("_ck").orderBy("_sub", "_tie").rowsBetween(Window.unboundedPreceding, -1)
+        tops = rows.groupBy(*leaf).agg(F.max(value).alias("_top"))
+        tops = tops.select(*leaf, F.max("_top").over(inside).alias("_in"))
+        offs = tops.join(offs, "_ck").select(*leaf, F.greatest("_off", "_in").alias("_off"))
+    within = Window.partitionBy(*leaf).orderBy(order, seq).rowsBetween(Window.unboundedPreceding, -1)
+    local = rows.withColumn("_loc", F.max(value).over(within))
+    return local.join(offs, leaf, "left").withColumn(out, F.greatest("_off", "_loc")).drop(*leaf, "_loc", "_off")
+
+
+def _place(order: str) -> Column:
+    return F.coalesce(F.col(order).cast("long"), F.lit(_FIRST))
+
+
+def _cuts(rows: DataFrame, heavy: DataFrame, order: str) -> DataFrame:
+    """_ck, _cuts (first values of the leaves after the first), _hot (those that fill a leaf alone) of heavy chunks."""
+    inside = rows.select("_ck", _place(order).alias("_at")).join(heavy.select("_ck", "_n"), "_ck")
+    marks = inside.groupBy("_ck").agg(
+        F.percentile_approx("_at", [i / MARKS for i in range(1, MARKS)], F.lit(10_000)).alias("_q"), F.max("_n").alias("_n"))
+    every = F.greatest(F.lit(1), F.floor(F.lit(MARKS * HEAVY_ROWS) / F.col("_n"))).cast("int")
+    kept = marks.select("_ck", F.filter("_q", lambda c, i: (i + 1) % every == 0).alias("_q"))
+    return kept.select("_ck", F.array_distinct("_q").alias("_cuts"),
+                       F.array_distinct(F.filter("_q", lambda c, i: F.get("_q", i - 1) == c)).alias("_hot"))
+
+
+def _leaves(rows: DataFrame, cuts: DataFrame, order: str, seq: str) -> DataFrame:
+    """``rows`` with the leaf (_ck, _sub, _tie) of each; leaves sort as their rows do."""
+    side = F.broadcast(cuts) if cuts.count() <= CUT_CHUNKS else cuts
+    at = _place(order)
+    sub = F.when(F.col("_cuts").isNull(), 0).otherwise(F.size(F.filter("_cuts", lambda c: c <= at)))
+    tie = F.lit(_LAST)
+    if isinstance(rows.schema[seq].dataType, T.IntegralType):
+        tie = F.when(F.array_contains("_hot", at), F.coalesce(floor_to(F.col(seq).cast("long"), HEAVY_ROWS), F.lit(_FIRST))).otherwise(tie)
+    return rows.join(side, "_ck", "left").withColumns({"_sub": sub, "_tie": tie}).drop("_cuts", "_hot")
+
+
 def neighbour(df: DataFrame, part, order, cols, chunk_col: str, chunk: int,
               prefix: str = "prev_", direction: str = "lag") -> DataFrame:
     """Adds ``prefix + c`` = value of ``c`` in the previous (``lag``) or next

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from ..functions import duration_us, is_asset
 from ..operators import capping, distinct, joins, patterns, topn, windows
 from ..operators.late import late_flag, watermark_before
+from ..session import written
 from ..sources import arrival_order, parse_access_log, read_access_log, read_records
 from ..streaming import jobs as sj
 from ..streaming import ranking, stateful
@@ -148,8 +149,9 @@ def hot_pages(spark: SparkSession, path: str, n: int = 5, size="10 minutes", sli
     # arrival order of a log is the order of its files and lines; every request moves the
     # watermark, GETs are counted in the windows still open on their arrival
     lines = arrival_order(spark.read.text(path))
-    seen = watermark_before(parse_access_log(lines, keep=["seq"]), "ts", "seq", "seq", disorder)
-    gets = seen.where(wanted)
+    log = written(parse_access_log(lines, keep=["seq"]), "access-log")
+    # read by both outputs
+    gets = written(watermark_before(log, "ts", "seq", "seq", disorder).where(wanted), "seen-gets")
     late_rows = gets.where(late_flag(gets, "ts", "watermark", size, slide, lateness))
     counts = windows.sliding_count_open(gets, "ts", "url", size, slide, "watermark", lateness)
     return {"hot pages": topn.top_n(counts, "window_end", "url", "cnt", n), "late": late_rows}

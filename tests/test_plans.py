@@ -37,7 +37,9 @@ def test_interval_join_is_keyed_by_time_bucket(spark):
 
 @pytest.mark.parametrize("name, scans, joins, exchanges", [
     ("tx_match_full", 2, 1, 3), ("login_fail_consecutive", 1, 0, 1), ("login_fail_sequence", 1, 0, 1),
-    ("order_pay_paid", 1, 0, 1), ("ad_clicks_filtered", 1, 0, 1), ("order_status", 1, 0, 1), ("hot_items_topn_changelog", 1, 0, 3)])
+    ("order_pay_paid", 1, 0, 1), ("ad_clicks_filtered", 1, 0, 1), ("order_status", 1, 0, 1),
+    # the second scan is the small table of chunks
+    ("late_rows", 2, 1, 2), ("hot_pages_with_lateness", 2, 1, 4), ("hot_items_topn_changelog", 1, 0, 3)])
 def test_one_pass(spark, name, scans, joins, exchanges):
     """How often the input is read, joined and shuffled where nothing is small enough to broadcast."""
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
