@@ -19,11 +19,16 @@ def whole(text: str | Column) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
-def scratch(spark: SparkSession, label: str) -> str:
-    """A new folder under the shared folder that ``spark.checkpoint.dir`` names
+def shared(spark: SparkSession, name: str) -> str:
+    """The folder ``name`` under the shared folder that ``spark.checkpoint.dir`` names
     (a folder of its own where the setting is unset, as in local tests)."""
     base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/llm/{label}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/llm/{name}"
+
+
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new folder in the shared folder."""
+    return shared(spark, f"{label}-{uuid.uuid4().hex}")
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

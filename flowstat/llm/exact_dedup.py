@@ -28,7 +28,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, scratch, whole
+from .common import materialize, scratch, shared, whole
 
 # State on disk.  Files are not preallocated (a store for each partition would
 # hold megabytes of air), and a batch uploads its changes instead of all files.
@@ -50,16 +50,21 @@ def _rows(df: DataFrame, digest: Callable[[Column], Column], *more: Column) -> D
 
 
 def run_stream(spark: SparkSession, path: str, digest: Callable[[Column], Column] = sha256,
-               **source_options) -> DataFrame:
+               name: str | None = None, **source_options) -> DataFrame:
     """Drain the Parquet files at ``path`` through the keyed state and return its
     rows: digest, keep_id, keep_loc, n.
 
     ``source_options`` go to the file source (``maxFilesPerTrigger``,
-    ``maxBytesPerTrigger``); the state is kept across the micro-batches.
+    ``maxBytesPerTrigger``); the state is kept across the micro-batches.  With a
+    ``name`` it is kept across calls as well, in a folder of that name in the shared
+    folder: the next call with the same name, path and digest reads new files only.
     """
-    out, checkpoint = scratch(spark, "dedup-state"), scratch(spark, "dedup-stream")
-    # a pattern instead of a plain path: the source then takes a single file as well as a folder
-    pattern = path[:-1] + f"[{path[-1]}]"
+    folder = shared(spark, f"dedup-{name}") if name else scratch(spark, "dedup")
+    out, checkpoint = f"{folder}/state", f"{folder}/stream"
+    pattern = path.rstrip("/")
+    if pattern[-1].isalnum():
+        # a pattern instead of a plain path: the source then takes a single file as well as a folder
+        pattern = pattern[:-1] + f"[{pattern[-1]}]"
     reader = spark.readStream.schema("doc_id long, text string").options(**source_options)
     state = (_rows(reader.parquet(pattern), digest)
              .groupBy("digest").agg(F.max(F.struct("doc_id", "loc")).alias("top"), F.count(F.lit(1)).alias("n"))
@@ -112,11 +117,12 @@ def unequal_hits(docs: DataFrame, state: DataFrame, digest: Callable[[Column], C
 
 
 def exact_dedup(spark: SparkSession, path: str, digest: Callable[[Column], Column] = sha256,
-                **source_options) -> DataFrame:
+                name: str | None = None, **source_options) -> DataFrame:
     """One row per row of the Parquet table at ``path``: doc_id, keep_id,
-    group_size, kept, text_sha256."""
+    group_size, kept, text_sha256.  With a ``name`` (see :func:`run_stream`) the files of
+    earlier calls must still be in the table, which may have grown."""
     docs = spark.read.schema("doc_id long, text string").parquet(path)
-    state = materialize(run_stream(spark, path, digest, **source_options), "dedup-final")
+    state = materialize(run_stream(spark, path, digest, name, **source_options), "dedup-final")
     rows = _rows(docs, digest, sha256(whole("text")).alias("text_sha256")).join(state, "digest", "left")
     unequal = unequal_hits(docs, state, digest)
     if not unequal.isEmpty():

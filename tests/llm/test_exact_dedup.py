@@ -1,9 +1,11 @@
 import hashlib
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
-from flowstat.llm.exact_dedup import exact_dedup, sha256
+from flowstat.llm.common import shared
+from flowstat.llm.exact_dedup import exact_dedup, run_stream, sha256
 
 from .helpers import empty, nasty
 
@@ -34,21 +36,29 @@ def test_many_batches_nulls_ties_and_collisions(spark, tmp_path, digest):
     check(exact_dedup(spark, str(tmp_path / "documents.parquet"), digest, maxFilesPerTrigger=1).collect(), rows)
 
 
-def test_state_survives_a_restart(spark, tmp_path):
-    """The state is in the checkpoint: a second run of the same query only reads new files."""
+def test_named_state_goes_on(spark, tmp_path):
+    """A second call of the same name reads the new files only; one without a name starts anew."""
+    path, name = str(tmp_path / "documents.parquet"), f"test-{uuid.uuid4().hex}"
+    first = [(1, "a"), (2, "b"), (5, None)]
+    spark.createDataFrame(first, "doc_id long, text string").coalesce(1).write.parquet(path)
+    check(exact_dedup(spark, path, name=name).collect(), first)
+    more = [(3, "a"), (4, "")]
+    spark.createDataFrame(more, "doc_id long, text string").coalesce(1).write.mode("append").parquet(path)
+    epochs = shared(spark, f"dedup-{name}/state")
+    before = {(r.epoch, r.keep_id) for r in spark.read.parquet(epochs).collect()}
+    check(exact_dedup(spark, path, name=name).collect(), first + more)
+    after = {(r.epoch, r.keep_id) for r in spark.read.parquet(epochs).collect()}
+    # the text "b" got no new row, so its state was not written again
+    assert {keep for _, keep in after - before} == {3, 5}
+    assert {r.keep_id: r.n for r in run_stream(spark, path, name=name).collect()} == {3: 2, 2: 1, 5: 2}
+    check(exact_dedup(spark, path).collect(), first + more)
+
+
+@pytest.mark.parametrize("end", ["", "/", "/*", "/*.[p]arquet"])
+def test_paths(spark, tmp_path, end):
     path = str(tmp_path / "documents.parquet")
-    spark.createDataFrame([(1, "a"), (2, "b")], "doc_id long, text string").write.parquet(path)
-    from flowstat.llm import exact_dedup as m
-    folders = iter(["out", "ckpt"] * 2)
-    made = m.scratch
-    m.scratch = lambda s, label: str(tmp_path / next(folders))
-    try:
-        m.run_stream(spark, path)
-        spark.createDataFrame([(3, "a")], "doc_id long, text string").write.mode("append").parquet(path)
-        got = {r.keep_id: r.n for r in m.run_stream(spark, path).collect()}
-    finally:
-        m.scratch = made
-    assert got == {3: 2, 2: 1}
+    spark.createDataFrame([(1, "a"), (2, "a")], "doc_id long, text string").write.parquet(path)
+    assert {r.keep_id: r.n for r in run_stream(spark, path + end).collect()} == {2: 2}
 
 
 def test_empty(spark, tmp_path):
