@@ -36,10 +36,11 @@ import struct
 import uuid
 import zlib
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -64,7 +65,9 @@ KNOWN = {
         {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
     "post_processor": None, "truncation": None, "padding": None}
 PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
-TOGETHER = 1 << 22  # characters whose words are looked up together
+TOGETHER = 1 << 21  # characters whose words are looked up together
+KEPT = 200_000      # pieces whose ids are kept, to twice as many
+AT_ONCE = 64        # blocks packed or unpacked together
 
 
 class Kept:
@@ -108,7 +111,7 @@ class Encoder:
         shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         hidden = [b for b in range(256) if b not in shown]
         self.alphabet = {b: 256 + i for i, b in enumerate(hidden)}
-        self.pieces = Kept(self._piece, 400_000)
+        self.pieces = Kept(self._piece, KEPT)
 
     def _piece(self, piece: str) -> bytes:
         letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.alphabet)
@@ -124,36 +127,38 @@ class Encoder:
 
     def _gathered(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of plain texts."""
-        words = [t.lower().split() for t in texts]
-        coded = pa.array([w for own in words for w in own], pa.string()).dictionary_encode()
-        codes = coded.indices.to_numpy()
+        # words in Arrow's memory; only the distinct ones become Python strings (an empty one has no ids)
+        words = pc.utf8_split_whitespace(pc.utf8_lower(pa.array(texts, pa.string())))
+        coded = words.flatten().dictionary_encode()
+        bounds, codes = words.offsets.to_numpy(), coded.indices.to_numpy()
         made = [self._word(w) for w in coded.dictionary.to_pylist()]
         ids, size = np.frombuffer(b"".join(made), "<u4"), np.array([len(m) // 4 for m in made], np.int64)
         first, sizes = (np.cumsum(size) - size)[codes], size[codes]
+        del words, coded, codes, made
         ends = np.concatenate([[0], np.cumsum(sizes)])
-        at = np.arange(ends[-1]) + np.repeat(first - ends[:-1], sizes)
-        bounds = ends[np.concatenate([[0], np.cumsum([len(own) for own in words])])]
-        found = ids[at]
-        return [found[a:b] for a, b in zip(bounds, bounds[1:])]
-
-    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of every text."""
-        out: list[np.ndarray | None] = [None] * len(texts)
-        plain, size = [], 0
-        for i, text in enumerate(texts):
-            if self._plain(text):
-                plain.append(i)
-                size += len(text)
-            else:
-                out[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-            if plain and (size >= TOGETHER or i == len(texts) - 1):
-                for j, ids in zip(plain, self._gathered([texts[j] for j in plain])):
-                    out[j] = ids
-                plain, size = [], 0
-        return out
+        at = np.repeat(first - ends[:-1], sizes)
+        at += np.arange(len(at))
+        return np.split(ids[at], ends[bounds[1:-1]])
+
+    def encode_all(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
+        """Ids of every text, in order; as many texts are held as have ``TOGETHER`` characters."""
+        held, size = [], 0
+        for text in texts:
+            held.append(text)
+            size += len(text)
+            if size >= TOGETHER:
+                yield from self._encoded(held)
+                held, size = [], 0
+        yield from self._encoded(held)
+
+    def _encoded(self, texts: list[str]) -> Iterator[np.ndarray]:
+        plain = [self._plain(t) for t in texts]
+        found = iter(self._gathered([t for t, p in zip(texts, plain) if p]) if any(plain) else ())
+        for text, p in zip(texts, plain):
+            yield next(found) if p else np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
     def encode(self, text: str) -> bytes:
-        return self.encode_all([text])[0].tobytes()
+        return next(self.encode_all([text])).tobytes()
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -196,7 +201,8 @@ def encode_file(ids: np.ndarray, lengths: list[int], doc_ids: list[int | None],
     parts = [MAGIC, struct.pack("<QQ", len(ids), len(lengths))]
     at, starts = 24, []
     whole_blocks = len(ids) // BLOCK * BLOCK
-    for rows in (ids[:whole_blocks].reshape(-1, BLOCK), ids[whole_blocks:].reshape(1, -1)):
+    some = [ids[a:min(a + AT_ONCE * BLOCK, whole_blocks)].reshape(-1, BLOCK) for a in range(0, whole_blocks, AT_ONCE * BLOCK)]
+    for rows in (*some, ids[whole_blocks:].reshape(1, -1)):
         if not rows.size:
             continue
         least = rows.min(axis=1)
@@ -225,7 +231,7 @@ def encode_file(ids: np.ndarray, lengths: list[int], doc_ids: list[int | None],
     return b"".join(parts)
 
 
-def decode_file(data: bytes) -> tuple[np.ndarray, np.ndarray, list[int | None]]:
+def decode_file(data: bytes | memoryview) -> tuple[np.ndarray, np.ndarray, list[int | None]]:
     """ids, ids per document, doc_ids of a file's bytes."""
     if data[:8] != MAGIC:
         raise ValueError("not a token file")
@@ -237,7 +243,7 @@ def decode_file(data: bytes) -> tuple[np.ndarray, np.ndarray, list[int | None]]:
     by_width: dict[tuple[int, int], list[int]] = {}
     for i, (_, w, _, _) in enumerate(heads):
         by_width.setdefault((w, min(BLOCK, n - i * BLOCK)), []).append(i)
-    for (w, size), which in by_width.items():
+    for w, size, which in [(*k, v[a:a + AT_ONCE]) for k, v in by_width.items() for a in range(0, len(v), AT_ONCE)]:
         groups = -(-size // 64)
         words = groups * w
         packed = np.stack([np.frombuffer(data, "<u8", words, starts[i] + HEAD.size) for i in which])
@@ -271,29 +277,27 @@ def write_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1,
         store, path = _store(folder)
         store.create_dir(path, recursive=True)
         task, made = TaskContext.get().partitionId(), 0
-        held, lengths, doc_ids, size = [], [], [], 0
+        held, lengths, doc_ids = bytearray(), [], []
 
         def flush() -> pa.RecordBatch:
             name = f"part-{task:06d}-{made:06d}.pfor"
-            data = encode_file(np.frombuffer(b"".join(held), "<u4"), lengths, doc_ids, percentile)
+            data = encode_file(np.frombuffer(held, "<u4"), lengths, doc_ids, percentile)
             own = f"{path}/_{name}.{uuid.uuid4().hex}"
             with store.open_output_stream(own) as f:
                 f.write(data)
             store.move(own, f"{path}/{name}")
             return pa.RecordBatch.from_arrays(
-                [pa.array([name]), pa.array([len(lengths)], pa.int64()), pa.array([size], pa.int64())],
+                [pa.array([name]), pa.array([len(lengths)], pa.int64()), pa.array([len(held) // 4], pa.int64())],
                 names=["name", "n_docs", "n_tokens"])
 
         for batch in batches:
-            for doc_id, found in zip(batch.column("doc_id"), enc.encode_all(batch.column("text").to_pylist())):
-                ids = found.tobytes() + end
-                held.append(ids)
-                lengths.append(len(ids) // 4)
+            for doc_id, ids in zip(batch.column("doc_id"), enc.encode_all(t.as_py() for t in batch.column("text"))):
+                held += ids.tobytes() + end
+                lengths.append(len(ids) + 1)
                 doc_ids.append(doc_id.as_py())
-                size += len(ids) // 4
-                if size >= file_ids:
+                if len(held) // 4 >= file_ids:
                     yield flush()
-                    made, held, lengths, doc_ids, size = made + 1, [], [], [], 0
+                    made, held, lengths, doc_ids = made + 1, bytearray(), [], []
         if lengths:
             yield flush()
 
@@ -309,7 +313,7 @@ def read_files(manifest: DataFrame, folder: str) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, data in zip(batch.column("name"), batch.column("content")):
-                ids, lengths, doc_ids = decode_file(data.as_buffer().to_pybytes())
+                ids, lengths, doc_ids = decode_file(memoryview(data.as_buffer()))
                 ends = np.cumsum(lengths, dtype=np.int64)
                 starts = ends - lengths
                 crc = [zlib.crc32(ids[a:b]) for a, b in zip(starts, ends)]

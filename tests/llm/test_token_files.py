@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -30,6 +31,38 @@ def test_many_texts_and_another_tokenizer():
         assert [x.tolist() for x in own.encode_all(TEXTS * 3)] == want
 
 
+def test_words_end_where_the_library_ends_them():
+    """Each plain character beside letters, in texts of one batch."""
+    plain = [chr(c) for c in range(256) if T.PLAIN.fullmatch(chr(c))]
+    texts = [f"{a}b{a}{a} Wörd{a}" for a in plain] + plain + ["".join(plain)]
+    library = Tokenizer.from_file(PATH)
+    assert [x.tolist() for x in T.Encoder(PATH).encode_all(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_texts_are_taken_as_they_are_encoded():
+    """A batch's texts are not all held: the first ids come before the later texts are read."""
+    read, text = [], "some words " * 10_000
+    found = T.Encoder(PATH).encode_all(read.append(i) or text for i in range(100))
+    first = next(found)
+    assert len(read) <= -(-T.TOGETHER // len(text)) < 30
+    assert all((x == first).all() for x in found) and len(read) == 100
+
+
+def test_memory_of_a_file():
+    """Blocks are packed and unpacked some at a time: little more than the ids and the file's bytes."""
+    ids = np.random.default_rng(5).integers(0, 50_000, 1 << 22).astype("<u4")
+    tracemalloc.start()
+    data = T.encode_file(ids, [len(ids)], [1])
+    packed = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    held = tracemalloc.get_traced_memory()[0]
+    got, _, _ = T.decode_file(data)
+    unpacked = tracemalloc.get_traced_memory()[1] - held
+    tracemalloc.stop()
+    assert (got == ids).all()
+    assert packed <= 3 * ids.nbytes and unpacked <= 2 * ids.nbytes
+
+
 def test_kept_pieces_are_bounded():
     made = []
     kept = T.Kept(lambda p: made.append(p) or p.encode(), 10)
