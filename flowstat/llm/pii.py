@@ -14,13 +14,14 @@ other dress: without its first group of digits, in parentheses, with other separ
 spelled out, without its digits, without the first of several labels of its domain.
 Negatives are runs of digits that no format confirms in a neutral context, without any word of ``KEYWORDS``, and
 confirmed addresses cut behind the first label of their domain.  Unconfirmed candidates in a telling context
-are unlabelled.  About ``sample`` candidates of each class, chosen by a hash, train each generator's trees; a fifth of
-them is held out.  A score's calibrated precision is that of the held-out rows at or above it, both classes weighing the same;
+are unlabelled.  All labelled candidates of a generator take part: a fifth of them, by a hash, is held out, the others
+train its trees.  Candidates with the same features are one row with their number as weight, so the trees read
+distinct feature values only, and a leaf's least share of the weight is that of five candidates.  A score's calibrated precision is that of the held-out rows at or above it, both classes weighing the same;
 the generator's threshold is the lowest score whose precision reaches ``precision``.  A candidate is added if it scores
 at least that and overlaps no base span; of overlapping ones the earlier, longer stays.
 
 Everything runs in DataFrame functions and Spark's own trees.  Cases.  Null text
-counts as empty.  Places are in code points.  Without both classes in a generator's sample
+counts as empty.  Places are in code points.  Without both classes among a generator's candidates
 it adds nothing.  Very long texts are scanned whole; places of many matches are summed up block by block.  Rows with equal id and text are one document.  Empty tables
 give an empty result; extra columns are not read.
 """
@@ -32,7 +33,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_sample, materialize, whole
+from .common import materialize, whole
 from .spans import SPAN, joined, names, overlapping, spans
 
 # fixed values: the contract's formats
@@ -128,17 +129,18 @@ def examples(each: DataFrame) -> DataFrame:
 
 
 def _boost(rows: DataFrame, rounds: int, precision: float):
-    """Trees and threshold from rows (fold, label, features), or None without both classes."""
+    """Trees and threshold from rows (held, label, features, n), n alike ones in each, or None without both classes."""
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.functions import vector_to_array
 
-    counts = {(r.held, r.label): r["count"] for r in rows.groupBy((F.col("fold") == 0).alias("held"), "label").count().collect()}  # four rows at most
+    counts = {(r.held, r.label): r.n for r in rows.groupBy("held", "label").agg(F.sum("n").alias("n")).collect()}  # four rows at most
     if any(not counts.get((h, y)) for h in (False, True) for y in (0.0, 1.0)):
         return None
-    model = GBTClassifier(maxIter=rounds, maxDepth=4, seed=7, minInstancesPerNode=5).fit(rows.where("fold <> 0"))
-    scored = model.transform(rows.where("fold = 0")).select("label", vector_to_array("probability")[1].alias("p"))
+    leaf = min(0.49, 5 / (counts[False, 0.0] + counts[False, 1.0]))
+    model = GBTClassifier(maxIter=rounds, maxDepth=4, seed=7, weightCol="n", minWeightFractionPerNode=leaf).fit(rows.where("not held"))
+    scored = model.transform(rows.where("held")).select("label", "n", vector_to_array("probability")[1].alias("p"))
     steps = scored.groupBy(F.floor(F.col("p") * 1000).cast("int").alias("k")).agg(
-        F.sum("label").alias("right"), F.sum(1 - F.col("label")).alias("wrong")).orderBy(F.desc("k")).collect()  # 1001 rows at most
+        F.sum(F.col("label") * F.col("n")).alias("right"), F.sum((1 - F.col("label")) * F.col("n")).alias("wrong")).orderBy(F.desc("k")).collect()  # 1001 rows at most
     right = wrong = 0.0
     found = None
     for r in steps:
@@ -162,7 +164,7 @@ def select_spans(scored: DataFrame) -> DataFrame:
     return good.select("k_id", "k_th", chosen.alias("likely"))
 
 
-def scan(docs: DataFrame, sample: int = 10_000, rounds: int = 10, precision: float = 0.99) -> DataFrame:
+def scan(docs: DataFrame, rounds: int = 10, precision: float = 0.99) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, and the spans of
     each kind as arrays (email, ip, card, phone, likely)."""
     from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -181,12 +183,12 @@ def scan(docs: DataFrame, sample: int = 10_000, rounds: int = 10, precision: flo
             .select("doc_id", "th", "x.kind", "x.known", "x.c", F.col("x.c.s").alias("s"), F.col("x.c.e").alias("e")))
     each = materialize(each, "pii-candidates")
     labelled = examples(each)
-    fold = F.pmod(F.xxhash64(F.lit(1), "th", "s", "e"), F.lit(5))
+    held = F.pmod(F.xxhash64(F.lit(1), "th", "s", "e"), F.lit(5)) == 0
+    alike = materialize(labelled.groupBy("kind", held.alias("held"), "label", F.array(*feature_columns(F.col("c"))).alias("features"))
+                        .agg(F.count(F.lit(1)).cast("double").alias("n")), "pii-examples")
     good = []
     for kind in GENERATORS:
-        own = [hash_sample(labelled.where((F.col("kind") == kind) & (F.col("label") == y)), sample, "th", "s", "e") for y in (0.0, 1.0)]
-        some = own[0].unionByName(own[1]).select(fold.alias("fold"), "label", array_to_vector(F.array(*feature_columns(F.col("c")))).alias("features"))
-        trained = _boost(materialize(some, "pii-sample"), rounds, precision)
+        trained = _boost(alike.where(F.col("kind") == kind).withColumn("features", array_to_vector("features")), rounds, precision)
         if trained:
             model, threshold = trained
             rest = each.where(~F.col("known") & (F.col("kind") == kind)).select(

@@ -121,6 +121,26 @@ def test_trees_add_likely_spans(spark):
     assert sum(got[i].n_phone for i in range(1500)) == 1500 and sum(got[i].n_email for i in range(1500, 3000)) == 1500
 
 
+def test_all_labelled_candidates_train_the_trees(spark, monkeypatch):
+    """More candidates than any fixed number of rows: each counts, in training or held out."""
+    from pyspark.sql import functions as F
+    seen = {}
+
+    def boost(rows, *_):
+        got = rows.groupBy("label", "held").agg(F.sum("n").alias("n")).collect()
+        seen[len(seen)] = {(r.label, r.held): r.n for r in got}
+        return None
+
+    monkeypatch.setattr(pii, "_boost", boost)
+    texts = [" , ".join(f"part {d * 1000 + i:09d}" for i in range(1000)) for d in range(13)]
+    texts += [" ; ".join(f"tel +1 555 {d:03d} {i:04d}" for i in range(1000)) for d in range(3)]
+    pii.scan(frame(spark, texts)).collect()
+    at, digits = seen[0], seen[1]
+    wrong, right = (sum(digits.get((y, h), 0) for h in (False, True)) for y in (0.0, 1.0))
+    assert at == {} and wrong == 13_000 and right == 3000 * 5      # each confirmed number in five kinds of dress
+    assert 0.15 < digits[0.0, True] / wrong < 0.25 and 0.15 < digits[1.0, True] / right < 0.25
+
+
 def test_chosen_spans_equal_brute_force(spark):
     """Given the spans above the threshold: by start, longest first, those behind the last one taken."""
     rnd = random.Random(2)
